@@ -1,0 +1,88 @@
+"""Master clean-up and bar enrichment."""
+
+import contextlib
+import datetime as dt
+import io
+
+from marketflow.operators.enrich import enrich
+from marketflow.operators.master import clean_master, latest_per_ticker
+from marketflow.operators.rows import dedupe_rows
+from marketflow.operators.sizing import broadcast_if_small, measured_bytes
+
+MASTER = ("ticker string, name string, market string, locale string, primary_exchange string, "
+          "type string, active boolean, currency_name string, cik string, last_updated_utc string")
+BARS = ("ticker string, volume double, volume_weighted double, open_price double, close_price double, "
+        "high_price double, low_price double, number_of_transaction int, transaction_date date")
+
+
+def _m(ticker, name="N", version="v1"):
+    return (ticker, name, "stocks", "us", "X", "CS", True, "usd", "1", version)
+
+
+def test_same_row_twice_is_one(spark):
+    df = spark.createDataFrame([_m("A"), _m("A")], MASTER)
+    assert dedupe_rows(df).count() == 1
+
+
+def test_two_versions_order_matters(spark):
+    df = spark.createDataFrame([_m("A", version="v1"), _m("A", version="v2")], MASTER)
+    assert clean_master(df, order="dedupe_then_drop").count() == 2
+    assert clean_master(df, order="drop_then_dedupe").count() == 1
+
+
+def test_changed_name_latest_per_ticker(spark):
+    df = spark.createDataFrame([_m("A", "old", "2024-01-01"), _m("A", "new", "2024-02-01")], MASTER)
+    assert clean_master(df).count() == 2
+    rows = latest_per_ticker(df).collect()
+    assert len(rows) == 1 and rows[0].name == "new" and "last_updated_utc" not in rows[0].asDict()
+
+
+def test_null_rows_compare_equal(spark):
+    df = spark.createDataFrame([(None, None), (None, None)], "a string, b int")
+    assert dedupe_rows(df).count() == 1
+
+
+def _bar(ticker, day):
+    return (ticker, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1, day)
+
+
+def test_enrich_cut_strict_nulls_and_unknown_tickers_drop(spark):
+    master = clean_master(spark.createDataFrame([_m("A"), _m("B")], MASTER))
+    bars = spark.createDataFrame([
+        _bar("A", dt.date(2024, 6, 3)),   # equal to the cut: dropped
+        _bar("A", dt.date(2024, 6, 4)),   # kept
+        _bar("A", None),                  # null date: dropped
+        _bar("Z", dt.date(2024, 6, 5)),   # unknown ticker: dropped
+        _bar("B", dt.date(2025, 1, 2)),   # kept
+    ], BARS)
+    out = enrich(bars, master, "2024-06-03").collect()
+    assert sorted((r.ticker, r.transaction_date, r.year, r.month) for r in out) == [
+        ("A", dt.date(2024, 6, 4), 2024, 6), ("B", dt.date(2025, 1, 2), 2025, 1)]
+    assert len(out[0].asDict()) == 19
+
+
+def test_enrich_accepts_datetime_cut(spark):
+    master = clean_master(spark.createDataFrame([_m("A")], MASTER))
+    bars = spark.createDataFrame([_bar("A", dt.date(2024, 6, 4))], BARS)
+    assert enrich(bars, master, dt.datetime(2024, 6, 3)).count() == 1
+
+
+def _plan(df):
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
+def test_broadcast_only_under_limit(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.createDataFrame([_m(str(i)) for i in range(50)], MASTER)
+        size = measured_bytes(df).first()
+        assert size.n_rows == 50 and size.n_bytes > 0
+        small = broadcast_if_small(df, limit_bytes=10**9)
+        big = broadcast_if_small(df, limit_bytes=10)
+        assert "BroadcastHashJoin" in _plan(df.join(small, "ticker"))
+        assert "BroadcastHashJoin" not in _plan(df.join(big, "ticker"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -1,0 +1,78 @@
+"""News flattening edge cases."""
+
+import datetime as dt
+import json
+
+from pyspark.sql import functions as F
+
+from marketflow.functions.dates import published_date
+from marketflow.operators.news import flatten_articles, keep_tickers
+
+
+def _article(title, insights, published="2024-06-03T23:30:00Z", author="a"):
+    doc = {"title": title, "publisher": {"name": "P"}, "author": author,
+           "published_utc": published, "tickers": ["X"]}
+    if insights is not None:
+        doc["insights"] = insights
+    return doc
+
+
+def _ins(ticker, sentiment="positive"):
+    out = {"ticker": ticker, "sentiment_reasoning": "r"}
+    if sentiment is not None:
+        out["sentiment"] = sentiment
+    return out
+
+
+def _texts(spark, *docs_lists):
+    return spark.createDataFrame([(json.dumps(d),) for d in docs_lists], "json_data string")
+
+
+def test_article_listed_twice_counts_once(spark):
+    art = _article("t1", [_ins("AAA")])
+    out = flatten_articles(_texts(spark, [art, art], [art]), ["AAA"]).collect()
+    assert len(out) == 1
+
+
+def test_no_insights_no_rows(spark):
+    out = flatten_articles(_texts(spark, [_article("a", None), _article("b", [])]), None).collect()
+    assert out == []
+
+
+def test_insight_without_sentiment_and_null_insight(spark):
+    art = _article("t", [_ins("AAA", None), None])
+    rows = flatten_articles(_texts(spark, [art]), None).collect()
+    assert sorted((r.ticker, r.sentiment) for r in rows if r.ticker) == [("AAA", None)]
+    assert any(r.ticker is None for r in rows)
+    assert flatten_articles(_texts(spark, [art]), ["AAA"]).count() == 1
+
+
+def test_same_ticker_twice_gives_two_rows_and_related_list(spark):
+    art = _article("t", [_ins("AAA"), _ins("AAA", "negative"), _ins("ZZZ")])
+    rows = flatten_articles(_texts(spark, [art]), "AAA,BBB").collect()
+    assert sorted(r.sentiment for r in rows) == ["negative", "positive"]
+    assert all(r.related_ticker == ["AAA", "AAA", "ZZZ"] for r in rows)
+    assert all(r.publication_date == "2024-06-03" for r in rows)
+
+
+def test_published_date_no_zone_shift_and_bad_text_null(spark):
+    df = spark.createDataFrame([("2024-06-03T23:30:00Z",), ("2024-06-03T23:30:00.123Z",), ("junk",)],
+                               "p string")
+    got = [r.d for r in df.select(published_date("p").alias("d")).collect()]
+    assert got == [dt.date(2024, 6, 3), None, None]
+
+
+def test_keep_tickers_by_frame_semi_join(spark):
+    df = spark.createDataFrame([("A", 1), ("B", 2), ("C", 3)], "ticker string, v int")
+    watch = spark.createDataFrame([("A",), ("C",), ("C",)], "ticker string")
+    assert sorted(r.v for r in keep_tickers(df, watch).collect()) == [1, 3]
+    assert sorted(r.v for r in keep_tickers(df, ["B"]).collect()) == [2]
+
+
+def test_flatten_count_equals_kept_insights(spark):
+    """Property: rows = number of insights whose ticker is watched."""
+    docs = [_article(f"t{i}", [_ins(t) for t in tickers])
+            for i, tickers in enumerate([["A", "B"], ["B", "B", "C"], ["C"], []])]
+    watched = {"B", "C"}
+    expected = sum(1 for d in docs for ins in d["insights"] if ins["ticker"] in watched)
+    assert flatten_articles(_texts(spark, docs), sorted(watched)).count() == expected
