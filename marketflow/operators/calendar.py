@@ -22,6 +22,15 @@ def day_calendar(bounds: DataFrame, start: str | Column, end: str | Column,
     return bounds.select(F.explode(seq).alias(name))
 
 
+def request_days(spark, start, end=None, name: str = "day") -> DataFrame:
+    """Days to request from a daily API: ``start`` through ``end``, by
+    default yesterday (today's bars are not final yet)."""
+    from marketflow.functions.dates import as_date_value
+    last = as_date_value(end) if end is not None else F.date_sub(F.current_date(), 1)
+    bounds = spark.range(1).select(as_date_value(start).alias("s"), last.alias("e"))
+    return day_calendar(bounds, "s", "e", name)
+
+
 def month_calendar(bounds: DataFrame, start: str | Column, end: str | Column,
                    base_path: str | None = None) -> DataFrame:
     """Every month touched by ``start``..``end`` (any day of the month, across

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketflow.functions.dates import as_date_value
+from marketflow.schemas import CUT_TABLE
 from marketflow.operators.rows import dedupe_rows
 from marketflow.session import shared_dir
 from marketflow.sinks.jdbc import append_jdbc
@@ -166,10 +167,10 @@ def load_increment(lake: DataFrame, warehouse, keys: list[str],
         batch = batch.drop(*drop_columns)
     shared_dir(spark)  # make sure the lineage cut goes to the shared folder
     batch = batch.checkpoint(eager=True)
-    if batch.isEmpty():
+    stats = batch.agg(F.count(F.lit(1)).alias("n"),
+                      F.max(date_col).cast("date").alias("m")).first()
+    if stats["n"] == 0:
         return {"cut_before": start, "rows_loaded": 0, "cut_after": start}
     warehouse.append(data_table, batch)
-    new_cut = batch.agg(F.max(date_col).cast("date").alias("cut_date"))
-    warehouse.append(cut_table, new_cut)
-    summary = batch.agg(F.count(F.lit(1)).alias("n"), F.max(date_col).alias("m")).first()
-    return {"cut_before": start, "rows_loaded": summary["n"], "cut_after": _to_date(summary["m"])}
+    warehouse.append(cut_table, spark.createDataFrame([(stats["m"],)], CUT_TABLE))
+    return {"cut_before": start, "rows_loaded": stats["n"], "cut_after": stats["m"]}

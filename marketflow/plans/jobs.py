@@ -6,6 +6,7 @@ the environment. Scheduling is left to the caller's orchestrator.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from marketflow import schemas
@@ -81,7 +82,9 @@ def daily_run(spark: SparkSession, *, master_raw_path: str, master_path: str,
     try:
         cut_row = lake_cut(spark.read.parquet(lake_path), default_lake_cut).first()
         cut = cut_row["cut_date"] if cut_row else default_lake_cut
-    except Exception:  # no lake yet
+    except AnalysisException as exc:  # no lake yet
+        if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
+            raise
         cut = default_lake_cut
     messages = read_message_files(spark, bar_messages_path, streaming=True)
     enriched = enrich_stream_to_lake(spark, messages, master_path, lake_path, lake_checkpoint, cut)

@@ -37,6 +37,12 @@ def start_file_sink(df: DataFrame, path: str, checkpoint: str,
     return writer.start()
 
 
+def start_console_sink(df: DataFrame, num_rows: int = 20) -> StreamingQuery:
+    """Print each micro-batch (debugging only; rows go to the driver log)."""
+    return (df.writeStream.format("console").outputMode("append")
+            .option("numRows", num_rows).option("truncate", "false").start())
+
+
 def run_available_now(df: DataFrame, path: str, checkpoint: str,
                       partition_by: list[str] | None = None, fmt: str = "parquet") -> int:
     """Process everything that has landed, then stop. Returns input rows."""
