@@ -37,6 +37,15 @@ def zip_explode(df: DataFrame, left: str, right: str, alias: str = "z") -> DataF
     return df.withColumn(alias, F.explode(F.arrays_zip(F.col(left), F.col(right))))
 
 
+def _ticker_list(tickers) -> list[str] | None:
+    """A comma list or a sequence of tickers as a list; None for a frame."""
+    if tickers is None or isinstance(tickers, DataFrame):
+        return None
+    if isinstance(tickers, str):
+        return [t.strip() for t in tickers.split(",") if t.strip()]
+    return list(tickers)
+
+
 def keep_tickers(df: DataFrame, tickers, col: str = "ticker") -> DataFrame:
     """Rows whose ``col`` is in ``tickers``.
 
@@ -46,7 +55,7 @@ def keep_tickers(df: DataFrame, tickers, col: str = "ticker") -> DataFrame:
     if tickers is None:
         return df
     if isinstance(tickers, str):
-        tickers = [t.strip() for t in tickers.split(",") if t.strip()]
+        tickers = _ticker_list(tickers)
     if isinstance(tickers, DataFrame):
         watch = broadcast_if_small(tickers.select(F.col("ticker").alias("_watch")).distinct())
         return df.join(watch, df[col] == watch["_watch"], "left_semi")
@@ -62,7 +71,14 @@ def flatten_articles(texts: DataFrame, tickers=None, text_col: str = "json_data"
     a null sentiment; a null insight gives a null ticker, which the ticker
     filter removes. The same ticker twice in one article gives two rows.
     """
-    projected = article_projection(explode_articles(texts, text_col))
+    articles = explode_articles(texts, text_col)
+    watched = _ticker_list(tickers)
+    if watched is not None:
+        # Articles naming no watched ticker give no rows: drop them before the
+        # de-duplication shuffle rather than after the explode.
+        articles = articles.where(
+            F.exists(F.col("insights"), lambda i: i.getField("ticker").isin(watched)))
+    projected = article_projection(articles)
     zipped = zip_explode(projected, "ticker", "sentiment")
     rows = zipped.select(
         F.col("z.ticker").alias("ticker"),

@@ -70,17 +70,31 @@ def next_trading_day(days: DataFrame, trading: DataFrame) -> DataFrame:
 
 def sentiment_vs_return(sentiment_daily: DataFrame, returns: DataFrame, lag_days: int = 0) -> DataFrame:
     """Per (ticker, trading day): average score of the articles that count to
-    that day (non-trading days roll forward) and the return ``lag_days``
-    trading days later."""
-    aligned = next_trading_day(sentiment_daily.select("ticker", "day").distinct(), returns)
-    rolled = (sentiment_daily.join(aligned, ["ticker", "day"])
-              .where(F.col("next_trade").isNotNull())
-              .groupBy("ticker", F.col("next_trade").alias("day"))
-              .agg((F.sum("score_sum") / F.sum("n_articles")).alias("avg_score")))
+    that day (a non-trading day rolls forward to the next trading day; after
+    the last one it is dropped) and the return ``lag_days`` trading days later.
+
+    One pass: daily sentiment rows and trading-day rows are unioned, a
+    forward-looking ``min`` finds each row's trading day, and one aggregate
+    per (ticker, trading day) combines both sides. Each input is read once.
+    """
     w = Window.partitionBy("ticker").orderBy("day")
-    future = returns.select("ticker", "day", F.lead("ret", lag_days).over(w).alias("ret")) \
-        if lag_days else returns.select("ticker", "day", "ret")
-    return rolled.join(future, ["ticker", "day"], "inner")
+    future = F.lead("ret", lag_days).over(w) if lag_days else F.col("ret")
+    trades = returns.select("ticker", "day", future.alias("ret_k"),
+                            F.col("day").alias("trade_day"),
+                            F.lit(None).cast("long").alias("score_sum"),
+                            F.lit(None).cast("long").alias("n_articles"))
+    marks = sentiment_daily.select("ticker", "day", F.lit(None).cast("double").alias("ret_k"),
+                                   F.lit(None).cast("date").alias("trade_day"),
+                                   "score_sum", "n_articles")
+    ahead = w.rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    both = trades.unionByName(marks).withColumn("next_trade", F.min("trade_day").over(ahead))
+    per_day = both.where(F.col("next_trade").isNotNull()).groupBy("ticker", "next_trade").agg(
+        (F.sum("score_sum") / F.sum("n_articles")).alias("avg_score"),
+        F.max("ret_k").alias("ret"),
+        F.count("trade_day").alias("_is_trade"),
+    )
+    return per_day.where(F.col("_is_trade") > 0).select(
+        "ticker", F.col("next_trade").alias("day"), "avg_score", "ret")
 
 
 def sentiment_price_corr(sentiment_daily: DataFrame, returns: DataFrame, lag_days: int = 0) -> DataFrame:
