@@ -4,8 +4,8 @@ The cut is one scalar read once per run (never once per month). New rows are
 found with one root scan: partition pruning by month plus a strict date filter,
 then whole-row de-duplication and a key anti-join against the rows already in
 the target (so a rerun after a crash between the data write and the cut write
-adds nothing). The batch is checkpointed to the shared folder before it is
-written, so the data write and the new cut see the same rows even when
+adds nothing). The batch is staged as Parquet in the shared folder before it
+is written, so the data write and the new cut see the same rows even when
 executors are lost and work is recomputed.
 """
 
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from marketflow.functions.dates import as_date_value
 from marketflow.schemas import CUT_TABLE
 from marketflow.operators.rows import dedupe_rows
-from marketflow.session import shared_dir
+from marketflow.session import scratch_path
 from marketflow.sinks.jdbc import append_jdbc
 from marketflow.sources.jdbc import read_jdbc_table, read_max_cut
 from marketflow.sources.parquet import latest_partition, month_index
@@ -104,8 +104,11 @@ class ParquetWarehouse:
             raise
 
     def append(self, table: str, df: DataFrame) -> None:
-        writer = df.write.mode("append")
         parts = self.partition_by.get(table)
+        if parts:
+            # few files per partition directory; AQE splits a hot one
+            df = df.hint("rebalance", *parts)
+        writer = df.write.mode("append")
         if parts:
             writer = writer.partitionBy(*parts)
         writer.parquet(self.path(table))
@@ -165,8 +168,12 @@ def load_increment(lake: DataFrame, warehouse, keys: list[str],
     batch = new_rows(lake, start, target, keys, date_col, lookback_days, floor=initial_cut)
     if drop_columns:
         batch = batch.drop(*drop_columns)
-    shared_dir(spark)  # make sure the lineage cut goes to the shared folder
-    batch = batch.checkpoint(eager=True)
+    # Cut the lineage with a staged Parquet copy in the shared folder: one
+    # job computes the batch, and the data write and the new cut both read
+    # the same rows, even when executors are lost and tasks rerun.
+    stage = scratch_path(spark, f"stage-{data_table}")
+    batch.write.parquet(stage)
+    batch = spark.read.parquet(stage)
     stats = batch.agg(F.count(F.lit(1)).alias("n"),
                       F.max(date_col).cast("date").alias("m")).first()
     if stats["n"] == 0:

@@ -31,3 +31,22 @@ def broadcast_if_small(df: DataFrame, limit_bytes: int = DEFAULT_BROADCAST_LIMIT
     if size is not None and size["n_bytes"] <= limit_bytes:
         return F.broadcast(df)
     return df
+
+
+def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows over at least ``min_partitions`` tasks when the
+    input arrives in fewer splits (one large row group, an unsplittable
+    gzip landing file) and the next steps are CPU-heavy per row (JSON, text).
+
+    A no-op for streams and for inputs already split wider than the cluster's
+    cores, which is every scan of a large table.
+    """
+    if df.isStreaming:
+        return df
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    try:
+        current = df.rdd.getNumPartitions()
+    except Exception:  # e.g. sessions without RDD access: leave as is
+        return df
+    return df.repartition(target) if current < target else df

@@ -30,7 +30,7 @@ from marketflow.operators.rows import count_rows, dedupe_rows, union_to_schema
 from marketflow.operators.signals import (
     daily_return, daily_sentiment, sentiment_price_corr,
 )
-from marketflow.operators.sizing import broadcast_if_small
+from marketflow.operators.sizing import broadcast_if_small, spread_if_narrow
 from marketflow.plans import analogues as A
 from marketflow.session import scratch_path
 from marketflow.sinks.messages import write_json_lines
@@ -89,7 +89,7 @@ def q_json_parse_master(spark, sf_dir):
 
 
 def q_json_parse_bars(spark, sf_dir):
-    messages = A.lineitem_as_bar_messages(table(spark, sf_dir, "lineitem")) \
+    messages = A.lineitem_as_bar_messages(spread_if_narrow(table(spark, sf_dir, "lineitem"))) \
         .select(F.col("value").cast("binary").alias("value"))
     return bars_from_messages(parse_messages(messages, schemas.BAR_MESSAGE))
 

@@ -75,7 +75,8 @@ def publish_articles(spark: SparkSession, texts_path: str, tickers, warehouse,
 
 def daily_run(spark: SparkSession, *, master_raw_path: str, master_path: str,
               bar_messages_path: str, lake_path: str, lake_checkpoint: str, warehouse,
-              news_texts_path: str, tickers, initial_cut, default_lake_cut) -> dict:
+              news_texts_path: str, tickers, initial_cut, default_lake_cut,
+              max_files_per_trigger: int | None = None) -> dict:
     """One day's steps in order: clean master, enrich landed bars after the
     lake's cut, load the warehouse, publish articles."""
     clean_master_table(spark, master_raw_path, master_path)
@@ -86,7 +87,8 @@ def daily_run(spark: SparkSession, *, master_raw_path: str, master_path: str,
         if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
             raise
         cut = default_lake_cut
-    messages = read_message_files(spark, bar_messages_path, streaming=True)
+    messages = read_message_files(spark, bar_messages_path, streaming=True,
+                                  max_files_per_trigger=max_files_per_trigger)
     enriched = enrich_stream_to_lake(spark, messages, master_path, lake_path, lake_checkpoint, cut)
     loaded = load_warehouse(spark, lake_path, warehouse, initial_cut)
     rejected = publish_articles(spark, news_texts_path, tickers, warehouse)
