@@ -137,7 +137,7 @@ def q_arrays_zip_explode(spark, sf_dir):
 
 
 def q_parse_published(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
+    events = spread_if_narrow(table(spark, sf_dir, "events"))
     good = F.date_format("ts", ISO_Z_FORMAT)
     fractional = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit(".123Z"))
     junk = F.concat(F.lit("junk-"), F.col("event_id").cast("string"))
@@ -210,7 +210,7 @@ def q_stream_master_ingest(spark, sf_dir):
 
 
 def q_stream_enrich(spark, sf_dir):
-    messages = A.lineitem_as_bar_messages(table(spark, sf_dir, "lineitem"))
+    messages = A.lineitem_as_bar_messages(spread_if_narrow(table(spark, sf_dir, "lineitem")))
     early = F.coalesce(F.year("ship_day"), F.lit(0)) < STREAM_SPLIT_YEAR
     landing, master_path, out, ckpt = (scratch_path(spark, n) for n in
                                        ("bars_in", "master", "bars_lake", "bars_ckpt"))
