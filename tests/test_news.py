@@ -76,3 +76,12 @@ def test_flatten_count_equals_kept_insights(spark):
     watched = {"B", "C"}
     expected = sum(1 for d in docs for ins in d["insights"] if ins["ticker"] in watched)
     assert flatten_articles(_texts(spark, docs), sorted(watched)).count() == expected
+
+
+def test_whole_file_article_text(spark, scratch):
+    from marketflow.sources.messages import read_article_texts
+    path = scratch("texts")
+    doc = json.dumps([_article("w1", [_ins("AAA")]), _article("w2", [_ins("BBB")])], indent=2)
+    spark.createDataFrame([(doc,)], "value string").coalesce(1).write.text(path)
+    rows = flatten_articles(read_article_texts(spark, path, whole_file=True), "AAA,BBB").collect()
+    assert sorted(r.article_title for r in rows) == ["w1", "w2"]
