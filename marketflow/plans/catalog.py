@@ -32,7 +32,7 @@ from marketflow.operators.signals import (
 )
 from marketflow.operators.sizing import broadcast_if_small, spread_if_narrow
 from marketflow.plans import analogues as A
-from marketflow.session import scratch_path
+from marketflow.session import scratch_path, session_key
 from marketflow.sinks.messages import write_json_lines
 from marketflow.sinks.parquet import append_lake, overwrite_parquet
 from marketflow.sources.messages import flatten_envelopes, read_article_texts, read_message_files
@@ -66,7 +66,7 @@ _DERIVED: dict[tuple, str] = {}
 
 
 def orders_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = ("orders_lake", spark.sparkContext.applicationId, sf_dir)
+    key = ("orders_lake", session_key(spark), sf_dir)
     if key not in _DERIVED:
         path = scratch_path(spark, "orders_lake")
         append_lake(A.orders_as_lake_rows(table(spark, sf_dir, "orders")), path, mode="overwrite")

@@ -45,9 +45,15 @@ def enrich_batch_to_lake(spark: SparkSession, bars: DataFrame, master_path: str,
 def enrich_stream_to_lake(spark: SparkSession, messages: DataFrame, master_path: str,
                           lake_path: str, checkpoint: str, cut=None) -> int:
     """Bar messages (Kafka or landed files, streaming) -> the lake."""
-    master = broadcast_if_small(spark.read.parquet(master_path))
-    rows = enrich_stream(messages, master, cut)
-    return run_available_now(rows, lake_path, checkpoint, partition_by=schemas.LAKE_PARTITION_COLUMNS)
+    # The static side is re-read by every micro-batch: keep it cached for
+    # the run (it is small; its size is checked before it is broadcast).
+    master = spark.read.parquet(master_path).persist()
+    try:
+        rows = enrich_stream(messages, broadcast_if_small(master), cut)
+        return run_available_now(rows, lake_path, checkpoint,
+                                 partition_by=schemas.LAKE_PARTITION_COLUMNS)
+    finally:
+        master.unpersist()
 
 
 def lake_cut_token(spark: SparkSession, lake_path: str, default) -> DataFrame:

@@ -45,17 +45,39 @@ def build_session(master: str = "local[*]", app_name: str = "marketflow",
     return builder.getOrCreate()
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; a local one only when unset."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="marketflow-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir().rstrip("/")
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a SparkContext handle (Spark Connect)
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current.rstrip("/")
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
+        if not configured:
+            configured = tempfile.mkdtemp(prefix="marketflow-ckpt-")
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir().rstrip("/")
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return configured.rstrip("/")
+    key = session_key(spark)
+    if key not in _LOCAL_DIRS:
+        _LOCAL_DIRS[key] = tempfile.mkdtemp(prefix="marketflow-ckpt-")
+    return _LOCAL_DIRS[key]
+
+
+def session_key(spark: SparkSession) -> str:
+    """An identifier of the running application (for per-session memos)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
