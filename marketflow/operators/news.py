@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketflow import schemas
-from marketflow.functions.dates import day_text, published_date
+from marketflow.functions.dates import ISO_Z_FORMAT, day_text, published_date
 from marketflow.operators.sizing import broadcast_if_small
 
 
@@ -62,7 +62,8 @@ def keep_tickers(df: DataFrame, tickers, col: str = "ticker") -> DataFrame:
     return df.where(F.col(col).isin(list(tickers)))
 
 
-def flatten_articles(texts: DataFrame, tickers=None, text_col: str = "json_data") -> DataFrame:
+def flatten_articles(texts: DataFrame, tickers=None, text_col: str = "json_data",
+                     published_after=None) -> DataFrame:
     """Article texts -> ``ticker, article_title, publisher, author,
     publication_date, sentiment, related_ticker``.
 
@@ -70,8 +71,14 @@ def flatten_articles(texts: DataFrame, tickers=None, text_col: str = "json_data"
     article without insights gives no rows; an insight without sentiment gives
     a null sentiment; a null insight gives a null ticker, which the ticker
     filter removes. The same ticker twice in one article gives two rows.
+    ``published_after`` (a timestamp value or Column, e.g. ``anchor - 100
+    days``) keeps only articles published strictly later, the news horizon.
     """
     articles = explode_articles(texts, text_col)
+    if published_after is not None:
+        bound = published_after if isinstance(published_after, Column) else F.lit(published_after)
+        articles = articles.where(
+            F.try_to_timestamp(F.col("published_utc"), F.lit(ISO_Z_FORMAT)) > bound)
     watched = _ticker_list(tickers)
     if watched is not None:
         # Articles naming no watched ticker give no rows: drop them before the

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marketflow import schemas
 from marketflow.operators.contracts import ARTICLES_CONTRACT, split_by_contract
@@ -70,10 +71,15 @@ def load_warehouse(spark: SparkSession, lake_path: str, warehouse, initial_cut,
 
 
 def publish_articles(spark: SparkSession, texts_path: str, tickers, warehouse,
-                     table: str = "articles") -> DataFrame:
+                     table: str = "articles", horizon_days: int | None = None) -> DataFrame:
     """News texts -> ``articles`` (overwrite); rows breaking the table
-    contract are returned instead of failing the write."""
-    rows = related_as_text(flatten_articles(read_article_texts(spark, texts_path), tickers))
+    contract are returned instead of failing the write. ``horizon_days``
+    keeps articles published within that many days before now."""
+    after = None
+    if horizon_days is not None:
+        after = F.current_timestamp() - F.make_interval(days=F.lit(horizon_days))
+    rows = related_as_text(flatten_articles(read_article_texts(spark, texts_path), tickers,
+                                            published_after=after))
     valid, rejected = split_by_contract(rows, ARTICLES_CONTRACT)
     warehouse.overwrite(table, valid)
     return rejected

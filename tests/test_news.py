@@ -85,3 +85,13 @@ def test_whole_file_article_text(spark, scratch):
     spark.createDataFrame([(doc,)], "value string").coalesce(1).write.text(path)
     rows = flatten_articles(read_article_texts(spark, path, whole_file=True), "AAA,BBB").collect()
     assert sorted(r.article_title for r in rows) == ["w1", "w2"]
+
+
+def test_published_after_horizon(spark):
+    docs = [_article("old", [_ins("AAA")], published="2024-01-01T00:00:00Z"),
+            _article("edge", [_ins("AAA")], published="2024-03-01T00:00:00Z"),
+            _article("new", [_ins("AAA")], published="2024-03-05T08:00:00Z"),
+            _article("bad", [_ins("AAA")], published="2024-03-05T08:00:00.5Z")]
+    bound = F.to_timestamp(F.lit("2024-03-01 00:00:00"))
+    rows = flatten_articles(_texts(spark, docs), ["AAA"], published_after=bound).collect()
+    assert [r.article_title for r in rows] == ["new"]
