@@ -43,6 +43,13 @@ def part_as_master(part: DataFrame, version: str = MASTER_VERSION_1) -> DataFram
     )
 
 
+def part_as_master_renamed(part: DataFrame) -> DataFrame:
+    """The second master version: active parts (``p_size > 25``) renamed."""
+    v2 = part_as_master(part, MASTER_VERSION_2)
+    return v2.withColumn("name", F.when(F.col("active"), F.concat(F.lit("new "), F.col("name")))
+                         .otherwise(F.col("name")))
+
+
 def supplier_as_master(supplier: DataFrame) -> DataFrame:
     return supplier.select(
         _key_text("s_suppkey").alias("ticker"),

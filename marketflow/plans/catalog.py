@@ -21,14 +21,14 @@ from marketflow.functions.dates import (
 )
 from marketflow.functions.json import encode_rows, parse_messages
 from marketflow.operators.calendar import calendar_gaps, day_calendar, month_calendar
-from marketflow.operators.contracts import Rule, contract_report
+from marketflow.operators.contracts import Rule, contract_report, split_by_contract
 from marketflow.operators.enrich import bars_from_messages, enrich
 from marketflow.operators.incremental import ParquetWarehouse, lake_cut, load_increment
-from marketflow.operators.master import clean_master
+from marketflow.operators.master import clean_master, latest_per_ticker
 from marketflow.operators.news import flatten_articles, keep_tickers, related_as_text, zip_explode
 from marketflow.operators.rows import count_rows, dedupe_rows, union_to_schema
 from marketflow.operators.signals import (
-    daily_return, daily_sentiment, sentiment_price_corr,
+    daily_return, daily_sentiment, next_trading_day, sentiment_price_corr,
 )
 from marketflow.operators.sizing import broadcast_if_small, spread_if_narrow
 from marketflow.plans import analogues as A
@@ -51,6 +51,7 @@ STREAM_SPLIT_YEAR = 1999
 MASTER_SPLIT_NATION = 13
 CALENDAR_BASE = "lake"
 SIGNAL_LAG_DAYS = 1
+WATCH_VALUE = 400
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -160,6 +161,12 @@ def q_news_horizon(spark, sf_dir):
         .select("event_id", "user_id", "event_type", "value")
 
 
+def q_filter_semi(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    watch = events.where(F.col("value") > WATCH_VALUE).select(F.col("event_type").alias("ticker"))
+    return keep_tickers(events, watch, col="event_type").select("event_id", "event_type")
+
+
 def q_filter_isin(spark, sf_dir):
     return keep_tickers(table(spark, sf_dir, "events"), A.WATCHED_TICKERS, col="event_type") \
         .select("event_id", "event_type")
@@ -177,6 +184,12 @@ def q_master_clean(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+def q_master_latest(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    raw = A.part_as_master(part, A.MASTER_VERSION_1).unionByName(A.part_as_master_renamed(part))
+    return latest_per_ticker(raw)
+
+
 def q_dedup_full_row(spark, sf_dir):
     part = table(spark, sf_dir, "part").select("p_brand", "p_type", "p_size")
     return dedupe_rows(part.unionAll(part))
@@ -344,6 +357,11 @@ CUSTOMER_RULES = [
 ]
 
 
+def q_contract_rejects(spark, sf_dir):
+    _, rejected = split_by_contract(table(spark, sf_dir, "documents"), DOCUMENT_RULES)
+    return rejected.select("doc_id", F.array_join("violations", ",").alias("violations"))
+
+
 def q_contract_split(spark, sf_dir):
     return contract_report(table(spark, sf_dir, "documents"), DOCUMENT_RULES, "documents") \
         .unionByName(contract_report(table(spark, sf_dir, "customer"), CUSTOMER_RULES, "customer"))
@@ -360,6 +378,14 @@ def _returns(spark, sf_dir):
     return daily_return(A.events_as_closes(table(spark, sf_dir, "events")))
 
 
+def q_next_trading_day(spark, sf_dir):
+    days = A.events_as_scored_articles(table(spark, sf_dir, "events")) \
+        .select("ticker", F.col("publication_date").alias("day")).distinct()
+    trading = A.events_as_closes(table(spark, sf_dir, "events")) \
+        .select("ticker", F.col("transaction_date").alias("day"))
+    return next_trading_day(days, trading)
+
+
 def q_sentiment_daily(spark, sf_dir):
     return _sentiment_daily(spark, sf_dir).select(
         "ticker", "day", "n_articles", F.round("avg_score", 6).alias("avg_score"))
@@ -387,7 +413,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_published": q_parse_published,
     "news_horizon": q_news_horizon,
     "filter_isin": q_filter_isin,
+    "filter_semi": q_filter_semi,
     "master_clean": q_master_clean,
+    "master_latest": q_master_latest,
     "dedup_full_row": q_dedup_full_row,
     "master_count": q_master_count,
     "enrich_batch": q_enrich_batch,
@@ -407,6 +435,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "month_calendar": q_month_calendar,
     "decode_cut_token": q_decode_cut_token,
     "contract_split": q_contract_split,
+    "contract_rejects": q_contract_rejects,
+    "next_trading_day": q_next_trading_day,
     "sentiment_daily": q_sentiment_daily,
     "daily_return": q_daily_return,
     "sentiment_price_corr": q_sentiment_price_corr,

@@ -105,7 +105,17 @@ ORACLE_SQL: dict[str, str] = {
         WHERE ts > (SELECT max(ts) FROM events) - INTERVAL 20 DAY""",
     "filter_isin": """
         SELECT event_id, event_type FROM events WHERE event_type IN ('click', 'view', 'purchase')""",
+    "filter_semi": """
+        SELECT event_id, event_type FROM events
+        WHERE event_type IN (SELECT event_type FROM events WHERE value > 400)""",
     "master_clean": f"SELECT DISTINCT {_MASTER_FROM_PART} FROM part",
+    "master_latest": """
+        SELECT CAST(p_partkey AS VARCHAR) AS ticker,
+               CASE WHEN p_size > 25 THEN 'new ' || p_name ELSE p_name END AS name,
+               p_brand AS market, 'us' AS locale, CAST(p_size AS VARCHAR) AS primary_exchange,
+               p_type AS type, p_size > 25 AS active, 'usd' AS currency_name,
+               lpad(CAST(p_partkey AS VARCHAR), 10, '0') AS cik
+        FROM part""",
     "dedup_full_row": "SELECT DISTINCT p_brand, p_type, p_size FROM part",
     "master_count": f"SELECT count(*) AS n_rows FROM (SELECT DISTINCT {_MASTER_FROM_PART} FROM part)",
     "enrich_batch": _ENRICHED,
@@ -183,6 +193,23 @@ ORACLE_SQL: dict[str, str] = {
                                                OR c_mktsegment_too_long)) AS valid
             FROM c) UNPIVOT (n_rows FOR rule IN (c_name_null, c_name_too_long, c_mktsegment_null,
                                                  c_mktsegment_too_long, valid))""",
+    "contract_rejects": """
+        SELECT doc_id, violations FROM (
+            SELECT doc_id, concat_ws(',',
+                CASE WHEN text IS NULL THEN 'text_null' END,
+                CASE WHEN length(text) > 255 THEN 'text_too_long' END,
+                CASE WHEN lang IS NULL THEN 'lang_null' END,
+                CASE WHEN length(lang) > 10 THEN 'lang_too_long' END,
+                CASE WHEN source IS NULL THEN 'source_null' END,
+                CASE WHEN length(source) > 10 THEN 'source_too_long' END) AS violations
+            FROM documents) WHERE violations <> ''""",
+    "next_trading_day": """
+        WITH sd AS (SELECT DISTINCT event_type AS ticker, CAST(ts AS DATE) AS day FROM events),
+        px AS (SELECT DISTINCT event_type AS ticker, CAST(ts AS DATE) AS day FROM events
+               WHERE isodow(ts) <= 5)
+        SELECT ticker, day,
+               (SELECT min(px.day) FROM px WHERE px.ticker = sd.ticker AND px.day >= sd.day) AS next_trade
+        FROM sd""",
     "sentiment_daily": f"""
         SELECT ticker, day, count(*) AS n_articles, round(avg(score), 6) AS avg_score
         FROM ({_SCORED}) s GROUP BY ticker, day""",
