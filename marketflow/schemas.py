@@ -18,6 +18,10 @@ def _fields(*pairs: tuple[str, T.DataType]) -> list[T.StructField]:
 
 S, D, I, B = T.StringType(), T.DoubleType(), T.IntegerType(), T.BooleanType()
 
+# The field names of the market-data API's messages (bar,
+# ticker master, news article, page envelope) and the warehouse column names
+# below must stay as they are for the data to parse and load.
+
 # Daily bar message as published by the market-data API (short field names),
 # with the request date stamped by the producer as ``date_time``.
 BAR_MESSAGE = T.StructType(_fields(
