@@ -18,7 +18,7 @@ from marketflow.operators.master import clean_master, latest_per_ticker
 from marketflow.operators.news import flatten_articles, related_as_text
 from marketflow.operators.sizing import broadcast_if_small
 from marketflow.sinks.parquet import append_lake, overwrite_parquet
-from marketflow.sources.messages import read_article_texts, read_message_files
+from marketflow.sources.messages import read_article_texts, read_kafka, read_message_files
 from marketflow.streaming.runner import enrich_stream, master_ingest_stream, run_available_now
 
 
@@ -27,6 +27,13 @@ def ingest_master(spark: SparkSession, messages: DataFrame, raw_path: str, check
     return run_available_now(master_ingest_stream(messages), raw_path, checkpoint)
 
 
+def ingest_master_from_kafka(spark: SparkSession, kafka_options: dict, raw_path: str,
+                             checkpoint: str) -> int:
+    """Master topic from its first offset -> raw master Parquet."""
+    options = {"startingOffsets": "earliest", **kafka_options}
+    return ingest_master(spark, read_kafka(spark, options), raw_path, checkpoint)
+
+
 def clean_master_table(spark: SparkSession, raw_path: str, cleaned_path: str,
                        one_per_ticker: bool = True) -> DataFrame:
     """Raw master -> cleaned master (overwrite). Returns the cleaned frame."""
@@ -57,6 +64,14 @@ def enrich_stream_to_lake(spark: SparkSession, messages: DataFrame, master_path:
         master.unpersist()
 
 
+def enrich_kafka_to_lake(spark: SparkSession, kafka_options: dict, master_path: str,
+                         lake_path: str, checkpoint: str, cut=None) -> int:
+    """Bar topic (new offsets; tolerate expired ones) -> the lake."""
+    options = {"startingOffsets": "latest", "failOnDataLoss": "false", **kafka_options}
+    return enrich_stream_to_lake(spark, read_kafka(spark, options), master_path, lake_path,
+                                 checkpoint, cut)
+
+
 def lake_cut_token(spark: SparkSession, lake_path: str, default) -> DataFrame:
     """The lake high-water mark handed to the next enrichment run."""
     return lake_cut(spark.read.parquet(lake_path), default)

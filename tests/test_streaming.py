@@ -63,3 +63,15 @@ def test_enrich_stream_equals_batch_and_stray_file_unseen(spark, scratch):
     spark.read.parquet(stray).write.mode("append").parquet(stray)
     assert spark.read.parquet(out).count() == 3
     assert spark.read.parquet(stray).count() == 2 * leaf_before
+
+
+def test_bounded_run_stops_continuous_query(spark, scratch):
+    from marketflow.streaming.runner import run_for, start_file_sink
+    landing, out, ckpt = scratch("in"), scratch("out"), scratch("ckpt")
+    _land(spark, landing, _master_msgs(["A"]))
+    stream = master_ingest_stream(read_message_files(spark, landing, streaming=True))
+    query = start_file_sink(stream, out, ckpt, available_now=False, processing_time="1 second")
+    query.processAllAvailable()
+    run_for(query, seconds=1.0, poll_seconds=0.5)
+    assert not query.isActive
+    assert spark.read.parquet(out).count() == 1
