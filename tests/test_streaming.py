@@ -75,3 +75,20 @@ def test_bounded_run_stops_continuous_query(spark, scratch):
     run_for(query, seconds=1.0, poll_seconds=0.5)
     assert not query.isActive
     assert spark.read.parquet(out).count() == 1
+
+
+def test_enrich_stream_without_broadcast(spark, scratch):
+    """Master above the broadcast limit: the stream-static join shuffles."""
+    from marketflow.operators.sizing import broadcast_if_small
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        master = broadcast_if_small(clean_master(spark.createDataFrame(
+            [tuple(m.values()) for m in _master_msgs(["A", "B"])], schemas.MASTER_MESSAGE)),
+            limit_bytes=1)
+        landing, out, ckpt = scratch("bars"), scratch("lake"), scratch("ckpt")
+        _land(spark, landing, _bar_msgs([("A", "2024-06-04"), ("B", "2024-07-01"), ("Z", "2024-07-02")]))
+        stream = enrich_stream(read_message_files(spark, landing, streaming=True), master, "2024-06-03")
+        run_available_now(stream, out, ckpt, partition_by=["year", "month"])
+        assert sorted(r.ticker for r in spark.read.parquet(out).collect()) == ["A", "B"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
