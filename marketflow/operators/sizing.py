@@ -39,7 +39,10 @@ def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFr
     gzip landing file) and the next steps are CPU-heavy per row (JSON, text).
 
     A no-op for streams and for inputs already split wider than the cluster's
-    cores, which is every scan of a large table.
+    cores, which is every scan of a large table. Apply it to a frame read
+    straight from files: its partition count is then known from planning
+    alone (on a frame with shuffles, adaptive execution would run them to
+    answer).
     """
     if df.isStreaming:
         return df
