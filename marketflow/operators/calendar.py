@@ -22,13 +22,18 @@ def day_calendar(bounds: DataFrame, start: str | Column, end: str | Column,
     return bounds.select(F.explode(seq).alias(name))
 
 
-def request_days(spark, start, end=None, name: str = "day") -> DataFrame:
+def request_days(spark, start, end=None, name: str = "day",
+                 base_path: str | None = None) -> DataFrame:
     """Days to request from a daily API: ``start`` through ``end``, by
-    default yesterday (today's bars are not final yet)."""
-    from marketflow.functions.dates import as_date_value
+    default yesterday (today's bars are not final yet). With ``base_path``,
+    also the per-day request path ``<base>/<yyyy-MM-dd>``."""
+    from marketflow.functions.dates import as_date_value, day_text
     last = as_date_value(end) if end is not None else F.date_sub(F.current_date(), 1)
     bounds = spark.range(1).select(as_date_value(start).alias("s"), last.alias("e"))
-    return day_calendar(bounds, "s", "e", name)
+    days = day_calendar(bounds, "s", "e", name)
+    if base_path is not None:
+        days = days.withColumn("path", F.concat(F.lit(base_path.rstrip("/") + "/"), day_text(name)))
+    return days
 
 
 def month_calendar(bounds: DataFrame, start: str | Column, end: str | Column,

@@ -58,3 +58,5 @@ def test_request_days_until_yesterday(spark):
     assert days == [dt.date(2024, 6, 1), dt.date(2024, 6, 2), dt.date(2024, 6, 3)]
     last = request_days(spark, dt.date.today() - dt.timedelta(days=3)).collect()
     assert len(last) == 3
+    paths = request_days(spark, "2024-06-01", "2024-06-02", base_path="bars/").collect()
+    assert [r.path for r in paths] == ["bars/2024-06-01", "bars/2024-06-02"]
