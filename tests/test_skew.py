@@ -1,0 +1,48 @@
+"""A ticker holding a third of the bars: the shuffled join is split by AQE."""
+
+import contextlib
+import io
+
+from pyspark.sql import functions as F
+
+from marketflow.operators.enrich import enrich
+
+SKEW_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+def test_hot_ticker_join_is_split(spark):
+    old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    for k, v in SKEW_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        hot = F.col("id") % 3 == 0
+        bars = spark.range(30000).select(
+            F.when(hot, F.lit("HOT")).otherwise((F.col("id") % 997).cast("string")).alias("ticker"),
+            *[F.lit(1.0).alias(c) for c in ("volume", "volume_weighted", "open_price", "close_price",
+                                             "high_price", "low_price")],
+            F.lit(1).alias("number_of_transaction"),
+            F.lit("2024-06-04").cast("date").alias("transaction_date"))
+        master = spark.range(1000).select(F.col("id").cast("string").alias("ticker")) \
+            .unionByName(spark.range(1).select(F.lit("HOT").alias("ticker")))
+        for c in ("name", "market", "locale", "primary_exchange", "type", "currency_name", "cik"):
+            master = master.withColumn(c, F.lit("x"))
+        master = master.withColumn("active", F.lit(True))
+        out = enrich(bars, master, "2024-06-03")
+        rows = out.collect()
+        assert len(rows) == 30000 and sum(r.ticker == "HOT" for r in rows) == 10000
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            out.explain()
+        assert "SortMergeJoin(skew=true)" in buf.getvalue()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
