@@ -46,3 +46,27 @@ def test_hot_ticker_join_is_split(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_hot_month_written_by_several_tasks(spark, scratch):
+    import glob
+
+    from marketflow.sinks.parquet import append_lake
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        day = F.when(F.col("id") % 10 == 0, F.lit("2024-05-01")).otherwise(F.lit("2024-06-03"))
+        rows = spark.range(20000).repartition(8).select("id", day.cast("date").alias("transaction_date"))
+        path = scratch("lake")
+        append_lake(rows, path)
+        hot = glob.glob(path.replace("file:", "") + "/year=2024/month=6/*.parquet")
+        assert len(hot) > 1
+        assert spark.read.parquet(path).where("month = 6").count() == 18000
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
