@@ -38,14 +38,16 @@ def _to_date(value) -> _dt.date | None:
     return _dt.date.fromisoformat(str(value).strip())
 
 
-def lake_cut(lake: DataFrame, default=None, date_col: str = "transaction_date") -> DataFrame:
+def lake_cut(lake: DataFrame, default=None, date_col: str = "transaction_date",
+             since=None) -> DataFrame:
     """One row ``cut_date``: the newest date of the lake's newest month.
 
-    Step 1 reads only partition values; step 2 reads the date column of that
-    single month (a literal partition filter, so the scan is pruned). Any year
-    counts, so early January falls back to December, not to a fixed date.
+    Step 1 reads only partition values (months before ``since`` pruned);
+    step 2 reads the date column of that single month (a literal partition
+    filter, so the scan is pruned). Any year counts, so early January falls
+    back to December, not to a fixed date.
     """
-    latest = latest_partition(lake).first()
+    latest = latest_partition(lake, since).first()
     spark = lake.sparkSession
     if latest is None or latest["year"] is None:
         return spark.range(1).select(as_date_value(default).cast("date").alias("cut_date")) \

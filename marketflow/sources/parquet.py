@@ -47,11 +47,15 @@ def scan_month_range(lake: DataFrame, start, end) -> DataFrame:
     return lake.where((idx >= _month_index_of(start)) & (idx <= _month_index_of(end)))
 
 
-def latest_partition(lake: DataFrame) -> DataFrame:
+def latest_partition(lake: DataFrame, since=None) -> DataFrame:
     """One row ``(year, month)``: the newest partition of the lake.
 
-    Reads only partition values (``ReadSchema: struct<>``), never data columns.
+    Reads only partition values (``ReadSchema: struct<>``), never data columns;
+    the files are still opened for their row counts, so ``since`` (a date)
+    prunes months before it when the caller knows the lake is recent.
     """
+    if since is not None:
+        lake = lake.where(month_index() >= _month_index_of(since))
     latest = lake.select("year", "month").distinct().agg(
         F.max(F.struct("year", "month")).alias("p"))
     return latest.select(F.col("p.year").alias("year"), F.col("p.month").alias("month"))

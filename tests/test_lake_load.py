@@ -31,6 +31,8 @@ def test_latest_partition_and_cut_from_december(spark, scratch):
     p = latest_partition(lake).first()
     assert (p.year, p.month) == (2023, 12)
     assert lake_cut(lake, "2024-01-01").first().cut_date == dt.date(2023, 12, 31)
+    assert lake_cut(lake, "2024-01-01", since="2023-06-15").first().cut_date == dt.date(2023, 12, 31)
+    assert lake_cut(lake, "2024-01-01", since="2024-01-01").first().cut_date == dt.date(2024, 1, 1)
 
 
 def test_lake_cut_default_when_empty(spark, scratch):
