@@ -23,7 +23,7 @@ from marketflow.operators.rows import dedupe_rows
 from marketflow.session import scratch_path
 from marketflow.sinks.jdbc import append_jdbc
 from marketflow.sources.jdbc import read_jdbc_table, read_max_cut
-from marketflow.sources.parquet import latest_partition, month_index
+from marketflow.sources.parquet import is_missing_path, latest_partition, month_index
 
 
 def _month_index(value: _dt.date) -> int:
@@ -101,7 +101,7 @@ class ParquetWarehouse:
         try:
             return self.spark.read.parquet(self.path(table))
         except AnalysisException as exc:
-            if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
+            if is_missing_path(exc):
                 return None
             raise
 

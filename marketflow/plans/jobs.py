@@ -19,6 +19,7 @@ from marketflow.operators.news import flatten_articles, related_as_text
 from marketflow.operators.sizing import broadcast_if_small
 from marketflow.sinks.parquet import append_lake, overwrite_parquet
 from marketflow.sources.messages import read_article_texts, read_kafka, read_message_files
+from marketflow.sources.parquet import is_missing_path
 from marketflow.streaming.runner import enrich_stream, master_ingest_stream, run_available_now
 
 
@@ -111,7 +112,7 @@ def daily_run(spark: SparkSession, *, master_raw_path: str, master_path: str,
         cut_row = lake_cut(spark.read.parquet(lake_path), default_lake_cut).first()
         cut = cut_row["cut_date"] if cut_row else default_lake_cut
     except AnalysisException as exc:  # no lake yet
-        if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
+        if not is_missing_path(exc):
             raise
         cut = default_lake_cut
     messages = read_message_files(spark, bar_messages_path, streaming=True,

@@ -15,6 +15,19 @@ from pyspark.sql import types as T
 from marketflow.functions.dates import as_date_value
 
 
+# Error conditions of a read whose folder does not exist (or holds no files).
+MISSING_PATH_CONDITIONS = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def is_missing_path(exc: Exception) -> bool:
+    condition = None
+    for getter in ("getCondition", "getErrorClass"):
+        if hasattr(exc, getter):
+            condition = getattr(exc, getter)()
+            break
+    return condition in MISSING_PATH_CONDITIONS or any(c in str(exc) for c in MISSING_PATH_CONDITIONS)
+
+
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read
     if schema is not None:
