@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketflow import schemas
+from marketflow.functions.dates import encode_cut_token
 from marketflow.operators.contracts import ARTICLES_CONTRACT, split_by_contract
 from marketflow.operators.enrich import enrich
 from marketflow.operators.incremental import lake_cut, load_increment
@@ -74,8 +75,11 @@ def enrich_kafka_to_lake(spark: SparkSession, kafka_options: dict, master_path:
 
 
 def lake_cut_token(spark: SparkSession, lake_path: str, default) -> DataFrame:
-    """The lake high-water mark handed to the next enrichment run."""
-    return lake_cut(spark.read.parquet(lake_path), default)
+    """The lake high-water mark handed to the next enrichment run: one row
+    ``cut_date`` plus ``token``, its base64 text form for passing between
+    processes (``decode_cut_token`` reverses it)."""
+    cut = lake_cut(spark.read.parquet(lake_path), default)
+    return cut.withColumn("token", encode_cut_token("cut_date"))
 
 
 def load_warehouse(spark: SparkSession, lake_path: str, warehouse, initial_cut,

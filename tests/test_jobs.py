@@ -1,12 +1,13 @@
 """The daily job end to end on small landed inputs."""
 
+import base64
 import datetime as dt
 import json
 
 from marketflow import schemas
 from marketflow.operators.calendar import request_days
 from marketflow.operators.incremental import ParquetWarehouse, read_cut
-from marketflow.plans.jobs import daily_run
+from marketflow.plans.jobs import daily_run, lake_cut_token
 
 
 def _land(spark, path, lines):
@@ -43,6 +44,9 @@ def test_daily_run(spark, scratch):
     data = wh.read("market_data")
     assert sorted((r.ticker, r.name) for r in data.collect()) == [("A", "new"), ("A", "new"), ("B", "b")]
     assert read_cut(wh) == dt.date(2024, 6, 4)
+    tok = lake_cut_token(spark, lake, "2024-01-01").first()
+    assert tok.cut_date == dt.date(2024, 6, 4)
+    assert base64.b64decode(tok.token).decode().strip() == "2024-06-04"
     arts = wh.read("articles").collect()
     assert len(arts) == 1 and arts[0].related_ticker == "A,B"
     # second day: nothing new lands -> nothing loaded, cut unchanged
