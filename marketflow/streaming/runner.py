@@ -45,7 +45,9 @@ def start_console_sink(df: DataFrame, num_rows: int = 20) -> StreamingQuery:
 
 def run_available_now(df: DataFrame, path: str, checkpoint: str,
                       partition_by: list[str] | None = None, fmt: str = "parquet") -> int:
-    """Process everything that has landed, then stop. Returns input rows."""
+    """Process everything that has landed, then stop. Returns the input rows
+    of the run (as reported by the query's recent progress, which keeps the
+    last ``spark.sql.streaming.numRecentProgressUpdates`` micro-batches)."""
     query = start_file_sink(df, path, checkpoint, partition_by, fmt, available_now=True)
     query.awaitTermination()
     if query.exception() is not None:
