@@ -7,7 +7,7 @@ from marketflow.operators.contracts import (  # noqa: F401
 )
 from marketflow.operators.enrich import bars_from_messages, enrich  # noqa: F401
 from marketflow.operators.incremental import (  # noqa: F401
-    JdbcWarehouse, ParquetWarehouse, lake_cut, load_increment, new_rows, read_cut,
+    JdbcWarehouse, ParquetWarehouse, Warehouse, lake_cut, load_increment, new_rows, read_cut,
 )
 from marketflow.operators.master import clean_master, latest_per_ticker  # noqa: F401
 from marketflow.operators.news import flatten_articles, keep_tickers, zip_explode  # noqa: F401
@@ -15,4 +15,4 @@ from marketflow.operators.rows import count_rows, dedupe_rows, drop_columns, uni
 from marketflow.operators.signals import (  # noqa: F401
     daily_return, daily_sentiment, guarded_pearson, next_trading_day, sentiment_price_corr,
 )
-from marketflow.operators.sizing import broadcast_if_small  # noqa: F401
+from marketflow.operators.sizing import broadcast_if_small, spread_if_narrow  # noqa: F401

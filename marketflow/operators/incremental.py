@@ -12,6 +12,7 @@ executors are lost and work is recomputed.
 from __future__ import annotations
 
 import datetime as _dt
+from typing import Protocol
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -87,6 +88,19 @@ def _after_start(df: DataFrame, date_col: str, start: _dt.date) -> DataFrame:
     return df.where(F.col(date_col) > F.lit(start))
 
 
+class Warehouse(Protocol):
+    """What the loader needs from a warehouse: read a table (None when it
+    does not exist), append and overwrite rows, and the cut table's max."""
+
+    def read(self, table: str) -> DataFrame | None: ...
+
+    def append(self, table: str, df: DataFrame) -> None: ...
+
+    def overwrite(self, table: str, df: DataFrame) -> None: ...
+
+    def max_cut(self, table: str = "cutting_dates") -> DataFrame | None: ...
+
+
 class ParquetWarehouse:
     """Warehouse tables kept as Parquet folders under one root (shared storage)."""
 
@@ -143,7 +157,7 @@ class JdbcWarehouse:
         return read_max_cut(self.spark, self.url, self.properties, table)
 
 
-def read_cut(warehouse, initial_cut=None, table: str = "cutting_dates") -> _dt.date | None:
+def read_cut(warehouse: Warehouse, initial_cut=None, table: str = "cutting_dates") -> _dt.date | None:
     """The warehouse high-water mark (one scalar), or ``initial_cut`` when the
     cut table is absent or empty."""
     frame = warehouse.max_cut(table)
@@ -152,7 +166,7 @@ def read_cut(warehouse, initial_cut=None, table: str = "cutting_dates") -> _dt.d
     return _to_date(value) if value is not None else _to_date(initial_cut)
 
 
-def load_increment(lake: DataFrame, warehouse, keys: list[str],
+def load_increment(lake: DataFrame, warehouse: Warehouse, keys: list[str],
                    data_table: str = "market_data", cut_table: str = "cutting_dates",
                    initial_cut=None, cut=None, date_col: str = "transaction_date",
                    lookback_days: int = 0, drop_columns: list[str] | None = None) -> dict:

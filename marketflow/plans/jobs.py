@@ -17,7 +17,7 @@ from marketflow.operators.enrich import enrich
 from marketflow.operators.incremental import lake_cut, load_increment
 from marketflow.operators.master import clean_master, latest_per_ticker
 from marketflow.operators.news import flatten_articles, related_as_text
-from marketflow.operators.sizing import broadcast_if_small
+from marketflow.operators.sizing import broadcast_if_small, spread_if_narrow
 from marketflow.sinks.parquet import append_lake, overwrite_parquet
 from marketflow.sources.messages import read_article_texts, read_kafka, read_message_files
 from marketflow.sources.parquet import is_missing_path
@@ -98,8 +98,8 @@ def publish_articles(spark: SparkSession, texts_path: str, tickers, warehouse,
     after = None
     if horizon_days is not None:
         after = F.current_timestamp() - F.make_interval(days=F.lit(horizon_days))
-    rows = related_as_text(flatten_articles(read_article_texts(spark, texts_path), tickers,
-                                            published_after=after))
+    texts = spread_if_narrow(read_article_texts(spark, texts_path))  # e.g. few gzip files
+    rows = related_as_text(flatten_articles(texts, tickers, published_after=after))
     valid, rejected = split_by_contract(rows, ARTICLES_CONTRACT)
     warehouse.overwrite(table, valid)
     return rejected
