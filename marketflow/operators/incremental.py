@@ -92,7 +92,7 @@ class Warehouse(Protocol):
     """What the loader needs from a warehouse: read a table (None when it
     does not exist), append and overwrite rows, and the cut table's max."""
 
-    def read(self, table: str) -> DataFrame | None: ...
+    def read(self, table: str, schema=None) -> DataFrame | None: ...
 
     def append(self, table: str, df: DataFrame) -> None: ...
 
@@ -111,9 +111,12 @@ class ParquetWarehouse:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def read(self, table: str) -> DataFrame | None:
+    def read(self, table: str, schema=None) -> DataFrame | None:
+        """The table, or None when its folder does not exist yet. A known
+        ``schema`` skips schema inference (footer reads)."""
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         try:
-            return self.spark.read.parquet(self.path(table))
+            return reader.parquet(self.path(table))
         except AnalysisException as exc:
             if is_missing_path(exc):
                 return None
@@ -133,7 +136,7 @@ class ParquetWarehouse:
         df.write.mode("overwrite").parquet(self.path(table))
 
     def max_cut(self, table: str = "cutting_dates") -> DataFrame | None:
-        cuts = self.read(table)
+        cuts = self.read(table, schema=CUT_TABLE)
         return None if cuts is None else cuts.agg(F.max("cut_date").alias("cut_date"))
 
 
@@ -143,7 +146,7 @@ class JdbcWarehouse:
     def __init__(self, spark: SparkSession, url: str, properties: dict):
         self.spark, self.url, self.properties = spark, url, properties
 
-    def read(self, table: str) -> DataFrame | None:
+    def read(self, table: str, schema=None) -> DataFrame | None:
         return read_jdbc_table(self.spark, self.url, table, self.properties)
 
     def append(self, table: str, df: DataFrame) -> None:
@@ -180,7 +183,7 @@ def load_increment(lake: DataFrame, warehouse: Warehouse, keys: list[str],
     start = _to_date(cut) if cut is not None else read_cut(warehouse, initial_cut, cut_table)
     if start is None:
         return {"cut_before": None, "rows_loaded": 0, "cut_after": None}
-    target = warehouse.read(data_table)
+    target = warehouse.read(data_table, schema=lake.drop(*(drop_columns or [])).schema)
     batch = new_rows(lake, start, target, keys, date_col, lookback_days, floor=initial_cut)
     if drop_columns:
         batch = batch.drop(*drop_columns)
@@ -189,7 +192,7 @@ def load_increment(lake: DataFrame, warehouse: Warehouse, keys: list[str],
     # the same rows, even when executors are lost and tasks rerun.
     stage = scratch_path(spark, f"stage-{data_table}")
     batch.write.parquet(stage)
-    batch = spark.read.parquet(stage)
+    batch = spark.read.schema(batch.schema).parquet(stage)
     stats = batch.agg(F.count(F.lit(1)).alias("n"),
                       F.max(date_col).cast("date").alias("m")).first()
     if stats["n"] == 0:
