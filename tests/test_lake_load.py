@@ -104,3 +104,11 @@ def test_load_twice_equals_once(spark, scratch):
             load_increment(spark.read.parquet(lake_path), wh, keys=["k"], initial_cut="2023-12-31")
         results.append(sorted(r.k for r in wh.read("market_data").collect()))
     assert results[0] == results[1] == list(range(200))
+
+
+def test_no_cut_anywhere_loads_nothing(spark, scratch):
+    lake_path = scratch("lake")
+    append_lake(_orders(spark, [(1, dt.date(2024, 1, 2))]), lake_path)
+    wh = ParquetWarehouse(spark, scratch("wh"))
+    out = load_increment(spark.read.parquet(lake_path), wh, keys=["k"])
+    assert out["rows_loaded"] == 0 and wh.read("market_data") is None
