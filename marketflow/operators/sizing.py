@@ -46,10 +46,9 @@ def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFr
     """
     if df.isStreaming:
         return df
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
     try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         current = df.rdd.getNumPartitions()
-    except Exception:  # e.g. sessions without RDD access: leave as is
+    except Exception:  # sessions without SparkContext/RDD access: leave as is
         return df
     return df.repartition(target) if current < target else df
