@@ -15,7 +15,7 @@ import datetime as _dt
 from typing import Protocol
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marketflow.functions.dates import as_date_value
@@ -190,11 +190,14 @@ def load_increment(lake: DataFrame, warehouse: Warehouse, keys: list[str],
     # Cut the lineage with a staged Parquet copy in the shared folder: one
     # job computes the batch, and the data write and the new cut both read
     # the same rows, even when executors are lost and tasks rerun.
+    # Row count and newest date are observed while the stage is written
+    # (metrics of successful tasks only), so no extra pass is needed.
     stage = scratch_path(spark, f"stage-{data_table}")
-    batch.write.parquet(stage)
+    observed = Observation(f"stage-{data_table}")
+    batch.observe(observed, F.count(F.lit(1)).alias("n"),
+                  F.max(date_col).cast("date").alias("m")).write.parquet(stage)
     batch = spark.read.schema(batch.schema).parquet(stage)
-    stats = batch.agg(F.count(F.lit(1)).alias("n"),
-                      F.max(date_col).cast("date").alias("m")).first()
+    stats = observed.get
     if stats["n"] == 0:
         return {"cut_before": start, "rows_loaded": 0, "cut_after": start}
     warehouse.append(data_table, batch)
