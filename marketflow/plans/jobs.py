@@ -17,6 +17,7 @@ from marketflow.operators.enrich import enrich
 from marketflow.operators.incremental import lake_cut, load_increment
 from marketflow.operators.master import clean_master, latest_per_ticker
 from marketflow.operators.news import flatten_articles, related_as_text
+from marketflow.operators.signals import daily_return, daily_sentiment, sentiment_price_corr
 from marketflow.operators.sizing import broadcast_if_small, spread_if_narrow
 from marketflow.sinks.parquet import append_lake, overwrite_parquet
 from marketflow.sources.messages import read_article_texts, read_kafka, read_message_files
@@ -105,6 +106,20 @@ def publish_articles(spark: SparkSession, texts_path: str, tickers, warehouse,
     return rejected
 
 
+def sentiment_study(articles: DataFrame, bars: DataFrame, lag_days: int = 0) -> DataFrame:
+    """Per ticker: how article sentiment relates to price returns.
+
+    ``articles`` are flattened article rows (``ticker, publication_date,
+    sentiment``); ``bars`` are lake rows (``ticker, transaction_date,
+    close_price``). Bars are first reduced to one close per (ticker, day)
+    (their mean, should a day hold several rows), so every per-ticker window
+    runs on a calendar-sized series.
+    """
+    closes = (bars.groupBy("ticker", "transaction_date")
+              .agg(F.avg("close_price").alias("close_price")))
+    return sentiment_price_corr(daily_sentiment(articles), daily_return(closes), lag_days)
+
+
 def daily_run(spark: SparkSession, *, master_raw_path: str, master_path: str,
               bar_messages_path: str, lake_path: str, lake_checkpoint: str, warehouse,
               news_texts_path: str, tickers, initial_cut, default_lake_cut,

@@ -64,3 +64,19 @@ def test_request_days_until_yesterday(spark):
     assert len(last) == 3
     paths = request_days(spark, "2024-06-01", "2024-06-02", base_path="bars/").collect()
     assert [r.path for r in paths] == ["bars/2024-06-01", "bars/2024-06-02"]
+
+
+def test_sentiment_study_from_articles_and_lake(spark):
+    from marketflow.plans.jobs import sentiment_study
+    D = dt.date.fromisoformat
+    bars = spark.createDataFrame(
+        [("A", D("2024-06-03"), 100.0), ("A", D("2024-06-04"), 110.0), ("A", D("2024-06-04"), 110.0),
+         ("A", D("2024-06-05"), 99.0), ("A", D("2024-06-07"), 118.8)],
+        "ticker string, transaction_date date, close_price double")
+    arts = spark.createDataFrame(
+        [("A", "2024-06-04", "positive"), ("A", "2024-06-05", "negative"),
+         ("A", "2024-06-06", "positive"), ("A", "2024-06-06", "positive"), ("A", "2024-06-09", "x")],
+        "ticker string, publication_date string, sentiment string")
+    row = sentiment_study(arts, bars).first()
+    # 06-06 (no bar) rolls to 06-07; 06-09 has no label score and no later bar
+    assert row.ticker == "A" and row.n_pairs == 3 and row.corr > 0.9
