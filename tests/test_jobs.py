@@ -80,3 +80,20 @@ def test_sentiment_study_from_articles_and_lake(spark):
     row = sentiment_study(arts, bars).first()
     # 06-06 (no bar) rolls to 06-07; 06-09 has no label score and no later bar
     assert row.ticker == "A" and row.n_pairs == 3 and row.corr > 0.9
+
+
+def test_enrich_batch_to_lake(spark, scratch):
+    from marketflow.plans.jobs import enrich_batch_to_lake
+    master = scratch("master")
+    spark.createDataFrame([_master("A", "a", "v1")], schemas.MASTER_MESSAGE) \
+        .drop("last_updated_utc").write.parquet(master)
+    bars = spark.createDataFrame(
+        [("A", 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1, dt.date(2024, 6, 4)),
+         ("A", 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1, dt.date(2024, 7, 1)),
+         ("A", 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1, dt.date(2024, 6, 1))],
+        "ticker string, volume double, volume_weighted double, open_price double, close_price double, "
+        "high_price double, low_price double, number_of_transaction int, transaction_date date")
+    lake = scratch("lake")
+    enrich_batch_to_lake(spark, bars, master, lake, cut="2024-06-03")
+    got = sorted((r.year, r.month, r.name) for r in spark.read.parquet(lake).collect())
+    assert got == [(2024, 6, "a"), (2024, 7, "a")]
