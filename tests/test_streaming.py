@@ -92,3 +92,13 @@ def test_enrich_stream_without_broadcast(spark, scratch):
         assert sorted(r.ticker for r in spark.read.parquet(out).collect()) == ["A", "B"]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_available_now_in_bounded_batches(spark, scratch):
+    landing, out, ckpt = scratch("in"), scratch("out"), scratch("ckpt")
+    _land(spark, landing, _master_msgs(["A", "B"]))
+    _land(spark, landing, _master_msgs(["C"]))
+    stream = master_ingest_stream(read_message_files(spark, landing, streaming=True,
+                                                     max_files_per_trigger=1))
+    assert run_available_now(stream, out, ckpt) == 3
+    assert sorted(r.ticker for r in spark.read.parquet(out).collect()) == ["A", "B", "C"]
