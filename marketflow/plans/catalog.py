@@ -96,10 +96,10 @@ def q_json_parse_bars(spark, sf_dir):
 
 
 def q_json_encode_rows(spark, sf_dir):
-    nation = table(spark, sf_dir, "nation")
-    path = scratch_path(spark, "nation_json")
-    write_json_lines(nation, path, mode="overwrite")
-    return spark.read.schema(nation.schema).json(path)
+    customer = table(spark, sf_dir, "customer")
+    path = scratch_path(spark, "customer_json")
+    write_json_lines(customer, path, mode="overwrite")
+    return spark.read.schema(customer.schema).json(path)
 
 
 def q_envelope_flatten(spark, sf_dir):
@@ -281,11 +281,11 @@ def q_cut_roundtrip(spark, sf_dir):
 
 
 def q_table_overwrite(spark, sf_dir):
-    nation = table(spark, sf_dir, "nation")
-    wh = ParquetWarehouse(spark, scratch_path(spark, "warehouse_nation"))
-    wh.overwrite("nation", nation)
-    wh.overwrite("nation", nation)
-    return wh.read("nation")
+    supplier = table(spark, sf_dir, "supplier")
+    wh = ParquetWarehouse(spark, scratch_path(spark, "warehouse_supplier"))
+    wh.overwrite("supplier", supplier)
+    wh.overwrite("supplier", supplier)
+    return wh.read("supplier")
 
 
 def q_union_widen(spark, sf_dir):

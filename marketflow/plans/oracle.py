@@ -71,7 +71,7 @@ ORACLE_SQL: dict[str, str] = {
     "json_parse_master": f"""
         SELECT {_MASTER_FROM_PART}, '2024-01-01T00:00:00Z' AS last_updated_utc FROM part""",
     "json_parse_bars": f"SELECT {_BAR_FROM_LINEITEM} FROM lineitem",
-    "json_encode_rows": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
+    "json_encode_rows": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
     "envelope_flatten": """
         SELECT event_id, user_id, event_type, value, CAST(ts AS DATE) AS date_time FROM events""",
     "news_flatten": f"""
@@ -144,7 +144,7 @@ ORACLE_SQL: dict[str, str] = {
                CAST(month(max(o_orderdate)) AS INTEGER) AS month FROM orders""",
     "lake_cut_date": "SELECT CAST(max(o_orderdate) AS DATE) AS cut_date FROM orders",
     "cut_roundtrip": "SELECT CAST(max(o_orderdate) AS DATE) AS cut_date FROM orders",
-    "table_overwrite": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
+    "table_overwrite": "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier",
     "union_widen": "SELECT p_partkey, CAST(p_size AS DOUBLE) AS p_size, p_retailprice FROM part",
     "incremental_load": """
         SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
