@@ -19,7 +19,7 @@ from marketflow.functions.dates import (
     decode_cut_token, encode_cut_token, parse_day, published_date, day_text,
     within_horizon, within_lookback, ISO_Z_FORMAT,
 )
-from marketflow.functions.json import encode_rows, parse_messages
+from marketflow.functions.json import encode_rows, parse_json, parse_messages
 from marketflow.operators.calendar import calendar_gaps, day_calendar, month_calendar
 from marketflow.operators.contracts import Rule, contract_report, split_by_contract
 from marketflow.operators.enrich import bars_from_messages, enrich
@@ -102,6 +102,13 @@ def q_json_encode_rows(spark, sf_dir):
     return spark.read.schema(customer.schema).json(path)
 
 
+def q_json_parse_props(spark, sf_dir):
+    """The permissive typed parse on JSON text that comes with the tables."""
+    schema = T.StructType([T.StructField("k", T.LongType())])
+    events = table(spark, sf_dir, "events")
+    return events.select("event_id", parse_json("props", schema).getField("k").alias("k"))
+
+
 def q_envelope_flatten(spark, sf_dir):
     pages = A.events_as_pages(table(spark, sf_dir, "events"))
     result_type = T.StructType([
@@ -407,6 +414,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_parse_master": q_json_parse_master,
     "json_parse_bars": q_json_parse_bars,
     "json_encode_rows": q_json_encode_rows,
+    "json_parse_props": q_json_parse_props,
     "envelope_flatten": q_envelope_flatten,
     "news_flatten": q_news_flatten,
     "arrays_zip_explode": q_arrays_zip_explode,

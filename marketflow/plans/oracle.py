@@ -72,6 +72,7 @@ ORACLE_SQL: dict[str, str] = {
         SELECT {_MASTER_FROM_PART}, '2024-01-01T00:00:00Z' AS last_updated_utc FROM part""",
     "json_parse_bars": f"SELECT {_BAR_FROM_LINEITEM} FROM lineitem",
     "json_encode_rows": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
+    "json_parse_props": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
     "envelope_flatten": """
         SELECT event_id, user_id, event_type, value, CAST(ts AS DATE) AS date_time FROM events""",
     "news_flatten": f"""
