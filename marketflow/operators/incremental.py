@@ -141,10 +141,12 @@ class ParquetWarehouse:
 
 
 class JdbcWarehouse:
-    """Warehouse tables in a database reached over JDBC."""
+    """Warehouse tables in a database reached over JDBC. ``truncate`` makes
+    overwrites keep the table definitions (rows must then match them)."""
 
-    def __init__(self, spark: SparkSession, url: str, properties: dict):
+    def __init__(self, spark: SparkSession, url: str, properties: dict, truncate: bool = False):
         self.spark, self.url, self.properties = spark, url, properties
+        self.truncate = truncate
 
     def read(self, table: str, schema=None) -> DataFrame | None:
         return read_jdbc_table(self.spark, self.url, table, self.properties)
@@ -154,7 +156,7 @@ class JdbcWarehouse:
 
     def overwrite(self, table: str, df: DataFrame) -> None:
         from marketflow.sinks.jdbc import overwrite_jdbc
-        overwrite_jdbc(df, self.url, table, self.properties)
+        overwrite_jdbc(df, self.url, table, self.properties, truncate=self.truncate)
 
     def max_cut(self, table: str = "cutting_dates") -> DataFrame | None:
         return read_max_cut(self.spark, self.url, self.properties, table)

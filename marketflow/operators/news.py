@@ -105,3 +105,15 @@ def insight_struct(sentiment: Column, reasoning: Column, ticker: Column) -> Colu
     """Build one insight element (used when assembling article documents)."""
     return F.struct(sentiment.alias("sentiment"), reasoning.alias("sentiment_reasoning"),
                     ticker.alias("ticker"))
+
+
+# The columns of the warehouse ``articles`` table, in order.
+ARTICLES_TABLE_COLUMNS = ["article_title", "publisher", "author", "publication_date", "ticker",
+                          "sentiment"]
+
+
+def articles_table_rows(rows: DataFrame) -> DataFrame:
+    """Flattened article rows in the shape of the ``articles`` table: its six
+    columns, ``publication_date`` as a DATE (no related-ticker list)."""
+    return rows.select(*[F.col(c).cast("date").alias(c) if c == "publication_date" else F.col(c)
+                         for c in ARTICLES_TABLE_COLUMNS])

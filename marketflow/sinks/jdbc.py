@@ -28,9 +28,11 @@ def append_jdbc(df: DataFrame, url: str, table: str, properties: dict,
 
 
 def overwrite_jdbc(df: DataFrame, url: str, table: str, properties: dict,
-                   truncate: bool = True) -> None:
-    """Replace the table's rows. With ``truncate`` the table definition (and
-    its NOT NULL constraints) stays; the written columns must then match it."""
+                   truncate: bool = False) -> None:
+    """Replace the table. By default it is dropped and re-created from the
+    written columns (their shape wins, constraints are lost). With
+    ``truncate`` the definition and its NOT NULL constraints stay, and the
+    written columns must match it (see ``news.articles_table_rows``)."""
     props = dict(properties)
     props["truncate"] = "true" if truncate else "false"
     _jdbc_safe(df).write.jdbc(url=url, table=table, mode="overwrite", properties=props)

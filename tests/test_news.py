@@ -95,3 +95,12 @@ def test_published_after_horizon(spark):
     bound = F.to_timestamp(F.lit("2024-03-01 00:00:00"))
     rows = flatten_articles(_texts(spark, docs), ["AAA"], published_after=bound).collect()
     assert [r.article_title for r in rows] == ["new"]
+
+
+def test_articles_table_shape(spark):
+    from marketflow.operators.news import ARTICLES_TABLE_COLUMNS, articles_table_rows
+    art = _article("t", [_ins("AAA")])
+    out = articles_table_rows(flatten_articles(_texts(spark, [art]), ["AAA"]))
+    assert out.columns == ARTICLES_TABLE_COLUMNS
+    assert dict(out.dtypes)["publication_date"] == "date"
+    assert out.first().publication_date == dt.date(2024, 6, 3)
