@@ -16,7 +16,7 @@ from marketflow.operators.contracts import ARTICLES_CONTRACT, split_by_contract
 from marketflow.operators.enrich import enrich
 from marketflow.operators.incremental import lake_cut, load_increment
 from marketflow.operators.master import clean_master, latest_per_ticker
-from marketflow.operators.news import flatten_articles, related_as_text
+from marketflow.operators.news import articles_table_rows, flatten_articles, related_as_text
 from marketflow.operators.signals import daily_return, daily_sentiment, sentiment_price_corr
 from marketflow.operators.sizing import broadcast_if_small, spread_if_narrow
 from marketflow.sinks.parquet import append_lake, overwrite_parquet
@@ -92,15 +92,20 @@ def load_warehouse(spark: SparkSession, lake_path: str, warehouse, initial_cut,
 
 
 def publish_articles(spark: SparkSession, texts_path: str, tickers, warehouse,
-                     table: str = "articles", horizon_days: int | None = None) -> DataFrame:
+                     table: str = "articles", horizon_days: int | None = None,
+                     table_shape: bool = False) -> DataFrame:
     """News texts -> ``articles`` (overwrite); rows breaking the table
     contract are returned instead of failing the write. ``horizon_days``
-    keeps articles published within that many days before now."""
+    keeps articles published within that many days before now;
+    ``table_shape`` writes only the table's own columns (for a warehouse
+    that keeps its table definitions on overwrite)."""
     after = None
     if horizon_days is not None:
         after = F.current_timestamp() - F.make_interval(days=F.lit(horizon_days))
     texts = spread_if_narrow(read_article_texts(spark, texts_path))  # e.g. few gzip files
     rows = related_as_text(flatten_articles(texts, tickers, published_after=after))
+    if table_shape:
+        rows = articles_table_rows(rows)
     valid, rejected = split_by_contract(rows, ARTICLES_CONTRACT)
     warehouse.overwrite(table, valid)
     return rejected
