@@ -97,3 +97,19 @@ def test_enrich_batch_to_lake(spark, scratch):
     enrich_batch_to_lake(spark, bars, master, lake, cut="2024-06-03")
     got = sorted((r.year, r.month, r.name) for r in spark.read.parquet(lake).collect())
     assert got == [(2024, 6, "a"), (2024, 7, "a")]
+
+
+def test_publish_articles_table_shape(spark, scratch):
+    from marketflow.plans.jobs import publish_articles
+    news = scratch("news")
+    article = {"title": "t", "publisher": {"name": "p"}, "author": "a",
+               "published_utc": "2024-06-04T10:00:00Z",
+               "insights": [{"ticker": "A", "sentiment": "positive"}]}
+    _land(spark, news, [json.dumps([article])])
+    wh = ParquetWarehouse(spark, scratch("wh"))
+    rejected = publish_articles(spark, news, "A", wh, table_shape=True)
+    assert rejected.count() == 0
+    rows = wh.read("articles")
+    assert rows.columns == ["article_title", "publisher", "author", "publication_date", "ticker",
+                            "sentiment"]
+    assert rows.first().publication_date == dt.date(2024, 6, 4)
