@@ -174,12 +174,16 @@ def read_cut(warehouse: Warehouse, initial_cut=None, table: str = "cutting_dates
 def load_increment(lake: DataFrame, warehouse: Warehouse, keys: list[str],
                    data_table: str = "market_data", cut_table: str = "cutting_dates",
                    initial_cut=None, cut=None, date_col: str = "transaction_date",
-                   lookback_days: int = 0, drop_columns: list[str] | None = None) -> dict:
+                   lookback_days: int = 0, drop_columns: list[str] | None = None,
+                   contract=None, reject_table: str | None = None) -> dict:
     """Append the lake's new rows to ``data_table`` and advance the cut.
 
     ``cut`` overrides the stored cut (e.g. a rerun from an older cut). The
-    lookback never reaches below ``initial_cut``. The new cut is written last
-    and only when rows were loaded; returns a summary.
+    lookback never reaches below ``initial_cut``. With ``contract`` (a list
+    of ``contracts.Rule``) only rows meeting it are appended; the others go
+    to ``reject_table`` (if given) with their ``violations``, and are counted
+    in the summary. The new cut is written last and only when rows were
+    loaded; returns a summary.
     """
     spark = lake.sparkSession
     start = _to_date(cut) if cut is not None else read_cut(warehouse, initial_cut, cut_table)
@@ -199,6 +203,16 @@ def load_increment(lake: DataFrame, warehouse: Warehouse, keys: list[str],
                       F.max(date_col).cast("date").alias("m")).first()
     if stats["n"] == 0:
         return {"cut_before": start, "rows_loaded": 0, "cut_after": start}
+    rejected_n = 0
+    if contract:
+        from marketflow.operators.contracts import split_by_contract
+        valid, rejected = split_by_contract(batch, contract)
+        rejected_n = rejected.count()
+        if rejected_n and reject_table:
+            warehouse.append(reject_table, rejected.withColumn(
+                "violations", F.array_join("violations", ",")))
+        batch = valid
     warehouse.append(data_table, batch)
     warehouse.append(cut_table, spark.createDataFrame([(stats["m"],)], CUT_TABLE))
-    return {"cut_before": start, "rows_loaded": stats["n"], "cut_after": stats["m"]}
+    return {"cut_before": start, "rows_loaded": stats["n"] - rejected_n,
+            "rows_rejected": rejected_n, "cut_after": stats["m"]}

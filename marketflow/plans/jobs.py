@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from marketflow import schemas
 from marketflow.functions.dates import encode_cut_token
-from marketflow.operators.contracts import ARTICLES_CONTRACT, split_by_contract
+from marketflow.operators.contracts import ARTICLES_CONTRACT, MARKET_DATA_CONTRACT, split_by_contract
 from marketflow.operators.enrich import enrich
 from marketflow.operators.incremental import lake_cut, load_increment
 from marketflow.operators.master import clean_master, latest_per_ticker
@@ -84,11 +84,14 @@ def lake_cut_token(spark: SparkSession, lake_path: str, default) -> DataFrame:
 
 
 def load_warehouse(spark: SparkSession, lake_path: str, warehouse, initial_cut,
-                   lookback_days: int = 0) -> dict:
-    """Lake -> warehouse ``market_data`` by high-water mark, idempotently."""
+                   lookback_days: int = 0, reject_table: str | None = "market_data_rejects") -> dict:
+    """Lake -> warehouse ``market_data`` by high-water mark, idempotently.
+    Rows breaking the table's length limits go to ``reject_table`` instead of
+    failing the whole insert."""
     lake = spark.read.parquet(lake_path)
     return load_increment(lake, warehouse, keys=["ticker", "transaction_date"],
-                          initial_cut=initial_cut, lookback_days=lookback_days)
+                          initial_cut=initial_cut, lookback_days=lookback_days,
+                          contract=MARKET_DATA_CONTRACT, reject_table=reject_table)
 
 
 def publish_articles(spark: SparkSession, texts_path: str, tickers, warehouse,

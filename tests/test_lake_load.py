@@ -112,3 +112,18 @@ def test_no_cut_anywhere_loads_nothing(spark, scratch):
     wh = ParquetWarehouse(spark, scratch("wh"))
     out = load_increment(spark.read.parquet(lake_path), wh, keys=["k"])
     assert out["rows_loaded"] == 0 and wh.read("market_data") is None
+
+
+def test_load_with_contract_sends_bad_rows_to_rejects(spark, scratch):
+    from marketflow.operators.contracts import Rule
+    lake_path = scratch("lake")
+    rows = [(1, dt.date(2024, 1, 2), "ok"), (2, dt.date(2024, 1, 3), "x" * 20)]
+    append_lake(spark.createDataFrame(rows, "k long, transaction_date date, name string"), lake_path)
+    wh = ParquetWarehouse(spark, scratch("wh"))
+    out = load_increment(spark.read.parquet(lake_path), wh, keys=["k"], initial_cut="2024-01-01",
+                         contract=[Rule("name", max_length=10)], reject_table="rejects")
+    assert out["rows_loaded"] == 1 and out["rows_rejected"] == 1
+    assert out["cut_after"] == dt.date(2024, 1, 3)
+    assert [r.k for r in wh.read("market_data").collect()] == [1]
+    rej = wh.read("rejects").first()
+    assert rej.k == 2 and rej.violations == "name_too_long"
