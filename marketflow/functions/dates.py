@@ -54,8 +54,9 @@ def parse_day(text: str | Column) -> Column:
 
 
 def decode_cut_token(token: str | Column) -> Column:
-    """Base64 of a ``yyyy-MM-dd`` text (possibly newline-terminated) -> DATE."""
-    return parse_day(F.unbase64(_col(token)).cast("string"))
+    """Base64 of a ``yyyy-MM-dd`` text (possibly newline-terminated) -> DATE;
+    null for a token that is not base64 (``unbase64`` would fail the job)."""
+    return parse_day(F.try_to_binary(_col(token), F.lit("base64")).cast("string"))
 
 
 def encode_cut_token(date: str | Column) -> Column:

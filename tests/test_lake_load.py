@@ -56,6 +56,8 @@ def test_cut_token_with_newline(spark):
     df = spark.createDataFrame([(dt.date(2024, 6, 3),)], "d date")
     tok = df.select(encode_cut_token("d").alias("t"))
     assert tok.select(decode_cut_token("t").alias("c")).first().c == dt.date(2024, 6, 3)
+    bad = spark.createDataFrame([("!!!not base64",), ("bm90IGEgZGF0ZQ==",), (None,)], "t string")
+    assert [r.c for r in bad.select(decode_cut_token("t").alias("c")).collect()] == [None, None, None]
     text = spark.createDataFrame([("  2024-06-03\n",), ("junk",)], "t string")
     assert [r.c for r in text.select(parse_day("t").alias("c")).collect()] == [dt.date(2024, 6, 3), None]
 
