@@ -115,5 +115,5 @@ ARTICLES_TABLE_COLUMNS = ["article_title", "publisher", "author", "publication_d
 def articles_table_rows(rows: DataFrame) -> DataFrame:
     """Flattened article rows in the shape of the ``articles`` table: its six
     columns, ``publication_date`` as a DATE (no related-ticker list)."""
-    return rows.select(*[F.col(c).cast("date").alias(c) if c == "publication_date" else F.col(c)
+    return rows.select(*[F.col(c).try_cast("date").alias(c) if c == "publication_date" else F.col(c)
                          for c in ARTICLES_TABLE_COLUMNS])

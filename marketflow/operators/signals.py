@@ -29,7 +29,7 @@ def daily_sentiment(articles: DataFrame, ticker: str = "ticker", day: str = "pub
     """One row per (ticker, day): ``score_sum``, ``n_articles``, ``avg_score``.
     Articles whose label has no score are left out."""
     scored = articles.select(
-        F.col(ticker).alias("ticker"), F.col(day).cast("date").alias("day"),
+        F.col(ticker).alias("ticker"), F.col(day).try_cast("date").alias("day"),
         sentiment_score(sentiment).alias("score"),
     ).where(F.col("score").isNotNull() & F.col("day").isNotNull() & F.col("ticker").isNotNull())
     return scored.groupBy("ticker", "day").agg(

@@ -82,5 +82,5 @@ def partition_values_from_path(df: DataFrame, names=("year", "month")) -> DataFr
     path = F.col("_metadata.file_path")
     for name in names:
         df = df.withColumn(
-            name, F.regexp_extract(path, rf"(?:^|/){name}=(\d+)(?:/|$)", 1).cast("int"))
+            name, F.regexp_extract(path, rf"(?:^|/){name}=(\d+)(?:/|$)", 1).try_cast("int"))
     return df

@@ -129,3 +129,10 @@ def test_load_with_contract_sends_bad_rows_to_rejects(spark, scratch):
     assert [r.k for r in wh.read("market_data").collect()] == [1]
     rej = wh.read("rejects").first()
     assert rej.k == 2 and rej.violations == "name_too_long"
+
+
+def test_partition_values_missing_in_path_are_null(spark, scratch):
+    path = scratch("flat")
+    spark.createDataFrame([(1,)], "k long").write.parquet(path)
+    r = partition_values_from_path(spark.read.parquet(path)).first()
+    assert r.year is None and r.month is None
