@@ -12,6 +12,7 @@ executors are lost and work is recomputed.
 from __future__ import annotations
 
 import datetime as _dt
+import logging
 from typing import Protocol
 
 from pyspark.errors import AnalysisException
@@ -26,6 +27,8 @@ from marketflow.sinks.jdbc import append_jdbc
 from marketflow.sources.jdbc import read_jdbc_table, read_max_cut
 from marketflow.sources.parquet import is_missing_path, latest_partition, month_index
 
+log = logging.getLogger(__name__)
+
 
 def _month_index(value: _dt.date) -> int:
     return value.year * 12 + value.month - 1
@@ -202,6 +205,7 @@ def load_increment(lake: DataFrame, warehouse: Warehouse, keys: list[str],
     stats = batch.agg(F.count(F.lit(1)).alias("n"),
                       F.max(date_col).cast("date").alias("m")).first()
     if stats["n"] == 0:
+        log.info("load %s: no new rows after %s", data_table, start)
         return {"cut_before": start, "rows_loaded": 0, "cut_after": start}
     rejected_n = 0
     if contract:
@@ -214,5 +218,7 @@ def load_increment(lake: DataFrame, warehouse: Warehouse, keys: list[str],
         batch = valid
     warehouse.append(data_table, batch)
     warehouse.append(cut_table, spark.createDataFrame([(stats["m"],)], CUT_TABLE))
+    log.info("load %s: %d rows after %s (%d rejected), cut now %s",
+             data_table, stats["n"] - rejected_n, start, rejected_n, stats["m"])
     return {"cut_before": start, "rows_loaded": stats["n"] - rejected_n,
             "rows_rejected": rejected_n, "cut_after": stats["m"]}

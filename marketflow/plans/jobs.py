@@ -6,6 +6,8 @@ the environment. Scheduling is left to the caller's orchestrator.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +26,8 @@ from marketflow.sources.messages import read_article_texts, read_kafka, read_mes
 from marketflow.sources.parquet import is_missing_path
 from marketflow.streaming.runner import enrich_stream, master_ingest_stream, run_available_now
 
+log = logging.getLogger(__name__)
+
 
 def ingest_master(spark: SparkSession, messages: DataFrame, raw_path: str, checkpoint: str) -> int:
     """Master messages (a stream) -> raw master Parquet, exactly once."""
@@ -147,4 +151,6 @@ def daily_run(spark: SparkSession, *, master_raw_path: str, master_path: str,
     enriched = enrich_stream_to_lake(spark, messages, master_path, lake_path, lake_checkpoint, cut)
     loaded = load_warehouse(spark, lake_path, warehouse, initial_cut)
     rejected = publish_articles(spark, news_texts_path, tickers, warehouse)
-    return {"bars_in": enriched, "load": loaded, "articles_rejected": rejected.count()}
+    summary = {"bars_in": enriched, "load": loaded, "articles_rejected": rejected.count()}
+    log.info("daily run: %s", summary)
+    return summary
