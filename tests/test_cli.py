@@ -31,3 +31,16 @@ def test_lake_cut_then_load(spark, scratch):
     assert base64.b64decode(token).decode().strip() == "2024-02-03"
     out = json.loads(_cli("load", "--lake", lake, "--warehouse", wh, "--initial-cut", "2024-01-01"))
     assert out["rows_loaded"] == 2 and out["cut_after"] == "2024-02-03"
+
+
+def test_news_step(spark, scratch):
+    news, wh = scratch("news"), scratch("wh")
+    article = {"title": "t", "publisher": {"name": "p"}, "author": "a",
+               "published_utc": "2024-06-04T10:00:00Z",
+               "insights": [{"ticker": "A", "sentiment": "positive"},
+                            {"ticker": "A", "sentiment": "way too long label"}]}
+    spark.createDataFrame([(json.dumps([article, article]),)], "value string").write.text(news)
+    out = json.loads(_cli("news", "--texts", news, "--tickers", "A,B", "--warehouse", wh))
+    assert out["articles_rejected"] == 1
+    rows = spark.read.parquet(f"{wh}/articles").collect()
+    assert [(r.ticker, r.sentiment) for r in rows] == [("A", "positive")]
