@@ -102,3 +102,20 @@ def test_available_now_in_bounded_batches(spark, scratch):
                                                      max_files_per_trigger=1))
     assert run_available_now(stream, out, ckpt) == 3
     assert sorted(r.ticker for r in spark.read.parquet(out).collect()) == ["A", "B", "C"]
+
+
+def test_console_sink_and_master_ingest_job(spark, scratch):
+    from marketflow.plans.jobs import ingest_master
+    from marketflow.streaming.runner import start_console_sink
+    landing, out, ckpt = scratch("in"), scratch("out"), scratch("ckpt")
+    _land(spark, landing, _master_msgs(["A", "B"]))
+    stream = master_ingest_stream(read_message_files(spark, landing, streaming=True))
+    query = start_console_sink(stream, num_rows=5)
+    try:
+        query.processAllAvailable()
+        assert query.exception() is None
+    finally:
+        query.stop()
+    messages = read_message_files(spark, landing, streaming=True)
+    assert ingest_master(spark, messages, out, ckpt) == 2
+    assert sorted(r.ticker for r in spark.read.parquet(out).collect()) == ["A", "B"]
