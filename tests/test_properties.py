@@ -65,3 +65,27 @@ def test_load_in_two_landings_equals_all_after_seed(spark, scratch, offsets, spl
     expected = sorted(k for k, d in rows if d > seed)
     keys = sorted(r.k for r in got.collect()) if got is not None else []
     assert keys == expected
+
+
+insight_st = st.one_of(
+    st.none(),
+    st.fixed_dictionaries({"ticker": st.sampled_from(["A", "B", "C"])},
+                          optional={"sentiment": st.sampled_from(["positive", "negative"])}))
+articles_st = st.lists(st.lists(insight_st, max_size=5), min_size=1, max_size=8)
+
+
+@SETTINGS
+@given(insight_lists=articles_st, repeats=st.integers(1, 3))
+def test_flatten_counts_watched_insights(spark, insight_lists, repeats):
+    import json as _json
+
+    from marketflow.operators.news import flatten_articles
+    docs = [{"title": f"t{i}", "publisher": {"name": "p"}, "author": "a",
+             "published_utc": "2024-06-03T10:00:00Z", "insights": ins}
+            for i, ins in enumerate(insight_lists)]
+    texts = spark.createDataFrame([(_json.dumps(docs),)] * repeats, "json_data string")
+    watched = ["A", "B"]
+    expected = sum(1 for ins in insight_lists for i in ins if i is not None and i["ticker"] in watched)
+    rows = flatten_articles(texts, watched).collect()
+    assert len(rows) == expected
+    assert all(r.ticker in watched for r in rows)
