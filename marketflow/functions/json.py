@@ -28,5 +28,5 @@ def parse_messages(df: DataFrame, schema: T.StructType, value_col: str = "value"
 
 def encode_rows(df: DataFrame, as_binary: bool = False) -> DataFrame:
     """Each row as one JSON object in a ``value`` column (Kafka shape)."""
-    value = F.to_json(F.struct(*[F.col(c) for c in df.columns]))
+    value = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
     return df.select((value.cast("binary") if as_binary else value).alias("value"))

@@ -15,7 +15,8 @@ def measured_bytes(df: DataFrame) -> DataFrame:
     JSON text of every row, which is longer than its binary form)."""
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))), F.lit(0))
+        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))),
+                   F.lit(0))
         .cast("long").alias("n_bytes"),
     )
 
