@@ -37,8 +37,9 @@ def union_to_schema(spark: SparkSession, schema: T.StructType, frames: list[Data
 
     def step(acc: DataFrame, nxt: DataFrame) -> DataFrame:
         if by_name:
-            return acc.unionByName(nxt.select(*schema.fieldNames()))
+            return acc.unionByName(nxt.select(*[F.col(f"`{n}`") for n in schema.fieldNames()]))
         return acc.union(nxt)
 
     combined = reduce(step, frames, base)
-    return combined.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return combined.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name)
+                             for f in schema.fields])
