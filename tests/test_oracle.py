@@ -5,6 +5,8 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from marketflow.plans.catalog import QUERIES
+from marketflow.plans.oracle import ORACLE_SQL
 from tools.oracle_check import _rows, duck
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
@@ -17,10 +19,11 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(ORACLE_SQL) == set(QUERIES)
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_DIR)
     cols = sorted(df.columns)
@@ -36,4 +39,6 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert len(df.columns) == 19
-    assert df.count() >= 0
+    expected = duck(E.SMOKE_DIR).sql(ORACLE_SQL["enrich_batch"])
+    assert sorted(df.columns) == sorted(expected.columns)
+    assert df.count() == len(expected.fetchall()) > 0
