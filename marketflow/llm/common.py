@@ -36,12 +36,15 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def worker_state(name: str, make):
-    """One value per Python worker process, kept between the tasks it runs."""
+def worker_state(name: str, key, make):
+    """The value ``make()`` gave for ``key``, kept between the tasks of a Python worker process.
+
+    One value per name: another key replaces it, so nothing piles up.
+    """
     store = sys.__dict__.setdefault("_llm_worker_state", {})
-    if name not in store:
-        store[name] = make()
-    return store[name]
+    if name not in store or store[name][0] != key:
+        store[name] = (key, make())
+    return store[name][1]
 
 
 def strip_white_space(text: Column) -> Column:
