@@ -6,6 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marketflow.llm.common import read_table
 from marketflow.llm.exact_dedup import exact_groups
+from marketflow.llm.packing import pack
+from marketflow.llm.simhash import near_duplicates
+from marketflow.llm.token_counts import count_tokens
+
+
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, radius=2)
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read_table(spark, sf_dir, "documents"), window=1024)
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(read_table(spark, sf_dir, "documents"), limit=1024)
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,6 +28,9 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_simhash": op2_simhash,
+    "op5_packing": op5_packing,
+    "op8_token_counts": op8_token_counts,
     "op7_exact_dedup": op7_exact_dedup,
 }
 
