@@ -28,10 +28,11 @@ def component_roots(edges: DataFrame, seed: int = 1) -> DataFrame:
     steps = []
     while not links.isEmpty():
         both = links.union(links.select("b", "a"))
-        order = F.struct(F.xxhash64(F.col("b"), F.lit(seed + len(steps))), F.col("b"))
-        own = F.struct(F.xxhash64(F.col("a"), F.lit(seed + len(steps))), F.col("a"))
+        salt = F.lit(seed + len(steps))
+        order = F.struct(F.xxhash64(F.col("b"), salt).alias("p"), F.col("b").alias("id"))
+        own = F.struct(F.xxhash64(F.col("a"), salt).alias("p"), F.col("a").alias("id"))
         step = materialise(both.groupBy("a").agg(F.min(order).alias("best"))
-                           .select(F.col("a").alias("node"), F.least(F.col("best"), own)["b"].alias("to")), "step")
+                           .select(F.col("a").alias("node"), F.least(F.col("best"), own)["id"].alias("to")), "step")
         steps.append(step)
         links = materialise(_tidy(
             links.join(step.toDF("a", "fa"), "a").join(step.toDF("b", "fb"), "b")

@@ -1,0 +1,25 @@
+import pytest
+
+from marketflow.llm.common import LOWER_AZ  # noqa: F401
+
+
+@pytest.fixture(scope="session")
+def odd_docs(spark):
+    """Nulls in every column, empty and long texts, ties, repeated rows, and clashing column names."""
+    long = "alpha beta gamma delta\n" * 20000
+    rows = [
+        (1, "The same  text\nhere", "en", "a", 1), (2, "The same text here", "en", "b", 2),
+        (3, "Thesametexthere", None, None, None), (3, "Thesametexthere", None, None, None),
+        (4, "", "en", "a", 0), (5, None, "fr", "a", 0), (None, "a text without id", "en", "", 3),
+        (None, None, None, None, None), (6, long, "de", "a", 9), (7, "  \t\n\x0b\x0c\r", "en", "b", 5),
+        (8, "ÄÖ ünd <|endoftext|> 你好 😀", "de", "c", 7), (9, long, "en", "a", 9),
+        (9, "another text under a used id", "en", "a", 9), (10, "1234 !!", "en", "a", 7),
+    ]
+    schema = ("doc_id bigint, text string, lang string, source string, n_chars bigint")
+    df = spark.createDataFrame(rows, schema)
+    from pyspark.sql import functions as F
+    # Names that operators use for their own columns.
+    for name in ("fp", "component", "digest", "content", "best", "n", "row", "shard", "kept", "keep_id", "score",
+                 "size", "taken", "target", "label", "key", "hash", "pos", "path", "a", "b", "root", "node", "tile"):
+        df = df.withColumn(name, F.lit("x"))
+    return df

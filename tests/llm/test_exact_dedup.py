@@ -1,0 +1,63 @@
+import hashlib
+from collections import defaultdict
+
+from pyspark.sql import functions as F
+
+from marketflow.llm.exact_dedup import exact_groups, keep_first_copies
+
+WS = dict.fromkeys(map(ord, " \t\n\x0b\x0c\r"))
+
+
+def brute(rows):
+    groups = defaultdict(list)
+    for doc_id, text in rows:
+        groups[(text or "").translate(WS)].append((doc_id, len(text or "")))
+    out = []
+    for doc_id, text in rows:
+        norm = (text or "").translate(WS)
+        members = groups[norm]
+        keep = min(members, key=lambda m: (-m[1], m[0] is None, m[0] or 0))[0]
+        out.append((doc_id, keep, len(members), doc_id == keep, hashlib.sha256(norm.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def result(df):
+    return sorted((tuple(r) for r in df.select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()), key=repr)
+
+
+def test_odd_rows(odd_docs):
+    rows = [(r.doc_id, r.text) for r in odd_docs.select("doc_id", "text").collect()]
+    assert result(exact_groups(odd_docs)) == brute(rows)
+
+
+def test_negative_and_extreme_ids(spark):
+    rows = [(-5, "x y"), (2 ** 63 - 1, "xy"), (-2 ** 63, "x y"), (0, "x  y"), (1, "z")]
+    assert result(exact_groups(spark.createDataFrame(rows, "doc_id bigint, text string"))) == brute(rows)
+
+
+def test_hot_group_is_salted_and_merged(spark):
+    df = spark.range(0, 3000, 1, 8).select(F.col("id").alias("doc_id"),
+                                           F.when(F.col("id") % 3 == 0, "hot text").otherwise(F.concat(F.lit("t"), (F.col("id") % 700).cast("string"))).alias("text"))
+    rows = [(r.doc_id, r.text) for r in df.collect()]
+    assert result(exact_groups(df, salts=4)) == brute(rows)
+
+
+def test_equal_digests_of_different_texts_stay_apart(spark):
+    rows = [(i, t) for i, t in enumerate(["aa", "ab", "ba", "bb", "a a", "ab ", "c"] * 40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    weak = lambda content: F.unhex(F.sha2(F.substring(content, 1, 1).cast("binary"), 256))
+    got = [r[:4] for r in result(exact_groups(df, salts=8, digest=weak))]
+    assert sorted(got, key=repr) == sorted((r[:4] for r in brute(rows)), key=repr)
+
+
+def test_empty_table(odd_docs):
+    out = exact_groups(odd_docs.limit(0))
+    assert out.count() == 0
+    assert out.columns == ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+
+
+def test_keep_first_copies_keeps_all_columns(odd_docs):
+    kept = keep_first_copies(odd_docs)
+    assert kept.columns == odd_docs.columns
+    ids = sorted((r.doc_id for r in kept.select("doc_id").collect()), key=repr)
+    assert ids == sorted([1, 7, None, 6, 8, 9, 10], key=repr)
