@@ -3,14 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marketflow.llm.common import read_table
 from marketflow.llm.exact_dedup import exact_groups
+from marketflow.llm.line_dedup import drop_common_lines
+from marketflow.llm.mixing import mix
 from marketflow.llm.packing import pack
 from marketflow.llm.simhash import near_duplicates
 from marketflow.llm.token_counts import count_tokens
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return drop_common_lines(docs, min_docs=10, min_chars=1).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
@@ -23,20 +31,43 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read_table(spark, sf_dir, "documents"), limit=1024)
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    mixed, sources = mix(docs, F.array("source"), weights=(3, 1, 2), ratio=1.5, cap=2)
+    table = spark.createDataFrame([(name, s.size, s.target) for name, s in sources.items()],
+                                  "name string, source_size bigint, target double")
+    return (mixed.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("name")))
+            .select("doc_id", F.col("__llm_size").alias("size"), "source_size", "target",
+                    (F.col("__llm_size") * F.col("__llm_copies")).alias("taken")))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_simhash": op2_simhash,
     "op5_packing": op5_packing,
     "op8_token_counts": op8_token_counts,
+    "op6_mixing": op6_mixing,
     "op7_exact_dedup": op7_exact_dedup,
 }
 
 WS_CLASS = r"[\x20\x09-\x0D]"
 
 ORACLE_SQL = {
+    "op1_line_dedup": rf"""
+WITH l AS (SELECT doc_id, generate_subscripts(lines, 1) AS pos, unnest(lines) AS line
+           FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)),
+k AS (SELECT doc_id, pos, line,
+             translate(regexp_replace(line, '^{WS_CLASS}+|{WS_CLASS}+$', '', 'g'),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+common AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
+m AS (SELECT k.*, common.key IS NOT NULL AS gone FROM k LEFT JOIN common USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id""",
     "op7_exact_dedup": rf"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text,
                   sha256(regexp_replace(coalesce(text, ''), '{WS_CLASS}', '', 'g')) AS text_sha256
