@@ -11,6 +11,7 @@ executor costs one step.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,3 +56,17 @@ def smallest_member(roots: DataFrame, members: DataFrame) -> DataFrame:
     held = materialise(roots.join(members, "node"), "members")
     best = materialise(held.groupBy("root").agg(F.min("id").alias("component")), "smallest")
     return materialise(held.join(best, "root").select("node", "component"), "component")
+
+
+def spanning_forest(i: np.ndarray, j: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Within a task: under ``n`` edges that connect what the links ``(i, j)`` among ``0..n-1`` connect."""
+    label = np.arange(n)
+    while True:
+        low = label.copy()
+        np.minimum.at(low, i, label[j])
+        np.minimum.at(low, j, label[i])
+        low = low[low]
+        if (low == label).all():
+            child = np.nonzero(label != np.arange(n))[0]
+            return child, label[child]
+        label = low

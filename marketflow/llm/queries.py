@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketflow.llm.common import read_table
+from marketflow.llm.cover_tree import embedding_links
 from marketflow.llm.exact_dedup import exact_groups
 from marketflow.llm.line_dedup import drop_common_lines
 from marketflow.llm.mixing import mix
@@ -23,6 +24,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_links(read_table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), window=1024)
 
@@ -48,6 +53,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash": op2_simhash,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_packing": op5_packing,
     "op8_token_counts": op8_token_counts,
     "op6_mixing": op6_mixing,
@@ -68,6 +74,20 @@ m AS (SELECT k.*, common.key IS NOT NULL AS gone FROM k LEFT JOIN common USING (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM m GROUP BY doc_id""",
+    "op4_embedding_dedup": """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+      ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+     AND list_cosine_similarity(a.e, b.e) >= 0.98),
+r AS (SELECT a AS vec_id, a AS seen FROM l UNION SELECT r.vec_id, l.b FROM r JOIN l ON r.seen = l.a),
+c AS (SELECT vec_id, min(seen) AS m FROM r GROUP BY vec_id),
+n AS (SELECT a AS vec_id, count(*) AS k FROM l GROUP BY a)
+SELECT e.vec_id, coalesce(k, 0)::BIGINT AS n_links, least(e.vec_id, coalesce(m, e.vec_id)) AS component_id,
+       e.vec_id = least(e.vec_id, coalesce(m, e.vec_id)) AS kept
+FROM embeddings e LEFT JOIN n USING (vec_id) LEFT JOIN c USING (vec_id)""",
     "op7_exact_dedup": rf"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text,
                   sha256(regexp_replace(coalesce(text, ''), '{WS_CLASS}', '', 'g')) AS text_sha256

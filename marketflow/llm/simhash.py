@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketflow.llm.common import LOWER, UPPER, materialise, shuffle_partitions
-from marketflow.llm.components import component_roots, smallest_member
+from marketflow.llm.components import component_roots, smallest_member, spanning_forest
 
 TILE = 1024
 _SLICE = 256  # rows of one in-memory comparison
@@ -106,17 +106,8 @@ def spanning_links(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray
             left.append(i + a)
             right.append(j + b)
     i, j = np.concatenate(left), np.concatenate(right)
-    label = np.arange(len(fps))
-    while True:
-        low = label.copy()
-        np.minimum.at(low, i, label[j])
-        np.minimum.at(low, j, label[i])
-        low = low[low]
-        if (low == label).all():
-            break
-        label = low
-    child = np.nonzero(label != np.arange(len(fps)))[0]
-    return fps[child], fps[label[child]]
+    child, parent = spanning_forest(i, j, len(fps))
+    return fps[child], fps[parent]
 
 
 def _links(cells: DataFrame, radius: int) -> DataFrame:
