@@ -69,7 +69,7 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     path = tokenizer_path or default_path()
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     encoder = Encoder(path)
-    lengths = {t: len(encoder.ids(t)) for t in frequent_pre_tokens(rows.select("text"))}
+    lengths = {t: len(encoder.pre_token(t)) for t in frequent_pre_tokens(rows.select("text"))}
     run_key = uuid.uuid4().hex
     table = docs.sparkSession.sparkContext.broadcast(zlib.compress(json.dumps(lengths).encode()))
 

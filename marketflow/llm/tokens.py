@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import re
+from struct import pack
 
 import numpy as np
 
@@ -20,7 +21,7 @@ LETTER = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 NUMBER = "0-9²³¹¼-¾"
 SPACE = "\t-\r \u0085 "
 PRE_TOKEN = re.compile(
-    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[{NUMBER}]+| ?[^{LETTER}{NUMBER}{SPACE}]+"
+    rf" ?[{LETTER}]+|'(?:s|t|re|ve|m|ll|d)| ?[{NUMBER}]+| ?[^{LETTER}{NUMBER}{SPACE}]+"
     rf"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 BEYOND = re.compile("[^\u0000-\u024f]")
 LONG_TEXT = 1 << 22  # code points from which pre-tokens are walked one by one instead of listed
@@ -31,6 +32,13 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def byte_signs() -> dict[int, str]:
+    """Byte-level vocabularies write printable Latin-1 bytes as themselves, the others from U+0100 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return {b: chr(b if b in plain else next(rest)) for b in range(256)}
+
+
 class Encoder:
     """The library's tokenizer, with pre-token splitting and the special strings it looks for."""
 
@@ -38,6 +46,7 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
+        self.model, self.signs = self.library.model, byte_signs()
         self.special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
         self.special_split = (re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
                               if self.special else None)
@@ -45,13 +54,16 @@ class Encoder:
     def ids(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
+    def pre_token(self, token: str) -> list:
+        """The library's merges on one pre-token, without its pipeline around them."""
+        return self.model.tokenize(token.encode().decode("latin-1").translate(self.signs))
+
     def pieces(self, text: str):
-        """The text as (special id, None), (None, pre-tokens) runs; None if the library must split it."""
+        """The text as (special id, "") and (None, ordinary text) runs; None if the library must split it."""
         if not text.isascii() and BEYOND.search(text):
             return None
         parts = self.special_split.split(text) if self.special_split else [text]
-        return [(self.special[p], None) if i % 2 else (None, split(p))
-                for i, p in enumerate(parts) if p]
+        return [(self.special[p], "") if i % 2 else (None, p) for i, p in enumerate(parts) if p]
 
 
 def split(text: str):
@@ -61,18 +73,26 @@ def split(text: str):
 
 
 class Cache(dict):
-    """Pre-token -> value, computed when first met; emptied when it holds ``most`` entries."""
+    """Pre-token -> value, computed when first met.
+
+    Two generations of at most ``most`` entries: a full one is set aside and the
+    one before it dropped, so what is met often stays and memory is bounded.
+    """
 
     def __init__(self, make, most: int):
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.most, self.before = make, most, {}
 
     def __missing__(self, token):
+        value = self.before.get(token)
+        if value is None:
+            value = self.make(token)
+            if len(token) > 64:
+                return value
         if len(self) >= self.most:
+            self.before = dict(self)
             self.clear()
-        value = self.make(token)
-        if len(token) <= 64:
-            self[token] = value
+        self[token] = value
         return value
 
 
@@ -81,15 +101,19 @@ class IdCache:
 
     def __init__(self, path: str, most: int = 1 << 19):
         self.encoder = Encoder(path)
-        self.cache = Cache(lambda t: np.array(self.encoder.ids(t), "<u4").tobytes(), most)
+        self.tokens = Cache(self._merge, most)
+
+    def _merge(self, token: str) -> bytes:
+        found = self.encoder.pre_token(token)
+        return pack(f"<{len(found)}I", *[t.id for t in found])
 
     def encode(self, text: str) -> bytes:
         pieces = self.encoder.pieces(text)
         if pieces is None:
             return np.array(self.encoder.ids(text), "<u4").tobytes()
-        look = self.cache.__getitem__
-        return b"".join(int(special).to_bytes(4, "little") if tokens is None else b"".join(map(look, tokens))
-                        for special, tokens in pieces)
+        look = self.tokens.__getitem__
+        return b"".join(b"".join(map(look, split(part))) if special is None else int(special).to_bytes(4, "little")
+                        for special, part in pieces)
 
 
 class Counts(dict):
@@ -98,7 +122,7 @@ class Counts(dict):
     def __init__(self, frequent: dict[str, int], path: str, most: int = 1 << 19):
         super().__init__(frequent)
         self.encoder = Encoder(path)
-        self.rare = Cache(lambda t: len(self.encoder.ids(t)), most)
+        self.rare = Cache(lambda t: len(self.encoder.pre_token(t)), most)
 
     def __missing__(self, token):
         return self.rare[token]
@@ -108,4 +132,4 @@ class Counts(dict):
         if pieces is None:
             return len(self.encoder.ids(text))
         look = self.__getitem__
-        return sum(1 if tokens is None else sum(map(look, tokens)) for _, tokens in pieces)
+        return sum(1 if special is not None else sum(map(look, split(part))) for special, part in pieces)
