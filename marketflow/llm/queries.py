@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketflow.llm.common import read_table
+from marketflow.llm.common import crc32_mod, read_table
 from marketflow.llm.cover_tree import embedding_links
 from marketflow.llm.exact_dedup import exact_groups
 from marketflow.llm.line_dedup import drop_common_lines
@@ -13,6 +13,7 @@ from marketflow.llm.mixing import mix
 from marketflow.llm.packing import pack
 from marketflow.llm.simhash import near_duplicates
 from marketflow.llm.token_counts import count_tokens
+from marketflow.llm.toxicity import score_toxicity, train_toxicity
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +25,15 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train_toxicity(docs, read_table(spark, sf_dir, "labels"), train=lambda c: crc32_mod(c, 5) != 0)
+    score = F.col("__llm_toxic")
+    return score_toxicity(docs, model).select(
+        "doc_id", (crc32_mod(F.col("doc_id"), 5) == 0).alias("held_out"), score.alias("score"),
+        F.when(score >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_links(read_table(spark, sf_dir, "embeddings"), threshold=0.98)
 
@@ -53,6 +63,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash": op2_simhash,
+    "op3_toxicity": op3_toxicity,
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_packing": op5_packing,
     "op8_token_counts": op8_token_counts,
