@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from marketflow.llm.common import crc32_mod, read_table
 from marketflow.llm.cover_tree import embedding_links
 from marketflow.llm.exact_dedup import exact_groups
+from marketflow.llm.langid import identify, train_languages
 from marketflow.llm.line_dedup import drop_common_lines
 from marketflow.llm.mixing import mix
 from marketflow.llm.packing import pack
@@ -60,6 +61,12 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = train_languages(docs, train=crc32_mod(F.col("doc_id"), 4) != 2)
+    return identify(docs, model).select("doc_id", (crc32_mod(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash": op2_simhash,
@@ -67,6 +74,7 @@ QUERIES = {
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_packing": op5_packing,
     "op8_token_counts": op8_token_counts,
+    "op10_language_id": op10_language_id,
     "op6_mixing": op6_mixing,
     "op7_exact_dedup": op7_exact_dedup,
 }
