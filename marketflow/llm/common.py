@@ -16,15 +16,15 @@ LOWER_AZ = {c: c + 32 for c in range(65, 91)}
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once under the cluster's shared folder and read it back.
+def materialise(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
+    """Write ``df`` once under the cluster's shared folder and read it back, in at most ``files`` files.
 
     This cuts the lineage: what follows reads files every executor can see, so
     a lost executor never makes Spark repeat the work above.
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
-    df.write.parquet(path)
+    (df.coalesce(files) if files else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
