@@ -9,6 +9,7 @@ from marketflow.llm.common import crc32_mod, read_table
 from marketflow.llm.cover_tree import embedding_links
 from marketflow.llm.exact_dedup import exact_groups
 from marketflow.llm.langid import identify, train_languages
+from marketflow.llm.licenses import ANCHORS, TEMPLATES, THRESHOLD, scan_licenses
 from marketflow.llm.line_dedup import drop_common_lines
 from marketflow.llm.mixing import mix
 from marketflow.llm.packing import pack
@@ -61,6 +62,16 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as a tree ``source/lang/block of 64 ids``, whose first id is the block's licence file."""
+    docs = read_table(spark, sf_dir, "documents")
+    name = F.when(F.col("doc_id") % 64 == 0, F.concat(F.lit("LICENSE_"), F.col("doc_id"))).otherwise(F.concat(F.col("doc_id"), F.lit(".txt")))
+    path = F.concat_ws("/", F.lit("corpus"), "source", F.floor(F.col("doc_id") / 64), name)
+    found = scan_licenses(docs.select(path.alias("path"), "text"))
+    doc_id = F.regexp_extract("path", r"(-?\d+)(\.txt)?$", 1).try_cast("bigint")
+    return found.select(doc_id.alias("doc_id"), "path", "license", "score", "found_in", "origin")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = train_languages(docs, train=crc32_mod(F.col("doc_id"), 4) != 2)
@@ -74,6 +85,7 @@ QUERIES = {
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_packing": op5_packing,
     "op8_token_counts": op8_token_counts,
+    "op9_licenses": op9_licenses,
     "op10_language_id": op10_language_id,
     "op6_mixing": op6_mixing,
     "op7_exact_dedup": op7_exact_dedup,
@@ -81,6 +93,9 @@ QUERIES = {
 
 WS_CLASS = r"[\x20\x09-\x0D]"
 
+_TEMPLATE_ROWS = ", ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(TEMPLATES))
+_ANCHOR = "(?i)(^|[^a-zA-Z0-9])(" + "|".join(ANCHORS) + ")([^a-zA-Z0-9]|$)"
+
 ORACLE_SQL = {
     "op1_line_dedup": rf"""
 WITH l AS (SELECT doc_id, generate_subscripts(lines, 1) AS pos, unnest(lines) AS line
@@ -107,6 +122,38 @@ n AS (SELECT a AS vec_id, count(*) AS k FROM l GROUP BY a)
 SELECT e.vec_id, coalesce(k, 0)::BIGINT AS n_links, least(e.vec_id, coalesce(m, e.vec_id)) AS component_id,
        e.vec_id = least(e.vec_id, coalesce(m, e.vec_id)) AS kept
 FROM embeddings e LEFT JOIN n USING (vec_id) LEFT JOIN c USING (vec_id)""",
+    "op9_licenses": rf"""
+WITH files AS (SELECT doc_id, coalesce(text, '') AS text, doc_id % 64 = 0 AS is_licence,
+    concat_ws('/', 'corpus', source, floor(doc_id / 64)::BIGINT) AS dir FROM documents),
+named AS (SELECT *, dir || '/' || CASE WHEN is_licence THEN 'LICENSE_' || doc_id ELSE doc_id || '.txt' END AS path FROM files),
+templates(i, name, body) AS (VALUES {_TEMPLATE_ROWS}),
+tt AS (SELECT i, term, count(*) AS tf FROM (SELECT i, unnest(regexp_split_to_array(lower(body), '[^a-z0-9]+')) AS term
+       FROM templates) WHERE term <> '' GROUP BY ALL),
+seen AS (SELECT term, count(DISTINCT doc_id) AS df FROM (
+       SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z0-9]+')) AS term FROM files)
+       WHERE term IN (SELECT term FROM tt) GROUP BY term),
+idf AS (SELECT term, ln(((SELECT count(*) FROM files) + 1) / (coalesce(df, 0) + 1)) + 1 AS idf
+        FROM (SELECT DISTINCT term FROM tt) LEFT JOIN seen USING (term)),
+tv AS (SELECT i, term, tf * idf AS w FROM tt JOIN idf USING (term)),
+tn AS (SELECT i, term, w / sqrt(sum(w * w) OVER (PARTITION BY i)) AS share FROM tv),
+lines AS (SELECT doc_id, n, line FROM (SELECT doc_id, generate_subscripts(l, 1) AS n, unnest(l) AS line
+          FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM files)) WHERE regexp_matches(line, '{_ANCHOR}')
+          UNION ALL SELECT doc_id, 0, text FROM files WHERE is_licence),
+terms AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(regexp_split_to_array(lower(line), '[^a-z0-9]+')) AS term
+          FROM lines) WHERE term <> '' GROUP BY ALL),
+weighed AS (SELECT doc_id, n, term, tf * coalesce(idf, ln((SELECT count(*) FROM files) + 1) + 1) AS w FROM terms LEFT JOIN idf USING (term)),
+norms AS (SELECT doc_id, n, sqrt(sum(w * w)) AS norm FROM weighed GROUP BY ALL),
+scores AS (SELECT doc_id, i, round(sum(w * share) / any_value(norm), 6) AS score
+           FROM weighed JOIN tn USING (term) JOIN norms USING (doc_id, n) GROUP BY doc_id, n, i),
+own AS (SELECT doc_id, name AS license, score FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, i) AS r FROM scores)
+        JOIN templates USING (i) WHERE r = 1 AND score >= {THRESHOLD}),
+marked AS (SELECT * FROM named LEFT JOIN own USING (doc_id)),
+held AS (SELECT dir, path AS from_path, license AS from_license, score AS from_score FROM (
+         SELECT *, row_number() OVER (PARTITION BY dir ORDER BY score DESC, path) AS r FROM marked WHERE is_licence AND license IS NOT NULL) WHERE r = 1)
+SELECT doc_id, path, coalesce(license, from_license) AS license, coalesce(score, from_score) AS score,
+       CASE WHEN license IS NOT NULL THEN path ELSE from_path END AS found_in,
+       CASE WHEN license IS NOT NULL THEN 'own' WHEN from_license IS NOT NULL THEN 'inherited' END AS origin
+FROM marked LEFT JOIN held USING (dir)""",
     "op7_exact_dedup": rf"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text,
                   sha256(regexp_replace(coalesce(text, ''), '{WS_CLASS}', '', 'g')) AS text_sha256
