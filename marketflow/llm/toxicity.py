@@ -15,8 +15,9 @@ on the map side; the model (at most ``TERMS`` terms) travels in the closure.
 
 from __future__ import annotations
 
+import heapq
 import math
-import re
+import string
 import uuid
 from collections import Counter
 
@@ -37,9 +38,9 @@ WINDOW = 6
 STEM = range(3, 13)  # lengths of stems
 WORD_LENGTHS = range(3, 25)
 FUZZY_FROM = 5  # terms of at least so many letters may be one edit off
-EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 # Quotation marks, and words of reporting that make a following term a mention.
 OPENING, CLOSING = "\"'“„«‘‚‹", "\"'”“»’‘›"
+EDGE = string.punctuation + "“„«‘‚‹”»’›…–—¡¿"
 REPORTING = frozenset("said says called calls word term quote quoted wrote dit mot terme sagte wort zitat dijo palabra cita".split())
 
 
@@ -49,8 +50,7 @@ class Lexicon:
     def __init__(self, terms: list[tuple[str, bool, float]]):
         self.terms = terms
         self.root: dict = {}
-        self.heads: dict[int, set[str]] = {}
-        self.tails: dict[tuple[int, int], set[str]] = {}
+        self.parts: dict[tuple[int, int], set[str]] = {}
         for n, (term, _, _) in enumerate(terms):
             node = self.root
             for c in term:
@@ -61,11 +61,11 @@ class Lexicon:
     def _index(self, term: str) -> None:
         """Parts of a term of which a word within its edits has at least one in place."""
         half = len(term) // 2 if self.edits(term) else len(term)
-        self.heads.setdefault(half, set()).add(term[:half])
+        self.parts.setdefault((0, half), set()).add(term[:half])
         if self.edits(term):
             tail = term[half:]
             for at in (half - 1, half, half + 1):
-                self.tails.setdefault((at, at + len(tail)), set()).add(tail)
+                self.parts.setdefault((at, at + len(tail)), set()).add(tail)
 
     @staticmethod
     def edits(term: str) -> int:
@@ -73,8 +73,10 @@ class Lexicon:
 
     def possible(self, word: str) -> bool:
         """False only for words that no term can match: one edit leaves a term's head or tail intact."""
-        return (any(word[:n] in heads for n, heads in self.heads.items())
-                or any(word[a:b] in tails for (a, b), tails in self.tails.items()))
+        for (a, b), parts in self.parts.items():
+            if word[a:b] in parts:
+                return True
+        return False
 
     def match(self, word: str):
         """The best ``(weight, edits)`` of the terms that the word, or for a stem its start, is within reach of."""
@@ -139,13 +141,13 @@ def is_quotation(words: list[str], at: int) -> bool:
     before, after = words[max(0, at - WINDOW):at + 1], words[at:at + WINDOW + 1]
     opened = any(w[0] in OPENING for w in before) and not any(w[-1] in CLOSING for w in before[:-1])
     closed = any(w.rstrip(".,;:!?")[-1:] in CLOSING and w.rstrip(".,;:!?") != "" for w in after)
-    reported = any(EDGE.sub("", w) in REPORTING for w in before[-3:-1])
+    reported = any(w.strip(EDGE) in REPORTING for w in before[-3:-1])
     return (opened and closed) or (reported and opened)
 
 
 def word_terms(word: str):
     """The exact word and its stems, as terms: a trailing ``$`` marks an exact word."""
-    word = EDGE.sub("", word)
+    word = word.strip(EDGE)
     if len(word) in WORD_LENGTHS and not word.isdigit():
         yield word + "$"
         for n in STEM:
@@ -176,15 +178,20 @@ def _learn_terms(sample: DataFrame, ratio: float, least: int) -> list[tuple[str,
 
     def count(batches):
         seen = (Counter(), Counter())
+
+        def flush(y):
+            names, n = list(seen[y]), np.fromiter(seen[y].values(), np.int64, len(seen[y]))
+            seen[y].clear()
+            return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(n * (1 - y)), pa.array(n * y)],
+                                              ["term", "clean", "toxic"])
+
         for batch in batches:
             for text, y in zip(batch.column(0), batch.column(1).to_pylist()):
                 seen[y].update(_terms_of(text.as_py()))
-        for y in (0, 1):
-            for at in range(0, len(items := list(seen[y].items())), 1 << 16):
-                part = items[at:at + (1 << 16)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([t for t, _ in part]), pa.array([n * (1 - y) for _, n in part], pa.int64()),
-                     pa.array([n * y for _, n in part], pa.int64())], ["term", "clean", "toxic"])
+                if len(seen[y]) > 1 << 17:
+                    yield flush(y)
+        yield flush(0)
+        yield flush(1)
 
     counts = (sample.select("text", "toxic").mapInArrow(count, "term string, clean bigint, toxic bigint")
               .groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
@@ -206,20 +213,25 @@ def _learn_terms(sample: DataFrame, ratio: float, least: int) -> list[tuple[str,
             explained[t].add(i)
     chosen: list[tuple[str, bool, float]] = []
     times: Counter = Counter()
-    gain = {t: len(d) for t, d in explained.items()}
-    while gain and len(chosen) < TERMS:
+
+    def rank(term, gain):
         # Ties go to the purer term, then to whole words, then to the longer term.
-        best = max(gain, key=lambda t: (gain[t] * candidates[t]["share"] ** 2, candidates[t]["share"], t.endswith("$"), len(t), t))
-        new = [d for d in explained[best] if times[d] < COVER]
-        if gain[best] > len(new) >= least:
-            gain[best] = len(new)
-            continue
-        del gain[best]
-        word = best.rstrip("$")
+        share = candidates[term]["share"]
+        return -gain * share ** 2, -share, not term.endswith("$"), -len(term), term, gain
+
+    heap = [rank(t, len(d)) for t, d in explained.items()]
+    heapq.heapify(heap)
+    while heap and len(chosen) < TERMS:
+        *_, term, gain = heapq.heappop(heap)
+        new = [d for d in explained[term] if times[d] < COVER]
+        word = term.rstrip("$")
         if len(new) < least or any(word.startswith(t) for t, stem, _ in chosen if stem):
             continue  # too few, or a chosen stem already matches it
-        r = candidates[best]
-        chosen.append((word, not best.endswith("$"), round(math.log((r["toxic"] + 0.5) / (r["clean"] * ratio + 0.5)), 4)))
+        if len(new) < gain:
+            heapq.heappush(heap, rank(term, len(new)))
+            continue
+        r = candidates[term]
+        chosen.append((word, not term.endswith("$"), round(math.log((r["toxic"] + 0.5) / (r["clean"] * ratio + 0.5)), 4)))
         times.update(new)
     return chosen
 
@@ -243,7 +255,7 @@ def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> list[float]:
 
 def _matcher(model: dict) -> Cache:
     lexicon = Lexicon(model["terms"])
-    return Cache(lambda word: lexicon.match(EDGE.sub("", word)), 1 << 19)
+    return Cache(lambda word: lexicon.match(word.strip(EDGE)), 1 << 18)
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, train=None, id_col: str = "doc_id",
