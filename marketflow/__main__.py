@@ -1,12 +1,15 @@
 """Command line for the daily steps, for an orchestrator or spark-submit.
 
-    python -m marketflow lake-cut      --lake PATH --default DATE
+    python -m marketflow lake-cut      --lake PATH --default DATE [--since DATE]
     python -m marketflow clean-master  --raw PATH --out PATH
     python -m marketflow enrich        --messages PATH --master PATH --lake PATH --checkpoint PATH
                                        [--cut-token TOKEN | --cut DATE]
     python -m marketflow load          --lake PATH --warehouse PATH --initial-cut DATE [--lookback-days N]
     python -m marketflow news          --texts PATH --tickers A,B --warehouse PATH [--horizon-days N]
+                                       [--whole-files]
 
+Before the step: ``--checkpoint-dir`` names the folder that the driver and all
+executors share (``spark.checkpoint.dir``); only local masters do without.
 ``lake-cut`` prints the cut's base64 token as its last line, which ``enrich``
 takes as ``--cut-token``. The warehouse here is a Parquet folder; a JDBC
 warehouse is used through the library (``JdbcWarehouse``) so that credentials
@@ -35,11 +38,14 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--master-url", default=None, help="Spark master (default: from spark-submit)")
     parser.add_argument("--conf", action="append", default=[], metavar="KEY=VALUE",
                         help="extra Spark setting (repeatable)")
+    parser.add_argument("--checkpoint-dir", default=None,
+                        help="shared folder for derived tables (spark.checkpoint.dir)")
     sub = parser.add_subparsers(dest="step", required=True)
 
     p = sub.add_parser("lake-cut")
     p.add_argument("--lake", required=True)
     p.add_argument("--default", required=True, type=_date)
+    p.add_argument("--since", type=_date, default=None, help="the last known cut")
 
     p = sub.add_parser("clean-master")
     p.add_argument("--raw", required=True)
@@ -66,6 +72,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--tickers", required=True)
     p.add_argument("--warehouse", required=True)
     p.add_argument("--horizon-days", type=int, default=None)
+    p.add_argument("--whole-files", action="store_true", help="one JSON text per file, not per line")
 
     args = parser.parse_args(argv)
 
@@ -78,13 +85,15 @@ def main(argv: list[str] | None = None) -> int:
     builder = SparkSession.builder.appName(f"marketflow-{args.step}")
     if args.master_url:
         builder = builder.master(args.master_url)
+    if args.checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", args.checkpoint_dir)
     for item in args.conf:
         key, _, value = item.partition("=")
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     try:
         if args.step == "lake-cut":
-            row = jobs.lake_cut_token(spark, args.lake, args.default).first()
+            row = jobs.lake_cut_token(spark, args.lake, args.default, args.since).first()
             print(row["token"] if row else base64.b64encode(f"{args.default}\n".encode()).decode())
         elif args.step == "clean-master":
             jobs.clean_master_table(spark, args.raw, args.out)
@@ -100,9 +109,9 @@ def main(argv: list[str] | None = None) -> int:
             print(json.dumps(out, default=str))
         elif args.step == "news":
             wh = ParquetWarehouse(spark, args.warehouse)
-            rejected = jobs.publish_articles(spark, args.texts, args.tickers, wh,
-                                             horizon_days=args.horizon_days)
-            print(json.dumps({"articles_rejected": rejected.count()}))
+            out = jobs.publish_articles(spark, args.texts, args.tickers, wh,
+                                        horizon_days=args.horizon_days, whole_files=args.whole_files)
+            print(json.dumps(out))
     finally:
         spark.stop()
     return 0

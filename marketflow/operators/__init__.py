@@ -2,7 +2,7 @@
 
 from marketflow.operators.calendar import calendar_gaps, day_calendar, month_calendar  # noqa: F401
 from marketflow.operators.contracts import (  # noqa: F401
-    ARTICLES_CONTRACT, CUT_CONTRACT, MARKET_DATA_CONTRACT, Rule, contract_report,
+    ARTICLES_CONTRACT, MARKET_DATA_CONTRACT, Rule, contract_report,
     split_by_contract,
 )
 from marketflow.operators.enrich import bars_from_messages, enrich  # noqa: F401
@@ -11,8 +11,8 @@ from marketflow.operators.incremental import (  # noqa: F401
 )
 from marketflow.operators.master import clean_master, latest_per_ticker  # noqa: F401
 from marketflow.operators.news import flatten_articles, keep_tickers, zip_explode  # noqa: F401
-from marketflow.operators.rows import count_rows, dedupe_rows, drop_columns, union_to_schema  # noqa: F401
+from marketflow.operators.rows import count_rows, dedupe_rows, union_to_schema  # noqa: F401
 from marketflow.operators.signals import (  # noqa: F401
     daily_return, daily_sentiment, guarded_pearson, next_trading_day, sentiment_price_corr,
 )
-from marketflow.operators.sizing import broadcast_if_small, spread_if_narrow  # noqa: F401
+from marketflow.operators.sizing import spread  # noqa: F401

@@ -17,16 +17,17 @@ def _c(c: str | Column) -> Column:
 def day_calendar(bounds: DataFrame, start: str | Column, end: str | Column,
                  name: str = "day") -> DataFrame:
     """Every day from ``start`` to ``end`` (both included), for each row of
-    ``bounds`` (usually a one-row aggregate)."""
-    seq = F.sequence(_c(start).cast("date"), _c(end).cast("date"), F.expr("INTERVAL 1 DAY"))
+    ``bounds`` (usually a one-row aggregate); none when ``start`` is later."""
+    first, last = _c(start).cast("date"), _c(end).cast("date")
+    seq = F.when(first <= last, F.sequence(first, last, F.expr("INTERVAL 1 DAY")))
     return bounds.select(F.explode(seq).alias(name))
 
 
 def request_days(spark, start, end=None, name: str = "day",
                  base_path: str | None = None) -> DataFrame:
     """Days to request from a daily API: ``start`` through ``end``, by
-    default yesterday (today's bars are not final yet). With ``base_path``,
-    also the per-day request path ``<base>/<yyyy-MM-dd>``."""
+    default yesterday (today's bars are not final yet); none when the caller
+    is up to date. With ``base_path``, also the per-day request path ``<base>/<yyyy-MM-dd>``."""
     from marketflow.functions.dates import as_date_value, day_text
     last = as_date_value(end) if end is not None else F.date_sub(F.current_date(), 1)
     bounds = spark.range(1).select(as_date_value(start).alias("s"), last.alias("e"))
@@ -43,7 +44,8 @@ def month_calendar(bounds: DataFrame, start: str | Column, end: str | Column,
     ``<base>/year=Y/month=M``."""
     first = F.trunc(_c(start).cast("date"), "MM")
     last = F.trunc(_c(end).cast("date"), "MM")
-    months = bounds.select(F.explode(F.sequence(first, last, F.expr("INTERVAL 1 MONTH"))).alias("m"))
+    seq = F.when(first <= last, F.sequence(first, last, F.expr("INTERVAL 1 MONTH")))
+    months = bounds.select(F.explode(seq).alias("m"))
     out = months.select(F.year("m").alias("year"), F.month("m").alias("month"))
     if base_path is not None:
         out = out.withColumn("path", F.concat(

@@ -42,7 +42,6 @@ MARKET_DATA_CONTRACT = [
     Rule(c, max_length=255) for c in (
         "name", "market", "locale", "primary_exchange", "type", "currency_name", "cik", "ticker")
 ]
-CUT_CONTRACT = [Rule("cut_date", not_null=True)]
 
 
 def _all_checks(rules: list[Rule]) -> list[tuple[str, Column]]:
@@ -52,8 +51,8 @@ def _all_checks(rules: list[Rule]) -> list[tuple[str, Column]]:
 def with_violations(df: DataFrame, rules: list[Rule], name: str = "violations") -> DataFrame:
     """Add an array of the names of the rules each row breaks (empty = valid)."""
     checks = _all_checks(rules)
-    flags = [F.when(pred, F.lit(rule)) for rule, pred in checks]
-    return df.withColumn(name, F.filter(F.array(*flags), lambda x: x.isNotNull()))
+    flags = F.array(*[F.when(pred, F.lit(rule)) for rule, pred in checks]).cast("array<string>")
+    return df.withColumn(name, F.filter(flags, lambda x: x.isNotNull()))
 
 
 def split_by_contract(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame]:

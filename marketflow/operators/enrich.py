@@ -21,9 +21,9 @@ def enrich(bars: DataFrame, master: DataFrame, cut=None, date_col: str = "transa
     The cut filter sits on the bar side before the join, so in batch it is
     pushed into the scan; only the master columns used are selected. Bars of
     unknown tickers drop. The master should hold one row per ticker
-    (``latest_per_ticker``), else bars multiply. Whether the master is
-    broadcast is the caller's choice (``broadcast_if_small``); unhinted, the
-    planner picks from sizes and AQE.
+    (``latest_per_ticker``), else bars multiply. No broadcast is hinted: Spark
+    picks one from file sizes under its own threshold, which AQE checks again at
+    run time; above it the join shuffles and AQE splits skewed tickers.
     """
     if cut is not None:
         bars = bars.where(after(date_col, cut))

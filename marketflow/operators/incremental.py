@@ -1,12 +1,14 @@
 """High-water-mark loads from the lake into the warehouse.
 
 The cut is one scalar read once per run (never once per month). New rows are
-found with one root scan: partition pruning by month plus a strict date filter,
-then whole-row de-duplication and a key anti-join against the rows already in
-the target (so a rerun after a crash between the data write and the cut write
-adds nothing). The batch is staged as Parquet in the shared folder before it
-is written, so the data write and the new cut see the same rows even when
-executors are lost and work is recomputed.
+found with one root scan: partition pruning by month plus a strict date filter.
+A row is loaded if no equal row (all columns, nulls equal) is in the target yet:
+one aggregate over the batch and the target's same window both removes
+duplicates and leaves out what is there, so reruns add nothing and the result
+does not depend on how rows are split into batches; a correction is a row of its
+own. The batch is staged as Parquet in the shared folder before it is written,
+so the data write and the new cut see the same rows even when executors are
+lost and work is recomputed.
 """
 
 from __future__ import annotations
@@ -20,11 +22,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketflow.functions.dates import as_date_value
+from marketflow.operators.contracts import with_violations
 from marketflow.schemas import CUT_TABLE
-from marketflow.operators.rows import dedupe_rows
-from marketflow.session import scratch_path
-from marketflow.sinks.jdbc import append_jdbc
-from marketflow.sources.jdbc import read_jdbc_table, read_max_cut
+from marketflow.session import delete_path, scratch_path
+from marketflow.sinks.jdbc import append_jdbc, overwrite_jdbc
+from marketflow.sources.jdbc import read_jdbc_table, read_max_cut, table_exists
 from marketflow.sources.parquet import is_missing_path, latest_partition, month_index
 
 log = logging.getLogger(__name__)
@@ -46,7 +48,8 @@ def lake_cut(lake: DataFrame, default=None, date_col: str = "transaction_date",
              since=None) -> DataFrame:
     """One row ``cut_date``: the newest date of the lake's newest month.
 
-    Step 1 reads only partition values (months before ``since`` pruned);
+    Step 1 reads only partition values, of the months from ``since`` on (the
+    last known cut: without it the files of every month are opened once);
     step 2 reads the date column of that single month (a literal partition
     filter, so the scan is pruned). Any year counts, so early January falls
     back to December, not to a fixed date.
@@ -63,29 +66,31 @@ def lake_cut(lake: DataFrame, default=None, date_col: str = "transaction_date",
     return month.agg(cut.cast("date").alias("cut_date"))
 
 
-def new_rows(lake: DataFrame, cut, target: DataFrame | None = None,
-             keys: list[str] | None = None, date_col: str = "transaction_date",
-             lookback_days: int = 0, floor=None) -> DataFrame:
-    """Lake rows strictly after ``cut - lookback_days`` not yet in ``target``.
+def new_rows(lake: DataFrame, cut, seen: list[DataFrame] | None = None,
+             date_col: str = "transaction_date", lookback_days: int = 0, floor=None) -> DataFrame:
+    """Distinct lake rows strictly after ``cut - lookback_days`` that no frame of
+    ``seen`` holds; rows are compared on all of the lake's columns, nulls equal.
 
-    ``lookback_days`` re-reads late rows for days already loaded; the key
-    anti-join keeps that from duplicating rows. The window never reaches below
-    ``floor`` (the first cut of the warehouse). Only target rows in the same
-    window are read for the anti-join.
+    ``lookback_days`` re-reads late rows for days already loaded. The window
+    never reaches below ``floor`` (the first cut of the warehouse), and only
+    seen rows in the same window are read. One shuffle serves both the
+    de-duplication and the comparison; copies are merged before it.
     """
     start = _to_date(cut) - _dt.timedelta(days=lookback_days)
     if floor is not None:
         start = max(start, _to_date(floor))
-    rows = dedupe_rows(_after_start(lake, date_col, start))
-    if target is not None and keys:
-        seen = _after_start(target, date_col, start).select(*keys).distinct()
-        rows = rows.join(seen, on=keys, how="left_anti")
-    return rows
+    rows = _after_start(lake, date_col, start)
+    columns = [F.col(f"`{c}`") for c in rows.columns]
+    tagged = rows.withColumn("_seen", F.lit(0))
+    for frame in seen or []:
+        old = _after_start(frame, date_col, start).select(*columns)
+        tagged = tagged.unionByName(old.withColumn("_seen", F.lit(1)))
+    return tagged.groupBy(*columns).agg(F.max("_seen").alias("_seen")).where("_seen = 0").drop("_seen")
 
 
 def _after_start(df: DataFrame, date_col: str, start: _dt.date) -> DataFrame:
     """``date > start``, plus the equivalent month filter on partitioned
-    tables so whole months before the start are never listed or read."""
+    tables, so files of whole months before the start are not read."""
     if "year" in df.columns and "month" in df.columns:
         df = df.where(month_index() >= F.lit(_month_index(start)))
     return df.where(F.col(date_col) > F.lit(start))
@@ -144,24 +149,34 @@ class ParquetWarehouse:
 
 
 class JdbcWarehouse:
-    """Warehouse tables in a database reached over JDBC. ``truncate`` makes
-    overwrites keep the table definitions (rows must then match them)."""
+    """Warehouse tables in a database reached over JDBC.
 
-    def __init__(self, spark: SparkSession, url: str, properties: dict, truncate: bool = False):
+    ``truncate`` makes overwrites keep the table definitions (rows must then
+    match them). ``splits`` gives per table the arguments of a read in parallel
+    (``partition_column``, ``lower_bound``, ``upper_bound``, ``num_partitions``),
+    and ``connections`` how many connections a write may use.
+    """
+
+    def __init__(self, spark: SparkSession, url: str, properties: dict, truncate: bool = False,
+                 splits: dict[str, dict] | None = None, connections: int | None = None):
         self.spark, self.url, self.properties = spark, url, properties
-        self.truncate = truncate
+        self.truncate, self.splits, self.connections = truncate, splits or {}, connections
 
     def read(self, table: str, schema=None) -> DataFrame | None:
-        return read_jdbc_table(self.spark, self.url, table, self.properties)
+        """The table, or None when the database does not list it."""
+        if not table_exists(self.spark, self.url, self.properties, table):
+            return None
+        return read_jdbc_table(self.spark, self.url, table, self.properties, **self.splits.get(table, {}))
 
     def append(self, table: str, df: DataFrame) -> None:
-        append_jdbc(df, self.url, table, self.properties)
+        append_jdbc(df, self.url, table, self.properties, self.connections)
 
     def overwrite(self, table: str, df: DataFrame) -> None:
-        from marketflow.sinks.jdbc import overwrite_jdbc
         overwrite_jdbc(df, self.url, table, self.properties, truncate=self.truncate)
 
     def max_cut(self, table: str = "cutting_dates") -> DataFrame | None:
+        if not table_exists(self.spark, self.url, self.properties, table):
+            return None
         return read_max_cut(self.spark, self.url, self.properties, table)
 
 
@@ -174,7 +189,7 @@ def read_cut(warehouse: Warehouse, initial_cut=None, table: str = "cutting_dates
     return _to_date(value) if value is not None else _to_date(initial_cut)
 
 
-def load_increment(lake: DataFrame, warehouse: Warehouse, keys: list[str],
+def load_increment(lake: DataFrame, warehouse: Warehouse,
                    data_table: str = "market_data", cut_table: str = "cutting_dates",
                    initial_cut=None, cut=None, date_col: str = "transaction_date",
                    lookback_days: int = 0, drop_columns: list[str] | None = None,
@@ -185,40 +200,41 @@ def load_increment(lake: DataFrame, warehouse: Warehouse, keys: list[str],
     lookback never reaches below ``initial_cut``. With ``contract`` (a list
     of ``contracts.Rule``) only rows meeting it are appended; the others go
     to ``reject_table`` (if given) with their ``violations``, and are counted
-    in the summary. The new cut is written last and only when rows were
-    loaded; returns a summary.
+    in the summary. Rows already in either table are left out, so a rerun,
+    also one after a crash between two writes, repeats nothing. The new cut is
+    written last and only if it is above the stored one; returns a summary.
     """
     spark = lake.sparkSession
-    start = _to_date(cut) if cut is not None else read_cut(warehouse, initial_cut, cut_table)
+    stored = read_cut(warehouse, None, cut_table)
+    start = _to_date(cut) if cut is not None else stored or _to_date(initial_cut)
     if start is None:
-        return {"cut_before": None, "rows_loaded": 0, "cut_after": None}
-    target = warehouse.read(data_table, schema=lake.drop(*(drop_columns or [])).schema)
-    batch = new_rows(lake, start, target, keys, date_col, lookback_days, floor=initial_cut)
-    if drop_columns:
-        batch = batch.drop(*drop_columns)
-    # Cut the lineage with a staged Parquet copy in the shared folder: one
-    # job computes the batch, and the data write and the new cut both read
-    # the same rows, even when executors are lost and tasks rerun.
+        return {"cut_before": None, "rows_loaded": 0, "rows_rejected": 0, "cut_after": None}
+    # ``year``/``month`` prune the lake's files before they may be dropped.
+    floor = None if initial_cut is None else _to_date(initial_cut)
+    since = start - _dt.timedelta(days=lookback_days)
+    rows = _after_start(lake, date_col, since if floor is None else max(since, floor)).drop(*(drop_columns or []))
+    tables = [warehouse.read(data_table, schema=rows.schema)]
+    if contract and reject_table:
+        tables.append(warehouse.read(reject_table))
+    batch = new_rows(rows, start, [t for t in tables if t is not None], date_col, lookback_days, floor)
+    staged = with_violations(batch, contract or [])
+    # Cut the lineage with a staged copy in the shared folder: one job computes
+    # the batch, and all writes read the same rows, even when executors are lost.
     stage = scratch_path(spark, f"stage-{data_table}")
-    batch.write.parquet(stage)
-    batch = spark.read.schema(batch.schema).parquet(stage)
-    stats = batch.agg(F.count(F.lit(1)).alias("n"),
-                      F.max(date_col).cast("date").alias("m")).first()
-    if stats["n"] == 0:
-        log.info("load %s: no new rows after %s", data_table, start)
-        return {"cut_before": start, "rows_loaded": 0, "cut_after": start}
-    rejected_n = 0
-    if contract:
-        from marketflow.operators.contracts import split_by_contract
-        valid, rejected = split_by_contract(batch, contract)
-        rejected_n = rejected.count()
-        if rejected_n and reject_table:
-            warehouse.append(reject_table, rejected.withColumn(
-                "violations", F.array_join("violations", ",")))
-        batch = valid
-    warehouse.append(data_table, batch)
-    warehouse.append(cut_table, spark.createDataFrame([(stats["m"],)], CUT_TABLE))
+    staged.write.parquet(stage)
+    staged = spark.read.schema(staged.schema).parquet(stage)
+    bad = F.size("violations") > 0
+    stats = staged.agg(F.count(F.when(~bad, 1)).alias("good"), F.count(F.when(bad, 1)).alias("bad"),
+                       F.max(date_col).cast("date").alias("m")).first()
+    after = max(d for d in (start, stored, stats["m"]) if d is not None)
+    if stats["bad"] and reject_table:
+        warehouse.append(reject_table, staged.where(bad).withColumn("violations", F.array_join("violations", ",")))
+    if stats["good"]:
+        warehouse.append(data_table, staged.where(~bad).drop("violations"))
+    if stats["m"] is not None and (stored is None or stats["m"] > stored):
+        warehouse.append(cut_table, spark.createDataFrame([(stats["m"],)], CUT_TABLE))
+    delete_path(spark, stage)
     log.info("load %s: %d rows after %s (%d rejected), cut now %s",
-             data_table, stats["n"] - rejected_n, start, rejected_n, stats["m"])
-    return {"cut_before": start, "rows_loaded": stats["n"] - rejected_n,
-            "rows_rejected": rejected_n, "cut_after": stats["m"]}
+             data_table, stats["good"], start, stats["bad"], after)
+    return {"cut_before": start, "rows_loaded": stats["good"],
+            "rows_rejected": stats["bad"], "cut_after": after}

@@ -29,9 +29,13 @@ def latest_per_ticker(raw: DataFrame, key: str = "ticker",
     """Exactly one row per ticker: the newest version (ties broken by the
     other columns, so the result is deterministic).
 
-    A ``max`` of a struct is a partial aggregate, so a ticker with very many
-    versions is reduced map-side rather than sorted in one task.
+    Versions are compared as times (as text, ``...00Z`` would come after
+    ``...00.5Z``); one that is no time loses to any that is. Re-sent rows are
+    merged by hash first, and a ``max`` of a struct is a partial aggregate, so a
+    ticker with very many versions is reduced map-side.
     """
     others = [c for c in raw.columns if c not in (key, version_col)]
-    best = raw.groupBy(key).agg(F.max(F.struct(version_col, *others)).alias("v"))
+    newest = F.struct(F.col(version_col).try_cast("timestamp").alias("_at"), F.col(version_col).alias("_text"),
+                      *[F.col(f"`{c}`") for c in others])
+    best = raw.dropDuplicates().groupBy(key).agg(F.max(newest).alias("v"))
     return best.select(key, *[F.col(f"v.{c}").alias(c) for c in others])

@@ -4,16 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketflow import schemas
 from marketflow.functions.dates import ISO_Z_FORMAT, day_text, published_date
-from marketflow.operators.sizing import broadcast_if_small
 
 
 def explode_articles(texts: DataFrame, text_col: str = "json_data") -> DataFrame:
-    """Texts holding JSON arrays of articles -> one row per article document."""
-    docs = F.from_json(F.col(text_col), schemas.ARTICLE_ARRAY)
-    return texts.select(F.explode(docs).alias("a")).select("a.*")
+    """Texts holding a JSON array of articles, or a page envelope with the
+    articles in ``results`` -> one row per article document. Only the fields
+    used further on are parsed."""
+    return texts.select(F.explode(article_documents(text_col)).alias("a")).select("a.*")
+
+
+def article_documents(text_col: str = "json_data") -> Column:
+    """The article documents of a text as an array; null for a text that is neither form."""
+    text = F.col(text_col)
+    pages = F.from_json(text, schemas.envelope(schemas.ARTICLE_USED)).getField("results")
+    return F.when(F.ltrim(text).startswith("{"), pages).otherwise(
+        F.from_json(text, T.ArrayType(schemas.ARTICLE_USED, True)))
+
+
+def unparsed_texts(texts: DataFrame, text_col: str = "json_data") -> DataFrame:
+    """Non-empty texts that hold no article document: neither an array nor a page with results."""
+    last_page = F.from_json(F.col(text_col), schemas.envelope(T.StringType())).getField("request_id").isNotNull()
+    return texts.where((F.trim(text_col) != "") & article_documents(text_col).isNull() & ~last_page)
 
 
 def article_projection(articles: DataFrame) -> DataFrame:
@@ -23,6 +38,7 @@ def article_projection(articles: DataFrame) -> DataFrame:
     requests collapses to one before it is exploded.
     """
     return articles.select(
+        # The output column names are those of the articles table.
         F.col("title").alias("article_title"),
         F.col("publisher.name").alias("publisher"),
         F.col("author"),
@@ -50,14 +66,15 @@ def keep_tickers(df: DataFrame, tickers, col: str = "ticker") -> DataFrame:
     """Rows whose ``col`` is in ``tickers``.
 
     ``tickers`` is a comma list, a Python list (a literal ``IN``), or a frame
-    with a ``ticker`` column (left-semi join, broadcast only when measured small).
+    with a ``ticker`` column (left-semi join; Spark broadcasts it only below
+    its own threshold).
     """
     if tickers is None:
         return df
     if isinstance(tickers, str):
         tickers = _ticker_list(tickers)
     if isinstance(tickers, DataFrame):
-        watch = broadcast_if_small(tickers.select(F.col("ticker").alias("_watch")).distinct())
+        watch = tickers.select(F.col("ticker").alias("_watch")).distinct()
         return df.join(watch, df[col] == watch["_watch"], "left_semi")
     return df.where(F.col(col).isin(list(tickers)))
 
@@ -72,13 +89,16 @@ def flatten_articles(texts: DataFrame, tickers=None, text_col: str = "json_data"
     a null sentiment; a null insight gives a null ticker, which the ticker
     filter removes. The same ticker twice in one article gives two rows.
     ``published_after`` (a timestamp value or Column, e.g. ``anchor - 100
-    days``) keeps only articles published strictly later, the news horizon.
+    days``) keeps only articles published strictly later, the news horizon;
+    times with fractional seconds or an offset count too, and an article whose
+    time cannot be read at all is left out.
     """
     articles = explode_articles(texts, text_col)
     if published_after is not None:
         bound = published_after if isinstance(published_after, Column) else F.lit(published_after)
-        articles = articles.where(
-            F.try_to_timestamp(F.col("published_utc"), F.lit(ISO_Z_FORMAT)) > bound)
+        published = F.coalesce(F.try_to_timestamp(F.col("published_utc"), F.lit(ISO_Z_FORMAT)),
+                               F.col("published_utc").try_cast("timestamp"))
+        articles = articles.where(published > bound)
     watched = _ticker_list(tickers)
     if watched is not None:
         # Articles naming no watched ticker give no rows: drop them before the

@@ -1,4 +1,4 @@
-"""Row-set operators: de-duplication, counting, column drop, typed union."""
+"""Row-set operators: de-duplication, counting, typed union."""
 
 from __future__ import annotations
 
@@ -21,10 +21,6 @@ def count_rows(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def drop_columns(df: DataFrame, *names: str) -> DataFrame:
-    return df.drop(*names)
-
-
 def union_to_schema(spark: SparkSession, schema: T.StructType, frames: list[DataFrame],
                     by_name: bool = True) -> DataFrame:
     """Fold frames onto an empty frame of ``schema`` and pin the result types.

@@ -52,19 +52,23 @@ def daily_return(closes: DataFrame, ticker: str = "ticker", day: str = "transact
     return base.withColumn("ret", F.try_divide(F.col("close"), prev) - F.lit(1.0))
 
 
+def _days_from_last():
+    """Per ticker, all days on or after a row's day: a running frame, as days come in descending order."""
+    return (Window.partitionBy("ticker").orderBy(F.col("day").desc())
+            .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+
+
 def next_trading_day(days: DataFrame, trading: DataFrame) -> DataFrame:
     """For each (ticker, day) of ``days``: the first trading day on or after it
     for that ticker (null when there is none yet).
 
     Computed as an as-of lookup without a range join: both day lists are
-    unioned and a forward-looking ``min`` over the ticker's ordered days picks
-    the next trading day.
+    unioned, and a running ``min`` over the ticker's days from the last to the
+    first picks the next trading day (linear in the series' length).
     """
     marks = days.select("ticker", "day", F.lit(None).cast("date").alias("trade_day"))
     trades = trading.select("ticker", "day", F.col("day").alias("trade_day")).distinct()
-    w = (Window.partitionBy("ticker").orderBy("day")
-         .rangeBetween(Window.currentRow, Window.unboundedFollowing))
-    both = marks.unionByName(trades).withColumn("next_trade", F.min("trade_day").over(w))
+    both = marks.unionByName(trades).withColumn("next_trade", F.min("trade_day").over(_days_from_last()))
     return both.where(F.col("trade_day").isNull()).select("ticker", "day", "next_trade")
 
 
@@ -74,7 +78,7 @@ def sentiment_vs_return(sentiment_daily: DataFrame, returns: DataFrame, lag_days
     the last one it is dropped) and the return ``lag_days`` trading days later.
 
     One pass: daily sentiment rows and trading-day rows are unioned, a
-    forward-looking ``min`` finds each row's trading day, and one aggregate
+    running ``min`` finds each row's trading day, and one aggregate
     per (ticker, trading day) combines both sides. Each input is read once.
     """
     w = Window.partitionBy("ticker").orderBy("day")
@@ -86,8 +90,7 @@ def sentiment_vs_return(sentiment_daily: DataFrame, returns: DataFrame, lag_days
     marks = sentiment_daily.select("ticker", "day", F.lit(None).cast("double").alias("ret_k"),
                                    F.lit(None).cast("date").alias("trade_day"),
                                    "score_sum", "n_articles")
-    ahead = w.rangeBetween(Window.currentRow, Window.unboundedFollowing)
-    both = trades.unionByName(marks).withColumn("next_trade", F.min("trade_day").over(ahead))
+    both = trades.unionByName(marks).withColumn("next_trade", F.min("trade_day").over(_days_from_last()))
     per_day = both.where(F.col("next_trade").isNotNull()).groupBy("ticker", "next_trade").agg(
         (F.sum("score_sum") / F.sum("n_articles")).alias("avg_score"),
         F.max("ret_k").alias("ret"),

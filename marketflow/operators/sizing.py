@@ -1,55 +1,15 @@
-"""Broadcast only behind a measured size bound."""
+"""Explicit redistribution of inputs that arrive in few splits."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# 64 MiB of JSON text per row set is far below executor memory and well above
-# any ticker master (tens of thousands of rows).
-DEFAULT_BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
+def spread(df: DataFrame, tasks: int | None) -> DataFrame:
+    """Deal the rows evenly over ``tasks`` tasks; None leaves the frame as it is.
 
-def measured_bytes(df: DataFrame) -> DataFrame:
-    """One row ``(n_rows, n_bytes)``: row count and an upper-bound size (the
-    JSON text of every row, which is longer than its binary form)."""
-    return df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))),
-                   F.lit(0))
-        .cast("long").alias("n_bytes"),
-    )
-
-
-def broadcast_if_small(df: DataFrame, limit_bytes: int = DEFAULT_BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Hint a broadcast only when the measured size is within ``limit_bytes``.
-
-    Above the limit the frame is returned unhinted and the planner uses a
-    shuffled join (with AQE splitting skewed keys). The measurement is one
-    aggregate over the (small, already de-duplicated) side.
-    """
-    size = measured_bytes(df).first()
-    if size is not None and size["n_bytes"] <= limit_bytes:
-        return F.broadcast(df)
-    return df
-
-
-def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows over at least ``min_partitions`` tasks when the
-    input arrives in fewer splits (one large row group, an unsplittable
-    gzip landing file) and the next steps are CPU-heavy per row (JSON, text).
-
-    A no-op for streams and for inputs already split wider than the cluster's
-    cores, which is every scan of a large table. Apply it to a frame read
-    straight from files: its partition count is then known from planning
-    alone (on a frame with shuffles, adaptive execution would run them to
-    answer).
+    For inputs that cannot be split (a gzip landing file, one large row group)
+    ahead of steps that are CPU-heavy per row, such as JSON. A stream is never
+    redistributed.
     """
-    if df.isStreaming:
-        return df
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # sessions without SparkContext/RDD access: leave as is
-        return df
-    return df.repartition(target) if current < target else df
+    return df if tasks is None or df.isStreaming else df.repartition(tasks)

@@ -30,14 +30,17 @@ from marketflow.operators.rows import count_rows, dedupe_rows, union_to_schema
 from marketflow.operators.signals import (
     daily_return, daily_sentiment, next_trading_day, sentiment_price_corr,
 )
-from marketflow.operators.sizing import broadcast_if_small, spread_if_narrow
+from marketflow.operators.sizing import spread
+from marketflow.plans import jobs
 from marketflow.plans import analogues as A
-from marketflow.session import scratch_path, session_key
+from marketflow.session import scratch_path
 from marketflow.sinks.messages import write_json_lines
 from marketflow.sinks.parquet import append_lake, overwrite_parquet
 from marketflow.sources.messages import flatten_envelopes, read_article_texts, read_message_files
 from marketflow.sources.parquet import latest_partition, scan_month_range
-from marketflow.streaming.runner import enrich_stream, master_ingest_stream, run_available_now
+from marketflow.streaming.runner import (
+    enrich_stream, few_files, master_ingest_stream, run_available_now,
+)
 
 # Fixed parameters of the catalogue (the oracle SQL repeats them).
 ENRICH_CUT = "2000-12-31"
@@ -47,6 +50,7 @@ HORIZON_DAYS = 20
 RANGE_START, RANGE_END = "2000-12-15", "2002-01-10"
 LAKE_DEFAULT_CUT = "2024-01-01"
 LOAD_SEED_CUT, LOAD_SPLIT, LOAD_LOOKBACK = "1996-06-30", "1997-12-31", 3
+DAILY_LOOKBACK = 36_500  # days; the second load's rows are years late
 STREAM_SPLIT_YEAR = 1999
 MASTER_SPLIT_NATION = 13
 CALENDAR_BASE = "lake"
@@ -62,17 +66,15 @@ def _master(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_master(A.part_as_master(table(spark, sf_dir, "part")))
 
 
-# Derived lakes are written once per session and input folder.
-_DERIVED: dict[tuple, str] = {}
+def orders_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "orders_lake")
+    append_lake(A.orders_as_lake_rows(table(spark, sf_dir, "orders")), path, mode="overwrite")
+    return spark.read.parquet(path)
 
 
-def orders_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = ("orders_lake", session_key(spark), sf_dir)
-    if key not in _DERIVED:
-        path = scratch_path(spark, "orders_lake")
-        append_lake(A.orders_as_lake_rows(table(spark, sf_dir, "orders")), path, mode="overwrite")
-        _DERIVED[key] = path
-    return spark.read.parquet(_DERIVED[key])
+def _wide(df: DataFrame) -> DataFrame:
+    """Dealt over all cores: each table here is one file, often one row group, and JSON is heavy per row."""
+    return spread(df, df.sparkSession.sparkContext.defaultParallelism)
 
 
 # ---------------------------------------------------------------- sources
@@ -90,7 +92,7 @@ def q_json_parse_master(spark, sf_dir):
 
 
 def q_json_parse_bars(spark, sf_dir):
-    messages = A.lineitem_as_bar_messages(spread_if_narrow(table(spark, sf_dir, "lineitem"))) \
+    messages = A.lineitem_as_bar_messages(_wide(table(spark, sf_dir, "lineitem"))) \
         .select(F.col("value").cast("binary").alias("value"))
     return bars_from_messages(parse_messages(messages, schemas.BAR_MESSAGE))
 
@@ -145,7 +147,7 @@ def q_arrays_zip_explode(spark, sf_dir):
 
 
 def q_parse_published(spark, sf_dir):
-    events = spread_if_narrow(table(spark, sf_dir, "events"))
+    events = _wide(table(spark, sf_dir, "events"))
     good = F.date_format("ts", ISO_Z_FORMAT)
     fractional = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit(".123Z"))
     junk = F.concat(F.lit("junk-"), F.col("event_id").cast("string"))
@@ -212,8 +214,7 @@ def q_master_count(spark, sf_dir):
 
 def q_enrich_batch(spark, sf_dir):
     bars = A.lineitem_as_bars(table(spark, sf_dir, "lineitem"))
-    master = broadcast_if_small(_master(spark, sf_dir))
-    return enrich(bars, master, ENRICH_CUT)
+    return enrich(bars, _master(spark, sf_dir), ENRICH_CUT)
 
 
 def q_stream_master_ingest(spark, sf_dir):
@@ -230,14 +231,14 @@ def q_stream_master_ingest(spark, sf_dir):
 
 
 def q_stream_enrich(spark, sf_dir):
-    messages = A.lineitem_as_bar_messages(spread_if_narrow(table(spark, sf_dir, "lineitem")))
+    messages = A.lineitem_as_bar_messages(_wide(table(spark, sf_dir, "lineitem")))
     early = F.coalesce(F.year("ship_day"), F.lit(0)) < STREAM_SPLIT_YEAR
     landing, master_path, out, ckpt = (scratch_path(spark, n) for n in
                                        ("bars_in", "master", "bars_lake", "bars_ckpt"))
     overwrite_parquet(_master(spark, sf_dir), master_path)
-    master = broadcast_if_small(spark.read.parquet(master_path))
+    master = spark.read.parquet(master_path)
     messages.where(early).select("value").write.mode("append").text(landing)
-    stream = enrich_stream(read_message_files(spark, landing, streaming=True), master, ENRICH_CUT)
+    stream = few_files(enrich_stream(read_message_files(spark, landing, streaming=True), master, ENRICH_CUT))
     run_available_now(stream, out, ckpt, partition_by=schemas.LAKE_PARTITION_COLUMNS)
     run_available_now(stream, out, ckpt, partition_by=schemas.LAKE_PARTITION_COLUMNS)
     messages.where(~early).select("value").write.mode("append").text(landing)
@@ -245,6 +246,46 @@ def q_stream_enrich(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+def q_lake_backfill(spark, sf_dir):
+    """Later bars streamed first, then the earlier ones backfilled into the same lake."""
+    messages = A.lineitem_as_bar_messages(_wide(table(spark, sf_dir, "lineitem")))
+    early = F.coalesce(F.year("ship_day"), F.lit(0)) < STREAM_SPLIT_YEAR
+    landing, master_path, out, ckpt = (scratch_path(spark, n) for n in
+                                       ("fill_in", "fill_master", "fill_lake", "fill_ckpt"))
+    overwrite_parquet(_master(spark, sf_dir), master_path)
+    jobs.backfill_streamed_lake(spark, messages.where(~early), landing, master_path, out, ckpt, ENRICH_CUT)
+    jobs.backfill_streamed_lake(spark, messages.where(early), landing, master_path, out, ckpt, ENRICH_CUT)
+    return spark.read.parquet(out)
+
+
+def q_daily_run_late(spark, sf_dir):
+    """Two daily runs; the second one's bars are the earlier dates. The warehouse holds them all."""
+    part = table(spark, sf_dir, "part")
+    messages = A.lineitem_as_bar_messages(_wide(table(spark, sf_dir, "lineitem")))
+    early = F.coalesce(F.year("ship_day"), F.lit(0)) < STREAM_SPLIT_YEAR
+    p = {n: scratch_path(spark, f"daily_{n}") for n in ("raw", "master", "bars", "lake", "ckpt", "news", "wh")}
+    A.part_as_master(part).write.parquet(p["raw"])
+    A.articles_as_texts(A.events_as_articles(table(spark, sf_dir, "events"))).write.text(p["news"])
+    wh = ParquetWarehouse(spark, p["wh"])
+    for some in (~early, early):
+        messages.where(some).select("value").write.mode("append").text(p["bars"])
+        jobs.daily_run(spark, master_raw_path=p["raw"], master_path=p["master"], bar_messages_path=p["bars"],
+                       lake_path=p["lake"], lake_checkpoint=p["ckpt"], warehouse=wh, news_texts_path=p["news"],
+                       tickers=A.WATCHED_TICKERS, initial_cut=LOAD_SEED_CUT, first_day_after=ENRICH_CUT,
+                       lookback_days=DAILY_LOOKBACK, horizon_days=None)
+    return wh.read("market_data")
+
+
+def q_publish_articles(spark, sf_dir):
+    """The published rows and the rejected ones, marked."""
+    news, root = scratch_path(spark, "publish_news"), scratch_path(spark, "publish_wh")
+    A.articles_as_texts(A.events_as_articles(table(spark, sf_dir, "events"))).write.text(news)
+    wh = ParquetWarehouse(spark, root)
+    jobs.publish_articles(spark, news, A.WATCHED_TICKERS, wh)
+    good = wh.read("articles").withColumn("violations", F.lit(None).cast("string"))
+    return good.unionByName(wh.read("articles_rejects"))
+
+
 # --------------------------------------------------------- lake and cuts
 
 
@@ -312,7 +353,7 @@ def q_incremental_load(spark, sf_dir):
     wh = ParquetWarehouse(spark, scratch_path(spark, "warehouse"),
                           partition_by={"market_data": ["year", "month"]})
     append_lake(rows.where(early), lake_path)
-    kwargs = dict(keys=["o_orderkey"], initial_cut=LOAD_SEED_CUT, lookback_days=LOAD_LOOKBACK)
+    kwargs = dict(initial_cut=LOAD_SEED_CUT, lookback_days=LOAD_LOOKBACK)
     load_increment(spark.read.parquet(lake_path), wh, **kwargs)
     load_increment(spark.read.parquet(lake_path), wh, cut=LOAD_SEED_CUT, **kwargs)  # rerun
     append_lake(rows.where(~early), lake_path)
@@ -322,6 +363,42 @@ def q_incremental_load(spark, sf_dir):
         "o_orderpriority")
 
 
+LOAD_RULES = [Rule("o_orderpriority", max_length=6)]
+
+
+def _nullable_orders(spark, sf_dir):
+    """Orders as lake rows; every seventh without a customer, so rows with nulls are loaded too."""
+    rows = A.orders_as_lake_rows(table(spark, sf_dir, "orders"))
+    return rows.withColumn("o_custkey", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_custkey")))
+
+
+def q_incremental_rerun(spark, sf_dir):
+    """Loaded three times from one lake, with rejects, nulls and a lookback; every row must be there once."""
+    lake_path, wh = scratch_path(spark, "rerun_lake"), ParquetWarehouse(spark, scratch_path(spark, "rerun_wh"))
+    append_lake(_nullable_orders(spark, sf_dir), lake_path)
+    for _ in range(3):
+        load_increment(spark.read.parquet(lake_path), wh, initial_cut=LOAD_SEED_CUT, lookback_days=LOAD_LOOKBACK,
+                       drop_columns=["year", "month"], contract=LOAD_RULES, reject_table="rejects")
+    good = wh.read("market_data").withColumn("violations", F.lit(None).cast("string"))
+    cuts = wh.read("cutting_dates").agg(F.count("*").alias("n"), F.max("cut_date").alias("cut")).first()
+    rows = good.unionByName(wh.read("rejects"))
+    return rows.withColumn("n_cuts", F.lit(cuts["n"]).cast("bigint")).withColumn("cut", F.lit(cuts["cut"]))
+
+
+def q_incremental_versions(spark, sf_dir):
+    """Two versions of every order, split over two loads; both stay, as with one load."""
+    rows = _nullable_orders(spark, sf_dir)
+    newer = rows.withColumn("o_orderstatus", F.lit("X"))
+    lake_path, wh = scratch_path(spark, "versions_lake"), ParquetWarehouse(spark, scratch_path(spark, "versions_wh"))
+    odd = F.col("o_orderkey") % 2 == 1
+    kwargs = dict(initial_cut=LOAD_SEED_CUT, lookback_days=DAILY_LOOKBACK, drop_columns=["year", "month"])
+    append_lake(rows.where(odd).unionByName(newer.where(~odd)), lake_path)
+    load_increment(spark.read.parquet(lake_path), wh, **kwargs)
+    append_lake(rows.where(~odd).unionByName(newer.where(odd)).unionByName(newer), lake_path)
+    load_increment(spark.read.parquet(lake_path), wh, **kwargs)
+    return wh.read("market_data")
+
+
 # -------------------------------------------------------------- calendars
 
 
@@ -438,6 +515,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_overwrite": q_table_overwrite,
     "union_widen": q_union_widen,
     "incremental_load": q_incremental_load,
+    "incremental_rerun": q_incremental_rerun,
+    "incremental_versions": q_incremental_versions,
+    "lake_backfill": q_lake_backfill,
+    "daily_run_late": q_daily_run_late,
+    "publish_articles": q_publish_articles,
     "day_calendar": q_day_calendar,
     "calendar_gaps": q_calendar_gaps,
     "month_calendar": q_month_calendar,

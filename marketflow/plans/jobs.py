@@ -8,23 +8,26 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketflow import schemas
 from marketflow.functions.dates import encode_cut_token
-from marketflow.operators.contracts import ARTICLES_CONTRACT, MARKET_DATA_CONTRACT, split_by_contract
+from marketflow.operators.contracts import ARTICLES_CONTRACT, MARKET_DATA_CONTRACT, with_violations
 from marketflow.operators.enrich import enrich
 from marketflow.operators.incremental import lake_cut, load_increment
 from marketflow.operators.master import clean_master, latest_per_ticker
-from marketflow.operators.news import articles_table_rows, flatten_articles, related_as_text
+from marketflow.operators.news import (
+    articles_table_rows, flatten_articles, related_as_text, unparsed_texts,
+)
 from marketflow.operators.signals import daily_return, daily_sentiment, sentiment_price_corr
-from marketflow.operators.sizing import broadcast_if_small, spread_if_narrow
+from marketflow.operators.sizing import spread
+from marketflow.session import delete_path, scratch_path
 from marketflow.sinks.parquet import append_lake, overwrite_parquet
 from marketflow.sources.messages import read_article_texts, read_kafka, read_message_files
-from marketflow.sources.parquet import is_missing_path
-from marketflow.streaming.runner import enrich_stream, master_ingest_stream, run_available_now
+from marketflow.streaming.runner import (
+    enrich_stream, few_files, master_ingest_stream, run_available_now,
+)
 
 log = logging.getLogger(__name__)
 
@@ -52,25 +55,35 @@ def clean_master_table(spark: SparkSession, raw_path: str, cleaned_path: str,
 
 def enrich_batch_to_lake(spark: SparkSession, bars: DataFrame, master_path: str,
                          lake_path: str, cut=None) -> None:
-    """Typed bars -> enriched rows appended to the lake."""
-    master = broadcast_if_small(spark.read.parquet(master_path))
-    append_lake(enrich(bars, master, cut), lake_path)
+    """Typed bars -> enriched rows appended to a lake that only batches write."""
+    append_lake(enrich(bars, spark.read.parquet(master_path), cut), lake_path)
 
 
 def enrich_stream_to_lake(spark: SparkSession, messages: DataFrame, master_path: str,
-                          lake_path: str, checkpoint: str, cut=None) -> int:
-    """Bar messages (Kafka or landed files, streaming) -> the lake."""
-    # The static side is re-read by every micro-batch: keep it cached for
-    # the run (it is small; its size is checked before it is broadcast).
+                          lake_path: str, checkpoint: str, cut=None, buckets: int = 1) -> int:
+    """Bar messages (Kafka or landed files, streaming) -> the lake, at most
+    ``buckets`` files a month and micro-batch."""
+    # Every micro-batch reads the static side again: keep it cached for the run.
     master = spark.read.parquet(master_path).persist()
     try:
-        rows = enrich_stream(messages, broadcast_if_small(master), cut)
+        rows = few_files(enrich_stream(messages, master, cut), buckets)
         return run_available_now(rows, lake_path, checkpoint,
                                  partition_by=schemas.LAKE_PARTITION_COLUMNS)
     finally:
         master.unpersist()
 
 
+def backfill_streamed_lake(spark: SparkSession, bar_messages: DataFrame, landing_path: str,
+                           master_path: str, lake_path: str, checkpoint: str, cut=None,
+                           buckets: int = 1) -> int:
+    """Older bar messages (JSON text in ``value``) -> a lake that a stream
+    writes: they are landed where the stream reads and go through its sink, so
+    every reader of the lake sees them."""
+    bar_messages.select("value").write.mode("append").text(landing_path)
+    messages = read_message_files(spark, landing_path, streaming=True)
+    return enrich_stream_to_lake(spark, messages, master_path, lake_path, checkpoint, cut, buckets)
+
+
 def enrich_kafka_to_lake(spark: SparkSession, kafka_options: dict, master_path: str,
                          lake_path: str, checkpoint: str, cut=None) -> int:
     """Bar topic (new offsets; tolerate expired ones) -> the lake."""
@@ -79,11 +92,12 @@ def enrich_kafka_to_lake(spark: SparkSession, kafka_options: dict, master_path:
                                  checkpoint, cut)
 
 
-def lake_cut_token(spark: SparkSession, lake_path: str, default) -> DataFrame:
+def lake_cut_token(spark: SparkSession, lake_path: str, default, since=None) -> DataFrame:
     """The lake high-water mark handed to the next enrichment run: one row
     ``cut_date`` plus ``token``, its base64 text form for passing between
-    processes (``decode_cut_token`` reverses it)."""
-    cut = lake_cut(spark.read.parquet(lake_path), default)
+    processes (``decode_cut_token`` reverses it). ``since``, the last known cut,
+    leaves the files of all months before it unopened."""
+    cut = lake_cut(spark.read.parquet(lake_path), default, since=since)
     return cut.withColumn("token", encode_cut_token("cut_date"))
 
 
@@ -91,31 +105,48 @@ def load_warehouse(spark: SparkSession, lake_path: str, warehouse, initial_cut,
                    lookback_days: int = 0, reject_table: str | None = "market_data_rejects") -> dict:
     """Lake -> warehouse ``market_data`` by high-water mark, idempotently.
     Rows breaking the table's length limits go to ``reject_table`` instead of
-    failing the whole insert."""
+    failing the whole insert. ``year`` and ``month`` are no columns of the table:
+    they are written only to a warehouse that keeps it partitioned by them."""
     lake = spark.read.parquet(lake_path)
-    return load_increment(lake, warehouse, keys=["ticker", "transaction_date"],
-                          initial_cut=initial_cut, lookback_days=lookback_days,
-                          contract=MARKET_DATA_CONTRACT, reject_table=reject_table)
+    parts = getattr(warehouse, "partition_by", {}).get("market_data") or []
+    extra = [c for c in schemas.LAKE_PARTITION_COLUMNS if c not in parts]
+    return load_increment(lake, warehouse, initial_cut=initial_cut, lookback_days=lookback_days,
+                          drop_columns=extra, contract=MARKET_DATA_CONTRACT, reject_table=reject_table)
 
 
 def publish_articles(spark: SparkSession, texts_path: str, tickers, warehouse,
-                     table: str = "articles", horizon_days: int | None = None,
-                     table_shape: bool = False) -> DataFrame:
-    """News texts -> ``articles`` (overwrite); rows breaking the table
-    contract are returned instead of failing the write. ``horizon_days``
-    keeps articles published within that many days before now;
-    ``table_shape`` writes only the table's own columns (for a warehouse
-    that keeps its table definitions on overwrite)."""
+                     table: str = "articles", reject_table: str = "articles_rejects",
+                     horizon_days: int | None = None, table_shape: bool = False,
+                     whole_files: bool = False, spread_tasks: int | None = None) -> dict:
+    """News texts -> ``articles`` and, for rows breaking the table's contract,
+    ``reject_table`` with their ``violations`` (both overwritten).
+
+    Texts are JSON arrays of articles or page envelopes, one per line or, with
+    ``whole_files``, one per file (pretty-printed ones need that).
+    ``horizon_days`` keeps articles published within that many days before now;
+    ``table_shape`` writes only the table's own columns (for a warehouse that
+    keeps its table definitions on overwrite); ``spread_tasks`` deals few
+    unsplittable files over so many tasks. The rows are computed once, staged,
+    and written from there. Returns counts, also of texts that are neither form.
+    """
     after = None
     if horizon_days is not None:
         after = F.current_timestamp() - F.make_interval(days=F.lit(horizon_days))
-    texts = spread_if_narrow(read_article_texts(spark, texts_path))  # e.g. few gzip files
+    texts = spread(read_article_texts(spark, texts_path, whole_files), spread_tasks)
     rows = related_as_text(flatten_articles(texts, tickers, published_after=after))
     if table_shape:
         rows = articles_table_rows(rows)
-    valid, rejected = split_by_contract(rows, ARTICLES_CONTRACT)
-    warehouse.overwrite(table, valid)
-    return rejected
+    stage = scratch_path(spark, "stage-articles")
+    staged = with_violations(rows, ARTICLES_CONTRACT)
+    staged.write.parquet(stage)
+    staged = spark.read.schema(staged.schema).parquet(stage)
+    bad = F.size("violations") > 0
+    counts = staged.agg(F.count(F.when(~bad, 1)).alias("good"), F.count(F.when(bad, 1)).alias("bad")).first()
+    warehouse.overwrite(table, staged.where(~bad).drop("violations"))
+    warehouse.overwrite(reject_table, staged.where(bad).withColumn("violations", F.array_join("violations", ",")))
+    delete_path(spark, stage)
+    return {"rows_published": counts["good"], "rows_rejected": counts["bad"],
+            "texts_unparsed": unparsed_texts(texts).count()}
 
 
 def sentiment_study(articles: DataFrame, bars: DataFrame, lag_days: int = 0) -> DataFrame:
@@ -134,23 +165,25 @@ def sentiment_study(articles: DataFrame, bars: DataFrame, lag_days: int = 0) ->
 
 def daily_run(spark: SparkSession, *, master_raw_path: str, master_path: str,
               bar_messages_path: str, lake_path: str, lake_checkpoint: str, warehouse,
-              news_texts_path: str, tickers, initial_cut, default_lake_cut,
-              max_files_per_trigger: int | None = None) -> dict:
-    """One day's steps in order: clean master, enrich landed bars after the
-    lake's cut, load the warehouse, publish articles."""
+              news_texts_path: str, tickers, initial_cut, first_day_after=None,
+              max_files_per_trigger: int | None = None, lookback_days: int = 7,
+              horizon_days: int | None = 100, whole_files: bool = False, buckets: int = 1) -> dict:
+    """One day's steps in order: clean master, enrich landed bars, load the
+    warehouse, publish articles.
+
+    The stream's checkpoint is its progress: every landed bar is read once and
+    kept, however late its date, unless it is not after ``first_day_after`` (a
+    fixed floor, None: none). The load looks ``lookback_days`` back behind its
+    cut for such late rows; the news step reads the last ``horizon_days``.
+    """
     clean_master_table(spark, master_raw_path, master_path)
-    try:
-        cut_row = lake_cut(spark.read.parquet(lake_path), default_lake_cut).first()
-        cut = cut_row["cut_date"] if cut_row else default_lake_cut
-    except AnalysisException as exc:  # no lake yet
-        if not is_missing_path(exc):
-            raise
-        cut = default_lake_cut
     messages = read_message_files(spark, bar_messages_path, streaming=True,
                                   max_files_per_trigger=max_files_per_trigger)
-    enriched = enrich_stream_to_lake(spark, messages, master_path, lake_path, lake_checkpoint, cut)
-    loaded = load_warehouse(spark, lake_path, warehouse, initial_cut)
-    rejected = publish_articles(spark, news_texts_path, tickers, warehouse)
-    summary = {"bars_in": enriched, "load": loaded, "articles_rejected": rejected.count()}
+    enriched = enrich_stream_to_lake(spark, messages, master_path, lake_path, lake_checkpoint,
+                                     first_day_after, buckets)
+    loaded = load_warehouse(spark, lake_path, warehouse, initial_cut, lookback_days)
+    articles = publish_articles(spark, news_texts_path, tickers, warehouse,
+                                horizon_days=horizon_days, whole_files=whole_files)
+    summary = {"bars_in": enriched, "load": loaded, "articles": articles}
     log.info("daily run: %s", summary)
     return summary

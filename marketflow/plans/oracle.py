@@ -32,6 +32,10 @@ FROM lineitem JOIN part ON l_partkey = p_partkey
 WHERE CAST(l_shipdate AS DATE) > DATE '2000-12-31'
 """
 
+_NULLABLE_ORDER = """
+    o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN o_custkey END AS o_custkey, o_orderstatus, o_totalprice,
+    CAST(o_orderdate AS DATE) AS transaction_date, o_orderpriority"""
+
 _ORDER_BOUNDS = """
 (SELECT min(CAST(o_orderdate AS DATE)) AS first, max(CAST(o_orderdate AS DATE)) AS last FROM orders)
 """
@@ -151,6 +155,16 @@ ORACLE_SQL: dict[str, str] = {
         SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
                CAST(o_orderdate AS DATE) AS transaction_date, o_orderpriority
         FROM orders WHERE CAST(o_orderdate AS DATE) > DATE '1996-06-30'""",
+    "incremental_rerun": f"""
+        SELECT {_NULLABLE_ORDER}, CASE WHEN length(o_orderpriority) > 6 THEN 'o_orderpriority_too_long' END AS violations,
+               CAST(1 AS BIGINT) AS n_cuts, (SELECT max(CAST(o_orderdate AS DATE)) FROM orders) AS cut
+        FROM orders WHERE CAST(o_orderdate AS DATE) > DATE '1996-06-30'""",
+    "incremental_versions": f"""
+        SELECT {_NULLABLE_ORDER} FROM (
+            SELECT * FROM orders UNION SELECT * REPLACE ('X' AS o_orderstatus) FROM orders)
+        WHERE CAST(o_orderdate AS DATE) > DATE '1996-06-30'""",
+    "lake_backfill": _ENRICHED,
+    "daily_run_late": f"SELECT DISTINCT * EXCLUDE (year, month) FROM ({_ENRICHED})",
     "day_calendar": _DAYS,
     "calendar_gaps": f"""
         SELECT day FROM ({_DAYS}) c
@@ -234,3 +248,9 @@ ORACLE_SQL: dict[str, str] = {
                           THEN covar_pop(x, y) / nullif(stddev_pop(x) * stddev_pop(y), 0) END, 6) AS corr
         FROM pairs GROUP BY ticker""",
 }
+
+
+# Published rows keep the contract; the others are marked with what they break.
+ORACLE_SQL["publish_articles"] = f"""
+    SELECT *, CASE WHEN sentiment IS NULL THEN 'sentiment_null' END AS violations
+    FROM ({ORACLE_SQL['news_flatten']})"""

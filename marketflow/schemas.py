@@ -42,8 +42,6 @@ BAR_RENAMES = {
     "date_time": "transaction_date",
 }
 
-BAR_COLUMNS = list(BAR_RENAMES.values())
-
 # Ticker master message. ``last_updated_utc`` stays text, as sent.
 MASTER_MESSAGE = T.StructType(_fields(
     ("ticker", S), ("name", S), ("market", S), ("locale", S),
@@ -88,11 +86,12 @@ ARTICLE = T.StructType(_fields(
 ))
 ARTICLE_ARRAY = T.ArrayType(ARTICLE, True)
 
-# Flattened article row: one per (article, insight) for a watched ticker.
-ARTICLE_ROW_COLUMNS = [
-    "ticker", "article_title", "publisher", "author", "publication_date",
-    "sentiment", "related_ticker",
-]
+# The fields of an article that the flattening uses; the others are not parsed.
+ARTICLE_USED = T.StructType(_fields(
+    ("title", S), ("author", S), ("published_utc", S),
+    ("publisher", T.StructType(_fields(("name", S)))),
+    ("insights", T.ArrayType(T.StructType(_fields(("sentiment", S), ("ticker", S))), True)),
+))
 
 # Warehouse high-water mark table.
 CUT_TABLE = T.StructType([T.StructField("cut_date", T.DateType(), True)])

@@ -29,9 +29,13 @@ DEFAULT_CONF = {
 
 def build_session(master: str = "local[*]", app_name: str = "marketflow",
                   shuffle_partitions: int | None = None,
-                  extra: dict[str, str] | None = None) -> SparkSession:
+                  extra: dict[str, str] | None = None,
+                  checkpoint_dir: str | None = None) -> SparkSession:
     """Create (or reuse) a session with the library's settings.
 
+    ``checkpoint_dir`` is the folder all executors share (``spark.checkpoint.dir``);
+    anything but a local master needs one.
+
     ``shuffle_partitions`` should follow the data volume: about one partition
     per 128-256 MB of shuffled data on a cluster, the core count locally.
     """
@@ -39,17 +43,35 @@ def build_session(master: str = "local[*]", app_name: str = "marketflow",
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if checkpoint_dir is not None:
+        conf["spark.checkpoint.dir"] = checkpoint_dir
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
-_LOCAL_DIRS: dict[str, str] = {}
+NO_SHARED_DIR = ("spark.checkpoint.dir is not set: name a folder that the driver and all executors share "
+                 "(build_session(checkpoint_dir=...), or --checkpoint-dir on the command line)")
+
+
+def _local_dir(master: str) -> str:
+    """A temporary folder, for masters whose executors are this process only."""
+    if master.split("[")[0] != "local":
+        raise RuntimeError(NO_SHARED_DIR)
+    return tempfile.mkdtemp(prefix="marketflow-ckpt-")
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a derived table through the file system it lies in."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a local one only when unset."""
+    """The cluster's shared checkpoint folder. Where none is set, a local master
+    gets a temporary one and any other master is an error: executors would write
+    to disks that nothing else can read."""
     try:
         sc = spark.sparkContext
     except Exception:  # sessions without a SparkContext handle (Spark Connect)
@@ -58,18 +80,13 @@ def shared_dir(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current.rstrip("/")
-        configured = sc.getConf().get("spark.checkpoint.dir", None)
-        if not configured:
-            configured = tempfile.mkdtemp(prefix="marketflow-ckpt-")
+        configured = sc.getConf().get("spark.checkpoint.dir", None) or _local_dir(sc.master)
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir().rstrip("/")
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    key = session_key(spark)
-    if key not in _LOCAL_DIRS:
-        _LOCAL_DIRS[key] = tempfile.mkdtemp(prefix="marketflow-ckpt-")
-    return _LOCAL_DIRS[key]
+    raise RuntimeError(NO_SHARED_DIR)
 
 
 def session_key(spark: SparkSession) -> str:

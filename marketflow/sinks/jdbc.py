@@ -20,10 +20,11 @@ def _jdbc_safe(df: DataFrame) -> DataFrame:
 
 def append_jdbc(df: DataFrame, url: str, table: str, properties: dict,
                 num_partitions: int | None = None) -> None:
-    """Append rows; ``num_partitions`` caps concurrent database connections."""
+    """Append rows over ``num_partitions`` connections (default: one per
+    partition). A shuffle deals the rows, so the stages before it keep their tasks."""
     out = _jdbc_safe(df)
     if num_partitions is not None:
-        out = out.coalesce(num_partitions)
+        out = out.repartition(num_partitions)
     out.write.jdbc(url=url, table=table, mode="append", properties=properties)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketflow.schemas import LAKE_PARTITION_COLUMNS
@@ -17,6 +17,12 @@ def with_lake_partitions(df: DataFrame, date_col: str = "transaction_date") -> D
               .withColumn("month", F.month(date_col)))
 
 
+def is_streamed(spark: SparkSession, path: str) -> bool:
+    """Whether a streaming file sink keeps its log under ``path``."""
+    log = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_spark_metadata")
+    return log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(log)
+
+
 def append_lake(df: DataFrame, path: str, date_col: str = "transaction_date",
                 mode: str = "append") -> None:
     """Append rows to the ``year=/month=`` lake.
@@ -24,7 +30,13 @@ def append_lake(df: DataFrame, path: str, date_col: str = "transaction_date",
     ``rebalance`` on the partition columns gathers each month's rows into few
     tasks (few files per directory) while AQE splits a month that is too big
     for one task, so a hot month does not become a single straggler.
+
+    A lake that a stream writes is refused: its readers follow the stream's
+    file log and would not see these rows. Send them through the stream
+    (``jobs.backfill_streamed_lake``).
     """
+    if is_streamed(df.sparkSession, path):
+        raise ValueError(f"{path} is written by a stream; a batch append would stay invisible to its readers")
     if "year" not in df.columns or "month" not in df.columns:
         df = with_lake_partitions(df, date_col)
     (df.hint("rebalance", *LAKE_PARTITION_COLUMNS)

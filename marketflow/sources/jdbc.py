@@ -29,6 +29,14 @@ def read_jdbc_query(spark: SparkSession, url: str, query: str, properties: dict)
     return reader.load()
 
 
+def table_exists(spark: SparkSession, url: str, properties: dict, table: str) -> bool:
+    """Whether the database's catalogue lists ``table`` (``schema.table`` or a bare name)."""
+    schema, _, name = table.rpartition(".")
+    where = f"lower(table_name) = lower('{name}')" + (f" AND lower(table_schema) = lower('{schema}')" if schema else "")
+    found = read_jdbc_query(spark, url, f"SELECT count(*) AS n FROM information_schema.tables WHERE {where}", properties)
+    return found.first()["n"] > 0
+
+
 def read_max_cut(spark: SparkSession, url: str, properties: dict,
                  table: str = "cutting_dates", column: str = "cut_date") -> DataFrame:
     """One row ``cut_date``: the warehouse high-water mark, computed by the

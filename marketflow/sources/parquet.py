@@ -35,10 +35,6 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
     return reader.parquet(path)
 
 
-def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
 def month_index(year: str | Column = "year", month: str | Column = "month") -> Column:
     y = F.col(year) if isinstance(year, str) else year
     m = F.col(month) if isinstance(month, str) else month
@@ -54,7 +50,8 @@ def scan_month_range(lake: DataFrame, start, end) -> DataFrame:
     """Rows of every month from ``start``'s month to ``end``'s month inclusive.
 
     The filter touches only partition columns and literals, so it lands in
-    ``PartitionFilters`` and only the range's directories are listed/read.
+    ``PartitionFilters`` and only the range's files are read. (The root is still
+    listed as a whole, as for any partitioned read by path.)
     """
     idx = month_index()
     return lake.where((idx >= _month_index_of(start)) & (idx <= _month_index_of(end)))

@@ -11,6 +11,7 @@ from __future__ import annotations
 import time
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from marketflow import schemas
@@ -18,6 +19,10 @@ from marketflow.functions.json import parse_messages
 from marketflow.operators.enrich import bars_from_messages, enrich
 
 
+PROGRESS_SETTING = "spark.sql.streaming.numRecentProgressUpdates"
+PROGRESS_KEPT = 100_000
+
+
 def start_file_sink(df: DataFrame, path: str, checkpoint: str,
                     partition_by: list[str] | None = None, fmt: str = "parquet",
                     available_now: bool = True, processing_time: str | None = None,
@@ -46,13 +51,22 @@ def start_console_sink(df: DataFrame, num_rows: int = 20) -> StreamingQuery:
 def run_available_now(df: DataFrame, path: str, checkpoint: str,
                       partition_by: list[str] | None = None, fmt: str = "parquet") -> int:
     """Process everything that has landed, then stop. Returns the input rows
-    of the run (as reported by the query's recent progress, which keeps the
-    last ``spark.sql.streaming.numRecentProgressUpdates`` micro-batches)."""
-    query = start_file_sink(df, path, checkpoint, partition_by, fmt, available_now=True)
+    of the run: the progress of every micro-batch is kept, up to
+    ``PROGRESS_KEPT`` of them, beyond which an error says so."""
+    conf = df.sparkSession.conf
+    before = conf.get(PROGRESS_SETTING)
+    conf.set(PROGRESS_SETTING, str(PROGRESS_KEPT))
+    try:
+        query = start_file_sink(df, path, checkpoint, partition_by, fmt, available_now=True)
+    finally:
+        conf.set(PROGRESS_SETTING, before)
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    return sum(p.get("numInputRows", 0) for p in query.recentProgress)
+    progress = query.recentProgress
+    if len(progress) >= PROGRESS_KEPT:
+        raise RuntimeError(f"over {PROGRESS_KEPT} micro-batches in one run: raise maxFilesPerTrigger")
+    return sum(p.get("numInputRows", 0) for p in progress)
 
 
 def run_for(query: StreamingQuery, seconds: float, poll_seconds: float = 10.0) -> None:
@@ -75,6 +89,13 @@ def enrich_stream(messages: DataFrame, master: DataFrame, cut=None,
     return enrich(bars, master, cut)
 
 
+def few_files(rows: DataFrame, buckets: int = 1, key: str = "ticker") -> DataFrame:
+    """Lake rows dealt so that a micro-batch writes at most ``buckets`` files a
+    month. More buckets spread a month that is too big for one task."""
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets))
+    return rows.repartition(*schemas.LAKE_PARTITION_COLUMNS, bucket)
+
+
 def master_ingest_stream(messages: DataFrame, value_col: str = "value") -> DataFrame:
     """Ticker master messages -> typed master rows (raw, with versions)."""
     return parse_messages(messages, schemas.MASTER_MESSAGE, value_col)

@@ -41,6 +41,6 @@ def test_news_step(spark, scratch):
                             {"ticker": "A", "sentiment": "way too long label"}]}
     spark.createDataFrame([(json.dumps([article, article]),)], "value string").write.text(news)
     out = json.loads(_cli("news", "--texts", news, "--tickers", "A,B", "--warehouse", wh))
-    assert out["articles_rejected"] == 1
+    assert out["rows_published"] == 1 and out["rows_rejected"] == 1
     rows = spark.read.parquet(f"{wh}/articles").collect()
     assert [(r.ticker, r.sentiment) for r in rows] == [("A", "positive")]

@@ -4,6 +4,8 @@ import base64
 import datetime as dt
 import json
 
+from pyspark.sql import functions as F
+
 from marketflow import schemas
 from marketflow.operators.calendar import request_days
 from marketflow.operators.incremental import ParquetWarehouse, read_cut
@@ -37,10 +39,12 @@ def test_daily_run(spark, scratch):
     wh = ParquetWarehouse(spark, scratch("wh"))
     out = daily_run(spark, master_raw_path=raw, master_path=master, bar_messages_path=bars,
                     lake_path=lake, lake_checkpoint=ckpt, warehouse=wh, news_texts_path=news,
-                    tickers="A,B", initial_cut="2024-06-01", default_lake_cut="2024-01-01")
+                    tickers="A,B", initial_cut="2024-06-01", first_day_after="2024-01-01",
+                    horizon_days=None)
     assert out["bars_in"] == 4
     assert out["load"]["rows_loaded"] == 3
-    assert out["articles_rejected"] == 1
+    assert out["articles"] == {"rows_published": 1, "rows_rejected": 1, "texts_unparsed": 0}
+    assert [r.violations for r in wh.read("articles_rejects").collect()] == ["sentiment_too_long"]
     data = wh.read("market_data")
     assert sorted((r.ticker, r.name) for r in data.collect()) == [("A", "new"), ("A", "new"), ("B", "b")]
     assert read_cut(wh) == dt.date(2024, 6, 4)
@@ -52,7 +56,8 @@ def test_daily_run(spark, scratch):
     # second day: nothing new lands -> nothing loaded, cut unchanged
     out2 = daily_run(spark, master_raw_path=raw, master_path=master, bar_messages_path=bars,
                      lake_path=lake, lake_checkpoint=ckpt, warehouse=wh, news_texts_path=news,
-                     tickers="A,B", initial_cut="2024-06-01", default_lake_cut="2024-01-01")
+                     tickers="A,B", initial_cut="2024-06-01", first_day_after="2024-01-01",
+                    horizon_days=None)
     assert out2["bars_in"] == 0 and out2["load"]["rows_loaded"] == 0
     assert wh.read("market_data").count() == 3
 
@@ -107,9 +112,90 @@ def test_publish_articles_table_shape(spark, scratch):
                "insights": [{"ticker": "A", "sentiment": "positive"}]}
     _land(spark, news, [json.dumps([article])])
     wh = ParquetWarehouse(spark, scratch("wh"))
-    rejected = publish_articles(spark, news, "A", wh, table_shape=True)
-    assert rejected.count() == 0
+    out = publish_articles(spark, news, "A", wh, table_shape=True)
+    assert out == {"rows_published": 1, "rows_rejected": 0, "texts_unparsed": 0}
     rows = wh.read("articles")
     assert rows.columns == ["article_title", "publisher", "author", "publication_date", "ticker",
                             "sentiment"]
     assert rows.first().publication_date == dt.date(2024, 6, 4)
+
+
+def test_late_bars_reach_lake_and_warehouse(spark, scratch):
+    """A bar of a day already loaded, or of an earlier one, that lands later is not lost."""
+    p = {n: scratch(n) for n in ("raw", "master", "bars", "lake", "ckpt", "news")}
+    spark.createDataFrame([_master(t, t, "2024-01-01T00:00:00Z") for t in "ABC"], schemas.MASTER_MESSAGE).write.parquet(p["raw"])
+    _land(spark, p["news"], ["[]"])
+    wh = ParquetWarehouse(spark, scratch("wh"))
+
+    def run(*bars):
+        _land(spark, p["bars"], [json.dumps({"T": t, "v": 1, "vw": 1, "o": 1, "c": 1, "h": 1, "l": 1, "n": 1, "date_time": d})
+                                 for t, d in bars])
+        return daily_run(spark, master_raw_path=p["raw"], master_path=p["master"], bar_messages_path=p["bars"],
+                         lake_path=p["lake"], lake_checkpoint=p["ckpt"], warehouse=wh, news_texts_path=p["news"],
+                         tickers="A", initial_cut="2024-05-01", lookback_days=5)
+    run(("A", "2024-06-04"))
+    out = run(("B", "2024-06-04"), ("C", "2024-06-01"), ("C", "2024-05-02"))
+    assert out["load"]["cut_after"] == dt.date(2024, 6, 4) and out["load"]["rows_loaded"] == 2
+    assert spark.read.parquet(p["lake"]).count() == 4
+    # 2024-05-02 lies behind the lookback: in the lake, not yet in the warehouse
+    assert sorted(r.ticker for r in wh.read("market_data").collect()) == ["A", "B", "C"]
+
+
+def test_articles_from_envelopes_whole_files_and_odd_texts(spark, scratch):
+    from marketflow.plans.jobs import publish_articles
+    now = dt.datetime.now(dt.timezone.utc)
+    art = lambda title, when: {"title": title, "publisher": {"name": "p"}, "author": None, "published_utc": when,
+                               "insights": [{"ticker": "A", "sentiment": "positive"}]}
+    fresh = now.strftime("%Y-%m-%dT%H:%M:%S.5Z")
+    lines = [json.dumps({"results": [art("page", fresh)], "request_id": "1"}), json.dumps({"request_id": "2"}),
+             json.dumps([art("old", "2001-01-01T00:00:00Z"), art("undated", None)]), "not json", ""]
+    news, pretty, wh = scratch("news"), scratch("pretty"), ParquetWarehouse(spark, scratch("wh"))
+    _land(spark, news, lines)
+    out = publish_articles(spark, news, "A", wh, horizon_days=100)
+    assert out["texts_unparsed"] == 1
+    titles = [r.article_title for t in ("articles", "articles_rejects") for r in wh.read(t).collect()]
+    assert titles == ["page"]
+    _land(spark, pretty, json.dumps([art("pretty", "2024-01-01T00:00:00Z")], indent=1).split("\n"))
+    assert publish_articles(spark, pretty, "A", wh)["rows_published"] == 0
+    assert publish_articles(spark, pretty, "A", wh, whole_files=True)["rows_published"] == 1
+
+
+def test_calendars_of_empty_ranges(spark):
+    from marketflow.operators.calendar import month_calendar
+    assert request_days(spark, dt.date.today()).count() == 0
+    bounds = spark.sql("SELECT date'2024-03-01' AS s, date'2024-01-01' AS e")
+    assert month_calendar(bounds, "s", "e").count() == 0
+
+
+def test_only_local_masters_do_without_a_shared_folder():
+    import pytest
+
+    from marketflow.session import _local_dir
+    assert _local_dir("local[4]")
+    for master in ("yarn", "k8s://x", "spark://h:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            _local_dir(master)
+
+
+def test_jdbc_warehouse_options_without_a_database(spark, monkeypatch):
+    """What would be sent to a database; nothing is run."""
+    from marketflow.operators import incremental
+    from marketflow.operators.incremental import JdbcWarehouse, load_increment
+    from marketflow.plans.jobs import load_warehouse  # noqa: F401
+    seen = []
+    monkeypatch.setattr(incremental, "table_exists", lambda s, u, p, t: t == "cutting_dates")
+    monkeypatch.setattr(incremental, "read_max_cut", lambda *a: spark.sql("SELECT date'2024-01-01' AS cut_date"))
+    monkeypatch.setattr(incremental, "append_jdbc", lambda df, url, t, p, n: seen.append((t, df.columns, n, df.count())))
+    monkeypatch.setattr(incremental, "read_jdbc_table", lambda s, u, t, p, **k: seen.append((t, k)))
+    wh = JdbcWarehouse(spark, "jdbc:x", {}, connections=3, splits={"big": {"partition_column": "d", "num_partitions": 8}})
+    assert wh.read("market_data") is None
+    names = [f.name for f in schemas.ENRICHED_BAR]
+    lake = spark.createDataFrame([], schemas.ENRICHED_BAR).withColumns({"year": F.lit(2024), "month": F.lit(1)})
+    row = lake.drop("year", "month").unionByName(spark.range(1).select(
+        *[(F.lit(dt.date(2024, 1, 5)) if f.name == "transaction_date" else F.lit(None).cast(f.dataType)).alias(f.name)
+          for f in schemas.ENRICHED_BAR])).withColumns({"year": F.lit(2024), "month": F.lit(1)})
+    load_increment(row, wh, drop_columns=["year", "month"])
+    assert seen == [("market_data", names, 3, 1), ("cutting_dates", ["cut_date"], 3, 1)]
+    monkeypatch.setattr(incremental, "table_exists", lambda *a: True)
+    wh.read("big")
+    assert seen[-1] == ("big", {"partition_column": "d", "num_partitions": 8})

@@ -74,19 +74,19 @@ def test_incremental_load_idempotent(spark, scratch):
     lake = spark.read.parquet(lake_path)
     # empty cut table: start from the initial cut
     assert read_cut(wh, "2024-01-01") == dt.date(2024, 1, 1)
-    s1 = load_increment(lake, wh, keys=["k"], initial_cut="2024-01-01")
+    s1 = load_increment(lake, wh, initial_cut="2024-01-01")
     assert s1["rows_loaded"] == 2 and s1["cut_after"] == dt.date(2024, 1, 3)
     # same load again (stored cut): nothing new, no cut written
-    s2 = load_increment(spark.read.parquet(lake_path), wh, keys=["k"], initial_cut="2024-01-01")
+    s2 = load_increment(spark.read.parquet(lake_path), wh, initial_cut="2024-01-01")
     assert s2["rows_loaded"] == 0
     assert wh.read("cutting_dates").count() == 1
     # rerun from the old cut (crash before the cut write): anti-join adds nothing
-    s3 = load_increment(spark.read.parquet(lake_path), wh, keys=["k"], initial_cut="2024-01-01",
+    s3 = load_increment(spark.read.parquet(lake_path), wh, initial_cut="2024-01-01",
                         cut="2024-01-01")
     assert s3["rows_loaded"] == 0
     # a late row for a loaded day plus a new day; lookback picks up the late one once
     append_lake(_orders(spark, [(4, dt.date(2024, 1, 3)), (5, dt.date(2024, 2, 1))]), lake_path)
-    s4 = load_increment(spark.read.parquet(lake_path), wh, keys=["k"], initial_cut="2024-01-01",
+    s4 = load_increment(spark.read.parquet(lake_path), wh, initial_cut="2024-01-01",
                         lookback_days=2)
     assert s4["rows_loaded"] == 2
     keys = sorted(r.k for r in wh.read("market_data").collect())
@@ -103,7 +103,7 @@ def test_load_twice_equals_once(spark, scratch):
     for runs in (1, 2):
         wh = ParquetWarehouse(spark, scratch("wh"))
         for _ in range(runs):
-            load_increment(spark.read.parquet(lake_path), wh, keys=["k"], initial_cut="2023-12-31")
+            load_increment(spark.read.parquet(lake_path), wh, initial_cut="2023-12-31")
         results.append(sorted(r.k for r in wh.read("market_data").collect()))
     assert results[0] == results[1] == list(range(200))
 
@@ -112,7 +112,7 @@ def test_no_cut_anywhere_loads_nothing(spark, scratch):
     lake_path = scratch("lake")
     append_lake(_orders(spark, [(1, dt.date(2024, 1, 2))]), lake_path)
     wh = ParquetWarehouse(spark, scratch("wh"))
-    out = load_increment(spark.read.parquet(lake_path), wh, keys=["k"])
+    out = load_increment(spark.read.parquet(lake_path), wh)
     assert out["rows_loaded"] == 0 and wh.read("market_data") is None
 
 
@@ -122,7 +122,7 @@ def test_load_with_contract_sends_bad_rows_to_rejects(spark, scratch):
     rows = [(1, dt.date(2024, 1, 2), "ok"), (2, dt.date(2024, 1, 3), "x" * 20)]
     append_lake(spark.createDataFrame(rows, "k long, transaction_date date, name string"), lake_path)
     wh = ParquetWarehouse(spark, scratch("wh"))
-    out = load_increment(spark.read.parquet(lake_path), wh, keys=["k"], initial_cut="2024-01-01",
+    out = load_increment(spark.read.parquet(lake_path), wh, initial_cut="2024-01-01",
                          contract=[Rule("name", max_length=10)], reject_table="rejects")
     assert out["rows_loaded"] == 1 and out["rows_rejected"] == 1
     assert out["cut_after"] == dt.date(2024, 1, 3)
@@ -136,3 +136,43 @@ def test_partition_values_missing_in_path_are_null(spark, scratch):
     spark.createDataFrame([(1,)], "k long").write.parquet(path)
     r = partition_values_from_path(spark.read.parquet(path)).first()
     assert r.year is None and r.month is None
+
+
+def test_reruns_repeat_nothing_and_never_lower_the_cut(spark, scratch):
+    from marketflow.operators.contracts import Rule
+    from marketflow.session import shared_dir
+    lake_path = scratch("lake")
+    D = dt.date
+    rows = [(1, D(2024, 1, 2), "ok"), (None, D(2024, 1, 2), "null key"), (2, D(2024, 1, 2), "x" * 20), (3, D(2024, 1, 5), None)]
+    append_lake(spark.createDataFrame(rows, "k long, transaction_date date, name string"), lake_path)
+    wh = ParquetWarehouse(spark, scratch("wh"))
+    kwargs = dict(initial_cut="2023-12-01", lookback_days=10, contract=[Rule("name", max_length=10)], reject_table="rejects")
+    outs = [load_increment(spark.read.parquet(lake_path), wh, **kwargs) for _ in range(3)]
+    assert [(o["rows_loaded"], o["rows_rejected"]) for o in outs] == [(3, 1), (0, 0), (0, 0)]
+    assert [o["cut_after"] for o in outs] == [D(2024, 1, 5)] * 3
+    assert (wh.read("market_data").count(), wh.read("rejects").count(), wh.read("cutting_dates").count()) == (3, 1, 1)
+    # a crash after the rejects were written: data and cut follow, the reject is not repeated
+    crashed = ParquetWarehouse(spark, scratch("wh"))
+    crashed.append("rejects", wh.read("rejects"))
+    assert load_increment(spark.read.parquet(lake_path), crashed, **kwargs)["rows_loaded"] == 3
+    assert crashed.read("rejects").count() == 1
+    # an older late row leaves the cut where it is
+    append_lake(spark.createDataFrame([(9, D(2024, 1, 1), "late")], "k long, transaction_date date, name string"), lake_path)
+    out = load_increment(spark.read.parquet(lake_path), wh, **kwargs)
+    assert out["rows_loaded"] == 1 and out["cut_after"] == D(2024, 1, 5) and wh.read("cutting_dates").count() == 1
+    # no staged copy stays behind
+    fs = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark) + "/marketflow")
+    names = [f.getPath().getName() for f in fs.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(fs)]
+    assert not [n for n in names if n.startswith("stage-market_data")]
+
+
+def test_daily_cut_opens_one_months_files(spark, scratch):
+    lake_path = scratch("lake")
+    append_lake(_orders(spark, [(m, dt.date(2023, m, 3)) for m in range(1, 13)]), lake_path)
+    lake = spark.read.parquet(lake_path)
+    cut = lake_cut(lake, "2020-01-01", since="2023-12-01")
+    assert cut.first().cut_date == dt.date(2023, 12, 3)
+    month = lake.where("year = 2023 AND month = 12")
+    assert len(cut.inputFiles()) <= len(lake.inputFiles())
+    assert "PartitionFilters: [isnotnull(year" in cut._jdf.queryExecution().executedPlan().toString()
+    assert month.count() == 1

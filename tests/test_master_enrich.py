@@ -4,10 +4,12 @@ import contextlib
 import datetime as dt
 import io
 
+from pyspark.sql import functions as F
+
+from marketflow import schemas
 from marketflow.operators.enrich import enrich
 from marketflow.operators.master import clean_master, latest_per_ticker
 from marketflow.operators.rows import dedupe_rows
-from marketflow.operators.sizing import broadcast_if_small, measured_bytes
 
 MASTER = ("ticker string, name string, market string, locale string, primary_exchange string, "
           "type string, active boolean, currency_name string, cik string, last_updated_utc string")
@@ -74,15 +76,22 @@ def _plan(df):
     return buf.getvalue()
 
 
-def test_broadcast_only_under_limit(spark):
+def test_join_is_broadcast_only_below_sparks_threshold(spark):
+    """No hint: null-heavy rows that look small as text cannot force a broadcast."""
+    nulls = spark.range(1000).selectExpr("cast(id AS string) AS ticker", *[f"cast(null AS string) AS {c}" for c in schemas.MASTER_ATTRIBUTES])
+    bars = spark.createDataFrame([], "ticker string, volume double, volume_weighted double, open_price double, close_price double, "
+                                     "high_price double, low_price double, number_of_transaction int, transaction_date date")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        df = spark.createDataFrame([_m(str(i)) for i in range(50)], MASTER)
-        size = measured_bytes(df).first()
-        assert size.n_rows == 50 and size.n_bytes > 0
-        small = broadcast_if_small(df, limit_bytes=10**9)
-        big = broadcast_if_small(df, limit_bytes=10)
-        assert "BroadcastHashJoin" in _plan(df.join(small, "ticker"))
-        assert "BroadcastHashJoin" not in _plan(df.join(big, "ticker"))
+        assert "BroadcastHashJoin" not in _plan(enrich(bars, nulls))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_latest_version_by_time_not_by_text(spark):
+    rows = [_m("A", "old", "2024-01-01T00:00:00Z"), _m("A", "new", "2024-01-01T00:00:00.5Z"), _m("A", "junk", "zzz")]
+    rows = [(*r[:-1], v) for r, v in zip(rows, ["2024-01-01T00:00:00Z", "2024-01-01T00:00:00.5Z", "zzz"])]
+    df = spark.createDataFrame(rows, MASTER).withColumn("name", F.col("last_updated_utc"))
+    assert [r.name for r in latest_per_ticker(df).collect()] == ["2024-01-01T00:00:00.5Z"]
+
+

@@ -87,3 +87,15 @@ def test_union_widens_int_to_double(spark):
     ints = spark.createDataFrame([(1, 2)], "k long, v int")
     out = union_to_schema(spark, schema, [ints, ints], by_name=False)
     assert out.schema == schema and out.collect()[0].v == 2.0 and out.count() == 2
+
+
+def test_next_trading_day_is_linear_in_a_tickers_days(spark):
+    import time
+    n = 40_000
+    start = spark.range(n).selectExpr("'A' AS ticker", "date_add(date'1900-01-01', cast(id AS int)) AS day")
+    trading = start.where("weekday(day) < 5")
+    began = time.time()
+    out = next_trading_day(start, trading)
+    late = out.where("next_trade <> day").count()
+    assert time.time() - began < 15
+    assert 0 < late < n * 0.3

@@ -79,12 +79,10 @@ def test_bounded_run_stops_continuous_query(spark, scratch):
 
 def test_enrich_stream_without_broadcast(spark, scratch):
     """Master above the broadcast limit: the stream-static join shuffles."""
-    from marketflow.operators.sizing import broadcast_if_small
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        master = broadcast_if_small(clean_master(spark.createDataFrame(
-            [tuple(m.values()) for m in _master_msgs(["A", "B"])], schemas.MASTER_MESSAGE)),
-            limit_bytes=1)
+        master = clean_master(spark.createDataFrame(
+            [tuple(m.values()) for m in _master_msgs(["A", "B"])], schemas.MASTER_MESSAGE))
         landing, out, ckpt = scratch("bars"), scratch("lake"), scratch("ckpt")
         _land(spark, landing, _bar_msgs([("A", "2024-06-04"), ("B", "2024-07-01"), ("Z", "2024-07-02")]))
         stream = enrich_stream(read_message_files(spark, landing, streaming=True), master, "2024-06-03")
@@ -119,3 +117,32 @@ def test_console_sink_and_master_ingest_job(spark, scratch):
     messages = read_message_files(spark, landing, streaming=True)
     assert ingest_master(spark, messages, out, ckpt) == 2
     assert sorted(r.ticker for r in spark.read.parquet(out).collect()) == ["A", "B"]
+
+
+def test_input_rows_of_more_than_100_batches_are_all_counted(spark, scratch):
+    landing, out, ckpt = scratch("in"), scratch("out"), scratch("ckpt")
+    spark.createDataFrame([(json.dumps(m),) for m in _master_msgs([f"T{i}" for i in range(110)])], "value string") \
+        .repartition(110).write.mode("append").text(landing)
+    stream = master_ingest_stream(read_message_files(spark, landing, streaming=True, max_files_per_trigger=1))
+    assert run_available_now(stream, out, ckpt) == 110
+
+
+def test_streamed_lake_has_few_files_and_refuses_batch_appends(spark, scratch):
+    import pytest
+
+    from marketflow.plans.jobs import backfill_streamed_lake
+    from marketflow.sinks.parquet import append_lake
+    landing, master, lake, ckpt = (scratch(n) for n in ("bars", "master", "lake", "ckpt"))
+    clean_master(spark.createDataFrame([tuple(m.values()) for m in _master_msgs(["A", "B"])],
+                                       schemas.MASTER_MESSAGE)).write.parquet(master)
+
+    def messages(month):
+        return spark.createDataFrame([(x,) for x in map(json.dumps, _bar_msgs(
+            [(t, f"2024-{month:02d}-{d:02d}") for t in "AB" for d in range(1, 20)]))], "value string").repartition(8)
+    assert backfill_streamed_lake(spark, messages(7), landing, master, lake, ckpt) == 38
+    backfill_streamed_lake(spark, messages(6), landing, master, lake, ckpt)
+    rows = spark.read.parquet(lake)
+    assert rows.count() == 76
+    assert len(rows.inputFiles()) == 2  # one a month
+    with pytest.raises(ValueError, match="stream"):
+        append_lake(rows, lake)
