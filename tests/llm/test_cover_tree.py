@@ -1,0 +1,110 @@
+import numpy as np
+import pytest
+
+from marketflow.llm import cover_tree
+from marketflow.llm.cover_tree import build_tree, candidate_pairs, embedding_links
+
+SCHEMA = "vec_id bigint, embedding array<float>, label int, id string, weight string, class_id string, vector string"
+
+
+def cosine(a, b):
+    a, b = np.array(a, np.float64), np.array(b, np.float64)
+    return float(a @ b / np.sqrt((a @ a) * (b @ b)))
+
+
+def brute(rows, threshold=0.98):
+    def usable(v, label):
+        return label is not None and v is not None and len(v) > 0 and all(x is not None and np.isfinite(x) for x in v) and any(v)
+    n = len(rows)
+    links = [[] for _ in range(n)]
+    for i in range(n):
+        for j in range(i):
+            (_, a, la), (_, b, lb) = rows[i], rows[j]
+            if la == lb and usable(a, la) and usable(b, lb) and len(a) == len(b) and cosine(a, b) >= threshold:
+                links[i].append(j)
+                links[j].append(i)
+    out = []
+    for i in range(n):
+        seen, todo = {i}, [i]
+        while todo:
+            for j in links[todo.pop()]:
+                if j not in seen:
+                    seen.add(j)
+                    todo.append(j)
+        ids = [rows[j][0] for j in seen if rows[j][0] is not None]
+        low = min(ids) if ids else None
+        out.append((rows[i][0], len(links[i]), low, rows[i][0] == low))
+    return sorted(out, key=repr)
+
+
+def result(spark, rows, **kwargs):
+    df = spark.createDataFrame([(*r, "x", "x", "x", "x") for r in rows], SCHEMA)
+    return sorted((tuple(r) for r in embedding_links(df, **kwargs).collect()), key=repr)
+
+
+def f32(v):
+    return [float(x) for x in np.float32(v)]
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1), (3, [1.0, 0.0], None), (4, None, 1), (5, [0.0, 0.0], 1), (6, [nan, 1.0], 1),
+            (7, [inf, 1.0], 1), (8, [None, 1.0], 1), (9, [], 1), (10, [1.0, 0.0, 0.0], 1), (None, [1.0, 0.01], 1),
+            (None, [0.0, 1.0], 2), (12, [1.0, 0.0], 1), (12, [1.0, 0.0], 1), (13, [-1.0, 0.0], 1), (14, [0.0, 3.0], 2)]
+    rows = [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v], label) for i, v, label in rows]
+    assert result(spark, rows) == brute(rows)
+    assert embedding_links(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 21, 40 * 8 * 8])
+def test_clusters_chains_and_copies(spark, monkeypatch, block_bytes):
+    """Groups of copies, near copies, chains of links, noise; also cut into many small blocks."""
+    monkeypatch.setattr(cover_tree, "BLOCK_BYTES", block_bytes)
+    r = np.random.default_rng(6)
+    rows = []
+    for label in (0, 1):
+        centre = r.normal(size=8)
+        vectors = [centre + r.normal(size=8) * s for s in (0.02, 0.1, 0.3) for _ in range(40)]
+        vectors += [centre] * 30 + [r.normal(size=8) for _ in range(60)]
+        angles = np.linspace(0, 2, 40)
+        vectors += [np.array([np.cos(a), np.sin(a), 0, 0, 0, 0, 0, 0]) * 3 for a in angles]
+        rows += [(len(rows) + i, f32(v), label) for i, v in enumerate(vectors)]
+    assert result(spark, rows) == brute(rows)
+
+
+def test_tree_covers_and_halves():
+    r = np.random.default_rng(7)
+    unit = r.normal(size=(600, 5))
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+
+    def rows_of(node):
+        out = []
+        for k, centre in enumerate(node.centres):
+            kid = node.kids[k] if node.kids else None
+            out += rows_of(kid) if kid is not None else [int(centre)]
+        return out
+
+    def check(node, bound):
+        for k, centre in enumerate(node.centres):
+            kid = node.kids[k] if node.kids else None
+            if kid is not None:
+                below = rows_of(kid)
+                far = np.linalg.norm(unit[below] - unit[centre], axis=1).max()
+                assert far <= node.radii[k] + 1e-9 <= bound / 2 + 1e-6
+                assert int(centre) in below  # nested
+                check(kid, bound / 2)
+    tree = build_tree(unit)
+    assert sorted(rows_of(tree)) == list(range(600))
+    check(tree, np.linalg.norm(unit - unit[0], axis=1).max())
+
+
+def test_dual_traversal_finds_every_close_pair_once():
+    r = np.random.default_rng(8)
+    unit = np.concatenate([r.normal(size=(300, 4)), r.normal(size=(1, 4)) + r.normal(size=(200, 4)) * 0.05])
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    tree = build_tree(unit)
+    found = [(min(i, j), max(i, j)) for p, q in candidate_pairs(tree, tree, unit, unit, 0.2) for i, j in zip(p.tolist(), q.tolist())]
+    assert len(found) == len(set(found))
+    close = {(i, j) for i in range(500) for j in range(i + 1, 500) if np.linalg.norm(unit[i] - unit[j]) <= 0.2}
+    assert close <= set(found)
+    assert len(found) < 500 * 499 / 2 / 2  # pruning leaves out most pairs
