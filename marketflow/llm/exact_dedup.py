@@ -112,9 +112,9 @@ def keep_first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """The documents that stay, with all their columns; rows that repeat id and content stay once."""
     groups = exact_groups(docs, id_col, text_col)
     kept = materialise(groups.where("kept").select(F.col("doc_id").alias("__llm_id"),
-                                                   "text_sha256").distinct(), "exact-kept")
+                                                   F.col("text_sha256").alias("__llm_kept")).distinct(), "exact-kept")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     marked = docs.withColumn("__llm_sha", F.sha2(strip_white_space(text).cast("binary"), 256))
     rows = marked.join(kept, (F.col(id_col).cast("bigint").eqNullSafe(F.col("__llm_id")))
-                       & (F.col("__llm_sha") == F.col("text_sha256")), "left_semi")
+                       & (F.col("__llm_sha") == F.col("__llm_kept")), "left_semi")
     return rows.drop("__llm_sha")

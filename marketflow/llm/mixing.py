@@ -113,7 +113,7 @@ def _digit(level: int) -> Column:
 
 
 def _region_table(spark, cuts: dict[str, tuple]) -> DataFrame:
-    schema = "__llm_pattern string, base bigint, rest bigint, path array<bigint>"
+    schema = "__llm_pattern string, __llm_base bigint, __llm_rest bigint, __llm_path array<bigint>"
     return spark.createDataFrame([(k, *v) for k, v in cuts.items()], schema)
 
 
@@ -136,12 +136,12 @@ def _cut(rows: DataFrame, sent: dict[str, tuple[int, int, int]]) -> dict[str, tu
         if not wide:
             break
         state = _region_table(spark, {k: cuts[k] for k in wide})
-        inside = rows.join(F.broadcast(state), "__llm_pattern").where(_side(F.col("path")) == 0)
-        bars = (inside.groupBy("__llm_pattern", "rest", _digit(level).alias("digit"))
+        inside = rows.join(F.broadcast(state), "__llm_pattern").where(_side(F.col("__llm_path")) == 0)
+        bars = (inside.groupBy("__llm_pattern", "__llm_rest", _digit(level).alias("digit"))
                 .agg(F.sum("__llm_size").alias("words"), F.count("*").alias("n")))
         upto = F.sum("words").over(Window.partitionBy("__llm_pattern").orderBy("digit"))
         crossed = (bars.withColumn("before", upto - F.col("words"))
-                   .where((F.col("before") <= F.col("rest")) & (F.col("before") + F.col("words") > F.col("rest"))))
+                   .where((F.col("before") <= F.col("__llm_rest")) & (F.col("before") + F.col("words") > F.col("__llm_rest"))))
         for r in crossed.collect():  # one row per pattern
             base, rest, path = cuts[r["__llm_pattern"]]
             cuts[r["__llm_pattern"]] = (base, rest - r["before"], [*path, r["digit"]])
@@ -165,7 +165,7 @@ def _choose(table: pa.Table) -> pa.Table:
     Either the first that fit are put in, or the last that fit into the surplus are left out.
     """
     table = table.sort_by([("__llm_u", "ascending"), ("__llm_v", "ascending")])
-    sizes, rest = table.column("__llm_size").to_pylist(), table.column("rest")[0].as_py()
+    sizes, rest = table.column("__llm_size").to_pylist(), table.column("__llm_rest")[0].as_py()
     inside, short = _fill(sizes, rest)
     outside, over = _fill(sizes[::-1], sum(sizes) - rest)
     chosen = inside if short <= over else [not x for x in outside[::-1]]
@@ -209,17 +209,17 @@ def mix(docs: DataFrame, sources: Column, weights=(3, 1, 2), ratio: float = 1.5,
 
     spark = docs.sparkSession
     table = _region_table(spark, cuts)
-    placed = keyed.join(F.broadcast(table), "__llm_pattern").withColumn("__llm_side", _side(F.col("path")))
-    region = (rows.join(F.broadcast(table.where("rest > 0")), "__llm_pattern").where(_side(F.col("path")) == 0)
-              .select("__llm_pattern", "__llm_u", "__llm_v", "__llm_size", "rest"))
+    placed = keyed.join(F.broadcast(table), "__llm_pattern").withColumn("__llm_side", _side(F.col("__llm_path")))
+    region = (rows.join(F.broadcast(table.where("__llm_rest > 0")), "__llm_pattern").where(_side(F.col("__llm_path")) == 0)
+              .select("__llm_pattern", "__llm_u", "__llm_v", "__llm_size", "__llm_rest"))
     chosen = region.groupBy("__llm_pattern").applyInArrow(
         _choose, "__llm_pattern string, __llm_u bigint, __llm_v bigint, chosen boolean")
     chosen = materialise(chosen.where("chosen").drop("chosen"), "mix-chosen").withColumn("__llm_extra", F.lit(1))
     out = docs.columns + ["__llm_size", "__llm_pattern", "__llm_copies"]
-    before = (F.col("__llm_side") < 0) & (F.col("rest") > 0)
-    settled = (F.col("__llm_side") != 0) | (F.col("rest") == 0)
-    sure = placed.where(settled).withColumn("__llm_copies", F.col("base") + before.cast("bigint"))
+    before = (F.col("__llm_side") < 0) & (F.col("__llm_rest") > 0)
+    settled = (F.col("__llm_side") != 0) | (F.col("__llm_rest") == 0)
+    sure = placed.where(settled).withColumn("__llm_copies", F.col("__llm_base") + before.cast("bigint"))
     stretch = (placed.where(~settled)
                .join(chosen, ["__llm_pattern", "__llm_u", "__llm_v"], "left")
-               .withColumn("__llm_copies", F.col("base") + F.coalesce("__llm_extra", F.lit(0))))
+               .withColumn("__llm_copies", F.col("__llm_base") + F.coalesce("__llm_extra", F.lit(0))))
     return sure.select(*out).union(stretch.select(*out)), {s: Source(sizes[i], targets[i]) for s, i in at.items()}

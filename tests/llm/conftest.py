@@ -20,6 +20,7 @@ def odd_docs(spark):
     from pyspark.sql import functions as F
     # Names that operators use for their own columns.
     for name in ("fp", "component", "digest", "content", "best", "n", "row", "shard", "kept", "keep_id", "score",
-                 "size", "taken", "target", "label", "key", "hash", "pos", "path", "a", "b", "root", "node", "tile"):
+                 "size", "taken", "target", "label", "key", "hash", "pos", "path", "a", "b", "root", "node", "tile", "base", "rest",
+                 "text_sha256", "text_key", "component_id", "license", "dir", "is_licence", "weight", "vector", "toxic"):
         df = df.withColumn(name, F.lit("x"))
     return df

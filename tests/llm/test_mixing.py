@@ -1,0 +1,119 @@
+import itertools
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from marketflow.llm import mixing
+from marketflow.llm.mixing import min_cost_flow, mix, water_fill
+from marketflow.llm.queries import op6_mixing
+
+SF = "/root/testdata/sf0.01"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def test_water_fill():
+    sizes, weights = [100, 10, 50, 0], [3, 1, 2, 3]
+    out = water_fill(sizes, weights, 1.5 * 160, 2)
+    assert sum(out) == pytest.approx(240) and all(t <= 2 * s + 1e-9 for t, s in zip(out, sizes))
+    # sources below their cap share by weight
+    free = [i for i in range(4) if out[i] < 2 * sizes[i] - 1e-9]
+    assert len({round(out[i] / weights[i], 9) for i in free}) <= 1
+    assert water_fill([], [], 0, 2) == []
+
+
+def brute_flow(sizes, members, quotas, copies):
+    """Most words, then the least cost, by trying every split (tiny cases)."""
+    best = None
+    arcs = [(p, s) for p in range(len(sizes)) for s in members[p]]
+    for amounts in itertools.product(*[range(copies * sizes[p] + 1) for p, _ in arcs]):
+        sent, got = [0] * len(sizes), [0] * len(quotas)
+        for (p, s), x in zip(arcs, amounts):
+            sent[p] += x
+            got[s] += x
+        if any(x > copies * z for x, z in zip(sent, sizes)) or any(x > q for x, q in zip(got, quotas)):
+            continue
+        cost = sum(k * (k + 1) // 2 * min(size, max(0, x - k * size)) for x, size in zip(sent, sizes) for k in range(copies))
+        if best is None or (-sum(sent), cost) < best:
+            best = (-sum(sent), cost)
+    return best
+
+
+def test_flow_is_largest_and_cheapest():
+    r = random.Random(11)
+    for _ in range(25):
+        sizes = [r.randint(0, 3) for _ in range(3)]
+        members = [r.choice([[0], [1], [0, 1]]) for _ in range(3)]
+        quotas = [r.randint(0, 7), r.randint(0, 7)]
+        sent = min_cost_flow(sizes, members, quotas, 2)
+        cost = sum(k * (k + 1) // 2 * min(size, max(0, x - k * size)) for x, size in zip(sent, sizes) for k in range(2))
+        assert (-sum(sent), cost) == brute_flow(sizes, members, quotas, 2)
+
+
+def sources_of(rows, weights=(3, 1, 2), ratio=1.5, cap=2):
+    size = {}
+    for _, text, source in rows:
+        size[source] = size.get(source, 0) + len(WORD.findall(text or ""))
+    names = sorted(size, key=lambda s: (s is None, s or ""))
+    targets = water_fill([size[n] for n in names], [weights[i % 3] for i in range(len(names))], ratio * sum(size.values()), cap)
+    return {n: (size[n], t) for n, t in zip(names, targets)}
+
+
+@pytest.mark.parametrize("region", [1024, 6])
+def test_whole_table(spark, monkeypatch, region):
+    monkeypatch.setattr(mixing, "REGION", region)
+    rows = [(r.doc_id, r.text, r.source) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "source").collect()]
+    expected = sources_of(rows)
+    got = {r.doc_id: r for r in op6_mixing(spark, SF).collect()}
+    again = {r.doc_id: r.taken for r in op6_mixing(spark, SF).collect()}
+    assert again == {k: r.taken for k, r in got.items()} and len(got) == len(rows)
+    taken, largest = {}, {}
+    for doc_id, text, source in rows:
+        r, size = got[doc_id], len(WORD.findall(text))
+        assert (r.size, r.source_size) == (size, expected[source][0]) and r.target == pytest.approx(expected[source][1])
+        assert r.taken in (0, size, 2 * size)
+        taken[source] = taken.get(source, 0) + r.taken
+        largest[source] = max(largest.get(source, 0), size)
+    for source, (_, target) in expected.items():
+        assert abs(taken[source] - target) <= max(0.02 * target if region == 1024 else 0, largest[source] if region == 6 else 0)
+
+
+def test_hot_source_and_repeated_rows_by_levels(spark, monkeypatch):
+    """A source with most rows, many of them the same row: the cut goes down to the ties' own order."""
+    monkeypatch.setattr(mixing, "REGION", 4)
+    hot = [(7, "one two three", "hot")] * 300 + [(i, "w " * (i % 9), "hot") for i in range(300)]
+    rows = hot + [(1000 + i, "x y", None) for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(6)
+    out, sources = mix(df, F.array("source"))
+    expected = sources_of(rows)
+    assert {k: (s.size, pytest.approx(s.target)) for k, s in sources.items()} == expected
+    sums = {r.source: r for r in out.groupBy("source").agg(F.sum(F.col("__llm_size") * F.col("__llm_copies")).alias("t"),
+                                                           F.max("__llm_copies").alias("m"), F.count("*").alias("n")).collect()}
+    for name, (_, target) in expected.items():
+        assert abs(sums[name].t - target) <= 9 and sums[name].m <= 2
+    assert sums["hot"].n == 600 and sums[None].n == 50
+
+
+def test_overlapping_sources(spark):
+    rows = [(i, "w " * 10, ["a"] if i % 3 == 0 else ["b", "a"] if i % 3 == 1 else []) for i in range(90)]
+    out, sources = mix(spark.createDataFrame(rows, "doc_id bigint, text string, tags array<string>"), F.col("tags"), ratio=0.4)
+    assert {k: s.size for k, s in sources.items()} == {"a": 600, "b": 300}
+    got = out.collect()
+    assert len(got) == 90 and all(r["__llm_copies"] == 0 for r in got if not r.tags)
+    assert sum(r["__llm_size"] * r["__llm_copies"] for r in got) == pytest.approx(0.4 * 900, abs=10)
+
+
+def test_odd_rows(odd_docs):
+    out, sources = mix(odd_docs, F.array("source"))
+    assert out.columns[:len(odd_docs.columns)] == odd_docs.columns and out.count() == odd_docs.count()
+    assert list(sources) == ["", "a", "b", "c", None]
+    empty, none = mix(odd_docs.limit(0), F.array("source"))
+    assert empty.count() == 0 and none == {}
+
+
+def test_too_many_patterns_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_PATTERNS", 3)
+    df = spark.createDataFrame([(i, "x", f"s{i}") for i in range(9)], "doc_id bigint, text string, source string")
+    with pytest.raises(ValueError, match="patterns"):
+        mix(df, F.array("source"))

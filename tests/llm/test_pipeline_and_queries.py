@@ -1,0 +1,66 @@
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as E
+import corpus_pipeline
+from marketflow.llm.queries import ORACLE_SQL, QUERIES
+from tools.oracle_check import _rows, duck
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_one_query_per_operator():
+    numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES)
+    assert numbers == list(range(1, 11))
+    assert {*QUERIES, "pipeline"} <= set(E.queries()) and set(ORACLE_SQL) <= set(E.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_query_equals_its_sql(spark, name):
+    df = QUERIES[name](spark, SF)
+    con, cols = duck(SF), sorted(df.columns)
+    assert cols == sorted(con.sql(ORACLE_SQL[name]).columns)
+    assert _rows(df.select(*cols).collect()) == _rows(con.sql(f"SELECT {', '.join(cols)} FROM ({ORACLE_SQL[name]})").fetchall())
+
+
+def test_native_plan_of_exact_dedup(spark, capsys):
+    QUERIES["op7_exact_dedup"](spark, SF).explain("formatted")
+    plan = capsys.readouterr().out
+    assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+
+
+def test_stages_take_effect(spark):
+    """Each stage against its operator's own result on the stage's input."""
+    from marketflow.llm.exact_dedup import exact_groups
+    from marketflow.llm.simhash import near_duplicates
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    assert list(stages) == ["toxicity", "exact_dedup", "simhash", "mixing", "packing"]
+    ids = lambda df: sorted(r[0] for r in df.select("doc_id").collect())
+    clean = stages["toxicity"](spark, docs, SF)
+    assert clean.columns == docs.columns
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    assert clean.join(labels.where("toxic = 1"), "doc_id").count() < 0.35 * labels.where("toxic = 1").count()
+    assert clean.join(labels.where("toxic = 0"), "doc_id").count() >= 0.97 * labels.where("toxic = 0").count()
+    unique = stages["exact_dedup"](spark, docs, SF)
+    assert unique.columns == docs.columns and ids(unique) == ids(exact_groups(docs).where("kept"))
+    apart = stages["simhash"](spark, unique, SF)
+    assert apart.columns == docs.columns and ids(apart) == ids(near_duplicates(unique).where("doc_id = component_id"))
+    mixed = stages["mixing"](spark, apart, SF)
+    assert mixed.columns == docs.columns
+    times = mixed.groupBy("doc_id").agg(F.count("*").alias("n"))
+    assert times.agg(F.max("n")).first()[0] <= 2 and times.count() <= apart.count()
+    packed = stages["packing"](spark, mixed, SF)
+    assert packed.select("doc_id").distinct().count() == times.count()
+
+
+def test_pipeline_on_odd_rows(spark, odd_docs, tmp_path):
+    odd_docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 0), (6, 1), (None, None)], "doc_id bigint, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert "sequence_id" in out.columns and out.count() > 0
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"{tmp_path}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/none/{name}.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
