@@ -1,14 +1,14 @@
 """License scans: sparse TF-IDF cosine to templates, then nearest-ancestor inheritance. DataFrame operations only.
 
-A file's header candidates are its lines with an anchor term of some template.
-They are exploded into terms and compared with every template in one aggregate:
-the vocabulary, with inverse document frequencies counted over all files, and the
-templates' weights form one small fixed table (the templates' own terms), which
-is broadcast. A licence file is compared as a whole as well. Files without a
-licence of their own inherit from the nearest directory above them that holds a
-licence file, by joins on directory paths: first each distinct directory finds
-its nearest licensed ancestor, then files join their directory, so a directory
-with very many files costs one row in the first join.
+A file's header candidates are its lines with an anchor term of some template; a
+licence file is compared as a whole as well. A candidate is compared with every
+template where it lies, in array functions over its terms, so no term is
+shuffled: the vocabulary is the templates' own terms, a small fixed set, with
+inverse document frequencies counted over all files. Files without a licence of
+their own inherit from the nearest directory above them that holds a licence
+file, by joins on directory paths: first each distinct directory finds its
+nearest licensed ancestor, then files join their directory, so a directory with
+very many files costs one row in the first join.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import math
 import re
 from collections import Counter
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketflow.llm.common import materialise
@@ -39,7 +39,7 @@ TEMPLATES = (
     ("all-rights-reserved", "All rights reserved."),
 )
 PLAIN = frozenset("a all and any are by file form forms free general in is nc of or person public sa source subject terms the this "
-                  "to under universal use version with without work 0 1 2 3 4".split())
+                  "to under universal use version with without work mit cc copy charge 0 1 2 3 4".split())
 NOT_TERM = "[^a-z0-9]+"
 THRESHOLD = 0.6
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice)([^/]*)$"
@@ -65,36 +65,41 @@ def _idf(total: int, df: int) -> float:
     return math.log((total + 1) / (df + 1)) + 1
 
 
-def _term_table(spark, total: int, df: dict[str, int]) -> DataFrame:
-    """``term, idf, shares``: a term's weight in every template's unit vector."""
-    idf = {t: _idf(total, df.get(t, 0)) for t in VOCABULARY}
-    vectors = []
-    for _, text in TEMPLATES:
-        vector = {t: n * idf[t] for t, n in Counter(terms_of(text)).items()}
-        norm = math.sqrt(sum(w * w for w in vector.values()))
-        vectors.append({t: w / norm for t, w in vector.items()})
-    return spark.createDataFrame([(t, idf[t], [v.get(t, 0.0) for v in vectors]) for t in VOCABULARY],
-                                 "term string, idf double, shares array<double>")
+def _literal_map(values: dict[str, float]) -> Column:
+    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
 
 
-def _own(files: DataFrame, total: int, table: DataFrame, threshold: float) -> DataFrame:
+def _own(files: DataFrame, total: int, df: dict[str, int], threshold: float) -> DataFrame:
     """``path, text_key, license, score`` of files whose best candidate reaches the threshold."""
     key = ["path", "text_key"]
-    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(ANCHOR_PATTERN))
-    lines = F.when(F.col("is_licence"), F.concat(F.array(F.col("text")), lines)).otherwise(lines)
-    terms = (files.where(F.col("is_licence") | F.col("text").rlike(ANCHOR_PATTERN))
-             .select(*key, F.posexplode(lines).alias("line", "part"))
-             .select(*key, "line", F.explode(F.split(F.lower("part"), NOT_TERM)).alias("term")).where("term <> ''")
-             .groupBy(*key, "line", "term").agg(F.count("*").alias("tf")))
-    weighed = terms.join(F.broadcast(table), "term", "left").withColumn(
-        "w", F.col("tf") * F.coalesce("idf", F.lit(_idf(total, 0))))
-    dots = [F.sum(F.col("w") * F.coalesce(F.get("shares", F.lit(i)), F.lit(0.0))).alias(f"dot{i}") for i in range(len(TEMPLATES))]
-    vectors = weighed.groupBy(*key, "line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), *dots)
-    # The best template; ties go to the first.
-    scores = F.array(*[F.struct(F.round(F.col(f"dot{i}") / F.col("norm"), 6).alias("score"), F.lit(-i).alias("rank"),
-                                F.lit(name).alias("license")) for i, (name, _) in enumerate(TEMPLATES)])
-    best = vectors.groupBy(*key).agg(F.max(F.array_max(scores)).alias("best"))
-    return best.select(*key, "best.license", "best.score").where(F.col("score") >= threshold)
+    idf = {t: _idf(total, df.get(t, 0)) for t in VOCABULARY}
+    candidates = F.filter(F.split("text", "\n"), lambda x: x.rlike(ANCHOR_PATTERN))
+    candidates = F.when(F.col("is_licence"), F.concat(F.array(F.col("text")), candidates)).otherwise(candidates)
+    known = lambda x: x.isin(VOCABULARY)
+    parts = (files.where(F.col("is_licence") | F.col("text").rlike(ANCHOR_PATTERN))
+             .select(*key, F.explode(candidates).alias("part"))
+             .select(*key, F.split(F.lower("part"), NOT_TERM).alias("terms"))
+             .withColumn("hits", F.filter("terms", known)).where(F.size("hits") > 0)
+             .withColumn("others", F.array_sort(F.filter("terms", lambda x: ~known(x) & (x != "")))))
+    # Squared counts of the other terms, by runs of equal ones in sorted order.
+    start = F.struct(F.lit("").alias("term"), F.lit(0).cast("bigint").alias("run"), F.lit(0).cast("bigint").alias("sum"))
+    runs = F.aggregate("others", start, lambda a, x: F.when(
+        x == a["term"], F.struct(x.alias("term"), (a["run"] + 1).alias("run"), (a["sum"] + 2 * a["run"] + 1).alias("sum")))
+        .otherwise(F.struct(x.alias("term"), F.lit(1).cast("bigint").alias("run"), (a["sum"] + 1).alias("sum"))))
+    weight = lambda t: F.size(F.filter("hits", lambda x: x == t)) * F.element_at(_literal_map(idf), t)
+    parts = (parts.withColumn("others", runs["sum"] * F.lit(_idf(total, 0) ** 2))
+             .withColumn("w", F.transform(F.array_distinct("hits"), lambda t: F.struct(t.alias("t"), weight(t).alias("w")))))
+    add = lambda f: F.aggregate("w", F.lit(0.0), lambda s, x: s + f(x))
+    parts = parts.withColumn("norm", F.sqrt(add(lambda x: x["w"] * x["w"]) + F.col("others")))
+    scores = []
+    for rank, (name, text) in enumerate(TEMPLATES):  # the best template; ties go to the first
+        vector = {t: n * idf[t] for t, n in Counter(terms_of(text)).items()}
+        norm = math.sqrt(sum(w * w for w in vector.values()))
+        share = _literal_map({t: w / norm for t, w in vector.items()})
+        dot = add(lambda x, share=share: x["w"] * F.coalesce(F.try_element_at(share, x["t"]), F.lit(0.0)))
+        scores.append(F.struct(F.round(dot / F.col("norm"), 6).alias("score"), F.lit(-rank).alias("rank"), F.lit(name).alias("license")))
+    best = parts.select(*key, F.array_max(F.array(*scores)).alias("best")).where(F.col("best.score") >= threshold)
+    return best.groupBy(*key).agg(F.max("best").alias("best")).select(*key, "best.license", "best.score")
 
 
 def scan_licenses(docs: DataFrame, path_col: str = "path", text_col: str = "text",
@@ -118,7 +123,7 @@ def scan_licenses(docs: DataFrame, path_col: str = "path", text_col: str = "text
     files = files.withColumn("dir", F.regexp_replace("path", "/?[^/]*$", ""))
     total, df = _frequencies(files)
     # The path may be null and is a grouping key, so it is compared null-safely below.
-    own = materialise(_own(files, total, _term_table(docs.sparkSession, total, df), threshold), "license-own")
+    own = materialise(_own(files, total, df, threshold), "license-own")
     light = materialise(files.select("path", "text_key", "is_licence", "dir"), "license-files")
     same = lambda a, b: a["path"].eqNullSafe(b["path"]) & (a["text_key"] == b["text_key"])
     marked = light.join(own, same(light, own), "left").select(light["*"], own["license"], own["score"])
