@@ -1,7 +1,11 @@
 """A corpus clean-up in stages; each takes the documents its predecessor kept.
 
-Every stage but the last returns the columns of ``documents``; the last one
-returns the packed pieces. The stages call the operators of ``marketflow.llm``.
+Every stage but the last returns the columns of ``documents``, extra ones too; the
+last one returns the packed pieces. The stages call the operators of
+``marketflow.llm``, whose docstrings define what happens to nulls, empty and
+repeated rows. In short: a null text is an empty one, all empty texts are one
+group of copies, a null source is a source of its own, rows without an id are
+kept unless their text is a copy, and an empty table stays empty.
 """
 
 from __future__ import annotations

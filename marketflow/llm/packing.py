@@ -24,6 +24,7 @@ from marketflow.llm.tokens import IdCache, default_path
 SHARD_ROWS = 16_384
 _PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 _PACKED = _PIECES + ", sequence_id bigint, offset bigint"
+_NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
 
 
 class CapacityTree:
@@ -83,7 +84,7 @@ def cut_documents(docs: DataFrame, id_col: str, text_col: str, window: int, end_
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches):
-        ids = worker_state("ids", path, lambda: IdCache(path))
+        ids = worker_state(("ids", path), lambda: IdCache(path))
         for batch in batches:
             out = [[], [], [], [], []]
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -93,8 +94,7 @@ def cut_documents(docs: DataFrame, id_col: str, text_col: str, window: int, end_
                     piece = data[4 * start:4 * (start + window)]
                     for column, value in zip(out, (doc, start, len(piece) // 4, zlib.crc32(piece), total)):
                         column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out],
-                                             ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], _NAMES)
 
     return rows.mapInArrow(run, _PIECES)
 
@@ -113,7 +113,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
     pieces = materialise(cut, "pack-pieces").withColumn("row", F.monotonically_increasing_id())
     # Odd sequence ids are full windows, even ones come from the shards.
     full = pieces.where(F.col("length") == window).select(
-        *[c.split()[0] for c in _PIECES.split(", ")],
+        *_NAMES,
         (F.col("row") * 2 + 1).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
     rest = pieces.where(F.col("length") < window)
     shards = max(1, -(-rest.count() // shard_rows))

@@ -255,7 +255,7 @@ def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> list[float]:
 
 def _matcher(model: dict) -> Cache:
     lexicon = Lexicon(model["terms"])
-    return Cache(lambda word: lexicon.match(word.strip(EDGE)), 1 << 18)
+    return Cache(lambda word: lexicon.match(word.strip(EDGE)), 1 << 17)
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, train=None, id_col: str = "doc_id",
@@ -277,14 +277,16 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, train=None, id_col: str =
     model = {"key": uuid.uuid4().hex, "terms": terms, "weights": None, "share": 0.0}
 
     def extract(batches):
-        match = worker_state("toxic-words", model["key"], lambda: _matcher(model))
+        match = worker_state(("toxic-words", model["key"]), lambda: _matcher(model))
         for batch in batches:
             rows = [features(t.as_py(), match) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), batch.column(1)], ["x", "toxic"])
 
     rows = sample.select("text", "toxic").mapInArrow(extract, "x array<double>, toxic int").collect()  # bounded by SAMPLE
     x, y = np.array([r["x"] for r in rows]), np.array([r["toxic"] for r in rows], float)
-    model["weights"] = _fit(x, y, np.where(y == 1, scale[1], scale[0]))
+    # One more clean row without matches: with hardly any labels, a text that shows nothing is presumed clean.
+    model["weights"] = _fit(np.vstack([x, np.zeros(x.shape[1])]), np.append(y, 0.0),
+                            np.append(np.where(y == 1, scale[1], scale[0]), 1.0))
     return model
 
 
@@ -294,7 +296,7 @@ def score_toxicity(docs: DataFrame, model: dict, text_col: str = "text", score_c
     at = docs.columns.index(text_col)
 
     def run(batches):
-        match = worker_state("toxic-words", model["key"], lambda: _matcher(model))
+        match = worker_state(("toxic-words", model["key"]), lambda: _matcher(model))
         weights = np.array(model["weights"]) if model["weights"] else None
         for batch in batches:
             if weights is None:

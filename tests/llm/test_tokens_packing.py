@@ -3,7 +3,6 @@ import zlib
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from marketflow.llm.packing import CapacityTree, best_fit, pack
 from marketflow.llm.token_counts import count_tokens, frequent_pre_tokens
