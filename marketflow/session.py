@@ -89,14 +89,6 @@ def shared_dir(spark: SparkSession) -> str:
     raise RuntimeError(NO_SHARED_DIR)
 
 
-def session_key(spark: SparkSession) -> str:
-    """An identifier of the running application (for per-session memos)."""
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:
-        return spark.conf.get("spark.app.id", None) or str(id(spark))
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder for one derived table."""
     return f"{shared_dir(spark)}/marketflow/{name}-{uuid.uuid4().hex[:12]}"

@@ -181,7 +181,6 @@ def test_jdbc_warehouse_options_without_a_database(spark, monkeypatch):
     """What would be sent to a database; nothing is run."""
     from marketflow.operators import incremental
     from marketflow.operators.incremental import JdbcWarehouse, load_increment
-    from marketflow.plans.jobs import load_warehouse  # noqa: F401
     seen = []
     monkeypatch.setattr(incremental, "table_exists", lambda s, u, p, t: t == "cutting_dates")
     monkeypatch.setattr(incremental, "read_max_cut", lambda *a: spark.sql("SELECT date'2024-01-01' AS cut_date"))
