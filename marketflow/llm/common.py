@@ -1,8 +1,7 @@
-"""Helpers shared by the operators: white space, scratch tables, worker state, null-safe keys."""
+"""Helpers shared by the operators: white space, written tables, worker state, folds by id."""
 
 from __future__ import annotations
 
-import re
 import sys
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,8 +10,6 @@ from pyspark.sql import functions as F
 from marketflow.session import scratch_path
 
 WS = " \t\n\x0b\x0c\r"  # the characters of [\x20\x09-\x0D]
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-LOWER_AZ = {c: c + 32 for c in range(65, 91)}
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -36,15 +33,17 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def worker_state(name: str, key, make):
+def worker_state(key, make):
     """The value ``make()`` gave for ``key``, kept between the tasks of a Python worker process.
 
-    One value per name: another key replaces it, so nothing piles up.
+    A worker keeps one value: another key replaces it, so the caches of one
+    operator never lie beside the next one's.
     """
     store = sys.__dict__.setdefault("_llm_worker_state", {})
-    if name not in store or store[name][0] != key:
-        store[name] = (key, make())
-    return store[name][1]
+    if key not in store:
+        store.clear()
+        store[key] = make()
+    return store[key]
 
 
 def strip_white_space(text: Column) -> Column:
@@ -55,8 +54,3 @@ def strip_white_space(text: Column) -> Column:
 def crc32_mod(key: Column, m: int) -> Column:
     """``crc32`` of the key's text, modulo ``m``; a null key counts as the empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % m
-
-
-def internal(name: str) -> str:
-    """A column name that no input column carries by accident."""
-    return f"__llm_{name}"

@@ -74,7 +74,7 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     table = docs.sparkSession.sparkContext.broadcast(zlib.compress(json.dumps(lengths).encode()))
 
     def run(batches):
-        counts = worker_state("counts", run_key,
+        counts = worker_state(("counts", run_key),
                               lambda: Counts(json.loads(zlib.decompress(table.value)), path))
         for batch in batches:
             sizes, tokens = [], []

@@ -99,7 +99,7 @@ class Cache(dict):
 class IdCache:
     """Texts to their ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, most: int = 1 << 19):
+    def __init__(self, path: str, most: int = 1 << 18):
         self.encoder = Encoder(path)
         self.tokens = Cache(self._merge, most)
 
@@ -119,7 +119,7 @@ class IdCache:
 class Counts(dict):
     """Two tiers: the frequent pre-tokens' lengths, then a bounded cache of the others."""
 
-    def __init__(self, frequent: dict[str, int], path: str, most: int = 1 << 19):
+    def __init__(self, frequent: dict[str, int], path: str, most: int = 1 << 18):
         super().__init__(frequent)
         self.encoder = Encoder(path)
         self.rare = Cache(lambda t: len(self.encoder.pre_token(t)), most)
