@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketflow.llm.common import materialise, worker_state
-from marketflow.llm.tokens import IdCache, default_path
+from marketflow.llm.tokens import IdEncoder, default_path
 
 SHARD_ROWS = 16_384
 _PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
@@ -84,7 +84,7 @@ def cut_documents(docs: DataFrame, id_col: str, text_col: str, window: int, end_
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches):
-        ids = worker_state(("ids", path), lambda: IdCache(path))
+        ids = worker_state(("ids", path), lambda: IdEncoder(path))
         for batch in batches:
             out = [[], [], [], [], []]
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import os
 import re
-from struct import pack
 
 import numpy as np
 
@@ -24,6 +23,7 @@ PRE_TOKEN = re.compile(
     rf" ?[{LETTER}]+|'(?:s|t|re|ve|m|ll|d)| ?[{NUMBER}]+| ?[^{LETTER}{NUMBER}{SPACE}]+"
     rf"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 BEYOND = re.compile("[^\u0000-\u024f]")
+LONG_WORD = 1 << 14
 LONG_TEXT = 1 << 22  # code points from which pre-tokens are walked one by one instead of listed
 
 
@@ -96,23 +96,35 @@ class Cache(dict):
         return value
 
 
-class IdCache:
-    """Texts to their ids as little-endian unsigned 32-bit bytes."""
+class IdEncoder:
+    """Texts to their ids as little-endian unsigned 32-bit bytes.
 
-    def __init__(self, path: str, most: int = 1 << 18):
-        self.encoder = Encoder(path)
-        self.tokens = Cache(self._merge, most)
+    Ordinary texts go through the merge loop of ``tiktoken``, built from the same
+    vocabulary file: the ranks are its ids and the pattern is the one above, so
+    the ids are the library's (the tests compare them). Texts with other code
+    points, or with a stretch of over ``LONG_WORD`` signs without a space, go
+    through the library itself.
+    """
 
-    def _merge(self, token: str) -> bytes:
-        found = self.encoder.pre_token(token)
-        return pack(f"<{len(found)}I", *[t.id for t in found])
+    def __init__(self, path: str):
+        import tiktoken
+        self.encoder = Encoder(path)
+        byte = {sign: b for b, sign in byte_signs().items()}
+        ranks = {bytes(byte[c] for c in token): i for token, i in self.encoder.library.get_vocab(False).items()}
+        pattern = PRE_TOKEN.pattern.replace(f"[^{SPACE}]", "\\S").replace(f"[{SPACE}]", "\\s").replace(SPACE, "\\s")
+        pattern = pattern.replace(LETTER, "\\p{L}").replace(NUMBER, "\\p{N}")
+        self.merges = tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+    def _ordinary(self, text: str) -> bytes:
+        if len(text) > LONG_WORD and max(map(len, text.split(" "))) > LONG_WORD:
+            return np.array(self.encoder.ids(text), "<u4").tobytes()
+        return self.merges.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
 
     def encode(self, text: str) -> bytes:
         pieces = self.encoder.pieces(text)
         if pieces is None:
             return np.array(self.encoder.ids(text), "<u4").tobytes()
-        look = self.tokens.__getitem__
-        return b"".join(b"".join(map(look, split(part))) if special is None else int(special).to_bytes(4, "little")
+        return b"".join(self._ordinary(part) if special is None else int(special).to_bytes(4, "little")
                         for special, part in pieces)
 
 

@@ -6,7 +6,7 @@ import pytest
 
 from marketflow.llm.packing import CapacityTree, best_fit, pack
 from marketflow.llm.token_counts import count_tokens, frequent_pre_tokens
-from marketflow.llm.tokens import Encoder, IdCache, default_path
+from marketflow.llm.tokens import LONG_WORD, Counts, Encoder, IdEncoder, default_path
 
 SF = "/root/testdata/sf0.01"
 
@@ -16,13 +16,17 @@ def encoder():
     return Encoder(default_path())
 
 
-def test_cached_ids_equal_the_library(encoder):
+def test_ids_and_counts_equal_the_library(encoder):
     r = random.Random(1)
     signs = [chr(i) for i in range(0x250)] + list("  \n\n\t\x85\xa0\x1c\x1d") * 8 + list("abcdefghij'stre") * 10 + ["<|endoftext|>"] * 5
-    cache = IdCache(default_path())
+    ids, counts = IdEncoder(default_path()), Counts({}, default_path(), most=50)
     for i in range(5000):
         text = "".join(r.choice(signs) for _ in range(r.randint(0, 30))) + (r.choice("你😀’—") if i % 10 == 0 else "")
-        assert cache.encode(text) == np.array(encoder.ids(text), "<u4").tobytes()
+        assert ids.encode(text) == np.array(encoder.ids(text), "<u4").tobytes()
+        assert counts.count(text) == len(encoder.ids(text))
+    for text in ("ab" * LONG_WORD, "x" * 70 + " " + "é1" * LONG_WORD, "a " * 3 * LONG_WORD):
+        assert ids.encode(text) == np.array(encoder.ids(text), "<u4").tobytes()
+        assert counts.count(text) == len(encoder.ids(text))
 
 
 def test_count_tokens_whole_table(spark, encoder):
