@@ -5,11 +5,14 @@ to), so the flow network has one node per pattern and source, however many
 documents there are. Words flow from a pattern's copies to the quotas of its
 sources; the first copy of a pattern costs nothing and every further one more
 than the last, so nothing is repeated while fresh words are left. What a pattern
-sends is then met by whole documents: all of them for every full copy, and for
-the rest those that come first in a seeded order. The cut in that order is found
-by histograms of the order's digits, level by level, so no source, however large,
-is ever sorted or gathered; only the last stretch of at most ``REGION`` documents
-per pattern is walked, to leave as small a gap to the quota as its documents allow.
+sends is then met by whole documents: all of them for every full copy, and for the
+rest, in a seeded order, each that still fits (or, from the end of the order, each
+that fits into the surplus is left out; whichever leaves the smaller gap). Where the
+next document does not fit is found by histograms of the order's digits, level by
+level, so no source, however large, is ever sorted or gathered; only a stretch of at
+most ``REGION`` documents around that place is walked. The search then goes on behind
+the stretch with the documents that fit into what is left, until none does, so the
+result does not depend on ``REGION``.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from __future__ import annotations
 import heapq
 import json
 from dataclasses import dataclass
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -26,8 +30,11 @@ from pyspark.sql.window import Window
 from marketflow.llm.common import materialise
 
 MAX_PATTERNS = 4096  # the driver solves a network of this size; more patterns raise an error
-REGION = 1024
+REGION = 1024  # documents walked at a time
 _BITS, _LEVELS = 12, 5  # digits per hash
+_HALF = _BITS * _LEVELS  # an order's place has so many bits of the seeded hash, then of the row's, for ties
+_END = 1 << 2 * _HALF
+_SPAN = "struct<u0:bigint,v0:bigint,u1:bigint,v1:bigint,room:bigint>"
 
 
 @dataclass(frozen=True)
@@ -106,71 +113,122 @@ def min_cost_flow(sizes: list[int], members: list[list[int]], quotas: list[int],
     return sent
 
 
-def _digit(level: int) -> Column:
-    """The order's digit of a level: five of the seeded hash, then five of the row's, for ties."""
-    column, at = ("__llm_u", level) if level < _LEVELS else ("__llm_v", level - _LEVELS)
-    return F.shiftrightunsigned(column, 64 - _BITS * (at + 1)).bitwiseAND(F.lit((1 << _BITS) - 1))
+@dataclass
+class _Search:
+    """Documents in one order, each taken that fits into the room left: how far that has got."""
 
+    room: int
+    start: int = 0  # the place where it goes on
+    path: tuple[int, ...] = ()  # digits of the stretch with the next document that does not fit
+    rest: int = 0  # the room left at the stretch
 
-def _region_table(spark, cuts: dict[str, tuple]) -> DataFrame:
-    schema = "__llm_pattern string, __llm_base bigint, __llm_rest bigint, __llm_path array<bigint>"
-    return spark.createDataFrame([(k, *v) for k, v in cuts.items()], schema)
+    def __post_init__(self):
+        self.whole: list[tuple] = []  # spans all of whose fitting documents are taken
+        self.walked: list[tuple] = []  # stretches whose documents were walked
 
+    def span(self, start: int, end: int) -> tuple:
+        low = (1 << _HALF) - 1
+        return start >> _HALF, start & low, end >> _HALF, end & low, self.room
 
-def _side(path: Column) -> Column:
-    """-1, 0 or 1: the row lies before, in or after the stretch that the digits of ``path`` name."""
-    side = F.lit(0)
-    for level in reversed(range(2 * _LEVELS)):
-        want = F.get(path, F.lit(level))
-        side = (F.when(want.isNull() | (_digit(level) == want), side if level + 1 < 2 * _LEVELS else F.lit(0))
-                .when(_digit(level) < want, -1).otherwise(1))
-    return side
+    def stretch(self) -> tuple[int, int]:
+        at = 0
+        for digit in self.path:
+            at = at << _BITS | digit
+        free = 2 * _HALF - _BITS * len(self.path)
+        return max(self.start, at << free), (at + 1) << free
 
 
-def _cut(rows: DataFrame, sent: dict[str, tuple[int, int, int]]) -> dict[str, tuple]:
-    """Per pattern: copies of every document, words still to choose, and the stretch to choose them in."""
-    spark = rows.sparkSession
-    cuts = {k: (words // size if size else 0, words % size if size else 0, []) for k, (size, _, words) in sent.items()}
-    wide = {k for k, (_, count, _) in sent.items() if count > REGION and cuts[k][1]}
-    for level in range(2 * _LEVELS):
-        if not wide:
-            break
-        state = _region_table(spark, {k: cuts[k] for k in wide})
-        inside = rows.join(F.broadcast(state), "__llm_pattern").where(_side(F.col("__llm_path")) == 0)
-        bars = (inside.groupBy("__llm_pattern", "__llm_rest", _digit(level).alias("digit"))
-                .agg(F.sum("__llm_size").alias("words"), F.count("*").alias("n")))
-        upto = F.sum("words").over(Window.partitionBy("__llm_pattern").orderBy("digit"))
-        crossed = (bars.withColumn("before", upto - F.col("words"))
-                   .where((F.col("before") <= F.col("__llm_rest")) & (F.col("before") + F.col("words") > F.col("__llm_rest"))))
-        for r in crossed.collect():  # one row per pattern
-            base, rest, path = cuts[r["__llm_pattern"]]
-            cuts[r["__llm_pattern"]] = (base, rest - r["before"], [*path, r["digit"]])
-            if r["n"] <= REGION:
-                wide.discard(r["__llm_pattern"])
-    return cuts
-
-
-def _fill(sizes: list[int], room: int) -> tuple[list[bool], int]:
-    """In order, the sizes that still fit, and the room they leave."""
-    taken = []
-    for size in sizes:
-        taken.append(0 < size <= room)
-        room -= size * taken[-1]
-    return taken, room
+def _within(u: Column, v: Column, size: Column, span: Column) -> Column:
+    """Whether a document lies in a span and fits into its room."""
+    after = (u > span["u0"]) | ((u == span["u0"]) & (v >= span["v0"]))
+    before = (u < span["u1"]) | ((u == span["u1"]) & (v < span["v1"]))
+    return after & before & (size > 0) & (size <= span["room"])
 
 
-def _choose(table: pa.Table) -> pa.Table:
-    """The documents of one stretch, in seeded order, whose words come nearest to those to choose.
+def _mirror(column: str, backward: Column) -> Column:
+    """A half of the place in the order, or in the order from its end."""
+    return F.when(backward, F.lit((1 << _HALF) - 1) - F.col(column)).otherwise(F.col(column))
 
-    Either the first that fit are put in, or the last that fit into the surplus are left out.
-    """
-    table = table.sort_by([("__llm_u", "ascending"), ("__llm_v", "ascending")])
-    sizes, rest = table.column("__llm_size").to_pylist(), table.column("__llm_rest")[0].as_py()
-    inside, short = _fill(sizes, rest)
-    outside, over = _fill(sizes[::-1], sum(sizes) - rest)
-    chosen = inside if short <= over else [not x for x in outside[::-1]]
-    return (table.select(["__llm_pattern", "__llm_u", "__llm_v"])
-            .append_column("chosen", pa.array(chosen, pa.bool_())))
+
+def _live(rows: DataFrame, spans: dict[tuple[str, bool], tuple], **extra: dict) -> DataFrame:
+    """The documents in each search's span, placed in its order, with further values by search."""
+    schema = f"__llm_pattern string, backward boolean, span {_SPAN}" + "".join(f", {k} bigint" for k in extra)
+    table = rows.sparkSession.createDataFrame([(*k, v, *(x[k] for x in extra.values())) for k, v in spans.items()], schema)
+    return (rows.join(F.broadcast(table), "__llm_pattern")
+            .withColumn("u", _mirror("__llm_u", F.col("backward"))).withColumn("v", _mirror("__llm_v", F.col("backward")))
+            .where(_within(F.col("u"), F.col("v"), F.col("__llm_size"), F.col("span"))))
+
+
+def _digit(level: int) -> Column:
+    column, at = ("u", level) if level < _LEVELS else ("v", level - _LEVELS)
+    return F.shiftright(column, _HALF - _BITS * (at + 1)).bitwiseAND(F.lit((1 << _BITS) - 1))
+
+
+def _walk(table: pa.Table) -> pa.Table:
+    """The documents of one stretch, in order, that fit into the room left."""
+    table = table.sort_by([("u", "ascending"), ("v", "ascending")])
+    taken, room = [], table.column("rest")[0].as_py()
+    for size in table.column("__llm_size").to_pylist():
+        taken.append(size <= room)
+        room -= size * taken[-1]
+    return table.filter(pa.array(taken, pa.bool_())).select(["__llm_pattern", "backward", "__llm_u", "__llm_v", "__llm_size"])
+
+
+def _first_fit(rows: DataFrame, rooms: dict[tuple[str, bool], int]) -> tuple[dict[tuple[str, bool], _Search], DataFrame]:
+    """The searches by (pattern, backward) at their end, and the documents that the walks took."""
+    searches = {k: _Search(room) for k, room in rooms.items()}
+    schema = "__llm_pattern string, backward boolean, __llm_u bigint, __llm_v bigint, __llm_size bigint"
+    walks = [rows.sparkSession.createDataFrame([], schema)]
+    going = {k for k, s in searches.items() if s.room > 0}
+    while going:
+        wide, found = set(going), set()
+        for k in going:
+            searches[k].path, searches[k].rest = (), searches[k].room
+        for level in range(2 * _LEVELS):
+            if not wide:
+                break
+            live = _live(rows, {k: searches[k].span(*(searches[k].stretch() if level else (searches[k].start, _END))) for k in wide},
+                         rest={k: searches[k].rest for k in wide})
+            bars = (live.groupBy("__llm_pattern", "backward", "rest", _digit(level).alias("digit"))
+                    .agg(F.sum("__llm_size").alias("words"), F.count("*").alias("n")))
+            each = Window.partitionBy("__llm_pattern", "backward")
+            bars = (bars.withColumn("upto", F.sum("words").over(each.orderBy("digit")))
+                    .withColumn("all", F.sum("words").over(each)).withColumn("before", F.col("upto") - F.col("words")))
+            crossed = bars.where(((F.col("before") <= F.col("rest")) & (F.col("upto") > F.col("rest")))
+                                 | ((F.col("all") <= F.col("rest")) & (F.col("upto") == F.col("all"))))
+            left = set(wide)
+            for r in crossed.collect():  # one row per search
+                k = (r["__llm_pattern"], r["backward"])
+                s = searches[k]
+                left.discard(k)
+                if r["all"] <= s.rest:  # everything that is left fits
+                    s.whole.append(s.span(s.start, _END))
+                    s.room -= r["all"]
+                    wide.discard(k)
+                    going.discard(k)
+                    continue
+                s.path, s.rest = (*s.path, r["digit"]), s.rest - r["before"]
+                found.add(k)
+                if r["n"] <= REGION:
+                    wide.discard(k)
+            wide -= left  # nothing that is left fits
+            going -= left
+        if not found:
+            break
+        spans = {k: searches[k].span(*searches[k].stretch()) for k in found}
+        stretch = _live(rows, spans, rest={k: searches[k].rest for k in found})
+        picked = stretch.select("__llm_pattern", "backward", "u", "v", "__llm_u", "__llm_v", "__llm_size", "rest")
+        walks.append(materialise(picked.groupBy("__llm_pattern", "backward").applyInArrow(_walk, schema), "mix-walked"))
+        took = {(r[0], r[1]): r[2] for r in walks[-1].groupBy("__llm_pattern", "backward").agg(F.sum("__llm_size")).collect()}
+        for k in found:
+            s = searches[k]
+            at, end = s.stretch()
+            s.whole.append(s.span(s.start, at))
+            s.walked.append(spans[k])
+            s.start, s.room = end, s.rest - took.get(k, 0)
+            if s.room == 0 or end == _END:
+                going.discard(k)
+    return searches, reduce(DataFrame.unionAll, walks)
 
 
 def mix(docs: DataFrame, sources: Column, weights=(3, 1, 2), ratio: float = 1.5, cap: int = 2,
@@ -189,8 +247,9 @@ def mix(docs: DataFrame, sources: Column, weights=(3, 1, 2), ratio: float = 1.5,
     names = F.array_sort(F.array_distinct(F.coalesce(sources, F.array().cast("array<string>"))))
     keyed = (docs.withColumn("__llm_size", words.cast("bigint"))
              .withColumn("__llm_pattern", F.to_json(names))
-             .withColumn("__llm_u", F.xxhash64(F.lit(seed), F.col(id_col), F.col("__llm_size"), F.col("__llm_pattern")))
-             .withColumn("__llm_v", F.xxhash64(F.monotonically_increasing_id())))
+             .withColumn("__llm_u", F.shiftrightunsigned(
+                 F.xxhash64(F.lit(seed), F.col(id_col), F.col("__llm_size"), F.col("__llm_pattern")), 64 - _HALF))
+             .withColumn("__llm_v", F.shiftrightunsigned(F.xxhash64(F.monotonically_increasing_id()), 64 - _HALF)))
     rows = materialise(keyed.select("__llm_size", "__llm_pattern", "__llm_u", "__llm_v"), "mix-rows")
     found = (rows.groupBy("__llm_pattern").agg(F.sum("__llm_size").alias("size"), F.count("*").alias("n"))
              .limit(MAX_PATTERNS + 1).collect())
@@ -205,21 +264,30 @@ def mix(docs: DataFrame, sources: Column, weights=(3, 1, 2), ratio: float = 1.5,
     targets = water_fill(sizes, [weights[i % len(weights)] for i in range(len(order))],
                          ratio * sum(p[1] for p in patterns), cap)
     flow = min_cost_flow([p[1] for p in patterns], members, [round(t) for t in targets], cap)
-    cuts = _cut(rows, {p: (size, n, words) for (p, size, n), words in zip(patterns, flow)})
+    cuts = {p: (words // size, words % size) for (p, size, _), words in zip(patterns, flow) if size}
+    rooms = {(p, back): size - cuts[p][1] if back else cuts[p][1] for p, size, _ in patterns if size and cuts[p][1] for back in (False, True)}
+    searches, walks = _first_fit(rows, rooms)
 
     spark = docs.sparkSession
-    table = _region_table(spark, cuts)
-    placed = keyed.join(F.broadcast(table), "__llm_pattern").withColumn("__llm_side", _side(F.col("__llm_path")))
-    region = (rows.join(F.broadcast(table.where("__llm_rest > 0")), "__llm_pattern").where(_side(F.col("__llm_path")) == 0)
-              .select("__llm_pattern", "__llm_u", "__llm_v", "__llm_size", "__llm_rest"))
-    chosen = region.groupBy("__llm_pattern").applyInArrow(
-        _choose, "__llm_pattern string, __llm_u bigint, __llm_v bigint, chosen boolean")
-    chosen = materialise(chosen.where("chosen").drop("chosen"), "mix-chosen").withColumn("__llm_extra", F.lit(1))
+    table = []
+    for p, _, _ in patterns:
+        base, rest = cuts.get(p, (0, 0))
+        back = rest > 0 and searches[p, True].room < searches[p, False].room
+        best = searches[p, back] if rest else _Search(0)
+        table.append((p, base, rest > 0, back, best.whole, best.walked))
+    schema = (f"__llm_pattern string, __llm_base bigint, __llm_some boolean, __llm_back boolean, "
+              f"__llm_whole array<{_SPAN}>, __llm_walked array<{_SPAN}>")
+    table = spark.createDataFrame(table, schema)
+    u, v = _mirror("__llm_u", F.col("__llm_back")), _mirror("__llm_v", F.col("__llm_back"))
+    lies = lambda spans: F.exists(spans, lambda span: _within(u, v, F.col("__llm_size"), span))
+    placed = keyed.join(F.broadcast(table), "__llm_pattern").withColumn("__llm_open", lies("__llm_walked"))
+    # What a search took is put in once more, or all but that if the search went backward.
+    extra = lambda took: (F.col("__llm_some") & (F.col("__llm_size") > 0) & (took != F.col("__llm_back"))).cast("bigint")
+    chosen = walks.join(F.broadcast(table.select("__llm_pattern", F.col("__llm_back").alias("backward"))), ["__llm_pattern", "backward"])
+    chosen = chosen.select("__llm_pattern", "__llm_u", "__llm_v", F.lit(True).alias("__llm_took"))
     out = docs.columns + ["__llm_size", "__llm_pattern", "__llm_copies"]
-    before = (F.col("__llm_side") < 0) & (F.col("__llm_rest") > 0)
-    settled = (F.col("__llm_side") != 0) | (F.col("__llm_rest") == 0)
-    sure = placed.where(settled).withColumn("__llm_copies", F.col("__llm_base") + before.cast("bigint"))
-    stretch = (placed.where(~settled)
+    sure = placed.where(~F.col("__llm_open")).withColumn("__llm_copies", F.col("__llm_base") + extra(lies("__llm_whole")))
+    stretch = (placed.where("__llm_open")
                .join(chosen, ["__llm_pattern", "__llm_u", "__llm_v"], "left")
-               .withColumn("__llm_copies", F.col("__llm_base") + F.coalesce("__llm_extra", F.lit(0))))
+               .withColumn("__llm_copies", F.col("__llm_base") + extra(F.coalesce("__llm_took", F.lit(False)))))
     return sure.select(*out).union(stretch.select(*out)), {s: Source(sizes[i], targets[i]) for s, i in at.items()}

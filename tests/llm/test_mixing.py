@@ -117,3 +117,29 @@ def test_too_many_patterns_is_an_error(spark, monkeypatch):
     df = spark.createDataFrame([(i, "x", f"s{i}") for i in range(9)], "doc_id bigint, text string, source string")
     with pytest.raises(ValueError, match="patterns"):
         mix(df, F.array("source"))
+
+
+def long_documents():
+    """Over 1024 documents a source, and one very long document in each 1000."""
+    r = random.Random(3)
+    sizes = [100_000 if i % 1000 == 500 else r.randint(50, 550) for i in range(3300)]
+    return [(i, "w " * n, "abc"[i % 3]) for i, n in enumerate(sizes)]
+
+
+@pytest.mark.parametrize("seed", [7, 8, 9])
+def test_long_documents_leave_no_gap_that_others_could_close(spark, seed):
+    rows = long_documents()
+    out, sources = mix(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), F.array("source"),
+                       weights=(1, 1, 1), ratio=0.7, seed=seed)
+    sums = {r.source: r.t for r in out.groupBy("source").agg(F.sum(F.col("__llm_size") * F.col("__llm_copies")).alias("t")).collect()}
+    for name, source in sources.items():
+        assert abs(sums[name] - source.target) <= 50  # the shortest document's words
+
+
+def test_region_does_not_change_the_result(spark, monkeypatch):
+    df = spark.createDataFrame(long_documents(), "doc_id bigint, text string, source string")
+
+    def run(region):
+        monkeypatch.setattr(mixing, "REGION", region)
+        return {r.doc_id: r.n for r in mix(df, F.array("source"), ratio=0.9)[0].select("doc_id", F.col("__llm_copies").alias("n")).collect()}
+    assert run(7) == run(100_000)
