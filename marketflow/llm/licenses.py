@@ -1,7 +1,8 @@
 """License scans: sparse TF-IDF cosine to templates, then nearest-ancestor inheritance. DataFrame operations only.
 
-A file's header candidates are its lines with an anchor term of some template; a
-licence file is compared as a whole as well. A candidate is compared with every
+A file's header candidates are its lines whose known terms weigh enough beside their
+others that the cosine could reach the threshold; a licence file is compared as a
+whole as well. A candidate is compared with every
 template where it lies, in array functions over its terms, so no term is
 shuffled: the vocabulary is the templates' own terms, a small fixed set, with
 inverse document frequencies counted over all files. Files without a licence of
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from marketflow.llm.common import materialise
 
-# Licence notices, and the terms in them that do not mark a notice.
+# Licence notices, and the terms in them that the oracle SQL does not take for a mark of a notice.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted."),
@@ -50,8 +51,7 @@ def terms_of(text: str) -> list[str]:
 
 
 VOCABULARY = sorted({t for _, text in TEMPLATES for t in terms_of(text)})
-ANCHORS = sorted(set(VOCABULARY) - PLAIN)
-ANCHOR_PATTERN = rf"(?i)(?<![a-zA-Z0-9])({'|'.join(ANCHORS)})(?![a-zA-Z0-9])"
+ANCHORS = sorted(set(VOCABULARY) - PLAIN)  # the oracle SQL's line filter
 
 
 def _frequencies(files: DataFrame) -> tuple[int, dict[str, int]]:
@@ -73,17 +73,24 @@ def _own(files: DataFrame, total: int, df: dict[str, int], threshold: float) ->
     """``path, text_key, license, score`` of files whose best candidate reaches the threshold."""
     key = ["path", "text_key"]
     idf = {t: _idf(total, df.get(t, 0)) for t in VOCABULARY}
-    candidates = F.filter(F.split("text", "\n"), lambda x: x.rlike(ANCHOR_PATTERN))
-    candidates = F.when(F.col("is_licence"), F.concat(F.array(F.col("text")), candidates)).otherwise(candidates)
     known = lambda x: x.isin(VOCABULARY)
-    parts = (files.where(F.col("is_licence") | F.col("text").rlike(ANCHOR_PATTERN))
-             .select(*key, F.explode(candidates).alias("part"))
-             .select(*key, F.split(F.lower("part"), NOT_TERM).alias("terms"))
+    # A cosine is at most sqrt(V / (V + O)), the squared weights of known and other terms. V is at most the square
+    # of the known terms' summed weights, O at least the other terms' number times their squared weight.
+    least = max(0.0, threshold - 1e-6) ** 2
+    start = F.struct(F.lit(0.0).alias("known"), F.lit(0).alias("others"))
+    weigh = lambda a, x: (F.when(x == "", a)
+                          .when(known(x), F.struct((a["known"] + F.element_at(_literal_map(idf), x)).alias("known"), a["others"].alias("others")))
+                          .otherwise(F.struct(a["known"].alias("known"), (a["others"] + 1).alias("others"))))
+    enough = lambda a: (a["known"] > 0) & ((1 - least) * a["known"] * a["known"] >= least * a["others"] * _idf(total, 0) ** 2)
+    candidates = F.split("text", "\n")
+    candidates = F.when(F.col("is_licence"), F.concat(F.array(F.col("text")), candidates)).otherwise(candidates)
+    candidates = F.filter(F.transform(candidates, lambda x: F.split(F.lower(x), NOT_TERM)), lambda x: F.aggregate(x, start, weigh, enough))
+    parts = (files.select(*key, F.explode(candidates).alias("terms"))
              .withColumn("hits", F.filter("terms", known)).where(F.size("hits") > 0)
              .withColumn("others", F.array_sort(F.filter("terms", lambda x: ~known(x) & (x != "")))))
     # Squared counts of the other terms, by runs of equal ones in sorted order.
-    start = F.struct(F.lit("").alias("term"), F.lit(0).cast("bigint").alias("run"), F.lit(0).cast("bigint").alias("sum"))
-    runs = F.aggregate("others", start, lambda a, x: F.when(
+    first = F.struct(F.lit("").alias("term"), F.lit(0).cast("bigint").alias("run"), F.lit(0).cast("bigint").alias("sum"))
+    runs = F.aggregate("others", first, lambda a, x: F.when(
         x == a["term"], F.struct(x.alias("term"), (a["run"] + 1).alias("run"), (a["sum"] + 2 * a["run"] + 1).alias("sum")))
         .otherwise(F.struct(x.alias("term"), F.lit(1).cast("bigint").alias("run"), (a["sum"] + 1).alias("sum"))))
     weight = lambda t: F.size(F.filter("hits", lambda x: x == t)) * F.element_at(_literal_map(idf), t)

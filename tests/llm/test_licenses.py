@@ -1,6 +1,10 @@
+import math
+from collections import Counter
+
+import pytest
 from pyspark.sql import functions as F
 
-from marketflow.llm.licenses import ANCHORS, TEMPLATES, scan_licenses
+from marketflow.llm.licenses import ANCHORS, TEMPLATES, THRESHOLD, VOCABULARY, scan_licenses, terms_of
 from marketflow.llm.queries import op9_licenses
 
 PATHS = "path string, text string, n long, dir string, license string, term string, line string"
@@ -58,3 +62,33 @@ def test_plan_has_no_python(spark, capsys):
     plan = capsys.readouterr().out
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
     assert ANCHORS
+
+
+def test_notices_of_plain_terms_only(spark):
+    others = [(str(i), text) for i, (_, text) in enumerate(TEMPLATES)]
+    out = scan(spark, [("a", "CC BY 4.0"), ("b", "prose\nUnder CC BY-SA 4.0\nprose"), ("c", "CC BY-NC 4.0"), *others])
+    assert [out[x].license for x in "abc"] == ["CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0"]
+
+
+def test_every_line_is_compared(spark):
+    """Own licences equal those from the plain cosine of every line, without any filter."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    files = [(f"{r.doc_id}.txt", r.text) for r in docs if r.text] + [("n1", "CC BY 4.0"), ("n2", "free of charge\nx"), ("n3", "the copy the copy")]
+    df = Counter(t for _, text in files for t in set(terms_of(text)))
+    idf = lambda t: math.log((len(files) + 1) / ((df[t] if t in VOCABULARY else 0) + 1)) + 1
+
+    def vector(text):
+        return {t: n * idf(t) for t, n in Counter(terms_of(text)).items()}
+    templates = [vector(text) for _, text in TEMPLATES]
+    norm = lambda v: math.sqrt(sum(w * w for w in v.values()))
+    out = scan(spark, files)
+    for path, text in files:
+        best = (0.0, 0)
+        for line in filter(None, map(vector, text.split("\n"))):
+            for i, t in enumerate(templates):
+                score = round(sum(w * t.get(x, 0.0) for x, w in line.items()) / norm(line) / norm(t), 6)
+                best = max(best, (score, -i))
+        if best[0] >= THRESHOLD:
+            assert (out[path].license, out[path].score) == (TEMPLATES[-best[1]][0], pytest.approx(best[0], abs=2e-6))
+        else:
+            assert out[path].license is None
