@@ -4,6 +4,7 @@
     python -m marketflow clean-master  --raw PATH --out PATH
     python -m marketflow enrich        --messages PATH --master PATH --lake PATH --checkpoint PATH
                                        [--cut-token TOKEN | --cut DATE]
+    python -m marketflow replay        --lake PATH --master PATH
     python -m marketflow load          --lake PATH --warehouse PATH --initial-cut DATE [--lookback-days N]
     python -m marketflow news          --texts PATH --tickers A,B --warehouse PATH [--horizon-days N]
                                        [--whole-files]
@@ -11,7 +12,9 @@
 Before the step: ``--checkpoint-dir`` names the folder that the driver and all
 executors share (``spark.checkpoint.dir``); only local masters do without.
 ``lake-cut`` prints the cut's base64 token as its last line, which ``enrich``
-takes as ``--cut-token``. The warehouse here is a Parquet folder; a JDBC
+takes as ``--cut-token``. ``replay`` brings bars that waited for their master row
+into the lake, after ``clean-master``. ``load`` takes the batches that a streamed lake's
+record names as new; ``--lookback-days`` is for other lakes. The warehouse here is a Parquet folder; a JDBC
 warehouse is used through the library (``JdbcWarehouse``) so that credentials
 never appear on a command line.
 """
@@ -61,6 +64,10 @@ def main(argv: list[str] | None = None) -> int:
     g.add_argument("--cut", type=_date, dest="cut")
     p.add_argument("--max-files-per-trigger", type=int, default=None)
 
+    p = sub.add_parser("replay")
+    p.add_argument("--lake", required=True)
+    p.add_argument("--master", required=True)
+
     p = sub.add_parser("load")
     p.add_argument("--lake", required=True)
     p.add_argument("--warehouse", required=True)
@@ -81,6 +88,7 @@ def main(argv: list[str] | None = None) -> int:
     from marketflow.operators.incremental import ParquetWarehouse
     from marketflow.plans import jobs
     from marketflow.sources.messages import read_message_files
+    from marketflow.streaming.lake import replay_unmatched
 
     builder = SparkSession.builder.appName(f"marketflow-{args.step}")
     if args.master_url:
@@ -100,9 +108,11 @@ def main(argv: list[str] | None = None) -> int:
         elif args.step == "enrich":
             messages = read_message_files(spark, args.messages, streaming=True,
                                           max_files_per_trigger=args.max_files_per_trigger)
-            n = jobs.enrich_stream_to_lake(spark, messages, args.master, args.lake,
-                                           args.checkpoint, args.cut)
-            print(json.dumps({"messages_in": n}))
+            routes = jobs.enrich_stream_to_lake(spark, messages, args.master, args.lake,
+                                                args.checkpoint, args.cut)
+            print(json.dumps({"messages_in": sum(routes.values()), **routes}))
+        elif args.step == "replay":
+            print(json.dumps(replay_unmatched(spark, args.lake, spark.read.parquet(args.master))))
         elif args.step == "load":
             wh = ParquetWarehouse(spark, args.warehouse, partition_by={"market_data": ["year", "month"]})
             out = jobs.load_warehouse(spark, args.lake, wh, args.initial_cut, args.lookback_days)

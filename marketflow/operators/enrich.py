@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketflow.functions.dates import after
-from marketflow.schemas import BAR_RENAMES, MASTER_ATTRIBUTES
+from marketflow.functions.json import parse_with_text
+from marketflow.schemas import BAR_MESSAGE, BAR_RENAMES, MASTER_ATTRIBUTES
 
 
 def bars_from_messages(parsed: DataFrame) -> DataFrame:
@@ -39,3 +40,38 @@ def enrich(bars: DataFrame, master: DataFrame, cut=None, date_col: str = "transa
         out = (out.withColumn("year", F.year("transaction_date"))
                   .withColumn("month", F.month("transaction_date")))
     return out
+
+
+# Where a message goes: into the lake, to the rejected texts, to the bars without a master row, or nowhere.
+TO_LAKE, TO_REJECTS, TO_UNMATCHED, BEFORE_CUT = "lake", "rejected", "unmatched", "before_cut"
+
+
+def typed_bars(messages: DataFrame, value_col: str = "value") -> DataFrame:
+    """Messages -> typed bar columns, ``value`` (only of unusable messages) and ``reason`` (null for usable ones).
+
+    A message is unusable without a ticker or a day: ``malformed`` if its text is
+    broken, else ``no_ticker`` or ``no_day``. A null or empty text is malformed.
+    A broken field beside a good ticker and day is null and the bar usable.
+    """
+    parsed = parse_with_text(messages, BAR_MESSAGE, value_col)
+    # ``T`` and a field ``t`` of some messages differ only in case, so names are resolved here, on typed columns.
+    bars = parsed.select(*[parsed[src].alias(dst) for src, dst in BAR_RENAMES.items()], "value", "_broken")
+    missing = F.col("ticker").isNull() | F.col("transaction_date").isNull()
+    reason = F.when(missing, F.when(F.col("_broken"), "malformed").when(F.col("ticker").isNull(), "no_ticker")
+                    .otherwise("no_day"))
+    return bars.select(*BAR_RENAMES.values(), F.when(missing, F.col("value")).alias("value"), reason.alias("reason"))
+
+
+def route_bars(bars: DataFrame, master: DataFrame, cut=None) -> DataFrame:
+    """Typed bars (see ``typed_bars``) -> enriched lake columns with ``year``, ``month``, ``route``, ``reason``, ``value``.
+
+    The join keeps bars without a master row, so every row that comes in leaves
+    by exactly one route.
+    """
+    side = master.select(F.col("ticker").alias("m_ticker"), *MASTER_ATTRIBUTES)
+    joined = bars.join(side, F.col("ticker") == F.col("m_ticker"), "left")
+    late = F.lit(False) if cut is None else ~after("transaction_date", cut)
+    route = (F.when(F.col("reason").isNotNull(), TO_REJECTS).when(late, BEFORE_CUT)
+             .when(F.col("m_ticker").isNull(), TO_UNMATCHED).otherwise(TO_LAKE))
+    return joined.select(*MASTER_ATTRIBUTES, *BAR_RENAMES.values(), F.year("transaction_date").alias("year"),
+                         F.month("transaction_date").alias("month"), route.alias("route"), "reason", "value")

@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import datetime as _dt
 import logging
+from functools import reduce
+from operator import or_
 from typing import Protocol
 
 from pyspark.errors import AnalysisException
@@ -23,11 +25,12 @@ from pyspark.sql import functions as F
 
 from marketflow.functions.dates import as_date_value
 from marketflow.operators.contracts import with_violations
-from marketflow.schemas import CUT_TABLE
+from marketflow.schemas import BATCH_TABLE, CUT_TABLE
 from marketflow.session import delete_path, scratch_path
 from marketflow.sinks.jdbc import append_jdbc, overwrite_jdbc
+from marketflow.sinks.landed import LandedLog
 from marketflow.sources.jdbc import read_jdbc_table, read_max_cut, table_exists
-from marketflow.sources.parquet import is_missing_path, latest_partition, month_index
+from marketflow.sources.parquet import is_missing_path, latest_partition, month_index, read_lake
 
 log = logging.getLogger(__name__)
 
@@ -45,16 +48,17 @@ def _to_date(value) -> _dt.date | None:
 
 
 def lake_cut(lake: DataFrame, default=None, date_col: str = "transaction_date",
-             since=None) -> DataFrame:
+             since=None, newest: tuple[int, int] | None = None) -> DataFrame:
     """One row ``cut_date``: the newest date of the lake's newest month.
 
-    Step 1 reads only partition values, of the months from ``since`` on (the
-    last known cut: without it the files of every month are opened once);
-    step 2 reads the date column of that single month (a literal partition
-    filter, so the scan is pruned). Any year counts, so early January falls
-    back to December, not to a fixed date.
+    Step 1 finds that month, unless ``newest`` names it (``sources.newest_month``
+    tells it without opening a file): it reads only partition values, of the
+    months from ``since`` on (the last known cut: without it the files of every
+    month are opened once). Step 2 reads the date column of that single month (a
+    literal partition filter, so the scan is pruned). Any year counts, so early
+    January falls back to December, not to a fixed date.
     """
-    latest = latest_partition(lake, since).first()
+    latest = dict(zip(("year", "month"), newest)) if newest else latest_partition(lake, since).first()
     spark = lake.sparkSession
     if latest is None or latest["year"] is None:
         return spark.range(1).select(as_date_value(default).cast("date").alias("cut_date")) \
@@ -79,12 +83,15 @@ def new_rows(lake: DataFrame, cut, seen: list[DataFrame] | None = None,
     start = _to_date(cut) - _dt.timedelta(days=lookback_days)
     if floor is not None:
         start = max(start, _to_date(floor))
-    rows = _after_start(lake, date_col, start)
+    return unseen(_after_start(lake, date_col, start), [_after_start(f, date_col, start) for f in seen or []])
+
+
+def unseen(rows: DataFrame, seen: list[DataFrame]) -> DataFrame:
+    """Distinct rows that no frame of ``seen`` holds, compared on all columns of ``rows``, nulls equal."""
     columns = [F.col(f"`{c}`") for c in rows.columns]
     tagged = rows.withColumn("_seen", F.lit(0))
-    for frame in seen or []:
-        old = _after_start(frame, date_col, start).select(*columns)
-        tagged = tagged.unionByName(old.withColumn("_seen", F.lit(1)))
+    for frame in seen:
+        tagged = tagged.unionByName(frame.select(*columns).withColumn("_seen", F.lit(1)))
     return tagged.groupBy(*columns).agg(F.max("_seen").alias("_seen")).where("_seen = 0").drop("_seen")
 
 
@@ -217,6 +224,68 @@ def load_increment(lake: DataFrame, warehouse: Warehouse,
     if contract and reject_table:
         tables.append(warehouse.read(reject_table))
     batch = new_rows(rows, start, [t for t in tables if t is not None], date_col, lookback_days, floor)
+    return _write_load(spark, warehouse, batch, start, stored, data_table, cut_table, date_col, contract, reject_table)
+
+
+def load_landed(spark: SparkSession, lake_path: str, warehouse: Warehouse,
+                data_table: str = "market_data", cut_table: str = "cutting_dates",
+                batch_table: str = "loaded_batches", initial_cut=None, date_col: str = "transaction_date",
+                drop_columns: list[str] | None = None, contract=None, reject_table: str | None = None) -> dict:
+    """Append what the lake's record names as landed and not yet loaded, however old its dates are.
+
+    The batches not in ``batch_table`` are read, by their names, which are
+    partition values: no other file of the lake is opened, and no lookback is
+    needed. Of the target only the months these batches wrote are compared, so
+    rows already there (from a load that was cut off, or copies in different
+    batches) are not repeated. Rows on or before ``initial_cut`` are never loaded. The
+    batches are noted last: a load cut off before is done again and adds what is
+    missing. Returns the summary of ``load_increment`` and the number of batches.
+    """
+    record = LandedLog(spark, lake_path)
+    floor, stored = (None if initial_cut is None else _to_date(initial_cut)), read_cut(warehouse, None, cut_table)
+    landed = record.read().where("route = 'lake' and n_rows > 0")
+    if floor is not None:
+        landed = landed.where(F.col("last_day") > F.lit(floor))
+    loaded = warehouse.read(batch_table, schema=BATCH_TABLE)
+    if loaded is not None:
+        landed = landed.join(loaded.select("batch"), "batch", "left_anti")
+    # One row per batch and month that is yet to be loaded.
+    pending = landed.select("batch", "year", "month").distinct().collect()
+    start = stored or floor
+    if not pending:
+        return {"cut_before": start, "rows_loaded": 0, "rows_rejected": 0, "cut_after": start, "batches": 0}
+    names, months = sorted({p["batch"] for p in pending}), sorted({(p["year"], p["month"]) for p in pending})
+    rows = read_lake(spark, lake_path, keep_batch=True).where(F.col("batch").isin(names))
+    rows = rows.drop("batch", *(drop_columns or []))
+    if floor is not None:
+        rows = rows.where(F.col(date_col) > F.lit(floor))
+    tables = [warehouse.read(data_table, schema=rows.schema)]
+    if contract and reject_table:
+        tables.append(warehouse.read(reject_table))
+    batch = unseen(rows, [_in_months(t, date_col, months) for t in tables if t is not None])
+    out = _write_load(spark, warehouse, batch, start, stored, data_table, cut_table, date_col, contract, reject_table)
+    warehouse.append(batch_table, spark.createDataFrame([(n,) for n in names], BATCH_TABLE))
+    return {**out, "batches": len(names)}
+
+
+def _in_months(df: DataFrame, date_col: str, months: list[tuple[int, int]]) -> DataFrame:
+    """Rows of the given months, by date ranges (which scans can skip by) and, where there are any, partition columns."""
+    if "year" in df.columns and "month" in df.columns:
+        df = df.where(month_index().isin([y * 12 + m - 1 for y, m in months]))
+    spans: list[list[int]] = []
+    for index in (y * 12 + m - 1 for y, m in months):  # neighbouring months make one range
+        if spans and spans[-1][1] == index:
+            spans[-1][1] = index + 1
+        else:
+            spans.append([index, index + 1])
+    first = lambda i: F.lit(_dt.date(i // 12, i % 12 + 1, 1))
+    day = F.col(date_col)
+    return df.where(reduce(or_, ((day >= first(a)) & (day < first(b)) for a, b in spans)))
+
+
+def _write_load(spark: SparkSession, warehouse: Warehouse, batch: DataFrame, start, stored, data_table: str, cut_table: str,
+                date_col: str, contract, reject_table: str | None) -> dict:
+    """Stages the batch, appends its good and bad rows, and raises the cut last."""
     staged = with_violations(batch, contract or [])
     # Cut the lineage with a staged copy in the shared folder: one job computes
     # the batch, and all writes read the same rows, even when executors are lost.
@@ -226,7 +295,7 @@ def load_increment(lake: DataFrame, warehouse: Warehouse,
     bad = F.size("violations") > 0
     stats = staged.agg(F.count(F.when(~bad, 1)).alias("good"), F.count(F.when(bad, 1)).alias("bad"),
                        F.max(date_col).cast("date").alias("m")).first()
-    after = max(d for d in (start, stored, stats["m"]) if d is not None)
+    after = max((d for d in (start, stored, stats["m"]) if d is not None), default=None)
     if stats["bad"] and reject_table:
         warehouse.append(reject_table, staged.where(bad).withColumn("violations", F.array_join("violations", ",")))
     if stats["good"]:

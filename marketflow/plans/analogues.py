@@ -87,7 +87,12 @@ def lineitem_as_bars(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(*[v.alias(n) for v, n in zip(_bar_values(lineitem), names)])
 
 
-def lineitem_as_bar_messages(lineitem: DataFrame) -> DataFrame:
+def line_mark() -> Column:
+    """A number for each lineitem."""
+    return F.col("l_orderkey") * 10 + F.col("l_linenumber")
+
+
+def lineitem_as_bar_messages(lineitem: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Bar messages as JSON text in ``value``, with the API's short names plus
     a field (``t``) the parser must ignore; ``ship_day`` is kept beside for
     landing the messages in batches.
@@ -99,7 +104,7 @@ def lineitem_as_bar_messages(lineitem: DataFrame) -> DataFrame:
     fields = [v.alias(n) for v, n in zip(_bar_values(lineitem), names)]
     fields.append(F.unix_timestamp(F.col("l_shipdate").cast("timestamp")).alias("t"))
     return lineitem.select(F.to_json(F.struct(*fields)).alias("value"),
-                           F.col("l_shipdate").cast("date").alias("ship_day"))
+                           F.col("l_shipdate").cast("date").alias("ship_day"), *(keep or []))
 
 
 def orders_as_lake_rows(orders: DataFrame) -> DataFrame:

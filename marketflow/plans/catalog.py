@@ -34,13 +34,13 @@ from marketflow.operators.sizing import spread
 from marketflow.plans import jobs
 from marketflow.plans import analogues as A
 from marketflow.session import scratch_path
+from marketflow.sinks.landed import LandedLog
 from marketflow.sinks.messages import write_json_lines
 from marketflow.sinks.parquet import append_lake, overwrite_parquet
 from marketflow.sources.messages import flatten_envelopes, read_article_texts, read_message_files
-from marketflow.sources.parquet import latest_partition, scan_month_range
-from marketflow.streaming.runner import (
-    enrich_stream, few_files, master_ingest_stream, run_available_now,
-)
+from marketflow.sources.parquet import latest_partition, read_lake, scan_month_range
+from marketflow.streaming.lake import rejected_messages, replay_unmatched
+from marketflow.streaming.runner import master_ingest_stream, run_available_now
 
 # Fixed parameters of the catalogue (the oracle SQL repeats them).
 ENRICH_CUT = "2000-12-31"
@@ -50,7 +50,7 @@ HORIZON_DAYS = 20
 RANGE_START, RANGE_END = "2000-12-15", "2002-01-10"
 LAKE_DEFAULT_CUT = "2024-01-01"
 LOAD_SEED_CUT, LOAD_SPLIT, LOAD_LOOKBACK = "1996-06-30", "1997-12-31", 3
-DAILY_LOOKBACK = 36_500  # days; the second load's rows are years late
+LONG_LOOKBACK = 36_500  # days
 STREAM_SPLIT_YEAR = 1999
 MASTER_SPLIT_NATION = 13
 CALENDAR_BASE = "lake"
@@ -73,8 +73,10 @@ def orders_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _wide(df: DataFrame) -> DataFrame:
-    """Dealt over all cores: each table here is one file, often one row group, and JSON is heavy per row."""
-    return spread(df, df.sparkSession.sparkContext.defaultParallelism)
+    """A small scan dealt over all cores, as its file may be one row group and JSON is heavy per row. A scan of more than
+    twice as many splits as cores stays as it is, so no dealt part is larger than two splits."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() > 2 * cores else spread(df, cores)
 
 
 # ---------------------------------------------------------------- sources
@@ -236,14 +238,13 @@ def q_stream_enrich(spark, sf_dir):
     landing, master_path, out, ckpt = (scratch_path(spark, n) for n in
                                        ("bars_in", "master", "bars_lake", "bars_ckpt"))
     overwrite_parquet(_master(spark, sf_dir), master_path)
-    master = spark.read.parquet(master_path)
     messages.where(early).select("value").write.mode("append").text(landing)
-    stream = few_files(enrich_stream(read_message_files(spark, landing, streaming=True), master, ENRICH_CUT))
-    run_available_now(stream, out, ckpt, partition_by=schemas.LAKE_PARTITION_COLUMNS)
-    run_available_now(stream, out, ckpt, partition_by=schemas.LAKE_PARTITION_COLUMNS)
+    stream = read_message_files(spark, landing, streaming=True)
+    jobs.enrich_stream_to_lake(spark, stream, master_path, out, ckpt, ENRICH_CUT)
+    jobs.enrich_stream_to_lake(spark, stream, master_path, out, ckpt, ENRICH_CUT)  # no new files: no new rows
     messages.where(~early).select("value").write.mode("append").text(landing)
-    run_available_now(stream, out, ckpt, partition_by=schemas.LAKE_PARTITION_COLUMNS)
-    return spark.read.parquet(out)
+    jobs.enrich_stream_to_lake(spark, stream, master_path, out, ckpt, ENRICH_CUT)
+    return read_lake(spark, out)
 
 
 def q_lake_backfill(spark, sf_dir):
@@ -255,7 +256,44 @@ def q_lake_backfill(spark, sf_dir):
     overwrite_parquet(_master(spark, sf_dir), master_path)
     jobs.backfill_streamed_lake(spark, messages.where(~early), landing, master_path, out, ckpt, ENRICH_CUT)
     jobs.backfill_streamed_lake(spark, messages.where(early), landing, master_path, out, ckpt, ENRICH_CUT)
-    return spark.read.parquet(out)
+    return read_lake(spark, out)
+
+
+def _partly_broken_messages(spark, sf_dir):
+    """Bar messages of all lineitems; some cut short, some without a ticker or with a day that is none."""
+    rows = A.lineitem_as_bar_messages(table(spark, sf_dir, "lineitem").withColumn("mark", A.line_mark()), keep=["mark"])
+    text = F.when(F.col("mark") % 11 == 0, F.concat(F.lit('{"T":"'), F.col("mark"), F.lit('","v":'))) \
+        .when(F.col("mark") % 13 == 0, F.concat(F.lit('{"t":'), F.col("mark"), F.lit("}"))) \
+        .when(F.col("mark") % 17 == 0, F.concat(F.lit('{"T":"1","date_time":"'), F.col("mark"), F.lit('th"}'))) \
+        .otherwise(F.col("value"))
+    return rows.select(text.alias("value"))
+
+
+def q_message_rejects(spark, sf_dir):
+    """Rejected texts with their reasons, and how many messages took each route; none is lost."""
+    landing, master_path, out, ckpt = (scratch_path(spark, n) for n in
+                                       ("reject_in", "reject_master", "reject_lake", "reject_ckpt"))
+    overwrite_parquet(_master(spark, sf_dir).where(F.col("ticker").cast("int") % 3 != 0), master_path)
+    _partly_broken_messages(spark, sf_dir).write.text(landing)
+    jobs.enrich_stream_to_lake(spark, read_message_files(spark, landing, streaming=True), master_path, out, ckpt, ENRICH_CUT)
+    rejects = rejected_messages(spark, out).groupBy("reason", "value").agg(F.count("*").alias("n_rows"))
+    routes = LandedLog(spark, out).read().groupBy("route").agg(F.sum("n_rows").alias("n_rows"))
+    return rejects.select(F.lit("message").alias("kind"), "reason", "value", "n_rows").unionByName(
+        routes.select(F.lit("route").alias("kind"), F.col("route").alias("reason"), F.lit(None).cast("string").alias("value"), "n_rows"))
+
+
+def q_unmatched_replay(spark, sf_dir):
+    """Bars of tickers the master learns only later, in two steps; in the end the lake holds them all once."""
+    landing, master_path, out, ckpt = (scratch_path(spark, n) for n in
+                                       ("wait_in", "wait_master", "wait_lake", "wait_ckpt"))
+    master, known = _master(spark, sf_dir), F.col("ticker").cast("int") % 4
+    A.lineitem_as_bar_messages(table(spark, sf_dir, "lineitem")).select("value").write.text(landing)
+    overwrite_parquet(master.where(known == 0), master_path)
+    jobs.enrich_stream_to_lake(spark, read_message_files(spark, landing, streaming=True), master_path, out, ckpt, ENRICH_CUT)
+    replay_unmatched(spark, out, master.where(known == 0))  # nothing new: nothing is written
+    replay_unmatched(spark, out, master.where(known <= 2))
+    replay_unmatched(spark, out, master)
+    return read_lake(spark, out)
 
 
 def q_daily_run_late(spark, sf_dir):
@@ -272,7 +310,7 @@ def q_daily_run_late(spark, sf_dir):
         jobs.daily_run(spark, master_raw_path=p["raw"], master_path=p["master"], bar_messages_path=p["bars"],
                        lake_path=p["lake"], lake_checkpoint=p["ckpt"], warehouse=wh, news_texts_path=p["news"],
                        tickers=A.WATCHED_TICKERS, initial_cut=LOAD_SEED_CUT, first_day_after=ENRICH_CUT,
-                       lookback_days=DAILY_LOOKBACK, horizon_days=None)
+                       horizon_days=None)
     return wh.read("market_data")
 
 
@@ -391,7 +429,7 @@ def q_incremental_versions(spark, sf_dir):
     newer = rows.withColumn("o_orderstatus", F.lit("X"))
     lake_path, wh = scratch_path(spark, "versions_lake"), ParquetWarehouse(spark, scratch_path(spark, "versions_wh"))
     odd = F.col("o_orderkey") % 2 == 1
-    kwargs = dict(initial_cut=LOAD_SEED_CUT, lookback_days=DAILY_LOOKBACK, drop_columns=["year", "month"])
+    kwargs = dict(initial_cut=LOAD_SEED_CUT, lookback_days=LONG_LOOKBACK, drop_columns=["year", "month"])
     append_lake(rows.where(odd).unionByName(newer.where(~odd)), lake_path)
     load_increment(spark.read.parquet(lake_path), wh, **kwargs)
     append_lake(rows.where(~odd).unionByName(newer.where(odd)).unionByName(newer), lake_path)
@@ -518,6 +556,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_rerun": q_incremental_rerun,
     "incremental_versions": q_incremental_versions,
     "lake_backfill": q_lake_backfill,
+    "message_rejects": q_message_rejects,
+    "unmatched_replay": q_unmatched_replay,
     "daily_run_late": q_daily_run_late,
     "publish_articles": q_publish_articles,
     "day_calendar": q_day_calendar,

@@ -14,20 +14,21 @@ from pyspark.sql import functions as F
 from marketflow import schemas
 from marketflow.functions.dates import encode_cut_token
 from marketflow.operators.contracts import ARTICLES_CONTRACT, MARKET_DATA_CONTRACT, with_violations
-from marketflow.operators.enrich import enrich
-from marketflow.operators.incremental import lake_cut, load_increment
+from marketflow.operators.enrich import TO_LAKE, enrich
+from marketflow.operators.incremental import lake_cut, load_increment, load_landed
 from marketflow.operators.master import clean_master, latest_per_ticker
 from marketflow.operators.news import (
     articles_table_rows, flatten_articles, related_as_text, unparsed_texts,
 )
 from marketflow.operators.signals import daily_return, daily_sentiment, sentiment_price_corr
 from marketflow.operators.sizing import spread
-from marketflow.session import delete_path, scratch_path
+from marketflow.session import delete_path, path_exists, scratch_path
+from marketflow.sinks.landed import LandedLog
 from marketflow.sinks.parquet import append_lake, overwrite_parquet
 from marketflow.sources.messages import read_article_texts, read_kafka, read_message_files
-from marketflow.streaming.runner import (
-    enrich_stream, few_files, master_ingest_stream, run_available_now,
-)
+from marketflow.sources.parquet import newest_month, read_lake
+from marketflow.streaming.lake import replay_unmatched, stream_to_lake
+from marketflow.streaming.runner import master_ingest_stream, run_available_now
 
 log = logging.getLogger(__name__)
 
@@ -60,32 +61,30 @@ def enrich_batch_to_lake(spark: SparkSession, bars: DataFrame, master_path: str,
 
 
 def enrich_stream_to_lake(spark: SparkSession, messages: DataFrame, master_path: str,
-                          lake_path: str, checkpoint: str, cut=None, buckets: int = 1) -> int:
-    """Bar messages (Kafka or landed files, streaming) -> the lake, at most
-    ``buckets`` files a month and micro-batch."""
+                          lake_path: str, checkpoint: str, cut=None) -> dict:
+    """Bar messages (Kafka or landed files, streaming) -> the lake, with a record of
+    what each micro-batch landed. Returns the messages of the run by route: into
+    the lake, rejected, without a master row, before the cut."""
     # Every micro-batch reads the static side again: keep it cached for the run.
     master = spark.read.parquet(master_path).persist()
     try:
-        rows = few_files(enrich_stream(messages, master, cut), buckets)
-        return run_available_now(rows, lake_path, checkpoint,
-                                 partition_by=schemas.LAKE_PARTITION_COLUMNS)
+        return stream_to_lake(messages, master, lake_path, checkpoint, cut)
     finally:
         master.unpersist()
 
 
 def backfill_streamed_lake(spark: SparkSession, bar_messages: DataFrame, landing_path: str,
-                           master_path: str, lake_path: str, checkpoint: str, cut=None,
-                           buckets: int = 1) -> int:
+                           master_path: str, lake_path: str, checkpoint: str, cut=None) -> dict:
     """Older bar messages (JSON text in ``value``) -> a lake that a stream
     writes: they are landed where the stream reads and go through its sink, so
     every reader of the lake sees them."""
     bar_messages.select("value").write.mode("append").text(landing_path)
     messages = read_message_files(spark, landing_path, streaming=True)
-    return enrich_stream_to_lake(spark, messages, master_path, lake_path, checkpoint, cut, buckets)
+    return enrich_stream_to_lake(spark, messages, master_path, lake_path, checkpoint, cut)
 
 
 def enrich_kafka_to_lake(spark: SparkSession, kafka_options: dict, master_path: str,
-                         lake_path: str, checkpoint: str, cut=None) -> int:
+                         lake_path: str, checkpoint: str, cut=None) -> dict:
     """Bar topic (new offsets; tolerate expired ones) -> the lake."""
     options = {"startingOffsets": "latest", "failOnDataLoss": "false", **kafka_options}
     return enrich_stream_to_lake(spark, read_kafka(spark, options), master_path, lake_path,
@@ -95,9 +94,13 @@ def enrich_kafka_to_lake(spark: SparkSession, kafka_options: dict, master_path:
 def lake_cut_token(spark: SparkSession, lake_path: str, default, since=None) -> DataFrame:
     """The lake high-water mark handed to the next enrichment run: one row
     ``cut_date`` plus ``token``, its base64 text form for passing between
-    processes (``decode_cut_token`` reverses it). ``since``, the last known cut,
-    leaves the files of all months before it unopened."""
-    cut = lake_cut(spark.read.parquet(lake_path), default, since=since)
+    processes (``decode_cut_token`` reverses it). The newest month comes from the
+    lake's record or its folders' names; only that month's dates are read. (A plain
+    file stream's folders may hold files it has not committed: there ``since``, the
+    last known cut, leaves the files of all months before it unopened.)"""
+    by_name = not path_exists(spark, f"{lake_path.rstrip('/')}/_spark_metadata")
+    cut = lake_cut(read_lake(spark, lake_path), default, since=since,
+                   newest=newest_month(spark, lake_path) if by_name else None)
     return cut.withColumn("token", encode_cut_token("cut_date"))
 
 
@@ -106,11 +109,17 @@ def load_warehouse(spark: SparkSession, lake_path: str, warehouse, initial_cut,
     """Lake -> warehouse ``market_data`` by high-water mark, idempotently.
     Rows breaking the table's length limits go to ``reject_table`` instead of
     failing the whole insert. ``year`` and ``month`` are no columns of the table:
-    they are written only to a warehouse that keeps it partitioned by them."""
-    lake = spark.read.parquet(lake_path)
+    they are written only to a warehouse that keeps it partitioned by them.
+
+    From a lake with a record of its batches exactly the batches not loaded yet are
+    taken, whatever their dates; ``lookback_days`` serves other lakes, whose rows
+    are found by date alone."""
     parts = getattr(warehouse, "partition_by", {}).get("market_data") or []
     extra = [c for c in schemas.LAKE_PARTITION_COLUMNS if c not in parts]
-    return load_increment(lake, warehouse, initial_cut=initial_cut, lookback_days=lookback_days,
+    if LandedLog(spark, lake_path).exists():
+        return load_landed(spark, lake_path, warehouse, initial_cut=initial_cut, drop_columns=extra,
+                           contract=MARKET_DATA_CONTRACT, reject_table=reject_table)
+    return load_increment(spark.read.parquet(lake_path), warehouse, initial_cut=initial_cut, lookback_days=lookback_days,
                           drop_columns=extra, contract=MARKET_DATA_CONTRACT, reject_table=reject_table)
 
 
@@ -166,24 +175,28 @@ def sentiment_study(articles: DataFrame, bars: DataFrame, lag_days: int = 0) ->
 def daily_run(spark: SparkSession, *, master_raw_path: str, master_path: str,
               bar_messages_path: str, lake_path: str, lake_checkpoint: str, warehouse,
               news_texts_path: str, tickers, initial_cut, first_day_after=None,
-              max_files_per_trigger: int | None = None, lookback_days: int = 7,
-              horizon_days: int | None = 100, whole_files: bool = False, buckets: int = 1) -> dict:
-    """One day's steps in order: clean master, enrich landed bars, load the
-    warehouse, publish articles.
+              max_files_per_trigger: int | None = None,
+              horizon_days: int | None = 100, whole_files: bool = False) -> dict:
+    """One day's steps in order: clean master, bring in the bars that waited for
+    it, enrich landed bars, load the warehouse, publish articles.
 
     The stream's checkpoint is its progress: every landed bar is read once and
     kept, however late its date, unless it is not after ``first_day_after`` (a
-    fixed floor, None: none). The load looks ``lookback_days`` back behind its
-    cut for such late rows; the news step reads the last ``horizon_days``.
+    fixed floor, None: none). A bar that comes before its master row waits in the
+    lake's store of unmatched bars. The load takes the batches the lake's record
+    names as new, so late bars reach the warehouse too; the news step reads the
+    last ``horizon_days``.
     """
-    clean_master_table(spark, master_raw_path, master_path)
+    master = clean_master_table(spark, master_raw_path, master_path)
+    replayed = replay_unmatched(spark, lake_path, master)
     messages = read_message_files(spark, bar_messages_path, streaming=True,
                                   max_files_per_trigger=max_files_per_trigger)
-    enriched = enrich_stream_to_lake(spark, messages, master_path, lake_path, lake_checkpoint,
-                                     first_day_after, buckets)
-    loaded = load_warehouse(spark, lake_path, warehouse, initial_cut, lookback_days)
+    routes = enrich_stream_to_lake(spark, messages, master_path, lake_path, lake_checkpoint,
+                                   first_day_after)
+    loaded = load_warehouse(spark, lake_path, warehouse, initial_cut)
     articles = publish_articles(spark, news_texts_path, tickers, warehouse,
                                 horizon_days=horizon_days, whole_files=whole_files)
-    summary = {"bars_in": enriched, "load": loaded, "articles": articles}
+    summary = {"bars_in": sum(routes.values()), "bars_by_route": routes, "bars_replayed": replayed.get(TO_LAKE, 0),
+               "load": loaded, "articles": articles}
     log.info("daily run: %s", summary)
     return summary

@@ -164,6 +164,18 @@ ORACLE_SQL: dict[str, str] = {
             SELECT * FROM orders UNION SELECT * REPLACE ('X' AS o_orderstatus) FROM orders)
         WHERE CAST(o_orderdate AS DATE) > DATE '1996-06-30'""",
     "lake_backfill": _ENRICHED,
+    "message_rejects": """
+        WITH m AS (SELECT l_orderkey * 10 + l_linenumber AS mark, l_partkey, CAST(l_shipdate AS DATE) AS day FROM lineitem),
+        r AS (SELECT *, CASE WHEN mark % 11 = 0 THEN 'malformed' WHEN mark % 13 = 0 THEN 'no_ticker'
+                             WHEN mark % 17 = 0 THEN 'malformed' WHEN l_partkey IS NULL THEN 'no_ticker' WHEN day IS NULL THEN 'no_day' END AS reason,
+                     CASE WHEN mark % 11 = 0 THEN '{"T":"' || mark || '","v":' WHEN mark % 13 = 0 THEN '{"t":' || mark || '}'
+                          WHEN mark % 17 = 0 THEN '{"T":"1","date_time":"' || mark || 'th"}' END AS value FROM m)
+        SELECT 'message' AS kind, reason, value, count(*) AS n_rows FROM r WHERE reason IS NOT NULL GROUP BY ALL
+        UNION ALL
+        SELECT 'route', CASE WHEN reason IS NOT NULL THEN 'rejected' WHEN day <= DATE '2000-12-31' THEN 'before_cut'
+                             WHEN p_partkey IS NULL THEN 'unmatched' ELSE 'lake' END AS route, NULL, count(*)
+        FROM r LEFT JOIN part ON l_partkey = p_partkey AND p_partkey % 3 <> 0 GROUP BY ALL""",
+    "unmatched_replay": _ENRICHED,
     "daily_run_late": f"SELECT DISTINCT * EXCLUDE (year, month) FROM ({_ENRICHED})",
     "day_calendar": _DAYS,
     "calendar_gaps": f"""

@@ -69,6 +69,9 @@ ENRICHED_BAR = T.StructType(_fields(
 
 LAKE_PARTITION_COLUMNS = ["year", "month"]
 
+# A lake with a record of its batches, with its partition columns.
+RECORDED_LAKE = T.StructType([*ENRICHED_BAR.fields, *_fields(("year", I), ("month", I), ("batch", S))])
+
 # News article document (one element of the API's ``results`` array).
 INSIGHT = T.StructType(_fields(("sentiment", S), ("sentiment_reasoning", S), ("ticker", S)))
 PUBLISHER = T.StructType(_fields(
@@ -96,6 +99,9 @@ ARTICLE_USED = T.StructType(_fields(
 # Warehouse high-water mark table.
 CUT_TABLE = T.StructType([T.StructField("cut_date", T.DateType(), True)])
 
+# Names of the lake's batches that were loaded.
+BATCH_TABLE = T.StructType([T.StructField("batch", T.StringType(), True)])
+
 
 def envelope(result_type: T.DataType) -> T.StructType:
     """REST page envelope ``{results: [...], next_url, request_id}``."""

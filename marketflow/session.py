@@ -64,8 +64,40 @@ def _local_dir(master: str) -> str:
 
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a derived table through the file system it lies in."""
+    fs, target = _fs(spark, path)
+    fs.delete(target, True)
+
+
+def _fs(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _fs(spark, path)
+    return fs.exists(target)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder, sorted; none if it does not exist."""
+    fs, target = _fs(spark, path)
+    if not fs.exists(target):
+        return []
+    return sorted(status.getPath().getName() for status in fs.listStatus(target))
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears whole: written beside its place, then renamed."""
+    fs, target = _fs(spark, path)
+    beside = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), "." + target.getName() + "." + uuid.uuid4().hex[:8])
+    out = fs.create(beside, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    fs.delete(target, False)
+    if not fs.rename(beside, target):
+        raise OSError(f"could not write {path}")
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketflow.schemas import LAKE_PARTITION_COLUMNS
+from marketflow.session import path_exists
+from marketflow.sinks.landed import LandedLog
 
 
 def overwrite_parquet(df: DataFrame, path: str) -> None:
@@ -18,9 +20,9 @@ def with_lake_partitions(df: DataFrame, date_col: str = "transaction_date") -> D
 
 
 def is_streamed(spark: SparkSession, path: str) -> bool:
-    """Whether a streaming file sink keeps its log under ``path``."""
-    log = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_spark_metadata")
-    return log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(log)
+    """Whether a stream writes the lake at ``path``: a file sink's log or a record of landed batches lies there."""
+    root = path.rstrip("/")
+    return path_exists(spark, f"{root}/_spark_metadata") or LandedLog(spark, root).exists()
 
 
 def append_lake(df: DataFrame, path: str, date_col: str = "transaction_date",
@@ -31,8 +33,8 @@ def append_lake(df: DataFrame, path: str, date_col: str = "transaction_date",
     tasks (few files per directory) while AQE splits a month that is too big
     for one task, so a hot month does not become a single straggler.
 
-    A lake that a stream writes is refused: its readers follow the stream's
-    file log and would not see these rows. Send them through the stream
+    A lake that a stream writes is refused: its readers and loads follow the
+    stream's record and would not see these rows. Send them through the stream
     (``jobs.backfill_streamed_lake``).
     """
     if is_streamed(df.sparkSession, path):

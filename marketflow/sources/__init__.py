@@ -5,5 +5,5 @@ from marketflow.sources.messages import (  # noqa: F401
     flatten_envelopes, read_article_texts, read_kafka, read_message_files,
 )
 from marketflow.sources.parquet import (  # noqa: F401
-    latest_partition, partition_values_from_path, read_parquet, scan_month_range,
+    latest_partition, newest_month, partition_values_from_path, read_lake, read_parquet, scan_month_range,
 )

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketflow.functions.dates import as_date_value
+from marketflow.schemas import RECORDED_LAKE
+from marketflow.session import list_names
+from marketflow.sinks.landed import LandedLog
 
 
 # Error conditions of a read whose folder does not exist (or holds no files).
@@ -57,6 +60,48 @@ def scan_month_range(lake: DataFrame, start, end) -> DataFrame:
     return lake.where((idx >= _month_index_of(start)) & (idx <= _month_index_of(end)))
 
 
+def read_lake(spark: SparkSession, path: str, keep_batch: bool = False) -> DataFrame:
+    """A lake of either kind: plain ``year=/month=``, or with a record of its batches.
+
+    Of the latter, batches that are still being written (or whose writer was
+    lost) are left out, and so is the ``batch`` column unless asked for; its columns
+    are known, so no file is opened to learn them.
+    """
+    log = LandedLog(spark, path)
+    if not log.exists():
+        return spark.read.parquet(path)
+    lake = spark.read.schema(RECORDED_LAKE).parquet(path)
+    open_ = sorted(log.unfinished())
+    if open_:  # at most one per writer
+        lake = lake.where(~F.col("batch").isin(open_))
+    return lake if keep_batch else lake.drop("batch")
+
+
+def newest_month(spark: SparkSession, path: str) -> tuple[int, int] | None:
+    """``(year, month)`` of the newest partition, from names alone: no data file is opened.
+
+    A recorded lake tells it from its record, any other from its folders' names
+    (the newest year's folder is listed, and one before it only if that is empty).
+    None for a lake without months.
+    """
+    log = LandedLog(spark, path)
+    if log.exists():
+        row = log.read().where("route = 'lake' and n_rows > 0").agg(F.max(F.struct("year", "month")).alias("m")).first()
+        return None if row["m"] is None else (row["m"]["year"], row["m"]["month"])
+    root = path.rstrip("/")
+    for year in _numbered(spark, root, "year"):
+        for month in _numbered(spark, f"{root}/{year}", "month"):
+            if any(not n.startswith(("_", ".")) for n in list_names(spark, f"{root}/{year}/{month}")):
+                return int(year.partition("=")[2]), int(month.partition("=")[2])
+    return None
+
+
+def _numbered(spark: SparkSession, path: str, key: str) -> list[str]:
+    """The folders ``key=NUMBER``, the highest number first."""
+    names = [n for n in list_names(spark, path) if n.startswith(key + "=") and n.partition("=")[2].isdigit()]
+    return sorted(names, key=lambda n: int(n.partition("=")[2]), reverse=True)
+
+
 def latest_partition(lake: DataFrame, since=None) -> DataFrame:
     """One row ``(year, month)``: the newest partition of the lake.
 

@@ -8,19 +8,47 @@ stops, replacing a wall-clock stop.
 
 from __future__ import annotations
 
+import threading
 import time
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from marketflow import schemas
 from marketflow.functions.json import parse_messages
 from marketflow.operators.enrich import bars_from_messages, enrich
 
 
-PROGRESS_SETTING = "spark.sql.streaming.numRecentProgressUpdates"
-PROGRESS_KEPT = 100_000
+class RunTotals(StreamingQueryListener):
+    """Adds up the input rows of every run's micro-batches as they are reported, however many there are."""
+
+    def __init__(self):
+        self.rows: dict[str, int] = {}
+        self.ended: set[str] = set()
+        self.changed = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        run = str(event.progress.runId)
+        self.rows[run] = self.rows.get(run, 0) + event.progress.numInputRows
+
+    def onQueryTerminated(self, event) -> None:
+        with self.changed:
+            self.ended.add(str(event.runId))
+            self.changed.notify_all()
+
+    def of(self, query: StreamingQuery, timeout: float = 60.0) -> int:
+        """The rows of a query that has ended; its last report comes before that of its end."""
+        run = str(query.runId)
+        with self.changed:
+            if not self.changed.wait_for(lambda: run in self.ended, timeout):
+                raise RuntimeError("the end of the query was not reported")
+        return self.rows.get(run, 0)
 
 
 def start_file_sink(df: DataFrame, path: str, checkpoint: str,
@@ -51,22 +79,15 @@ def start_console_sink(df: DataFrame, num_rows: int = 20) -> StreamingQuery:
 def run_available_now(df: DataFrame, path: str, checkpoint: str,
                       partition_by: list[str] | None = None, fmt: str = "parquet") -> int:
     """Process everything that has landed, then stop. Returns the input rows
-    of the run: the progress of every micro-batch is kept, up to
-    ``PROGRESS_KEPT`` of them, beyond which an error says so."""
-    conf = df.sparkSession.conf
-    before = conf.get(PROGRESS_SETTING)
-    conf.set(PROGRESS_SETTING, str(PROGRESS_KEPT))
+    of the run, summed over all its micro-batches."""
+    totals = RunTotals()
+    df.sparkSession.streams.addListener(totals)
     try:
         query = start_file_sink(df, path, checkpoint, partition_by, fmt, available_now=True)
+        query.awaitTermination()
+        return totals.of(query)
     finally:
-        conf.set(PROGRESS_SETTING, before)
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise query.exception()
-    progress = query.recentProgress
-    if len(progress) >= PROGRESS_KEPT:
-        raise RuntimeError(f"over {PROGRESS_KEPT} micro-batches in one run: raise maxFilesPerTrigger")
-    return sum(p.get("numInputRows", 0) for p in progress)
+        df.sparkSession.streams.removeListener(totals)
 
 
 def run_for(query: StreamingQuery, seconds: float, poll_seconds: float = 10.0) -> None:
@@ -89,13 +110,6 @@ def enrich_stream(messages: DataFrame, master: DataFrame, cut=None,
     return enrich(bars, master, cut)
 
 
-def few_files(rows: DataFrame, buckets: int = 1, key: str = "ticker") -> DataFrame:
-    """Lake rows dealt so that a micro-batch writes at most ``buckets`` files a
-    month. More buckets spread a month that is too big for one task."""
-    bucket = F.pmod(F.xxhash64(key), F.lit(buckets))
-    return rows.repartition(*schemas.LAKE_PARTITION_COLUMNS, bucket)
-
-
 def master_ingest_stream(messages: DataFrame, value_col: str = "value") -> DataFrame:
     """Ticker master messages -> typed master rows (raw, with versions)."""
     return parse_messages(messages, schemas.MASTER_MESSAGE, value_col)

@@ -132,13 +132,20 @@ def test_late_bars_reach_lake_and_warehouse(spark, scratch):
                                  for t, d in bars])
         return daily_run(spark, master_raw_path=p["raw"], master_path=p["master"], bar_messages_path=p["bars"],
                          lake_path=p["lake"], lake_checkpoint=p["ckpt"], warehouse=wh, news_texts_path=p["news"],
-                         tickers="A", initial_cut="2024-05-01", lookback_days=5)
+                         tickers="A", initial_cut="2023-05-01")
     run(("A", "2024-06-04"))
-    out = run(("B", "2024-06-04"), ("C", "2024-06-01"), ("C", "2024-05-02"))
-    assert out["load"]["cut_after"] == dt.date(2024, 6, 4) and out["load"]["rows_loaded"] == 2
+    out = run(("B", "2024-06-04"), ("C", "2024-06-01"), ("C", "2023-05-02"))
+    # 2023-05-02 lies 399 days behind the cut
+    assert out["load"]["cut_after"] == dt.date(2024, 6, 4) and out["load"]["rows_loaded"] == 3
     assert spark.read.parquet(p["lake"]).count() == 4
-    # 2024-05-02 lies behind the lookback: in the lake, not yet in the warehouse
-    assert sorted(r.ticker for r in wh.read("market_data").collect()) == ["A", "B", "C"]
+    assert sorted(r.ticker for r in wh.read("market_data").collect()) == ["A", "B", "C", "C"]
+    out = run(("A", "2022-01-03"), ("D", "2024-06-05"))
+    # at or before the first cut: in the lake alone; D is not in the master yet and waits
+    assert out["load"]["rows_loaded"] == 0 and out["bars_by_route"] == {"lake": 1, "unmatched": 1}
+    spark.createDataFrame([_master("D", "D", "2024-01-01T00:00:00Z")], schemas.MASTER_MESSAGE).write.mode("append").parquet(p["raw"])
+    out = run(("C", "2024-06-05"))
+    assert out["bars_replayed"] == 1 and out["load"]["rows_loaded"] == 2 and out["load"]["batches"] == 2
+    assert wh.read("market_data").where("ticker = 'D' and name = 'D'").count() == 1
 
 
 def test_articles_from_envelopes_whole_files_and_odd_texts(spark, scratch):

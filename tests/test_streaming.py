@@ -139,7 +139,7 @@ def test_streamed_lake_has_few_files_and_refuses_batch_appends(spark, scratch):
     def messages(month):
         return spark.createDataFrame([(x,) for x in map(json.dumps, _bar_msgs(
             [(t, f"2024-{month:02d}-{d:02d}") for t in "AB" for d in range(1, 20)]))], "value string").repartition(8)
-    assert backfill_streamed_lake(spark, messages(7), landing, master, lake, ckpt) == 38
+    assert backfill_streamed_lake(spark, messages(7), landing, master, lake, ckpt) == {"lake": 38}
     backfill_streamed_lake(spark, messages(6), landing, master, lake, ckpt)
     rows = spark.read.parquet(lake)
     assert rows.count() == 76
