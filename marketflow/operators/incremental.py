@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import logging
+import uuid
 from functools import reduce
 from operator import or_
 from typing import Protocol
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 from marketflow.functions.dates import as_date_value
 from marketflow.operators.contracts import with_violations
 from marketflow.schemas import BATCH_TABLE, CUT_TABLE
-from marketflow.session import delete_path, scratch_path
-from marketflow.sinks.jdbc import append_jdbc, overwrite_jdbc
+from marketflow.session import delete_path, path_exists, rename_path, scratch_path
+from marketflow.sinks.jdbc import append_jdbc, create_from, create_like, move_rows, overwrite_jdbc, run_transaction
 from marketflow.sinks.landed import LandedLog
 from marketflow.sources.jdbc import read_jdbc_table, read_max_cut, table_exists
 from marketflow.sources.parquet import is_missing_path, latest_partition, month_index, read_lake
@@ -111,11 +112,16 @@ class Warehouse(Protocol):
 
     def append(self, table: str, df: DataFrame) -> None: ...
 
+    def append_all(self, frames: list[tuple[str, DataFrame]]) -> None: ...
+
     def overwrite(self, table: str, df: DataFrame) -> None: ...
 
     def max_cut(self, table: str = "cutting_dates") -> DataFrame | None: ...
 
 
+_BEFORE = ".before"  # ending of a table's folder while it is exchanged
+
+
 class ParquetWarehouse:
     """Warehouse tables kept as Parquet folders under one root (shared storage)."""
 
@@ -130,8 +136,11 @@ class ParquetWarehouse:
         """The table, or None when its folder does not exist yet. A known
         ``schema`` skips schema inference (footer reads)."""
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        path = self.path(table)
+        if not path_exists(self.spark, path) and path_exists(self.spark, path + _BEFORE):
+            path += _BEFORE  # an overwrite was cut off between its two renames
         try:
-            return reader.parquet(self.path(table))
+            return reader.parquet(path)
         except AnalysisException as exc:
             if is_missing_path(exc):
                 return None
@@ -147,8 +156,20 @@ class ParquetWarehouse:
             writer = writer.partitionBy(*parts)
         writer.parquet(self.path(table))
 
+    def append_all(self, frames: list[tuple[str, DataFrame]]) -> None:
+        """Appends in the order given (files know no transaction over tables)."""
+        for table, df in frames:
+            self.append(table, df)
+
     def overwrite(self, table: str, df: DataFrame) -> None:
-        df.write.mode("overwrite").parquet(self.path(table))
+        """Written beside the table, which is then exchanged: a crash leaves the old rows or the new ones."""
+        path, fresh = self.path(table), f"{self.root}/.{table}-{uuid.uuid4().hex[:8]}"
+        df.write.parquet(fresh)
+        if path_exists(self.spark, path):
+            delete_path(self.spark, path + _BEFORE)
+            rename_path(self.spark, path, path + _BEFORE)
+        rename_path(self.spark, fresh, path)
+        delete_path(self.spark, path + _BEFORE)
 
     def max_cut(self, table: str = "cutting_dates") -> DataFrame | None:
         cuts = self.read(table, schema=CUT_TABLE)
@@ -178,8 +199,23 @@ class JdbcWarehouse:
     def append(self, table: str, df: DataFrame) -> None:
         append_jdbc(df, self.url, table, self.properties, self.connections)
 
+    def append_all(self, frames: list[tuple[str, DataFrame]]) -> None:
+        """All appends or none: the rows go to staging tables of this load, from which one transaction moves them."""
+        load = uuid.uuid4().hex[:12]
+        stages = [(table, f"{table}__load_{load}", df, table_exists(self.spark, self.url, self.properties, table)) for table, df in frames]
+        try:
+            for table, stage, df, there in stages:
+                if there:  # the target's own types
+                    run_transaction(self.spark, self.url, self.properties, [create_like(stage, table, df.columns)])
+                append_jdbc(df, self.url, stage, self.properties, self.connections)
+            moves = [move_rows(stage, table, df.columns) if there else create_from(stage, table, df.columns)
+                     for table, stage, df, there in stages]
+            run_transaction(self.spark, self.url, self.properties, moves)
+        finally:
+            run_transaction(self.spark, self.url, self.properties, [f"DROP TABLE IF EXISTS {stage}" for _, stage, _, _ in stages])
+
     def overwrite(self, table: str, df: DataFrame) -> None:
-        overwrite_jdbc(df, self.url, table, self.properties, truncate=self.truncate)
+        overwrite_jdbc(df, self.url, table, self.properties, truncate=self.truncate, num_partitions=self.connections)
 
     def max_cut(self, table: str = "cutting_dates") -> DataFrame | None:
         if not table_exists(self.spark, self.url, self.properties, table):
@@ -263,8 +299,8 @@ def load_landed(spark: SparkSession, lake_path: str, warehouse: Warehouse,
     if contract and reject_table:
         tables.append(warehouse.read(reject_table))
     batch = unseen(rows, [_in_months(t, date_col, months) for t in tables if t is not None])
-    out = _write_load(spark, warehouse, batch, start, stored, data_table, cut_table, date_col, contract, reject_table)
-    warehouse.append(batch_table, spark.createDataFrame([(n,) for n in names], BATCH_TABLE))
+    out = _write_load(spark, warehouse, batch, start, stored, data_table, cut_table, date_col, contract, reject_table,
+                      [(batch_table, spark.createDataFrame([(n,) for n in names], BATCH_TABLE))])
     return {**out, "batches": len(names)}
 
 
@@ -284,8 +320,9 @@ def _in_months(df: DataFrame, date_col: str, months: list[tuple[int, int]]) -> D
 
 
 def _write_load(spark: SparkSession, warehouse: Warehouse, batch: DataFrame, start, stored, data_table: str, cut_table: str,
-                date_col: str, contract, reject_table: str | None) -> dict:
-    """Stages the batch, appends its good and bad rows, and raises the cut last."""
+                date_col: str, contract, reject_table: str | None, notes: list[tuple[str, DataFrame]] | None = None) -> dict:
+    """Stages the batch, then appends its bad and good rows, the new cut and any notes: in one transaction where
+    the warehouse has them, else in this order."""
     staged = with_violations(batch, contract or [])
     # Cut the lineage with a staged copy in the shared folder: one job computes
     # the batch, and all writes read the same rows, even when executors are lost.
@@ -296,12 +333,16 @@ def _write_load(spark: SparkSession, warehouse: Warehouse, batch: DataFrame, sta
     stats = staged.agg(F.count(F.when(~bad, 1)).alias("good"), F.count(F.when(bad, 1)).alias("bad"),
                        F.max(date_col).cast("date").alias("m")).first()
     after = max((d for d in (start, stored, stats["m"]) if d is not None), default=None)
+    frames = []
     if stats["bad"] and reject_table:
-        warehouse.append(reject_table, staged.where(bad).withColumn("violations", F.array_join("violations", ",")))
+        frames.append((reject_table, staged.where(bad).withColumn("violations", F.array_join("violations", ","))))
     if stats["good"]:
-        warehouse.append(data_table, staged.where(~bad).drop("violations"))
+        frames.append((data_table, staged.where(~bad).drop("violations")))
     if stats["m"] is not None and (stored is None or stats["m"] > stored):
-        warehouse.append(cut_table, spark.createDataFrame([(stats["m"],)], CUT_TABLE))
+        frames.append((cut_table, spark.createDataFrame([(stats["m"],)], CUT_TABLE)))
+    frames += notes or []
+    if frames:
+        warehouse.append_all(frames)
     delete_path(spark, stage)
     log.info("load %s: %d rows after %s (%d rejected), cut now %s",
              data_table, stats["good"], start, stats["bad"], after)

@@ -25,16 +25,10 @@ def article_documents(text_col: str = "json_data") -> Column:
         F.from_json(text, T.ArrayType(schemas.ARTICLE_USED, True)))
 
 
-def unparsed_texts(texts: DataFrame, text_col: str = "json_data") -> DataFrame:
-    """Non-empty texts that hold no article document: neither an array nor a page with results."""
-    last_page = F.from_json(F.col(text_col), schemas.envelope(T.StringType())).getField("request_id").isNotNull()
-    return texts.where((F.trim(text_col) != "") & article_documents(text_col).isNull() & ~last_page)
-
-
-def article_projection(articles: DataFrame) -> DataFrame:
+def article_projection(articles: DataFrame, *more: str) -> DataFrame:
     """The article fields kept, with the insight lists still as arrays.
 
-    Distinct on these columns: the same article returned for several ticker
+    Distinct on these columns, the same article returned for several ticker
     requests collapses to one before it is exploded.
     """
     return articles.select(
@@ -45,7 +39,8 @@ def article_projection(articles: DataFrame) -> DataFrame:
         day_text(published_date("published_utc")).alias("publication_date"),
         F.col("insights.ticker").alias("ticker"),
         F.col("insights.sentiment").alias("sentiment"),
-    ).dropDuplicates()
+        *more,
+    )
 
 
 def zip_explode(df: DataFrame, left: str, right: str, alias: str = "z") -> DataFrame:
@@ -96,24 +91,96 @@ def flatten_articles(texts: DataFrame, tickers=None, text_col: str = "json_data"
     articles = explode_articles(texts, text_col)
     if published_after is not None:
         bound = published_after if isinstance(published_after, Column) else F.lit(published_after)
-        published = F.coalesce(F.try_to_timestamp(F.col("published_utc"), F.lit(ISO_Z_FORMAT)),
-                               F.col("published_utc").try_cast("timestamp"))
-        articles = articles.where(published > bound)
+        articles = articles.where(published_time() > bound)
+    projected = article_projection(_naming(articles, tickers)).dropDuplicates()
+    return keep_tickers(_insight_rows(projected), tickers)
+
+
+def published_time() -> Column:
+    """An article's time; also with fractional seconds or an offset; null if it cannot be read."""
+    return F.coalesce(F.try_to_timestamp(F.col("published_utc"), F.lit(ISO_Z_FORMAT)),
+                      F.col("published_utc").try_cast("timestamp"))
+
+
+def _naming(articles: DataFrame, tickers) -> DataFrame:
+    """Articles naming no watched ticker give no rows: drop them before the
+    de-duplication rather than after the explode."""
     watched = _ticker_list(tickers)
-    if watched is not None:
-        # Articles naming no watched ticker give no rows: drop them before the
-        # de-duplication shuffle rather than after the explode.
-        articles = articles.where(
-            F.exists(F.col("insights"), lambda i: i.getField("ticker").isin(watched)))
-    projected = article_projection(articles)
+    if watched is None:
+        return articles
+    return articles.where(F.exists(F.col("insights"), lambda i: i.getField("ticker").isin(watched)))
+
+
+def _insight_rows(projected: DataFrame) -> DataFrame:
     zipped = zip_explode(projected, "ticker", "sentiment")
-    rows = zipped.select(
+    return zipped.select(
         F.col("z.ticker").alias("ticker"),
         "article_title", "publisher", "author", "publication_date",
         F.col("z.sentiment").alias("sentiment"),
         F.col("ticker").alias("related_ticker"),
     )
-    return keep_tickers(rows, tickers)
+
+
+# What became of a text or an article on its way to the rows.
+OK, UNDATED, UNPARSED = "ok", "undated", "unparsed"
+
+
+def flatten_with_status(texts: DataFrame, tickers=None, text_col: str = "json_data", published_after=None) -> DataFrame:
+    """The rows of ``flatten_articles`` with ``status`` ok, and beside them, from the same pass over the texts, a row
+    without values for every text that is neither form (``unparsed``) and, under ``published_after``, for every
+    distinct article whose time cannot be read (``undated``)."""
+    documents = article_documents(text_col)
+    read = texts.select(documents.alias("docs"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("nth"))
+    last_page = F.from_json("text", schemas.envelope(T.StringType())).getField("request_id").isNotNull()
+    lost = F.col("docs").isNull() & (F.trim("text") != "") & ~last_page
+    docs = read.select(F.explode_outer("docs").alias("a"), F.when(lost, F.col("nth")).alias("_text")) \
+        .where(F.col("a").isNotNull() | F.col("_text").isNotNull())
+    articles = docs.select("a.*", "_text")
+    status = F.when(F.col("_text").isNotNull(), UNPARSED)
+    if published_after is not None:
+        bound = published_after if isinstance(published_after, Column) else F.lit(published_after)
+        articles = articles.where(F.col("_text").isNotNull() | published_time().isNull() | (published_time() > bound))
+        status = status.when(published_time().isNull(), UNDATED)
+    articles = articles.withColumn("status", status.otherwise(OK))
+    watched = _ticker_list(tickers)
+    if watched is not None:
+        articles = articles.where((F.col("status") != OK) | F.exists(F.col("insights"), lambda i: i.getField("ticker").isin(watched)))
+    once = article_projection(articles, "status", "_text").dropDuplicates()
+    pairs = F.when(F.col("status") == OK, F.arrays_zip("ticker", "sentiment"))
+    rows = once.withColumn("z", F.explode_outer(pairs)).where((F.col("status") != OK) | F.col("z").isNotNull())
+    rows = rows.select(F.col("z.ticker").alias("ticker"), "article_title", "publisher", "author", "publication_date",
+                       F.col("z.sentiment").alias("sentiment"), F.col("ticker").alias("related_ticker"), "status")
+    if tickers is None:
+        return rows
+    if isinstance(tickers, DataFrame):
+        watch = tickers.select(F.col("ticker").alias("_watch")).distinct()
+        rows = rows.join(watch, rows["ticker"] == watch["_watch"], "left")
+        return rows.where((F.col("status") != OK) | F.col("_watch").isNotNull()).drop("_watch")
+    return rows.where((F.col("status") != OK) | F.col("ticker").isin(watched))
+
+
+ARTICLE_METRICS = "articles"
+
+
+def new_articles(texts: DataFrame, tickers=None, delay_days: int = 100, text_col: str = "json_data") -> DataFrame:
+    """The rows of ``flatten_articles`` for a stream of texts, each article once however often it is returned.
+
+    De-duplication is stateful: the state holds a day and a digest per article, not the
+    article, and forgets days more than ``delay_days`` before the newest one seen. An
+    article that old is taken for known (or out of the horizon) and left out, as
+    is one whose time cannot be read; both are counted, the latter as ``undated``
+    in the observed metrics ``articles`` (whose ``read`` counts all). Articles alike
+    but for the time of day are one.
+    """
+    articles = explode_articles(texts, text_col).withColumn("_day", F.date_trunc("day", published_time()))
+    articles = articles.observe(ARTICLE_METRICS, F.count(F.lit(1)).alias("read"),
+                                F.count(F.when(F.col("_day").isNull(), 1)).alias("undated"))
+    dated = _naming(articles.where(F.col("_day").isNotNull()), tickers)
+    projected = article_projection(dated, "_day")
+    digest = F.sha2(F.to_json(F.struct(*[c for c in projected.columns if c != "_day"]), {"ignoreNullFields": "false"}), 256)
+    once = (projected.withColumn("_digest", digest).withWatermark("_day", f"{delay_days} days")
+            .dropDuplicates(["_day", "_digest"]))
+    return keep_tickers(_insight_rows(once), tickers)
 
 
 def related_as_text(df: DataFrame, col: str = "related_ticker", sep: str = ",") -> DataFrame:
@@ -132,8 +199,8 @@ ARTICLES_TABLE_COLUMNS = ["article_title", "publisher", "author", "publication_d
                           "sentiment"]
 
 
-def articles_table_rows(rows: DataFrame) -> DataFrame:
+def articles_table_rows(rows: DataFrame, *more: str) -> DataFrame:
     """Flattened article rows in the shape of the ``articles`` table: its six
     columns, ``publication_date`` as a DATE (no related-ticker list)."""
     return rows.select(*[F.col(c).try_cast("date").alias(c) if c == "publication_date" else F.col(c)
-                         for c in ARTICLES_TABLE_COLUMNS])
+                         for c in ARTICLES_TABLE_COLUMNS], *more)

@@ -109,3 +109,50 @@ def sentiment_price_corr(sentiment_daily: DataFrame, returns: DataFrame, lag_day
         F.count(F.lit(1)).alias("n_pairs"),
         guarded_pearson("avg_score", "ret").alias("corr"),
     )
+
+
+_MOMENTS = ("n", "sx", "sy", "sxx", "syy", "sxy")
+
+
+def daily_moments(pairs: DataFrame, x: str = "avg_score", y: str = "ret") -> DataFrame:
+    """Per (ticker, day): count and sums of ``x, y, x*x, y*y, x*y`` over the pairs with both sides.
+
+    Sums of several days, or of partial tables, add up to those of their union. They are
+    exact decimals of values rounded to 9 places, so what is added can be taken
+    away again without a trace; a value of 1e9 or more leaves its pair out.
+    """
+    exact = lambda c: F.round(F.col(c), 9).try_cast("decimal(18,9)")
+    rows = pairs.select("ticker", "day", exact(x).alias("x"), exact(y).alias("y"))
+    rows = rows.where(F.col("ticker").isNotNull() & F.col("day").isNotNull() & F.col("x").isNotNull() & F.col("y").isNotNull())
+    products = {"sx": F.col("x"), "sy": F.col("y"), "sxx": F.col("x") * F.col("x"), "syy": F.col("y") * F.col("y"),
+                "sxy": F.col("x") * F.col("y")}
+    return rows.groupBy("ticker", "day").agg(F.count("*").alias("n"), *[F.sum(v).alias(k) for k, v in products.items()])
+
+
+def moments_corr() -> Column:
+    """Pearson correlation from a row of moments; null for fewer than two pairs or a constant side, as ``guarded_pearson``."""
+    n = F.col("n").cast("decimal(7,0)")
+
+    def spread(ab: str, a: str, b: str) -> Column:
+        narrow = lambda c: F.col(c).try_cast("decimal(18,9)")
+        return n * F.col(ab).try_cast("decimal(30,18)") - narrow(a) * narrow(b)
+    xx, yy, xy = spread("sxx", "sx", "sx"), spread("syy", "sy", "sy"), spread("sxy", "sx", "sy")
+    root = F.sqrt(xx.cast("double")) * F.sqrt(yy.cast("double"))
+    return F.when((F.col("n") > 1) & (xx > 0) & (yy > 0), F.try_divide(xy.cast("double"), root))
+
+
+def rolling_corr(moments: DataFrame, days: int) -> DataFrame:
+    """``ticker, day, n_pairs, corr`` for each day with pairs, over the ``days`` calendar days that end with it.
+
+    Every day's moments are added on their day and taken away ``days`` later, so
+    one running sum per ticker gives all windows, whatever their length. The sums
+    are exact, so nothing drifts and a constant side is told as such.
+    """
+    leave = moments.select("ticker", F.date_add("day", days).alias("day"), F.lit(0).alias("here"),
+                           *[(-F.col(c)).alias(c) for c in _MOMENTS])
+    both = moments.withColumn("here", F.lit(1)).unionByName(leave)
+    w = Window.partitionBy("ticker").orderBy("day").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    # One row a day before the window, so a day that is left on and one that is counted meet in it.
+    daily = both.groupBy("ticker", "day").agg(F.max("here").alias("here"), *[F.sum(c).alias(c) for c in _MOMENTS])
+    summed = daily.select("ticker", "day", "here", *[F.sum(c).over(w).alias(c) for c in _MOMENTS])
+    return summed.where("here = 1").select("ticker", "day", F.col("n").alias("n_pairs"), moments_corr().alias("corr"))

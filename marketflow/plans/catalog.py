@@ -28,7 +28,8 @@ from marketflow.operators.master import clean_master, latest_per_ticker
 from marketflow.operators.news import flatten_articles, keep_tickers, related_as_text, zip_explode
 from marketflow.operators.rows import count_rows, dedupe_rows, union_to_schema
 from marketflow.operators.signals import (
-    daily_return, daily_sentiment, next_trading_day, sentiment_price_corr,
+    daily_moments, daily_return, daily_sentiment, next_trading_day, rolling_corr, sentiment_price_corr,
+    sentiment_vs_return,
 )
 from marketflow.operators.sizing import spread
 from marketflow.plans import jobs
@@ -55,6 +56,8 @@ STREAM_SPLIT_YEAR = 1999
 MASTER_SPLIT_NATION = 13
 CALENDAR_BASE = "lake"
 SIGNAL_LAG_DAYS = 1
+ROLLING_DAYS = 10
+STREAM_DELAY = 15  # days; the second landing's articles begin about ten days before the first one's end
 WATCH_VALUE = 400
 
 
@@ -324,6 +327,18 @@ def q_publish_articles(spark, sf_dir):
     return good.unionByName(wh.read("articles_rejects"))
 
 
+def q_news_stream(spark, sf_dir):
+    """Two landings that share a third of the articles, then a run without news; every article's rows once."""
+    landing, out, ckpt = (scratch_path(spark, n) for n in ("stream_news", "stream_articles", "stream_news_ckpt"))
+    articles = A.events_as_articles(table(spark, sf_dir, "events"))
+    top = articles.agg(F.max("aid")).scalar()
+    for some in (F.col("aid") <= top * 2 / 3, F.col("aid") >= top / 3):
+        A.articles_as_texts(articles.where(some)).write.mode("append").text(landing)
+        jobs.stream_articles(spark, landing, A.WATCHED_TICKERS, out, ckpt, delay_days=STREAM_DELAY)
+    jobs.stream_articles(spark, landing, A.WATCHED_TICKERS, out, ckpt, delay_days=STREAM_DELAY)
+    return spark.read.parquet(out)
+
+
 # --------------------------------------------------------- lake and cuts
 
 
@@ -524,6 +539,12 @@ def q_sentiment_price_corr(spark, sf_dir):
     return corr.select("ticker", "n_pairs", F.round("corr", 6).alias("corr"))
 
 
+def q_rolling_sentiment_corr(spark, sf_dir):
+    pairs = sentiment_vs_return(_sentiment_daily(spark, sf_dir), _returns(spark, sf_dir), lag_days=SIGNAL_LAG_DAYS)
+    return rolling_corr(daily_moments(pairs), ROLLING_DAYS).select(
+        "ticker", "day", "n_pairs", F.round("corr", 6).alias("corr"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_parquet": q_scan_parquet,
     "json_parse_master": q_json_parse_master,
@@ -570,4 +591,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sentiment_daily": q_sentiment_daily,
     "daily_return": q_daily_return,
     "sentiment_price_corr": q_sentiment_price_corr,
+    "rolling_sentiment_corr": q_rolling_sentiment_corr,
+    "news_stream": q_news_stream,
 }

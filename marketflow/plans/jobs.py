@@ -18,9 +18,11 @@ from marketflow.operators.enrich import TO_LAKE, enrich
 from marketflow.operators.incremental import lake_cut, load_increment, load_landed
 from marketflow.operators.master import clean_master, latest_per_ticker
 from marketflow.operators.news import (
-    articles_table_rows, flatten_articles, related_as_text, unparsed_texts,
+    ARTICLE_METRICS, OK, UNDATED, UNPARSED, articles_table_rows, flatten_with_status, new_articles, related_as_text,
+)
+from marketflow.operators.signals import (
+    daily_moments, daily_return, daily_sentiment, rolling_corr, sentiment_price_corr, sentiment_vs_return,
 )
-from marketflow.operators.signals import daily_return, daily_sentiment, sentiment_price_corr
 from marketflow.operators.sizing import spread
 from marketflow.session import delete_path, path_exists, scratch_path
 from marketflow.sinks.landed import LandedLog
@@ -28,7 +30,7 @@ from marketflow.sinks.parquet import append_lake, overwrite_parquet
 from marketflow.sources.messages import read_article_texts, read_kafka, read_message_files
 from marketflow.sources.parquet import newest_month, read_lake
 from marketflow.streaming.lake import replay_unmatched, stream_to_lake
-from marketflow.streaming.runner import master_ingest_stream, run_available_now
+from marketflow.streaming.runner import master_ingest_stream, run_available_now, run_totals
 
 log = logging.getLogger(__name__)
 
@@ -136,26 +138,44 @@ def publish_articles(spark: SparkSession, texts_path: str, tickers, warehouse,
     ``table_shape`` writes only the table's own columns (for a warehouse that
     keeps its table definitions on overwrite); ``spread_tasks`` deals few
     unsplittable files over so many tasks. The rows are computed once, staged,
-    and written from there. Returns counts, also of texts that are neither form.
+    and written from there. Returns counts, taken from the same pass, also of texts that
+    are neither form and of articles that a horizon leaves out as they have no readable time.
     """
     after = None
     if horizon_days is not None:
         after = F.current_timestamp() - F.make_interval(days=F.lit(horizon_days))
     texts = spread(read_article_texts(spark, texts_path, whole_files), spread_tasks)
-    rows = related_as_text(flatten_articles(texts, tickers, published_after=after))
+    rows = related_as_text(flatten_with_status(texts, tickers, published_after=after))
     if table_shape:
-        rows = articles_table_rows(rows)
+        rows = articles_table_rows(rows, "status")
     stage = scratch_path(spark, "stage-articles")
     staged = with_violations(rows, ARTICLES_CONTRACT)
     staged.write.parquet(stage)
     staged = spark.read.schema(staged.schema).parquet(stage)
-    bad = F.size("violations") > 0
-    counts = staged.agg(F.count(F.when(~bad, 1)).alias("good"), F.count(F.when(bad, 1)).alias("bad")).first()
+    bad, status = F.size("violations") > 0, F.col("status")
+    counts = staged.agg(F.count(F.when((status == OK) & ~bad, 1)).alias("good"), F.count(F.when((status == OK) & bad, 1)).alias("bad"),
+                        *[F.count(F.when(status == s, 1)).alias(s) for s in (UNDATED, UNPARSED)]).first()
+    staged = staged.where(status == OK).drop("status")
     warehouse.overwrite(table, staged.where(~bad).drop("violations"))
     warehouse.overwrite(reject_table, staged.where(bad).withColumn("violations", F.array_join("violations", ",")))
     delete_path(spark, stage)
     return {"rows_published": counts["good"], "rows_rejected": counts["bad"],
-            "texts_unparsed": unparsed_texts(texts).count()}
+            "texts_unparsed": counts[UNPARSED], "articles_undated": counts[UNDATED]}
+
+
+def stream_articles(spark: SparkSession, texts_path: str, tickers, out_path: str, checkpoint: str,
+                    delay_days: int = 100, whole_files: bool = False,
+                    max_files_per_trigger: int | None = None) -> dict:
+    """News texts that have landed since the last run -> article rows appended to
+    ``out_path``, each article once over all runs (``news.new_articles``). Every text is read
+    once, not every day. Returns counts of the run: articles read, undated, too late."""
+    reader = spark.readStream.format("text").option("wholetext", whole_files)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    texts = reader.load(texts_path).select(F.col("value").alias("json_data"))
+    sums = run_totals(related_as_text(new_articles(texts, tickers, delay_days)), out_path, checkpoint)
+    return {"articles_read": sums.get(f"{ARTICLE_METRICS}.read", 0), "articles_late": sums["late"],
+            "articles_undated": sums.get(f"{ARTICLE_METRICS}.undated", 0)}
 
 
 def sentiment_study(articles: DataFrame, bars: DataFrame, lag_days: int = 0) -> DataFrame:
@@ -172,6 +192,14 @@ def sentiment_study(articles: DataFrame, bars: DataFrame, lag_days: int = 0) ->
     return sentiment_price_corr(daily_sentiment(articles), daily_return(closes), lag_days)
 
 
+def rolling_study(articles: DataFrame, bars: DataFrame, days: int = 90, lag_days: int = 0) -> DataFrame:
+    """The study of ``sentiment_study`` over time: for each ticker and day the correlation of the last ``days`` days."""
+    closes = (bars.groupBy("ticker", "transaction_date")
+              .agg(F.avg("close_price").alias("close_price")))
+    pairs = sentiment_vs_return(daily_sentiment(articles), daily_return(closes), lag_days)
+    return rolling_corr(daily_moments(pairs), days)
+
+
 def daily_run(spark: SparkSession, *, master_raw_path: str, master_path: str,
               bar_messages_path: str, lake_path: str, lake_checkpoint: str, warehouse,
               news_texts_path: str, tickers, initial_cut, first_day_after=None,

@@ -70,6 +70,20 @@ _SENTIMENT_BAND = """
 CASE WHEN value > 20 THEN 'positive' WHEN value > 10 THEN 'neutral'
      WHEN value > 1 THEN 'negative' END"""
 
+_PAIRS = f"""
+        sd AS (SELECT ticker, day, sum(score) AS s, count(*) AS n FROM ({_SCORED}) x GROUP BY 1, 2),
+        px AS ({_CLOSES}),
+        rt AS ({_RETURNS}),
+        fut AS (SELECT ticker, day, lead(ret, 1) OVER (PARTITION BY ticker ORDER BY day) AS ret FROM rt),
+        al AS (SELECT sd.ticker, sd.s, sd.n,
+                      (SELECT min(px.day) FROM px WHERE px.ticker = sd.ticker AND px.day >= sd.day) AS tday
+               FROM sd),
+        roll AS (SELECT ticker, tday AS day, sum(s) / sum(n) AS avg_score
+                 FROM al WHERE tday IS NOT NULL GROUP BY 1, 2),
+        pairs AS (SELECT ticker, day, roll.avg_score AS x, fut.ret AS y
+                  FROM roll JOIN fut USING (ticker, day)
+                  WHERE roll.avg_score IS NOT NULL AND fut.ret IS NOT NULL)"""
+
 ORACLE_SQL: dict[str, str] = {
     "scan_parquet": "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part",
     "json_parse_master": f"""
@@ -243,22 +257,18 @@ ORACLE_SQL: dict[str, str] = {
     "daily_return": f"""
         SELECT ticker, day, round(close, 6) AS close, round(ret, 6) AS ret FROM ({_RETURNS}) r""",
     "sentiment_price_corr": f"""
-        WITH sd AS (SELECT ticker, day, sum(score) AS s, count(*) AS n FROM ({_SCORED}) x GROUP BY 1, 2),
-        px AS ({_CLOSES}),
-        rt AS ({_RETURNS}),
-        fut AS (SELECT ticker, day, lead(ret, 1) OVER (PARTITION BY ticker ORDER BY day) AS ret FROM rt),
-        al AS (SELECT sd.ticker, sd.s, sd.n,
-                      (SELECT min(px.day) FROM px WHERE px.ticker = sd.ticker AND px.day >= sd.day) AS tday
-               FROM sd),
-        roll AS (SELECT ticker, tday AS day, sum(s) / sum(n) AS avg_score
-                 FROM al WHERE tday IS NOT NULL GROUP BY 1, 2),
-        pairs AS (SELECT roll.ticker, roll.avg_score AS x, fut.ret AS y
-                  FROM roll JOIN fut USING (ticker, day)
-                  WHERE roll.avg_score IS NOT NULL AND fut.ret IS NOT NULL)
+        WITH {_PAIRS}
         SELECT ticker, count(*) AS n_pairs,
                round(CASE WHEN count(*) > 1 AND min(x) < max(x) AND min(y) < max(y)
                           THEN covar_pop(x, y) / nullif(stddev_pop(x) * stddev_pop(y), 0) END, 6) AS corr
         FROM pairs GROUP BY ticker""",
+    "rolling_sentiment_corr": f"""
+        WITH {_PAIRS},
+        p AS (SELECT ticker, day, round(x, 9) AS x, round(y, 9) AS y FROM pairs)
+        SELECT ticker, day, count(*) OVER w AS n_pairs,
+               round(CASE WHEN count(*) OVER w > 1 AND min(x) OVER w < max(x) OVER w AND min(y) OVER w < max(y) OVER w
+                          THEN covar_pop(x, y) OVER w / (stddev_pop(x) OVER w * stddev_pop(y) OVER w) END, 6) AS corr
+        FROM p WINDOW w AS (PARTITION BY ticker ORDER BY day RANGE BETWEEN INTERVAL 9 DAYS PRECEDING AND CURRENT ROW)""",
 }
 
 
@@ -266,3 +276,4 @@ ORACLE_SQL: dict[str, str] = {
 ORACLE_SQL["publish_articles"] = f"""
     SELECT *, CASE WHEN sentiment IS NULL THEN 'sentiment_null' END AS violations
     FROM ({ORACLE_SQL['news_flatten']})"""
+ORACLE_SQL["news_stream"] = ORACLE_SQL["news_flatten"]

@@ -78,6 +78,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def rename_path(spark: SparkSession, path: str, to: str) -> None:
+    fs, target = _fs(spark, path)
+    if not fs.rename(target, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"could not rename {path}")
+
+
 def list_names(spark: SparkSession, path: str) -> list[str]:
     """The names in a folder, sorted; none if it does not exist."""
     fs, target = _fs(spark, path)

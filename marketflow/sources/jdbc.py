@@ -30,11 +30,16 @@ def read_jdbc_query(spark: SparkSession, url: str, query: str, properties: dict)
 
 
 def table_exists(spark: SparkSession, url: str, properties: dict, table: str) -> bool:
-    """Whether the database's catalogue lists ``table`` (``schema.table`` or a bare name)."""
+    """Whether the database's catalogue lists ``table``: ``schema.table``, or a bare name of the current schema."""
+    return read_jdbc_query(spark, url, listing_query(table), properties).first()["n"] > 0
+
+
+def listing_query(table: str) -> str:
     schema, _, name = table.rpartition(".")
-    where = f"lower(table_name) = lower('{name}')" + (f" AND lower(table_schema) = lower('{schema}')" if schema else "")
-    found = read_jdbc_query(spark, url, f"SELECT count(*) AS n FROM information_schema.tables WHERE {where}", properties)
-    return found.first()["n"] > 0
+    text = lambda s: "'" + s.replace("'", "''") + "'"
+    place = f"lower({text(schema)})" if schema else "lower(CURRENT_SCHEMA)"
+    return ("SELECT count(*) AS n FROM information_schema.tables "
+            f"WHERE lower(table_name) = lower({text(name)}) AND lower(table_schema) = {place}")
 
 
 def read_max_cut(spark: SparkSession, url: str, properties: dict,

@@ -20,10 +20,11 @@ from marketflow.operators.enrich import bars_from_messages, enrich
 
 
 class RunTotals(StreamingQueryListener):
-    """Adds up the input rows of every run's micro-batches as they are reported, however many there are."""
+    """Adds up, as they are reported, the input rows of every run's micro-batches, however many there are, their
+    named observed metrics (``NAME.FIELD``) and the rows their state left out as too late (``late``)."""
 
     def __init__(self):
-        self.rows: dict[str, int] = {}
+        self.sums: dict[str, dict[str, int]] = {}
         self.ended: set[str] = set()
         self.changed = threading.Condition()
 
@@ -34,21 +35,26 @@ class RunTotals(StreamingQueryListener):
         pass
 
     def onQueryProgress(self, event) -> None:
-        run = str(event.progress.runId)
-        self.rows[run] = self.rows.get(run, 0) + event.progress.numInputRows
+        progress = event.progress
+        sums = self.sums.setdefault(str(progress.runId), {})
+        found = {"rows": progress.numInputRows, "late": sum(o.numRowsDroppedByWatermark for o in progress.stateOperators)}
+        for name, row in progress.observedMetrics.items():
+            found.update({f"{name}.{k}": v for k, v in row.asDict().items()})
+        for key, value in found.items():
+            sums[key] = sums.get(key, 0) + value
 
     def onQueryTerminated(self, event) -> None:
         with self.changed:
             self.ended.add(str(event.runId))
             self.changed.notify_all()
 
-    def of(self, query: StreamingQuery, timeout: float = 60.0) -> int:
-        """The rows of a query that has ended; its last report comes before that of its end."""
+    def of(self, query: StreamingQuery, timeout: float = 60.0) -> dict[str, int]:
+        """The sums of a query that has ended; its last report comes before that of its end."""
         run = str(query.runId)
         with self.changed:
             if not self.changed.wait_for(lambda: run in self.ended, timeout):
                 raise RuntimeError("the end of the query was not reported")
-        return self.rows.get(run, 0)
+        return {"rows": 0, "late": 0, **self.sums.get(run, {})}
 
 
 def start_file_sink(df: DataFrame, path: str, checkpoint: str,
@@ -80,6 +86,12 @@ def run_available_now(df: DataFrame, path: str, checkpoint: str,
                       partition_by: list[str] | None = None, fmt: str = "parquet") -> int:
     """Process everything that has landed, then stop. Returns the input rows
     of the run, summed over all its micro-batches."""
+    return run_totals(df, path, checkpoint, partition_by, fmt)["rows"]
+
+
+def run_totals(df: DataFrame, path: str, checkpoint: str,
+               partition_by: list[str] | None = None, fmt: str = "parquet") -> dict[str, int]:
+    """``run_available_now`` with all the sums of ``RunTotals``."""
     totals = RunTotals()
     df.sparkSession.streams.addListener(totals)
     try:

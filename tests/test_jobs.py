@@ -43,7 +43,7 @@ def test_daily_run(spark, scratch):
                     horizon_days=None)
     assert out["bars_in"] == 4
     assert out["load"]["rows_loaded"] == 3
-    assert out["articles"] == {"rows_published": 1, "rows_rejected": 1, "texts_unparsed": 0}
+    assert out["articles"] == {"rows_published": 1, "rows_rejected": 1, "texts_unparsed": 0, "articles_undated": 0}
     assert [r.violations for r in wh.read("articles_rejects").collect()] == ["sentiment_too_long"]
     data = wh.read("market_data")
     assert sorted((r.ticker, r.name) for r in data.collect()) == [("A", "new"), ("A", "new"), ("B", "b")]
@@ -113,7 +113,7 @@ def test_publish_articles_table_shape(spark, scratch):
     _land(spark, news, [json.dumps([article])])
     wh = ParquetWarehouse(spark, scratch("wh"))
     out = publish_articles(spark, news, "A", wh, table_shape=True)
-    assert out == {"rows_published": 1, "rows_rejected": 0, "texts_unparsed": 0}
+    assert out == {"rows_published": 1, "rows_rejected": 0, "texts_unparsed": 0, "articles_undated": 0}
     rows = wh.read("articles")
     assert rows.columns == ["article_title", "publisher", "author", "publication_date", "ticker",
                             "sentiment"]
@@ -159,7 +159,8 @@ def test_articles_from_envelopes_whole_files_and_odd_texts(spark, scratch):
     news, pretty, wh = scratch("news"), scratch("pretty"), ParquetWarehouse(spark, scratch("wh"))
     _land(spark, news, lines)
     out = publish_articles(spark, news, "A", wh, horizon_days=100)
-    assert out["texts_unparsed"] == 1
+    assert out["texts_unparsed"] == 1 and out["articles_undated"] == 1
+    assert publish_articles(spark, news, spark.createDataFrame([("A",)], "ticker string"), wh, horizon_days=100) == out
     titles = [r.article_title for t in ("articles", "articles_rejects") for r in wh.read(t).collect()]
     assert titles == ["page"]
     _land(spark, pretty, json.dumps([art("pretty", "2024-01-01T00:00:00Z")], indent=1).split("\n"))
@@ -192,6 +193,8 @@ def test_jdbc_warehouse_options_without_a_database(spark, monkeypatch):
     monkeypatch.setattr(incremental, "table_exists", lambda s, u, p, t: t == "cutting_dates")
     monkeypatch.setattr(incremental, "read_max_cut", lambda *a: spark.sql("SELECT date'2024-01-01' AS cut_date"))
     monkeypatch.setattr(incremental, "append_jdbc", lambda df, url, t, p, n: seen.append((t, df.columns, n, df.count())))
+    ran = []
+    monkeypatch.setattr(incremental, "run_transaction", lambda s, u, p, statements: ran.append(statements))
     monkeypatch.setattr(incremental, "read_jdbc_table", lambda s, u, t, p, **k: seen.append((t, k)))
     wh = JdbcWarehouse(spark, "jdbc:x", {}, connections=3, splits={"big": {"partition_column": "d", "num_partitions": 8}})
     assert wh.read("market_data") is None
@@ -200,8 +203,121 @@ def test_jdbc_warehouse_options_without_a_database(spark, monkeypatch):
     row = lake.drop("year", "month").unionByName(spark.range(1).select(
         *[(F.lit(dt.date(2024, 1, 5)) if f.name == "transaction_date" else F.lit(None).cast(f.dataType)).alias(f.name)
           for f in schemas.ENRICHED_BAR])).withColumns({"year": F.lit(2024), "month": F.lit(1)})
+    assert wh.read("cutting_dates") is None and seen.pop() == ("cutting_dates", {})
     load_increment(row, wh, drop_columns=["year", "month"])
-    assert seen == [("market_data", names, 3, 1), ("cutting_dates", ["cut_date"], 3, 1)]
+    data, cut = seen[-2:]
+    assert seen == [data, cut] and data[1:] == (names, 3, 1) and cut[1:] == (["cut_date"], 3, 1)
+    load = data[0].removeprefix("market_data__load_")
+    assert cut[0] == f"cutting_dates__load_{load}"
+    listed = ", ".join(f'"{n}"' for n in names)
+    assert ran == [
+        [f'CREATE TABLE {cut[0]} AS SELECT "cut_date" FROM cutting_dates WHERE 1 = 0'],
+        # one transaction: a table that is not there yet is created in it
+        [f"CREATE TABLE market_data AS SELECT {listed} FROM {data[0]}",
+         f'INSERT INTO cutting_dates ("cut_date") SELECT "cut_date" FROM {cut[0]}'],
+        [f"DROP TABLE IF EXISTS {data[0]}", f"DROP TABLE IF EXISTS {cut[0]}"]]
     monkeypatch.setattr(incremental, "table_exists", lambda *a: True)
     wh.read("big")
     assert seen[-1] == ("big", {"partition_column": "d", "num_partitions": 8})
+
+
+def test_failed_jdbc_load_moves_nothing_and_drops_its_staging_tables(spark, monkeypatch):
+    import pytest
+
+    from marketflow.operators import incremental
+    from marketflow.operators.incremental import JdbcWarehouse
+    ran = []
+
+    def append(df, url, table, p, n):
+        if table.startswith("b__"):
+            raise RuntimeError("connection lost")
+    monkeypatch.setattr(incremental, "table_exists", lambda *a: True)
+    monkeypatch.setattr(incremental, "append_jdbc", append)
+    monkeypatch.setattr(incremental, "run_transaction", lambda s, u, p, statements: ran.extend(statements))
+    one = spark.range(1)
+    with pytest.raises(RuntimeError):
+        JdbcWarehouse(spark, "jdbc:x", {}).append_all([("a", one), ("b", one)])
+    assert [s.split()[0] for s in ran] == ["CREATE", "CREATE", "DROP", "DROP"]
+
+
+def test_catalogue_question_quotes_names_and_keeps_to_one_schema():
+    from marketflow.sources.jdbc import listing_query
+    assert listing_query("x").endswith("lower('x') AND lower(table_schema) = lower(CURRENT_SCHEMA)")
+    assert "lower('o''brien') AND lower(table_schema) = lower('s')" in listing_query("s.o'brien")
+
+
+def test_parquet_overwrite_survives_a_crash(spark, scratch, monkeypatch):
+    import pytest
+
+    from marketflow.operators import incremental
+    wh = ParquetWarehouse(spark, scratch("wh"))
+    wh.overwrite("t", spark.range(3))
+    real, calls = incremental.rename_path, []
+
+    def second_fails(s, path, to):
+        calls.append(path)
+        if len(calls) == 2:
+            raise RuntimeError("driver lost")
+        real(s, path, to)
+    monkeypatch.setattr(incremental, "rename_path", second_fails)
+    with pytest.raises(RuntimeError):
+        wh.overwrite("t", spark.range(5))
+    assert wh.read("t").count() == 3
+    monkeypatch.setattr(incremental, "rename_path", real)
+    wh.overwrite("t", spark.range(7))
+    assert wh.read("t").count() == 7
+    wh.overwrite("t", wh.read("t").where("id < 2"))  # reading what is replaced
+    assert wh.read("t").count() == 2
+
+
+def test_rolling_study_over_articles_and_bars(spark):
+    """Against a plain computation, with constant stretches, gaps and several articles a day."""
+    import math
+    import random
+
+    from marketflow.operators.signals import daily_return, daily_sentiment, sentiment_vs_return
+    from marketflow.plans.jobs import rolling_study
+    rng, first = random.Random(1), dt.date(2024, 1, 1)
+    day = lambda i: first + dt.timedelta(days=i)
+    bars = [(t, day(i), 100.0 if t == "flat" else 100 + rng.random()) for t in ("A", "B", "flat") for i in range(120) if rng.random() < 0.8]
+    arts = [(t, str(day(i)), "positive" if 30 <= i < 60 else rng.choice(["positive", "negative", "neutral"]))
+            for t in ("A", "B", "flat") for i in range(120) for _ in range(rng.randrange(3))]
+    bars = spark.createDataFrame(bars, "ticker string, transaction_date date, close_price double")
+    arts = spark.createDataFrame(arts, "ticker string, publication_date string, sentiment string")
+    got = {(r.ticker, r.day): (r.n_pairs, r["corr"]) for r in rolling_study(arts, bars, days=20).collect()}
+    pairs = [(r.ticker, r.day, round(r.avg_score, 9), round(r.ret, 9))
+             for r in sentiment_vs_return(daily_sentiment(arts), daily_return(bars.withColumn("day", F.col("transaction_date")))).collect()
+             if r.avg_score is not None and r.ret is not None]
+    assert set(got) == {(t, d) for t, d, _, _ in pairs}
+    for (ticker, end), (n, corr) in got.items():
+        xy = [(x, y) for t, d, x, y in pairs if t == ticker and end - dt.timedelta(days=20) < d <= end]
+        assert n == len(xy)
+        mx, my = (sum(v) / n for v in zip(*xy))
+        if len({x for x, _ in xy}) < 2 or len({y for _, y in xy}) < 2:
+            assert corr is None
+        else:
+            cov = sum((x - mx) * (y - my) for x, y in xy)
+            assert math.isclose(corr, cov / math.sqrt(sum((x - mx) ** 2 for x, _ in xy) * sum((y - my) ** 2 for _, y in xy)), abs_tol=1e-9)
+    assert any(c is None for _, c in got.values()) and any(c is not None for _, c in got.values())
+    assert rolling_study(arts.limit(0), bars).count() == 0
+
+
+def test_news_stream_keeps_each_article_once(spark, scratch):
+    from marketflow.plans.jobs import stream_articles
+    art = lambda title, when, n=1: {"title": title, "publisher": {"name": "p"}, "author": None, "published_utc": when,
+                                    "insights": [{"ticker": "A", "sentiment": "positive"}] * n}
+    news, out, ckpt = scratch("news"), scratch("out"), scratch("ckpt")
+    run = lambda: stream_articles(spark, news, "A", out, ckpt, delay_days=10)
+    _land(spark, news, [json.dumps([art("one", "2024-03-01T10:00:00Z"), art("two", "2024-03-05T10:00:00.5Z")]),
+                        json.dumps([art("one", "2024-03-01T10:00:00Z"), art("undated", "soon")]), "not json"])
+    assert run() == {"articles_read": 4, "articles_late": 0, "articles_undated": 1}
+    # Returned again by the next day's request, with a new one and one that is too old.
+    _land(spark, news, [json.dumps({"results": [art("two", "2024-03-05T10:00:00.5Z"), art("three", "2024-03-20T10:00:00Z", 2)], "request_id": "1"}),
+                        json.dumps([art("old", "2024-02-01T10:00:00Z")])])
+    assert run() == {"articles_read": 3, "articles_late": 1, "articles_undated": 0}
+    assert run() == {"articles_read": 0, "articles_late": 0, "articles_undated": 0}
+    _land(spark, news, [json.dumps([art("three", "2024-03-20T10:00:00Z", 2)])])
+    run()
+    rows = spark.read.parquet(out).collect()
+    assert sorted((r.article_title, r.ticker, r.related_ticker) for r in rows) == [
+        ("one", "A", "A"), ("three", "A", "A,A"), ("three", "A", "A,A"), ("two", "A", "A")]
