@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketflow.llm.common import worker_state
-from marketflow.llm.tokens import BEYOND, Counts, Encoder, default_path, split
+from marketflow.llm.tokens import Counts, Encoder, default_path
 
 FREQUENT = 1 << 15  # entries of the broadcast table (under 1 MB)
 SKETCH = 1 << 13  # entries a task reports
@@ -39,22 +39,21 @@ def _merge(a: dict, b: dict) -> dict:
     return _heaviest(both, FREQUENT)
 
 
-def _sketch(batches):
-    seen: Counter = Counter()
-    for batch in batches:
-        for text in batch.column(0):
-            text = text.as_py()
-            if text and not BEYOND.search(text):
-                seen.update(split(text))
+def frequent_pre_tokens(texts: DataFrame, path: str) -> dict[str, int]:
+    """The heaviest pre-tokens of the one text column, with lower bounds of their counts."""
+
+    def sketch(batches):
+        encoder = worker_state(("encoder", path), lambda: Encoder(path))
+        seen: Counter = Counter()
+        for batch in batches:
+            for text in batch.column(0):
+                seen.update(encoder.split(text.as_py() or ""))
                 if len(seen) > 32 * SKETCH:
                     seen = Counter(_heaviest(seen, 8 * SKETCH))
-    top = _heaviest({t: n for t, n in seen.items() if n > 1 and len(t) <= 64}, SKETCH)
-    yield pa.RecordBatch.from_arrays([pa.array([json.dumps(top)])], ["sketch"])
+        top = _heaviest({t: n for t, n in seen.items() if n > 1 and len(t) <= 64}, SKETCH)
+        yield pa.RecordBatch.from_arrays([pa.array([json.dumps(top)])], ["sketch"])
 
-
-def frequent_pre_tokens(texts: DataFrame) -> dict[str, int]:
-    """The heaviest pre-tokens of the one text column, with lower bounds of their counts."""
-    sketches = texts.mapInArrow(_sketch, "sketch string").rdd.map(lambda r: json.loads(r[0]))
+    sketches = texts.mapInArrow(sketch, "sketch string").rdd.map(lambda r: json.loads(r[0]))
     return sketches.treeAggregate({}, _merge, _merge)
 
 
@@ -69,7 +68,7 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     path = tokenizer_path or default_path()
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     encoder = Encoder(path)
-    lengths = {t: len(encoder.pre_token(t)) for t in frequent_pre_tokens(rows.select("text"))}
+    lengths = {t: len(encoder.pre_token(t)) for t in frequent_pre_tokens(rows.select("text"), path)}
     run_key = uuid.uuid4().hex
     table = docs.sparkSession.sparkContext.broadcast(zlib.compress(json.dumps(lengths).encode()))
 

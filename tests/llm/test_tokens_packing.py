@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from marketflow.llm.packing import CapacityTree, best_fit, pack
 from marketflow.llm.token_counts import count_tokens, frequent_pre_tokens
@@ -29,6 +30,53 @@ def test_ids_and_counts_equal_the_library(encoder):
         assert counts.count(text) == len(encoder.ids(text))
 
 
+def test_every_script_goes_through_the_lookup(encoder, monkeypatch):
+    """Greek, Cyrillic, Hebrew, Devanagari, CJK, Hangul, emoji, spaces and signs of many blocks: no text goes whole through the library."""
+    r = random.Random(4)
+    blocks = [(0x20, 0x7E), (0xA0, 0x24F), (0x370, 0x52F), (0x590, 0x6FF), (0x900, 0x97F), (0x1680, 0x1680), (0x2000, 0x206F), (0x20A0, 0x218F),
+              (0x3000, 0x30FF), (0x4E00, 0x5000), (0xAC00, 0xAD00), (0x1D400, 0x1D7FF), (0x1F300, 0x1F64F), (0x20000, 0x20100)]
+    texts = ["", "😀😀", "Ελληνικά και “Русский” 12", "汉字 かな\u3000漢字２３"]
+    for _ in range(3000):
+        lo, hi = r.choice(blocks)
+        texts.append("".join(chr(r.randint(lo, hi)) if r.random() < 0.7 else r.choice(" \n\t a1'") for _ in range(r.randint(1, 25))))
+    expected = [encoder.ids(t) for t in texts]
+    ids, counts = IdEncoder(default_path()), Counts({}, default_path())
+    monkeypatch.setattr(Encoder, "ids", None)
+    for text, want in zip(texts, expected):
+        assert ids.encode(text) == np.array(want, "<u4").tobytes() and counts.count(text) == len(want)
+
+
+def test_all_code_points_split_alike(encoder):
+    """The merge loop's classes are the library's for every code point."""
+    ids = IdEncoder(default_path())
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for i in range(0, len(points), 50):
+        text = "".join(f"a{chr(c)}1{chr(c)} {chr(c)}{chr(c)}  {chr(c)}!" for c in points[i:i + 50])
+        assert ids.encode(text) == np.array(encoder.ids(text), "<u4").tobytes()
+
+
+@pytest.mark.parametrize("text", ["a" + " " * 5_000_000 + "b", "\t" * 3_000_000 + "b", "x" + " \n\t\r\x0b" * 600_000 + "你", "é" * 1_000_000 + "1" * 1_000_000,
+                                  "q" * 5_000_000, "\n" * 2_000_000, "\u3000" * 1_500_000 + "x", "word and\u2028more " * 200_000])
+def test_very_long_runs(encoder, text):
+    want = encoder.ids(text)
+    assert IdEncoder(default_path()).encode(text) == np.array(want, "<u4").tobytes()
+    assert Counts({}, default_path()).count(text) == len(want)
+
+
+def test_pieces_join_to_the_text():
+    from marketflow.llm import tokens
+    r = random.Random(5)
+    text = "".join(r.choice(["word", " ", "\n\n ", "\x1c", "\xa0", "12", "!"]) for _ in range(300_000))
+    parts = list(tokens.pieces_of(text))
+    assert "".join(parts) == text and len(parts) > 5 and max(map(len, parts)) <= 2 * tokens.PIECE + 10
+
+
+def test_other_kinds_of_vocabularies_are_refused():
+    import public_tokenizers
+    with pytest.raises(ValueError, match="byte-level"):
+        Encoder(public_tokenizers.path("word_bpe_49k.json"))
+
+
 def test_count_tokens_whole_table(spark, encoder):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = {r.doc_id: r for r in count_tokens(docs).collect()}
@@ -51,7 +99,7 @@ def test_count_tokens_odd_rows(odd_docs, encoder):
 
 def test_frequent_table_counts(spark):
     df = spark.createDataFrame([("a b b b",)] * 5, "text string").repartition(3)
-    top = frequent_pre_tokens(df)
+    top = frequent_pre_tokens(df, default_path())
     assert top[" b"] == 15 and top["a"] == 5 or top[" b"] == 15
 
 
@@ -111,4 +159,6 @@ def test_pack_odd_rows_and_small_shards(odd_docs, encoder):
     docs = [(r.doc_id, r.text) for r in odd_docs.select("doc_id", "text").collect()]
     check_packing(pack(odd_docs).collect(), docs, encoder)
     check_packing(pack(odd_docs, window=16, shard_rows=3).collect(), docs, encoder, 16)
+    spaces = odd_docs.limit(1).withColumn("text", F.concat(F.lit("a"), F.repeat(F.lit(" "), 2_000_000), F.lit("b")))
+    check_packing(pack(spaces).collect(), [(r.doc_id, r.text) for r in spaces.select("doc_id", "text").collect()], encoder)
     assert pack(odd_docs.limit(0)).count() == 0
