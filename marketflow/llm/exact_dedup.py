@@ -47,6 +47,10 @@ def _rank_id(rank: Column) -> Column:
     return F.when(low > 0, (F.lit(_TOP) - low).cast("bigint"))
 
 
+def _rank_chars(rank: Column) -> Column:
+    return ((rank - rank % F.lit(_STEP)) / F.lit(_STEP)).cast("bigint")
+
+
 def sha256_digest(content: Column) -> Column:
     return F.unhex(F.sha2(content.cast("binary"), 256))
 
@@ -63,13 +67,20 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256``.
 
     Of equal texts the row with the most code points in its original text stays,
-    then the smallest id; a null id loses to any other. A null text is empty, and
-    all empty texts are one group. Rows that repeat both id and text are one
-    document: they share the decision, and each is counted in ``group_size``.
-    An empty table gives no rows; further columns are ignored.
+    then the smallest id; a null id loses to any other. Exactly one row of a group
+    is ``kept``: of rows that share the longest text's length and the id (or have none), an
+    arbitrary one. A null text is empty, and all empty texts are one group. An
+    empty table gives no rows; further columns are ignored.
     """
+    return _decided(docs, id_col, text_col, salts, digest)[0].select(
+        "doc_id", "keep_id", F.col("n").alias("group_size"), "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def _decided(docs: DataFrame, id_col: str, text_col: str, salts: int = SALTS, digest=sha256_digest) -> tuple[DataFrame, DataFrame | None]:
+    """Every row's ``doc_id, n_chars, digest, content, keep_id, n, kept`` (``content`` only where a digest has several),
+    and, if in any group several rows tie for being kept, those groups (else None)."""
     base = _contents(docs, id_col, text_col, digest)
-    light = materialise(base.select("doc_id", "digest"), "exact-light")
+    light = materialise(base.select("doc_id", "n_chars", "digest").withColumn("row", F.monotonically_increasing_id()), "exact-light")
     share = max(salts, -(-light.count() // HOT_SHARE))
     hot = (light.groupBy("digest").agg(F.count("*").alias("n")).where(F.col("n") > share)
            .select("digest", F.lit(True).alias("hot")))
@@ -91,30 +102,53 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     shared = groups.groupBy("digest").agg(F.count("*").alias("k")).where("k > 1").select("digest")
     if shared.isEmpty():
-        out = light.join(groups, "digest")
+        out = light.join(groups, "digest").withColumn("content", F.lit(None).cast("string"))
     else:
         shared = materialise(shared, "exact-shared")
-        rows = base.join(shared, "digest", "left_semi")
+        rows = base.join(shared, "digest", "left_semi").withColumn("row", F.monotonically_increasing_id())
         by_content = (rows.groupBy("digest", "content")
                       .agg(F.max(_rank(F.col("n_chars"), F.col("doc_id"))).alias("best"),
                            F.count("*").alias("n")))
-        out = (light.join(groups.join(shared, "digest", "left_anti"), "digest")
-               .select("doc_id", "digest", "best", "n")
-               .union(rows.join(by_content, ["digest", "content"])
-                      .select("doc_id", "digest", "best", "n")))
+        columns = ["doc_id", "n_chars", "digest", "row", "best", "n", "content"]
+        out = (light.join(groups.join(shared, "digest", "left_anti"), "digest").withColumn("content", F.lit(None).cast("string")).select(*columns)
+               .union(rows.join(by_content, ["digest", "content"]).select(*columns)))
     keep = _rank_id(F.col("best"))
-    return out.select("doc_id", keep.alias("keep_id"), F.col("n").alias("group_size"),
-                      F.col("doc_id").eqNullSafe(keep).alias("kept"),
-                      F.lower(F.hex("digest")).alias("text_sha256"))
+    best = F.col("doc_id").eqNullSafe(keep) & (F.col("n_chars") == _rank_chars(F.col("best")))
+    out = materialise(out.select("doc_id", "n_chars", "digest", "row", "n", "content", keep.alias("keep_id"), best.alias("best")), "exact-rows")
+    # Several best rows in a group share id and length: one of them stays.
+    group = ["digest", "content"]
+    ties = out.where("best").groupBy(*group).agg(F.count("*").alias("k"), F.min("row").alias("first")).where("k > 1").drop("k")
+    if ties.isEmpty():
+        return out.withColumn("kept", F.col("best")), None
+    ties = materialise(ties, "exact-ties")
+    other = ties.select(F.col("digest").alias("d"), F.col("content").alias("c"), "first")
+    same = (F.col("digest") == F.col("d")) & F.col("content").eqNullSafe(F.col("c"))
+    kept = F.col("best") & (F.col("first").isNull() | (F.col("row") == F.col("first")))
+    return out.join(other, same, "left").withColumn("kept", kept), ties
 
 
 def keep_first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, with all their columns; rows that repeat id and content stay once."""
-    groups = exact_groups(docs, id_col, text_col)
-    kept = materialise(groups.where("kept").select(F.col("doc_id").alias("__llm_id"),
-                                                   F.col("text_sha256").alias("__llm_kept")).distinct(), "exact-kept")
+    """The documents that stay, with all their columns: exactly one row of each group of equal texts.
+
+    It is the row that ``exact_groups`` keeps; of rows alike in id and length an arbitrary one.
+    """
+    rows, ties = _decided(docs, id_col, text_col)
+    names = ["__llm_id", "__llm_chars", "__llm_sha"]
+    best = rows.where("best").select(*(F.col(c).alias(n) for c, n in zip(("doc_id", "n_chars", "digest"), names))).distinct()
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    marked = docs.withColumn("__llm_sha", F.sha2(strip_white_space(text).cast("binary"), 256))
-    rows = marked.join(kept, (F.col(id_col).cast("bigint").eqNullSafe(F.col("__llm_id")))
-                       & (F.col("__llm_sha") == F.col("__llm_kept")), "left_semi")
-    return rows.drop("__llm_sha")
+    marked = docs.withColumns({"__llm_id": F.col(id_col).cast("bigint"), "__llm_chars": F.length(text),
+                               "__llm_sha": sha256_digest(strip_white_space(text))})
+
+    def among(found: DataFrame) -> DataFrame:
+        right = found.select(*(F.col(n).alias(n + "_") for n in names))
+        same = (F.col("__llm_id").eqNullSafe(F.col("__llm_id_")) & (F.col("__llm_chars") == F.col("__llm_chars_"))
+                & (F.col("__llm_sha") == F.col("__llm_sha_")))
+        return marked.join(right, same, "left_semi")
+
+    if ties is None:
+        return among(best).drop(*names)
+    best = materialise(best, "exact-best")
+    tied = ties.select(F.col("digest").alias("__llm_sha")).distinct()
+    # One row of each tied group, whole; only these rows are shuffled once more.
+    once = among(best.join(tied, "__llm_sha", "left_semi")).dropDuplicates(names)
+    return among(best.join(tied, "__llm_sha", "left_anti")).unionByName(once).drop(*names)

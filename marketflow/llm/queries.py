@@ -236,9 +236,10 @@ FROM marked LEFT JOIN held USING (dir)""",
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text,
                   sha256(regexp_replace(coalesce(text, ''), '{WS_CLASS}', '', 'g')) AS text_sha256
            FROM documents),
-w AS (SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY length(text) DESC, doc_id) AS keep_id,
+w AS (SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY length(text) DESC, doc_id NULLS LAST) AS keep_id,
+             row_number() OVER (PARTITION BY text_sha256 ORDER BY length(text) DESC, doc_id NULLS LAST) = 1 AS kept,
              count(*) OVER (PARTITION BY text_sha256) AS group_size FROM t)
-SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM w""",
+SELECT doc_id, keep_id, group_size, kept, text_sha256 FROM w""",
     "op11_periodic_runs": rf"""
 WITH {_CRC_TABLE},
 d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, {_crc_sql("coalesce(doc_id::VARCHAR, '')")} AS h

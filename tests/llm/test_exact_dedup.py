@@ -9,15 +9,15 @@ WS = dict.fromkeys(map(ord, " \t\n\x0b\x0c\r"))
 
 
 def brute(rows):
+    """One row of each group is kept: the one of most code points, then smallest id, null last, then the first."""
     groups = defaultdict(list)
-    for doc_id, text in rows:
-        groups[(text or "").translate(WS)].append((doc_id, len(text or "")))
+    for i, (doc_id, text) in enumerate(rows):
+        groups[(text or "").translate(WS)].append((-len(text or ""), doc_id is None, doc_id or 0, i))
     out = []
-    for doc_id, text in rows:
+    for i, (doc_id, text) in enumerate(rows):
         norm = (text or "").translate(WS)
-        members = groups[norm]
-        keep = min(members, key=lambda m: (-m[1], m[0] is None, m[0] or 0))[0]
-        out.append((doc_id, keep, len(members), doc_id == keep, hashlib.sha256(norm.encode()).hexdigest()))
+        best = min(groups[norm])[3]
+        out.append((doc_id, rows[best][0], len(groups[norm]), i == best, hashlib.sha256(norm.encode()).hexdigest()))
     return sorted(out, key=repr)
 
 
@@ -61,3 +61,27 @@ def test_keep_first_copies_keeps_all_columns(odd_docs):
     assert kept.columns == odd_docs.columns
     ids = sorted((r.doc_id for r in kept.select("doc_id").collect()), key=repr)
     assert ids == sorted([1, 7, None, 6, 8, 9, 10], key=repr)
+    assert keep_first_copies(odd_docs.limit(0)).count() == 0
+
+
+SHARED = [(1, "a b"), (1, "a b"), (1, "ab"), (2, "ab"), (None, "x"), (None, "x")]
+
+
+def test_rows_that_share_an_id_or_have_none(spark):
+    """One row of each group stays, whichever way the rows are dealt."""
+    for rows in (SHARED, SHARED * 50, [(None, " "), (None, ""), (None, None), (5, "q"), (5, "r"), (5, " q")]):
+        df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("n", F.lit(1)).repartition(5)
+        texts = [(t or "").translate(WS) for _, t in rows]
+        assert result(exact_groups(df)) == brute(rows)
+        kept = keep_first_copies(df).collect()
+        assert sorted((r.text or "").translate(WS) for r in kept) == sorted(set(texts))
+        for r in kept:
+            group = [(-len(t or ""), i is None, i or 0) for i, t in rows if (t or "").translate(WS) == (r.text or "").translate(WS)]
+            assert (-len(r.text or ""), r.doc_id is None, r.doc_id or 0) == min(group)
+
+
+def test_ties_among_equal_digests_of_different_texts(spark):
+    rows = [(7, t) for t in ("aa", "ab", "a a", "aa", "ab", "c", "c")] * 9
+    weak = lambda content: F.unhex(F.sha2(F.substring(content, 1, 1).cast("binary"), 256))
+    got = [r[:4] for r in result(exact_groups(spark.createDataFrame(rows, "doc_id bigint, text string"), digest=weak))]
+    assert sorted(got, key=repr) == sorted((r[:4] for r in brute(rows)), key=repr)
