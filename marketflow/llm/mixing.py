@@ -17,7 +17,6 @@ result does not depend on ``REGION``.
 
 from __future__ import annotations
 
-import heapq
 import json
 from dataclasses import dataclass
 from functools import reduce
@@ -29,10 +28,10 @@ from pyspark.sql.window import Window
 
 from marketflow.llm.common import materialise
 
-MAX_PATTERNS = 4096  # the driver solves a network of this size; more patterns raise an error
+MAX_PATTERNS = 1 << 18  # the driver solves a network of this size; more patterns raise an error
 REGION = 1024  # documents walked at a time
 _BITS, _LEVELS = 12, 5  # digits per hash
-_HALF = _BITS * _LEVELS  # an order's place has so many bits of the seeded hash, then of the row's, for ties
+_HALF = _BITS * _LEVELS  # an order's place has so many bits of the seeded hash, then of the row's number, for equal rows
 _END = 1 << 2 * _HALF
 _SPAN = "struct<u0:bigint,v0:bigint,u1:bigint,v1:bigint,room:bigint>"
 
@@ -65,52 +64,73 @@ def water_fill(sizes: list[int], weights: list[float], total: float, cap: float)
 def min_cost_flow(sizes: list[int], members: list[list[int]], quotas: list[int], copies: int) -> list[int]:
     """Words each pattern sends: as much of the quotas as can be met, at the least repetition cost.
 
-    Successive shortest paths (Dijkstra with potentials) over source -> pattern
-    (one arc per copy, costs 0, 1, 3, 6, ...) -> quota -> sink.
+    The network is start -> pattern -> source -> end. What a pattern sends beyond its
+    k-th copy costs more than all before, and the same for every pattern. The amounts
+    that patterns can send together form a polymatroid (no augmenting path ever
+    takes words back from a pattern), so the cheapest flow is found by cost levels: as
+    much as possible with one copy of each pattern, then with two, and so on,
+    each level a maximum flow by blocking flows.
     """
     n = len(sizes) + len(quotas) + 2
     start, end = n - 2, n - 1
-    graph: list[list[list]] = [[] for _ in range(n)]  # arcs: [to, capacity, cost, index of the reverse arc]
+    to, room, arcs = [], [], [[] for _ in range(n)]  # an arc and its reverse have numbers that differ in the last bit
 
-    def arc(a, b, capacity, cost):
-        graph[a].append([b, capacity, cost, len(graph[b])])
-        graph[b].append([a, 0, -cost, len(graph[a]) - 1])
+    def arc(a, b, capacity):
+        for x, y, c in ((a, b, capacity), (b, a, 0)):
+            arcs[x].append(len(to))
+            to.append(y)
+            room.append(c)
 
     for p, size in enumerate(sizes):
-        for k in range(copies):
-            arc(start, p, size, k * (k + 1) // 2)
+        arc(start, p, 0)
         for s in members[p]:
-            arc(p, len(sizes) + s, copies * size, 0)
+            arc(p, len(sizes) + s, copies * size)
     for s, quota in enumerate(quotas):
-        arc(len(sizes) + s, end, quota, 0)
-    potential = [0] * n
+        arc(len(sizes) + s, end, quota)
+    for _ in range(copies):
+        for i, size in zip(arcs[start], sizes):
+            room[i] += size
+        while (far := _distances(arcs, to, room, start, end)) is not None:
+            _blocking_flow(arcs, to, room, far, start, end)
+    return [room[i ^ 1] for i in arcs[start]]
+
+
+def _distances(arcs, to, room, start: int, end: int) -> list[int] | None:
+    far = [-1] * len(arcs)
+    far[start], layer = 0, [start]
+    while layer and far[end] < 0:
+        after = []
+        for a in layer:
+            for i in arcs[a]:
+                if room[i] and far[to[i]] < 0:
+                    far[to[i]] = far[a] + 1
+                    after.append(to[i])
+        layer = after
+    return far if far[end] >= 0 else None
+
+
+def _blocking_flow(arcs, to, room, far, start: int, end: int) -> None:
+    """Shortest paths are filled until each holds a full arc."""
+    at, path = [0] * len(arcs), []
     while True:
-        far, via = [None] * n, [None] * n
-        far[start], heap = 0, [(0, start)]
-        while heap:
-            d, a = heapq.heappop(heap)
-            if d > far[a]:
-                continue
-            for i, (b, capacity, cost, _) in enumerate(graph[a]):
-                step = d + cost + potential[a] - potential[b]
-                if capacity > 0 and (far[b] is None or step < far[b]):
-                    far[b], via[b] = step, (a, i)
-                    heapq.heappush(heap, (step, b))
-        if far[end] is None:
-            break
-        potential = [p + (f if f is not None else 0) for p, f in zip(potential, far)]
-        path, b = [], end
-        while b != start:
-            path.append(via[b])
-            b = via[b][0]
-        push = min(graph[a][i][1] for a, i in path)
-        for a, i in path:
-            graph[a][i][1] -= push
-            graph[graph[a][i][0]][graph[a][i][3]][1] += push
-    sent = [0] * len(sizes)
-    for p, _, _, back in graph[start]:
-        sent[p] += graph[p][back][1]
-    return sent
+        a = to[path[-1]] if path else start
+        if a == end:
+            push = min(room[i] for i in path)
+            for i in path:
+                room[i] -= push
+                room[i ^ 1] += push
+            full = next(k for k, i in enumerate(path) if not room[i])
+            del path[full:]
+            continue
+        while at[a] < len(arcs[a]) and not (room[arcs[a][at[a]]] and far[to[arcs[a][at[a]]]] == far[a] + 1):
+            at[a] += 1
+        if at[a] < len(arcs[a]):
+            path.append(arcs[a][at[a]])
+        elif path:
+            path.pop()
+            at[to[path[-1]] if path else start] += 1
+        else:
+            return
 
 
 @dataclass
@@ -232,25 +252,32 @@ def _first_fit(rows: DataFrame, rooms: dict[tuple[str, bool], int]) -> tuple[dic
 
 
 def mix(docs: DataFrame, sources: Column, weights=(3, 1, 2), ratio: float = 1.5, cap: int = 2,
-        seed: int = 7, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, dict]:
+        seed: int = 7, id_col: str = "doc_id", text_col: str = "text",
+        keep: list[str] | None = None) -> tuple[DataFrame, dict]:
     """The documents with ``__llm_size`` (words), ``__llm_copies`` and ``__llm_pattern``, and the sources.
 
+    ``keep`` names the columns to keep (None: all).
     ``sources`` gives an array of source names per document (a null name is a
     source; a null or empty array belongs to no source and is never taken).
     Sources by code point, null last, have the weights in turn and share
     ``ratio`` times all words; no target is above ``cap`` times its source's
     words, and no document is taken more than ``cap`` times. A null text has no
-    words. Equal inputs give equal results; rows that repeat id and text are
-    interchangeable. An empty table gives no rows and no sources.
+    words. Equal rows give equal results, however they are split over files: the
+    seeded order follows id, text, size and sources, and only rows alike in all of
+    these, which are interchangeable, are told apart by their place in the table, which is
+    written once. An empty table gives no rows and no sources. More than ``MAX_PATTERNS``
+    different sets of sources are an error.
     """
     words = F.regexp_count(F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"))
     names = F.array_sort(F.array_distinct(F.coalesce(sources, F.array().cast("array<string>"))))
+    columns = docs.columns if keep is None else keep
+    seeded = F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col), F.col("__llm_size"), F.col("__llm_pattern"))
     keyed = (docs.withColumn("__llm_size", words.cast("bigint"))
              .withColumn("__llm_pattern", F.to_json(names))
-             .withColumn("__llm_u", F.shiftrightunsigned(
-                 F.xxhash64(F.lit(seed), F.col(id_col), F.col("__llm_size"), F.col("__llm_pattern")), 64 - _HALF))
+             .withColumn("__llm_u", F.shiftrightunsigned(seeded, 64 - _HALF))
              .withColumn("__llm_v", F.shiftrightunsigned(F.xxhash64(F.monotonically_increasing_id()), 64 - _HALF)))
-    rows = materialise(keyed.select("__llm_size", "__llm_pattern", "__llm_u", "__llm_v"), "mix-rows")
+    keyed = materialise(keyed.select(*columns, "__llm_size", "__llm_pattern", "__llm_u", "__llm_v"), "mix-documents")
+    rows = keyed.select("__llm_size", "__llm_pattern", "__llm_u", "__llm_v")
     found = (rows.groupBy("__llm_pattern").agg(F.sum("__llm_size").alias("size"), F.count("*").alias("n"))
              .limit(MAX_PATTERNS + 1).collect())
     if len(found) > MAX_PATTERNS:
@@ -285,7 +312,7 @@ def mix(docs: DataFrame, sources: Column, weights=(3, 1, 2), ratio: float = 1.5,
     extra = lambda took: (F.col("__llm_some") & (F.col("__llm_size") > 0) & (took != F.col("__llm_back"))).cast("bigint")
     chosen = walks.join(F.broadcast(table.select("__llm_pattern", F.col("__llm_back").alias("backward"))), ["__llm_pattern", "backward"])
     chosen = chosen.select("__llm_pattern", "__llm_u", "__llm_v", F.lit(True).alias("__llm_took"))
-    out = docs.columns + ["__llm_size", "__llm_pattern", "__llm_copies"]
+    out = [*columns, "__llm_size", "__llm_pattern", "__llm_copies"]
     sure = placed.where(~F.col("__llm_open")).withColumn("__llm_copies", F.col("__llm_base") + extra(lies("__llm_whole")))
     stretch = (placed.where("__llm_open")
                .join(chosen, ["__llm_pattern", "__llm_u", "__llm_v"], "left")

@@ -53,7 +53,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    mixed, sources = mix(docs, F.array("source"), weights=(3, 1, 2), ratio=1.5, cap=2)
+    mixed, sources = mix(docs, F.array("source"), weights=(3, 1, 2), ratio=1.5, cap=2, keep=["doc_id", "source"])
     table = spark.createDataFrame([(name, s.size, s.target) for name, s in sources.items()],
                                   "name string, source_size bigint, target double")
     return (mixed.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("name")))

@@ -95,6 +95,74 @@ def test_hot_source_and_repeated_rows_by_levels(spark, monkeypatch):
     assert sums["hot"].n == 600 and sums[None].n == 50
 
 
+def first_fit(rows, words):
+    """What a walk along the order takes: each document that still fits; and the words left over."""
+    taken = []
+    for row, size in rows:
+        if 0 < size <= words:
+            taken.append(row)
+            words -= size
+    return taken, words
+
+
+@pytest.mark.parametrize("region", [3, 1024])
+def test_choice_equals_a_plain_walk(spark, monkeypatch, region):
+    """The copies of every document against walking each source's seeded order, from both ends."""
+    monkeypatch.setattr(mixing, "REGION", region)
+    r = random.Random(region)
+    rows = [(i, "w " * r.choice([0, 1, 3, 8, 40, 300]), r.choice("abbccccc")) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(7)
+    out, sources = mix(df, F.array("source"), ratio=1.1)
+    got = {x.doc_id: x["__llm_copies"] for x in out.collect()}
+    size = F.regexp_count("text", F.lit("w")).cast("bigint")
+    seeded = F.shiftrightunsigned(F.xxhash64(F.lit(7), F.col("doc_id"), F.col("text"), size, F.to_json(F.array("source"))), 4)
+    order = {x.doc_id: x.u for x in df.select("doc_id", seeded.alias("u")).collect()}
+    for name, source in sources.items():
+        mine = sorted(((i, t.count("w")) for i, t, s in rows if s == name), key=lambda x: order[x[0]])
+        words = min(round(source.target), 2 * source.size)
+        base, rest = divmod(words, source.size)
+        forward, gap = first_fit(mine, rest)
+        left_out, surplus = first_fit(mine[::-1], source.size - rest)
+        more = set(forward) if gap <= surplus else {i for i, z in mine if z} - set(left_out)
+        if rest == 0:
+            more = set()
+        assert {i: got[i] for i, _ in mine} == {i: base + (i in more) for i, _ in mine}
+
+
+def test_choice_does_not_depend_on_the_files(spark, tmp_path):
+    """Rows without ids, repeated rows, texts of one length: the same table as one file, seven, and in another order."""
+    r = random.Random(4)
+    rows = [(None if i % 9 else i, " ".join(r.choice(["red", "one", "two"]) for _ in range(r.randint(1, 4))), "ab"[i % 2]) for i in range(450)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    results = []
+    for name, files in (("one", df.coalesce(1)), ("seven", df.repartition(7)), ("sorted", df.orderBy(F.desc("text")).coalesce(2))):
+        files.write.parquet(f"{tmp_path}/{name}")
+        out, _ = mix(spark.read.parquet(f"{tmp_path}/{name}"), F.array("source"), ratio=0.8)
+        results.append(sorted(((x.doc_id, x.text, x.source, x["__llm_copies"]) for x in out.collect()), key=repr))
+    assert results[0] == results[1] == results[2] and len({x[3] for x in results[0]}) > 1
+
+
+def test_ten_thousand_sources(spark):
+    df = spark.range(30_000).select(F.col("id").alias("doc_id"), F.expr("repeat('w ', 1 + id % 5)").alias("text"),
+                                    F.concat(F.lit("s"), F.col("id") % 10_000).alias("source"))
+    out, sources = mix(df, F.array("source"), ratio=1.5, keep=["doc_id"])
+    assert len(sources) == 10_000 and out.columns[:1] == ["doc_id"] and out.count() == 30_000
+    taken = out.agg(F.sum(F.col("__llm_size") * F.col("__llm_copies"))).first()[0]
+    assert taken == pytest.approx(1.5 * 90_000, rel=0.1) and out.agg(F.max("__llm_copies")).first()[0] <= 2
+
+
+def test_many_overlapping_patterns_are_solved():
+    """6000 patterns in one connected network, of more words than the quotas ask for."""
+    r = random.Random(6)
+    sizes = [r.randint(1, 50) for _ in range(6000)]
+    members = [sorted(r.sample(range(300), r.randint(1, 4))) for _ in sizes]
+    quotas = [r.randint(0, 900) for _ in range(300)]
+    sent = min_cost_flow(sizes, members, quotas, 3)
+    assert all(0 <= x <= 3 * z for x, z in zip(sent, sizes)) and sum(sent) <= sum(quotas)
+    once = min_cost_flow(sizes, members, quotas, 1)
+    assert sum(min(x, z) for x, z in zip(sent, sizes)) == sum(once)
+
+
 def test_overlapping_sources(spark):
     rows = [(i, "w " * 10, ["a"] if i % 3 == 0 else ["b", "a"] if i % 3 == 1 else []) for i in range(90)]
     out, sources = mix(spark.createDataFrame(rows, "doc_id bigint, text string, tags array<string>"), F.col("tags"), ratio=0.4)
