@@ -9,14 +9,22 @@ term between quotation marks, or after a word of reporting) from abuse. A
 logistic model over what the windows say gives the score.
 
 Only the fit uses a sample: at most ``SAMPLE`` labelled documents of each class,
-those with the smallest hash of their id. Scoring reads every whole text once,
-on the map side; the model (at most ``TERMS`` terms) travels in the closure.
+those with the smallest hash of their id, and of these as many as have
+``SAMPLE_CHARS`` characters between them (at least one). All their terms are candidates, and
+terms are chosen as long as one explains enough more, so the model has at most
+``SAMPLE * COVER / least`` of them. Scoring reads every whole text once, on the map
+side; the model travels in the closure.
+
+Words are what stands between white space. Scripts that are written without spaces
+are read in windows of ``UNSPACED_WINDOW`` characters, one from each character on,
+of which the stems are terms.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
+import re
 import string
 import uuid
 from collections import Counter
@@ -26,17 +34,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from marketflow.llm.common import materialise, worker_state
 from marketflow.llm.tokens import Cache
 
 SAMPLE = 8192
-TERMS = 512
-CANDIDATES = 4096
+SAMPLE_CHARS = 1 << 25
 COVER = 3
 WINDOW = 6
 STEM = range(3, 13)  # lengths of stems
 WORD_LENGTHS = range(3, 25)
+UNSPACED_WINDOW = 6
+# The blocks of scripts written without spaces (Thai, Lao, Myanmar, Khmer, kana, Han, and Han beyond U+FFFF).
+UNSPACED = re.compile("[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\U00020000-\U0003FFFF]")
 FUZZY_FROM = 5  # terms of at least so many letters may be one edit off
 # Quotation marks, and words of reporting that make a following term a mention.
 OPENING, CLOSING = "\"'“„«‘‚‹", "\"'”“»’‘›"
@@ -112,7 +123,7 @@ class Lexicon:
 
 def features(text: str | None, match) -> list[float]:
     """What the windows around a text's matches say; all zero without a match."""
-    words = (text or "").lower().split()
+    words = words_of(text)
     hits = {w: found for w in set(words) if (found := match[w])}
     if not hits:
         return [0.0] * 7
@@ -145,30 +156,52 @@ def is_quotation(words: list[str], at: int) -> bool:
     return (opened and closed) or (reported and opened)
 
 
+def words_of(text: str | None) -> list[str]:
+    """The lower-cased words in order; a word in a script without spaces as its windows."""
+    text = (text or "").lower()
+    words = text.split()
+    if text.isascii() or not UNSPACED.search(text):
+        return words
+    return [part for word in words for part in (windows_of(word) if UNSPACED.search(word) else (word,))]
+
+
+def windows_of(word: str):
+    word = word.strip(EDGE)
+    return [word[i:i + UNSPACED_WINDOW] for i in range(max(1, len(word) - 1))] or [word]
+
+
 def word_terms(word: str):
-    """The exact word and its stems, as terms: a trailing ``$`` marks an exact word."""
+    """The exact word (if it is not too long) and its stems, as terms: a trailing ``$`` marks an exact word."""
     word = word.strip(EDGE)
-    if len(word) in WORD_LENGTHS and not word.isdigit():
-        yield word + "$"
+    if UNSPACED.search(word):
+        yield from (word[:n] for n in range(2, len(word) + 1))
+    elif len(word) >= WORD_LENGTHS.start and not word.isdigit():
+        if len(word) in WORD_LENGTHS:
+            yield word + "$"
         for n in STEM:
             if n <= len(word):
                 yield word[:n]
 
 
 def _terms_of(text: str | None) -> set[str]:
-    return {t for w in set((text or "").lower().split()) for t in word_terms(w)}
+    return {t for w in set(words_of(text)) for t in word_terms(w)}
 
 
 def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
             train) -> tuple[DataFrame, list[int], list[int]]:
-    """At most ``SAMPLE`` training rows of each class, and each class's rows in all and in the sample."""
+    """At most ``SAMPLE`` training rows of each class, one a labelled id, and each class's ids in all and in the sample."""
     known = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1) & train(F.col(id_col)))
              .groupBy(F.col(id_col).cast("bigint").alias("__llm_id")).agg(F.max(label_col).cast("int").alias("toxic")))
     known = materialise(known, "toxic-known")
     ranked = [known.where(F.col("toxic") == y).orderBy(F.xxhash64("__llm_id", F.lit(11)), "__llm_id").limit(SAMPLE) for y in (0, 1)]
     picked = materialise(ranked[0].union(ranked[1]), "toxic-picked")
     texts = docs.select(F.col(id_col).cast("bigint").alias("__llm_id"), F.col(text_col).cast("string").alias("text"))
-    sample = materialise(texts.join(F.broadcast(picked), "__llm_id"), "toxic-sample")
+    # An id that several rows share has one of their texts, so copies never reach the driver.
+    one = texts.join(F.broadcast(picked), "__llm_id").groupBy("__llm_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    order = Window.partitionBy("toxic").orderBy(F.xxhash64("__llm_id", F.lit(11)), "__llm_id")  # at most SAMPLE rows each
+    before = F.sum(F.coalesce(F.length("text"), F.lit(0))).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    one = one.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < SAMPLE_CHARS)
+    sample = materialise(one.select("__llm_id", "text", "toxic"), "toxic-sample")
     count = lambda df: [{r[0]: r[1] for r in df.groupBy("toxic").count().collect()}.get(y, 0) for y in (0, 1)]
     return sample, count(known), count(sample)
 
@@ -198,20 +231,23 @@ def _learn_terms(sample: DataFrame, ratio: float, least: int) -> list[tuple[str,
               .where(F.col("toxic") >= least)
               .withColumn("share", F.col("toxic") / (F.col("toxic") + F.col("clean") * ratio + 0.25))
               .where("share >= 0.6"))
-    rows = counts.orderBy(F.desc(F.col("toxic") * F.col("share") * F.col("share")), F.desc(F.length("term")), "term").limit(CANDIDATES).collect()
-    candidates = {r["term"]: r for r in rows}
+    counts = materialise(counts, "toxic-candidates")
+    # Candidates occur in toxic sample rows, whose number and characters are bounded.
+    candidates = {r["term"]: r for r in counts.collect()}
 
-    def explain(batches):
+    def spell(batches):
         for batch in batches:
-            found = [[t for t in _terms_of(text.as_py()) if t in candidates] for text in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string()))], ["terms"])
+            terms = [sorted(_terms_of(text.as_py())) for text in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(terms, pa.list_(pa.string()))], ["doc", "terms"])
 
+    toxic = sample.where("toxic = 1").select("__llm_id", "text").mapInArrow(spell, "doc bigint, terms array<string>")
+    pairs = toxic.select("doc", F.explode("terms").alias("term")).join(counts.select("term"), "term", "left_semi")
     explained: dict[str, set[int]] = {t: set() for t in candidates}
-    toxic = sample.where("toxic = 1").select("text").mapInArrow(explain, "terms array<string>")
-    for i, r in enumerate(toxic.toLocalIterator()):  # at most SAMPLE rows
+    for r in pairs.groupBy("doc").agg(F.collect_list("term").alias("terms")).toLocalIterator():  # a row a toxic sample row
         for t in r["terms"]:
-            explained[t].add(i)
+            explained[t].add(r["doc"])
     chosen: list[tuple[str, bool, float]] = []
+    stems: set[str] = set()
     times: Counter = Counter()
 
     def rank(term, gain):
@@ -221,16 +257,18 @@ def _learn_terms(sample: DataFrame, ratio: float, least: int) -> list[tuple[str,
 
     heap = [rank(t, len(d)) for t, d in explained.items()]
     heapq.heapify(heap)
-    while heap and len(chosen) < TERMS:
+    while heap:
         *_, term, gain = heapq.heappop(heap)
         new = [d for d in explained[term] if times[d] < COVER]
         word = term.rstrip("$")
-        if len(new) < least or any(word.startswith(t) for t, stem, _ in chosen if stem):
+        if len(new) < least or any(word[:n] in stems for n in range(1, len(word) + 1)):
             continue  # too few, or a chosen stem already matches it
         if len(new) < gain:
             heapq.heappush(heap, rank(term, len(new)))
             continue
         r = candidates[term]
+        if not term.endswith("$"):
+            stems.add(word)
         chosen.append((word, not term.endswith("$"), round(math.log((r["toxic"] + 0.5) / (r["clean"] * ratio + 0.5)), 4)))
         times.update(new)
     return chosen

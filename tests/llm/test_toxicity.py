@@ -1,10 +1,13 @@
+import math
 import random
 import zlib
 
 from pyspark.sql import functions as F
 
 from marketflow.llm.queries import op3_toxicity
-from marketflow.llm.toxicity import Lexicon, features, is_quotation, score_toxicity, train_toxicity
+from marketflow.llm.toxicity import (
+    EDGE, Lexicon, features, is_quotation, score_toxicity, train_toxicity, words_of,
+)
 
 SF = "/root/testdata/sf0.1"
 
@@ -70,6 +73,77 @@ def test_quotations_score_below_abuse(spark):
     assert score[2] > score[3]
 
 
+def test_more_than_512_terms_are_learned(spark):
+    """700 insults, each in three toxic documents and no clean one: every one is needed, and found again."""
+    r = random.Random(12)
+    plain = lambda: " ".join(r.choice(["rain", "sun", "tree", "lane", "note", "rest"]) for _ in range(12))
+    letters = "bcdfghjkmpqvwxz"
+    insults = [letters[i % 15] + letters[i // 15 % 15] + letters[i // 225] + "uo" for i in range(700)]
+    rows = [(i, f"{plain()} {insults[i % 700]} {plain()}", 1) for i in range(2100)] + [(i, plain() + plain(), 0) for i in range(2100, 4200)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    model = train_toxicity(table, table)
+    assert len(model["terms"]) >= 600
+    new = spark.createDataFrame([(i, f"{plain()} {w}") for i, w in enumerate(insults)] + [(1000 + i, plain()) for i in range(300)], "doc_id bigint, text string")
+    score = {x.doc_id: x["__llm_toxic"] for x in score_toxicity(new, model).collect()}
+    assert sum(score[i] >= 0.5 for i in range(700)) >= 690 and all(score[1000 + i] < 0.5 for i in range(300))
+
+
+def test_copies_of_a_labelled_id_do_not_reach_the_driver(spark, monkeypatch):
+    from marketflow.llm import toxicity
+    monkeypatch.setattr(toxicity, "SAMPLE", 8)
+    docs = spark.range(200_000).select((F.col("id") % 2).alias("doc_id"), F.concat(F.lit("text "), F.col("id") % 3).alias("text"))
+    docs = docs.union(spark.range(2, 40).select("id", F.lit("more text")))
+    labels = spark.range(40).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    sample, known, picked = toxicity._sample(docs, labels, "doc_id", "text", "toxic", lambda c: F.lit(True))
+    assert sample.count() == 16 and known == [20, 20] and picked == [8, 8]
+    monkeypatch.setattr(toxicity, "SAMPLE_CHARS", 12)
+    sample, _, picked = toxicity._sample(docs, labels, "doc_id", "text", "toxic", lambda c: F.lit(True))
+    assert all(1 <= n <= 3 for n in picked)
+
+
+def test_scripts_without_spaces(spark):
+    r = random.Random(13)
+    han = lambda n: "".join(chr(0x4E00 + r.randrange(400)) for _ in range(n))
+    bad = "\u9f98\u9f99"
+    rows = [(i, han(15) + (bad if i % 2 else "") + han(15) + "\u3002", i % 2) for i in range(200)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    model = train_toxicity(table, table)
+    assert any(bad.startswith(t) or t.startswith(bad) or t in bad for t, _, _ in model["terms"])
+    new = spark.createDataFrame([(1, han(30) + bad + han(3)), (2, han(40)), (3, bad)], "doc_id bigint, text string")
+    score = {x.doc_id: x["__llm_toxic"] for x in score_toxicity(new, model).collect()}
+    assert score[1] >= 0.5 > score[2] and score[3] >= 0.5
+    assert words_of("Ab \u4e00\u4e01\u4e02 c") == ["ab", "\u4e00\u4e01\u4e02", "\u4e01\u4e02", "c"]
+
+
+def slow_score(model, text):
+    """The score with every word compared with every term by edit distance."""
+    if model["weights"] is None:
+        return model["share"]
+
+    def look(word):
+        word, best = word.strip(EDGE), False
+        for term, stem, weight in model["terms"]:
+            ends = [word[:n] for n in range(len(word) + 1)] if stem else [word]
+            off = min(distance(term, e) for e in ends)
+            if off <= Lexicon.edits(term) and (not best or (weight, -off) > (best[0], -best[1])):
+                best = (weight, off)
+        return best
+    x = features(text, {w: look(w) for w in set(words_of(text))})
+    z = sum(a * b for a, b in zip(x, model["weights"])) + model["weights"][-1]
+    return 1 / (1 + math.exp(-max(-30, min(30, z))))
+
+
+def test_scores_equal_the_slow_way(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    model = train_toxicity(docs, spark.read.parquet("/root/testdata/sf0.01/labels.parquet"))
+    assert model["terms"]
+    some = docs.where("length(text) < 600").orderBy(F.xxhash64("doc_id")).limit(60).unionByName(
+        docs.join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet").where("toxic = 1"), "doc_id").where("length(text) < 900")
+        .select("doc_id", "text").limit(20))
+    for r in score_toxicity(some, model).collect():
+        assert abs(r["__llm_toxic"] - slow_score(model, r.text)) < 1e-9
+
+
 def test_held_out_accuracy(spark):
     got = op3_toxicity(spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id")
     rows = got.where("held_out").collect()
