@@ -78,7 +78,8 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = train_languages(docs, train=crc32_mod(F.col("doc_id"), 4) != 2)
-    return identify(docs, model).select("doc_id", (crc32_mod(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+    return identify(docs, model).select("doc_id", (crc32_mod(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score",
+                                        "entropy", "rejected")
 
 
 def _crc32(*parts) -> Column:
