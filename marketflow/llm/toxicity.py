@@ -34,7 +34,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from marketflow.llm.common import materialise, worker_state
 from marketflow.llm.tokens import Cache
@@ -196,12 +195,21 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
     ranked = [known.where(F.col("toxic") == y).orderBy(F.xxhash64("__llm_id", F.lit(11)), "__llm_id").limit(SAMPLE) for y in (0, 1)]
     picked = materialise(ranked[0].union(ranked[1]), "toxic-picked")
     texts = docs.select(F.col(id_col).cast("bigint").alias("__llm_id"), F.col(text_col).cast("string").alias("text"))
-    # An id that several rows share has one of their texts, so copies never reach the driver.
-    one = texts.join(F.broadcast(picked), "__llm_id").groupBy("__llm_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("__llm_id", F.lit(11)), "__llm_id")  # at most SAMPLE rows each
-    before = F.sum(F.coalesce(F.length("text"), F.lit(0))).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    one = one.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < SAMPLE_CHARS)
-    sample = materialise(one.select("__llm_id", "text", "toxic"), "toxic-sample")
+    # An id that several rows share has one of their texts, so copies never reach the driver: at most 2 * SAMPLE rows do.
+    size = F.coalesce(F.length("text"), F.lit(0)).alias("size")
+    keyed = texts.join(F.broadcast(picked), "__llm_id").select("__llm_id", "toxic", F.xxhash64("text").alias("h"), size)
+    one = keyed.groupBy("__llm_id", "toxic").agg(F.min(F.struct("h", "size")).alias("m"))
+    rows = one.select("__llm_id", "toxic", "m.h", "m.size", F.xxhash64("__llm_id", F.lit(11)).alias("place")).collect()
+    chosen, room = [], [SAMPLE_CHARS, SAMPLE_CHARS]
+    for r in sorted(rows, key=lambda r: (r["place"], r["__llm_id"])):
+        if room[r["toxic"]] > 0:
+            chosen.append((r["__llm_id"], r["toxic"], r["h"]))
+            room[r["toxic"]] -= r["size"]
+    chosen = docs.sparkSession.createDataFrame(chosen, "__llm_id bigint, toxic int, h bigint")
+    found = texts.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), ["__llm_id", "h"])
+    sample = materialise(found.select("__llm_id", "text", "toxic"), "toxic-sample")
+    if sample.count() > chosen.count():  # copies of id and text
+        sample = materialise(sample.dropDuplicates(["__llm_id"]), "toxic-sample")
     count = lambda df: [{r[0]: r[1] for r in df.groupBy("toxic").count().collect()}.get(y, 0) for y in (0, 1)]
     return sample, count(known), count(sample)
 
