@@ -9,7 +9,7 @@ from marketflow.llm.common import LOWER, UPPER, crc32_mod, read_table
 from marketflow.llm.cover_tree import embedding_links
 from marketflow.llm.exact_dedup import exact_groups
 from marketflow.llm.langid import identify, train_languages
-from marketflow.llm.licenses import ANCHORS, TEMPLATES, THRESHOLD, scan_licenses
+from marketflow.llm.licenses import LESS_EXACT, SPDX, SPDX_ENDING, TEMPLATES, THRESHOLD, WRAP, scan_licenses
 from marketflow.llm.line_dedup import drop_common_lines
 from marketflow.llm.mixing import mix
 from marketflow.llm.packing import pack
@@ -66,13 +66,14 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents as a tree ``source/lang/block of 64 ids``, whose first id is the block's licence file."""
+    """The documents as a tree ``source/lang/block of 64 ids``; ids that 64, 1024 or 8192 divides are the licence
+    files of their block, language or source."""
     docs = read_table(spark, sf_dir, "documents")
-    name = F.when(F.col("doc_id") % 64 == 0, F.concat(F.lit("LICENSE_"), F.col("doc_id"))).otherwise(F.concat(F.col("doc_id"), F.lit(".txt")))
-    path = F.concat_ws("/", F.lit("corpus"), "source", F.floor(F.col("doc_id") / 64), name)
-    found = scan_licenses(docs.select(path.alias("path"), "text"))
-    doc_id = F.regexp_extract("path", r"(-?\d+)(\.txt)?$", 1).try_cast("bigint")
-    return found.select(doc_id.alias("doc_id"), "path", "license", "score", "found_in", "origin")
+    doc_id = F.col("doc_id")
+    levels = [F.lit("corpus"), F.col("source"), F.when(doc_id % 8192 != 0, F.col("lang")),
+              F.when(doc_id % 1024 != 0, F.floor(doc_id / 64).cast("string"))]
+    name = F.when(doc_id % 64 == 0, F.concat(F.lit("LICENSE_"), doc_id)).otherwise(F.concat(F.coalesce(doc_id.cast("string"), F.lit("none")), F.lit(".txt")))
+    return scan_licenses(docs.select("doc_id", F.concat_ws("/", *levels, name).alias("path"), "text"), id_col="doc_id")
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,8 +162,9 @@ QUERIES = {
 
 WS_CLASS = r"[\x20\x09-\x0D]"
 
-_TEMPLATE_ROWS = ", ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(TEMPLATES))
-_ANCHOR = "(?i)(^|[^a-zA-Z0-9])(" + "|".join(ANCHORS) + ")([^a-zA-Z0-9]|$)"
+_LIST = lambda names: "[" + ", ".join(f"'{n}'" for n in names) + "]::VARCHAR[]"
+_TEMPLATE_ROWS = ", ".join(f"({i}, '{t.license}', '{t.text}', {_LIST(t.needs)}, {_LIST(t.forbids)})" for i, t in enumerate(TEMPLATES))
+_LESS_ROWS = ", ".join(f"('{more}', '{x}')" for more, less in LESS_EXACT.items() for x in less)
 
 # The table of crc32, and the crc32 of a text's bytes as a lambda over that table.
 _CRC_TABLE = """crc(t) AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
@@ -202,37 +204,48 @@ SELECT e.vec_id, coalesce(k, 0)::BIGINT AS n_links, least(e.vec_id, coalesce(m,
        e.vec_id = least(e.vec_id, coalesce(m, e.vec_id)) AS kept
 FROM embeddings e LEFT JOIN n USING (vec_id) LEFT JOIN c USING (vec_id)""",
     "op9_licenses": rf"""
-WITH files AS (SELECT doc_id, coalesce(text, '') AS text, doc_id % 64 = 0 AS is_licence,
-    concat_ws('/', 'corpus', source, floor(doc_id / 64)::BIGINT) AS dir FROM documents),
-named AS (SELECT *, dir || '/' || CASE WHEN is_licence THEN 'LICENSE_' || doc_id ELSE doc_id || '.txt' END AS path FROM files),
-templates(i, name, body) AS (VALUES {_TEMPLATE_ROWS}),
+WITH files AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, doc_id % 64 = 0 AS is_licence,
+    concat_ws('/', 'corpus', source, CASE WHEN doc_id % 8192 <> 0 THEN lang END, CASE WHEN doc_id % 1024 <> 0 THEN (doc_id // 64)::VARCHAR END) AS dir FROM documents),
+named AS (SELECT *, dir || '/' || CASE WHEN is_licence THEN 'LICENSE_' || doc_id ELSE coalesce(doc_id::VARCHAR, 'none') || '.txt' END AS path FROM files),
+templates(i, license, body, needs, forbids) AS (VALUES {_TEMPLATE_ROWS}),
+less(more, license) AS (VALUES {_LESS_ROWS}),
+ranks AS (SELECT license, min(i) AS rank FROM templates GROUP BY license),
 tt AS (SELECT i, term, count(*) AS tf FROM (SELECT i, unnest(regexp_split_to_array(lower(body), '[^a-z0-9]+')) AS term
        FROM templates) WHERE term <> '' GROUP BY ALL),
-seen AS (SELECT term, count(DISTINCT doc_id) AS df FROM (
-       SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z0-9]+')) AS term FROM files)
+seen AS (SELECT term, count(DISTINCT r) AS df FROM (
+       SELECT r, unnest(regexp_split_to_array(lower(text), '[^a-z0-9]+')) AS term FROM files)
        WHERE term IN (SELECT term FROM tt) GROUP BY term),
 idf AS (SELECT term, ln(((SELECT count(*) FROM files) + 1) / (coalesce(df, 0) + 1)) + 1 AS idf
         FROM (SELECT DISTINCT term FROM tt) LEFT JOIN seen USING (term)),
 tv AS (SELECT i, term, tf * idf AS w FROM tt JOIN idf USING (term)),
 tn AS (SELECT i, term, w / sqrt(sum(w * w) OVER (PARTITION BY i)) AS share FROM tv),
-lines AS (SELECT doc_id, n, line FROM (SELECT doc_id, generate_subscripts(l, 1) AS n, unnest(l) AS line
-          FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM files)) WHERE regexp_matches(line, '{_ANCHOR}')
-          UNION ALL SELECT doc_id, 0, text FROM files WHERE is_licence),
-terms AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(regexp_split_to_array(lower(line), '[^a-z0-9]+')) AS term
-          FROM lines) WHERE term <> '' GROUP BY ALL),
-weighed AS (SELECT doc_id, n, term, tf * coalesce(idf, ln((SELECT count(*) FROM files) + 1) + 1) AS w FROM terms LEFT JOIN idf USING (term)),
-norms AS (SELECT doc_id, n, sqrt(sum(w * w)) AS norm FROM weighed GROUP BY ALL),
-scores AS (SELECT doc_id, i, round(sum(w * share) / any_value(norm), 6) AS score
-           FROM weighed JOIN tn USING (term) JOIN norms USING (doc_id, n) GROUP BY doc_id, n, i),
-own AS (SELECT doc_id, name AS license, score FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, i) AS r FROM scores)
-        JOIN templates USING (i) WHERE r = 1 AND score >= {THRESHOLD}),
-marked AS (SELECT * FROM named LEFT JOIN own USING (doc_id)),
+lines AS (SELECT r, generate_subscripts(l, 1) AS n, unnest(l) AS line FROM (SELECT r, string_split(text, chr(10)) AS l FROM files)),
+windows AS (SELECT a.r, a.n * 10 + k AS n, string_agg(b.line, ' ') AS line FROM lines a, range(1, {WRAP + 1}) AS w(k), lines b
+            WHERE b.r = a.r AND b.n >= a.n AND b.n < a.n + k GROUP BY a.r, a.n, k HAVING count(*) = k
+            UNION ALL SELECT r, 0, text FROM files WHERE is_licence),
+terms AS (SELECT r, n, term, count(*) AS tf FROM (SELECT r, n, unnest(regexp_split_to_array(lower(line), '[^a-z0-9]+')) AS term
+          FROM windows) WHERE term <> '' GROUP BY ALL),
+weighed AS (SELECT r, n, term, tf * coalesce(idf, ln((SELECT count(*) FROM files) + 1) + 1) AS w FROM terms LEFT JOIN idf USING (term)),
+norms AS (SELECT r, n, sqrt(sum(w * w)) AS norm, list(term) AS held FROM weighed GROUP BY ALL),
+scores AS (SELECT r, n, i, round(sum(w * share) / any_value(norm), 6) AS score, any_value(held) AS held
+           FROM weighed JOIN tn USING (term) JOIN norms USING (r, n) GROUP BY r, n, i),
+found AS (SELECT r, license, max(score) AS score FROM scores JOIN templates USING (i)
+          WHERE score >= {THRESHOLD} AND list_has_all(held, needs) AND NOT list_has_any(held, forbids) GROUP BY r, license
+          UNION ALL SELECT r, regexp_replace(regexp_extract(text, '{SPDX}', 1), '{SPDX_ENDING}', ''), 2.0 FROM files
+          WHERE regexp_extract(text, '{SPDX}', 1) <> ''),
+kept AS (SELECT f.*, coalesce(rank, 1000) AS rank FROM found f LEFT JOIN ranks USING (license)
+         WHERE NOT EXISTS (SELECT 1 FROM found g JOIN less ON g.license = less.more WHERE g.r = f.r AND less.license = f.license)),
+own AS (SELECT r, license, least(1.0, score) AS score FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, rank, license) AS k FROM kept) WHERE k = 1),
+marked AS (SELECT * FROM named LEFT JOIN own USING (r)),
 held AS (SELECT dir, path AS from_path, license AS from_license, score AS from_score FROM (
-         SELECT *, row_number() OVER (PARTITION BY dir ORDER BY score DESC, path) AS r FROM marked WHERE is_licence AND license IS NOT NULL) WHERE r = 1)
+         SELECT *, row_number() OVER (PARTITION BY dir ORDER BY score DESC, path, license) AS k FROM marked WHERE is_licence AND license IS NOT NULL) WHERE k = 1),
+up AS (SELECT * FROM (SELECT d.dir, held.from_path, held.from_license, held.from_score,
+         row_number() OVER (PARTITION BY d.dir ORDER BY length(held.dir) DESC) AS k
+       FROM (SELECT DISTINCT dir FROM marked) d JOIN held ON d.dir = held.dir OR starts_with(d.dir, held.dir || '/')) WHERE k = 1)
 SELECT doc_id, path, coalesce(license, from_license) AS license, coalesce(score, from_score) AS score,
        CASE WHEN license IS NOT NULL THEN path ELSE from_path END AS found_in,
        CASE WHEN license IS NOT NULL THEN 'own' WHEN from_license IS NOT NULL THEN 'inherited' END AS origin
-FROM marked LEFT JOIN held USING (dir)""",
+FROM marked LEFT JOIN up USING (dir)""",
     "op7_exact_dedup": rf"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text,
                   sha256(regexp_replace(coalesce(text, ''), '{WS_CLASS}', '', 'g')) AS text_sha256
