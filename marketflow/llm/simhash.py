@@ -9,7 +9,8 @@ dropped before any Python runs.
 A cell is compared in tiles: ``numpy`` exclusive-or and bit counts over a tile
 pair, and tile pairs whose population counts differ by more than the radius are
 skipped, as such fingerprints cannot be linked. A cell with more than ``TILE``
-fingerprints is split into tiles by population count and hash, and its tile
+fingerprints is refined by blocks of its remaining bits; one that is still as large
+is split into tiles by population count and hash, and its tile
 pairs are dealt out as tasks of their own. A tile pair returns a spanning forest
 of its links, never all pairs.
 """
@@ -67,29 +68,72 @@ def _fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) ->
     return rows.mapInArrow(run, "doc_id bigint, text_key bigint, fp bigint")
 
 
-def _block_pairs(fp: Column, radius: int) -> list[Column]:
+def _cut(bits: int, parts: int) -> list[tuple[int, int]]:
+    """The lowest bit and the width of ``parts`` blocks of about equal width."""
+    edges = [bits * i // parts for i in range(parts + 1)]
+    return [(lo, hi - lo) for lo, hi in zip(edges, edges[1:])]
+
+
+def _bits(value: Column, lo: int, width: int) -> Column:
+    return F.shiftrightunsigned(value, lo).bitwiseAND(F.lit((1 << width) - 1))
+
+
+def _block_pairs(fp: Column, radius: int, bits: int = 64) -> list[Column]:
     """One key per pair of blocks: the pair's number and the bits of both blocks."""
-    edges = [64 * i // (radius + 2) for i in range(radius + 3)]
-    blocks = [F.shiftrightunsigned(fp, lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1)) for lo, hi in zip(edges, edges[1:])]
+    blocks = [_bits(fp, lo, width) for lo, width in _cut(bits, radius + 2)]
     return [F.struct(F.lit(n).alias("pair"), blocks[i].alias("x"), blocks[j].alias("y"))
             for n, (i, j) in enumerate(combinations(range(radius + 2), 2))]
 
 
+def _rest(fp: Column, pair: Column, radius: int) -> tuple[Column, int]:
+    """The bits outside a pair of blocks, moved together, and the least number of them in any pair."""
+    cut, rests, least = _cut(64, radius + 2), [], 64
+    for i, j in combinations(range(radius + 2), 2):
+        value, at = F.lit(0).cast("bigint"), 0
+        for k, (lo, width) in enumerate(cut):
+            if k not in (i, j):
+                value = value.bitwiseOR(F.shiftleft(_bits(fp, lo, width), at))
+                at += width
+        rests.append(value)
+        least = min(least, at)
+    return F.element_at(F.array(*rests), pair + 1), least
+
+
+_CELL = ["pair", "x", "y"]
+
+
 def _cells(prints: DataFrame, radius: int) -> DataFrame:
-    """Rows ``pair, x, y, lo, hi, fp, pop`` of the fingerprints to compare in each cell or tile pair."""
+    """Rows ``pair, x, y, lo, hi, fp, pop`` of the fingerprints to compare in each cell or tile pair.
+
+    A cell of more than ``TILE`` fingerprints is first refined: its members differ, if
+    linked, in at most ``radius`` of the bits outside its two blocks, so these bits
+    are cut into blocks again and the members dealt to one cell per pair of them. What
+    stays too large after that is split into tiles.
+    """
     keyed = (prints.select("fp", F.bit_count("fp").alias("pop"), F.explode(F.array(*_block_pairs(F.col("fp"), radius))).alias("k"))
              .select("k.*", "fp", "pop"))
-    key = ["pair", "x", "y"]
-    sizes = materialise(keyed.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1"), "simhash-cells")
-    rows = keyed.join(sizes, key).withColumn("parts", F.ceil(F.col("n") / TILE))
-    # A large cell: tile = (population count, part); partners are the tiles within the radius.
+    sizes = materialise(keyed.groupBy(*_CELL).agg(F.count("*").alias("n")).where("n > 1"), "simhash-cells")
+    rows = keyed.join(sizes, _CELL)
+    rest, bits = _rest(F.col("fp"), F.col("pair"), radius)
+    if bits >= radius + 2:
+        small = rows.where(F.col("n") <= TILE)
+        pairs = (radius + 2) * (radius + 1) // 2
+        width = -(-bits // (radius + 2))
+        fine = (rows.where(F.col("n") > TILE).withColumn("k", F.explode(F.array(*_block_pairs(rest, radius, bits))))
+                .select((F.col("pair") * pairs + F.col("k.pair") + pairs).alias("pair"),
+                        F.shiftleft("x", width).bitwiseOR(F.col("k.x")).alias("x"),
+                        F.shiftleft("y", width).bitwiseOR(F.col("k.y")).alias("y"), "fp", "pop"))
+        counts = materialise(fine.groupBy(*_CELL).agg(F.count("*").alias("n")).where("n > 1"), "simhash-fine")
+        rows = small.unionByName(fine.join(counts, _CELL))
+    rows = rows.withColumn("parts", F.ceil(F.col("n") / TILE))
+    # A cell that is still large: tile = (population count, part); partners are the tiles within the radius.
     part = F.pmod(F.xxhash64("fp"), F.col("parts"))
     tile = F.col("pop") * F.col("parts") + part
     near = F.sequence(F.greatest(F.lit(0), F.col("pop") - radius) * F.col("parts"),
                       (F.col("pop") + radius + 1) * F.col("parts") - 1)
     rows = rows.withColumn("tile", F.when(F.col("parts") > 1, tile).otherwise(0).cast("bigint"))
     rows = rows.withColumn("other", F.explode(F.when(F.col("parts") > 1, near).otherwise(F.array(F.lit(0).cast("bigint")))))
-    return rows.select(*key, F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"), "fp", "pop")
+    return rows.select(*_CELL, F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"), "fp", "pop")
 
 
 def spanning_links(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:

@@ -108,3 +108,41 @@ def test_components_path_star_and_loops(spark):
 def test_fingerprint_matches_the_definition():
     for text in ("", None, "A b", "one two three", "x " * 50 + "Y\tz\x0bq", "ÀB c d e"):
         assert fingerprint(text, 3) == slow_fingerprint(text)
+
+
+def skewed_prints(spark, n, seed, flips=2):
+    """Fingerprints that share 32 bits, with near copies among them; as a table ``fp`` and an array."""
+    rng = np.random.default_rng(seed)
+    base = rng.integers(0, 1 << 32, n, dtype=np.uint64) | np.uint64(0xABCD1234 << 32)
+    near = base[: n // 10].copy()
+    for _ in range(flips):
+        near ^= np.uint64(1) << rng.integers(0, 64, len(near)).astype(np.uint64)
+    fps = np.unique(np.concatenate([base, near]))
+    return spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp bigint"), fps
+
+
+def test_large_cells_are_refined_exactly(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "TILE", 64)
+    for radius in (1, 2, 3):
+        table, fps = skewed_prints(spark, 3000, radius, radius)
+        got = {r.node: r.root for r in component_roots(simhash._links(simhash._cells(table, radius), radius)).collect()}
+        links = []
+        for i in range(0, len(fps), 500):
+            a, b = np.nonzero(np.bitwise_count(fps[i:i + 500, None] ^ fps[None, :]) <= radius)
+            links += [(int(fps[i + x]), int(fps[y])) for x, y in zip(a, b) if i + x < y]
+        expected = union([int(x) for x in fps], links)
+        signed = lambda x: x - (1 << 64) if x >> 63 else x
+        groups = {}
+        for x in fps.tolist():
+            groups.setdefault(expected[x], set()).add(signed(x))
+        found = {}
+        for node, root in got.items():
+            found.setdefault(root, set()).add(node)
+        assert sorted(map(sorted, found.values())) == sorted(sorted(g) for g in groups.values() if len(g) > 1) and len(links) > 50
+
+
+def test_rows_of_a_large_cell_grow_with_it(spark, monkeypatch):
+    """All fingerprints in one cell: rows to compare follow their number, not its square."""
+    monkeypatch.setattr(simhash, "TILE", 64)
+    sizes = [simhash._cells(skewed_prints(spark, n, 9)[0], 2).count() / n for n in (4000, 16_000, 64_000)]
+    assert max(sizes) < 10
