@@ -279,12 +279,13 @@ def load_landed(spark: SparkSession, lake_path: str, warehouse: Warehouse,
     """
     record = LandedLog(spark, lake_path)
     floor, stored = (None if initial_cut is None else _to_date(initial_cut)), read_cut(warehouse, None, cut_table)
-    landed = record.read().where("route = 'lake' and n_rows > 0")
+    loaded = warehouse.read(batch_table, schema=BATCH_TABLE)
+    # One short name per batch; of the record only the files of batches yet to be loaded are read.
+    known = set() if loaded is None else {r["batch"] for r in loaded.select("batch").distinct().collect()}
+    fresh = record.done() - known
+    landed = record.read(fresh).where("route = 'lake' and n_rows > 0")
     if floor is not None:
         landed = landed.where(F.col("last_day") > F.lit(floor))
-    loaded = warehouse.read(batch_table, schema=BATCH_TABLE)
-    if loaded is not None:
-        landed = landed.join(loaded.select("batch"), "batch", "left_anti")
     # One row per batch and month that is yet to be loaded.
     pending = landed.select("batch", "year", "month").distinct().collect()
     start = stored or floor
@@ -300,7 +301,8 @@ def load_landed(spark: SparkSession, lake_path: str, warehouse: Warehouse,
         tables.append(warehouse.read(reject_table))
     batch = unseen(rows, [_in_months(t, date_col, months) for t in tables if t is not None])
     out = _write_load(spark, warehouse, batch, start, stored, data_table, cut_table, date_col, contract, reject_table,
-                      [(batch_table, spark.createDataFrame([(n,) for n in names], BATCH_TABLE))])
+                      # Those that put no row into the lake too, so their records are not read again.
+                      [(batch_table, spark.createDataFrame([(n,) for n in sorted(fresh)], BATCH_TABLE))])
     return {**out, "batches": len(names)}
 
 

@@ -60,8 +60,10 @@ class LandedLog:
         write_text(self.spark, f"{self.root}/{batch}.json", "".join(json.dumps(x) + "\n" for x in lines))
         delete_path(self.spark, f"{self.root}/{batch}.open")
 
-    def read(self) -> DataFrame:
-        """The lines of all finished batches."""
-        if not self.done():
+    def read(self, batches: set[str] | None = None) -> DataFrame:
+        """The lines of all finished batches, or of those named: only their files are read."""
+        names = self.done() if batches is None else batches & self.done()
+        if not names:
             return self.spark.createDataFrame([], LANDED)
-        return self.spark.read.schema(LANDED).json(f"{self.root}/*.json")
+        files = [f"{self.root}/*.json"] if batches is None else [f"{self.root}/{n}.json" for n in sorted(names)]
+        return self.spark.read.schema(LANDED).json(files)

@@ -137,7 +137,8 @@ def _side(spark: SparkSession, lake_path: str, side: str, columns: str) -> DataF
 
 
 def _replayed(log: LandedLog) -> set[str]:
-    return {r["reason"] for r in log.read().where("route = 'replayed'").select("reason").collect()}
+    replays = {n for n in log.done() if n.startswith("replay-")}
+    return {r["reason"] for r in log.read(replays).where("route = 'replayed'").select("reason").collect()}
 
 
 def replay_unmatched(spark: SparkSession, lake_path: str, master: DataFrame) -> dict:
