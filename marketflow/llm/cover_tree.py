@@ -5,8 +5,8 @@ a label are cut into blocks near bounded sets of centres, and every block builds
 one cover tree: nested levels whose covering radii halve, every node knowing the
 largest distance to what it covers. Two nodes can hold a linked pair only if
 their centres are no further apart than both covering radii and the threshold's
-chord together; all other node pairs are pruned, first between whole blocks, then
-level by level inside a block pair. What survives is compared exactly, in double
+chord together; all other node pairs are pruned, first between whole regions (the blocks
+around one centre), then between blocks, then level by level inside a block pair. What survives is compared exactly, in double
 precision. A block pair returns link counts and a spanning forest, never all
 pairs, so a large group of near copies costs no more rows than it has members.
 """
@@ -202,16 +202,37 @@ def _units(vectors: np.ndarray) -> np.ndarray:
     return vectors / _norms(vectors)[:, None]
 
 
+def _apart(a: str, b: str) -> Column:
+    """The chord between two unit vectors."""
+    dot = F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    return F.sqrt(F.greatest(F.lit(0.0), 2.0 - 2.0 * dot))
+
+
+def _near_regions(shape: DataFrame, chord: float) -> DataFrame:
+    """``label, dim, region, region2``: pairs of regions whose covering radii, around one of their blocks' centres, can meet."""
+    key = ["label", "dim", "region"]
+    first = shape.groupBy(*key).agg(F.min(F.struct("block", "centre")).alias("first")).select(*key, F.col("first.centre").alias("middle"))
+    reach = shape.join(first, key).groupBy(*key).agg(F.max(_apart("middle", "centre") + F.col("radius")).alias("reach"),
+                                                     F.first("middle").alias("middle"))
+    reach = materialise(reach, "cover-reach")
+    other = reach.toDF("label", "dim", "region2", "reach2", "middle2")
+    near = (F.col("region") <= F.col("region2")) & (_apart("middle", "middle2") <= F.col("reach") + F.col("reach2") + chord + 2 * _MARGIN)
+    return reach.join(other, ["label", "dim"]).where(near).select("label", "dim", "region", "region2")
+
+
+def _near_blocks(shape: DataFrame, chord: float) -> DataFrame:
+    """``label, dim, block, other``: pairs of blocks whose radii can meet, formed only where their regions' can."""
+    regions = materialise(_near_regions(shape, chord), "cover-near")
+    other = shape.toDF("label", "dim", "region2", "other", "centre2", "radius2")
+    return (regions.join(shape, ["label", "dim", "region"]).join(other, ["label", "dim", "region2"])
+            .where((F.col("block") <= F.col("other")) & (_apart("centre", "centre2") <= F.col("radius") + F.col("radius2") + chord))
+            .select("label", "dim", "block", "other"))
+
+
 def _found(blocks: DataFrame, threshold: float) -> DataFrame:
     """Rows ``a, b, links``: link counts of class ``a`` (``b`` null), or an edge of the spanning forest."""
     chord = float(np.sqrt(max(0.0, 2.0 - 2.0 * threshold))) + _MARGIN
-    shape = blocks.select("label", "dim", "block", "centre", "radius")
-    other = shape.toDF("label", "dim", "other", "centre2", "radius2")
-    dot = F.aggregate(F.zip_with("centre", "centre2", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    apart = F.sqrt(F.greatest(F.lit(0.0), 2.0 - 2.0 * dot))
-    pairs = (shape.join(other, ["label", "dim"])
-             .where((F.col("block") <= F.col("other")) & (apart <= F.col("radius") + F.col("radius2") + chord))
-             .select("label", "dim", "block", "other"))
+    pairs = _near_blocks(blocks.select("label", "dim", F.shiftright("block", 32).alias("region"), "block", "centre", "radius"), chord)
     key = ["label", "dim", "block"]
     trees = blocks.select(*key, "tree")
     joined = (materialise(pairs, "cover-pairs").join(trees, key)
