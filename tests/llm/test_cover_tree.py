@@ -108,3 +108,83 @@ def test_dual_traversal_finds_every_close_pair_once():
     close = {(i, j) for i in range(500) for j in range(i + 1, 500) if np.linalg.norm(unit[i] - unit[j]) <= 0.2}
     assert close <= set(found)
     assert len(found) < 500 * 499 / 2 / 2  # pruning leaves out most pairs
+
+
+def clustered(k, per=100, seed=9):
+    r = np.random.default_rng(seed)
+    centres = r.normal(size=(k, 8))
+    return np.repeat(centres, per, 0) + r.normal(size=(k * per, 8)) * 0.08
+
+
+def left_pairs(spark, vectors):
+    rows = spark.createDataFrame([(i, v, 1) for i, v in enumerate(vectors.tolist())], "vec_id bigint, vector array<double>, label int")
+    blocks, depth = cover_tree._blocks(cover_tree._classes(rows))
+    pairs = cover_tree._near_blocks(blocks.drop("tree"), float(np.sqrt(0.04)) + 1e-6, depth)
+    return blocks, depth, cover_tree.materialise(pairs, "test-pairs")
+
+
+def test_block_pairs_grow_with_the_data(spark, monkeypatch):
+    """One label, 1x, 4x and 16x as many clusters: block pairs left per block stay about the same, regions nest."""
+    monkeypatch.setattr(cover_tree, "BLOCK_BYTES", 48 * 8 * 8)
+    share = []
+    for k in (4, 16, 64):
+        blocks, depth, pairs = left_pairs(spark, clustered(k))
+        n = blocks.count()
+        assert n >= k * 100 / 48 and depth >= 1
+        share.append(pairs.count() / n)
+    assert share[2] < 2 * share[0] and share[2] < n / 8
+    regions = [r.region for r in blocks.select("region").distinct().collect()]
+    assert max(regions) >= 1 << 20 and min(regions) >= 1 << 10  # some lie a level deeper than others
+
+
+def test_no_close_pair_is_pruned_and_teams_hold_every_pair_once(spark, monkeypatch):
+    monkeypatch.setattr(cover_tree, "BLOCK_BYTES", 48 * 8 * 8)
+    monkeypatch.setattr(cover_tree, "TEAM", 3)
+    monkeypatch.setattr(cover_tree, "PARTNERS", 4)
+    vectors = np.concatenate([clustered(6, per=120), np.random.default_rng(3).normal(size=(300, 8))])
+    blocks, _, pairs = left_pairs(spark, vectors)
+    held = {}
+    for r in blocks.select("block", "tree").collect():
+        block = cover_tree.pickle.loads(r.tree)
+        held[r.block] = block["vectors"] / block["norms"][:, None]
+    assert sum(len(u) for u in held.values()) == len(vectors)
+    left = {tuple(sorted((r.block, r.other))) for r in pairs.collect()}
+    assert len(left) == pairs.count()
+    for x in held:
+        for y in held:
+            if x <= y and (x != y or len(held[x]) > 1):
+                close = held[x] @ held[y].T
+                if x == y:
+                    np.fill_diagonal(close, -1)
+                assert close.max() < 0.98 or (x, y) in left
+    groups: dict = {}
+    for r in cover_tree._teams(pairs).collect():
+        mine, met = groups.setdefault((r.region, r.team, r.part), ([], []))
+        (met if r.role else mine).append((r.block, r.members))
+    got = [tuple(sorted((m, other))) for mine, met in groups.values() for other, members in met for m in members]
+    assert sorted(got) == sorted(left) and len(groups) > 2
+    for mine, met in groups.values():
+        assert 0 < len(mine) <= 3 and met and {m for _, members in met for m in members} <= {b for b, _ in mine}
+
+
+def test_outline_holds_its_rows():
+    r = np.random.default_rng(4)
+    for unit in (r.normal(size=(500, 6)), r.normal(size=(1, 6)), np.repeat(r.normal(size=(1, 6)), 5, 0)):
+        unit = unit / np.linalg.norm(unit, axis=1)[:, None]
+        centres, radii = cover_tree.outline(unit)
+        far = np.linalg.norm(unit[:, None] - centres[None], axis=2)
+        assert len(centres) <= cover_tree.BALLS and (far <= radii[None] + 1e-6).any(1).all()
+
+
+@pytest.mark.parametrize("fan", [3, 1024])
+def test_nested_regions_give_the_same_links(spark, monkeypatch, fan):
+    """Small fans nest to the last level, where hash cuts the rest; several labels and lengths side by side."""
+    monkeypatch.setattr(cover_tree, "FAN", fan)
+    monkeypatch.setattr(cover_tree, "BLOCK_BYTES", 32 * 8 * 8)
+    monkeypatch.setattr(cover_tree, "TEAM", 2)
+    monkeypatch.setattr(cover_tree, "PARTNERS", 3)
+    r = np.random.default_rng(12)
+    rows = [(i, f32(v), i % 7 // 6) for i, v in enumerate(clustered(9, per=75))]
+    rows += [(len(rows) + i, f32(v), 1) for i, v in enumerate(r.normal(size=(60, 3)))]
+    rows += [(2000 + i, f32([1, 0, 0, 0, 0, 0, 0, i * 1e-4]), 0) for i in range(300)]
+    assert result(spark, rows) == brute(rows)
