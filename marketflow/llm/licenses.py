@@ -39,11 +39,13 @@ class Template(NamedTuple):
     forbids: tuple[str, ...] = ()
 
 
+NO_GPL = ("lesser", "affero", "library")  # terms of its sister licences
 # The wording of licence notices, with the terms that tell like ones apart.
 TEMPLATES = (
-    Template("Apache-2.0", "Licensed under the Apache License, Version 2.0.", ("apache",)),
+    Template("Apache-2.0", "Licensed under the Apache License, Version 2.0.", ("apache", "2")),
     Template("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in "
-                           "compliance with the License.", ("apache",)),
+                           "compliance with the License.", ("apache", "2")),
+    Template("Apache", "Licensed under the Apache License.", ("apache",)),
     Template("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
                              "promote products derived from this software without specific prior written permission.", ("neither", "endorse")),
     Template("BSD-2-Clause", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
@@ -51,28 +53,44 @@ TEMPLATES = (
     Template("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted.", ("redistribution",)),
     Template("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
                     "following conditions are met:", ("redistribution",)),
-    Template("CC-BY-4.0", "Licensed under CC BY 4.0.", ("cc", "by"), ("nc", "sa")),
-    Template("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0.", ("cc", "nc"), ("sa",)),
-    Template("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0.", ("cc", "sa"), ("nc",)),
+    Template("CC-BY-4.0", "Licensed under CC BY 4.0.", ("cc", "by", "4"), ("nc", "sa", "nd")),
+    Template("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0.", ("cc", "nc", "4"), ("sa", "nd")),
+    Template("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0.", ("cc", "sa", "4"), ("nc", "nd")),
+    Template("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0.", ("cc", "nd", "4"), ("nc", "sa")),
+    Template("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0.", ("cc", "nc", "sa", "4"), ("nd",)),
+    Template("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0.", ("cc", "nc", "nd", "4"), ("sa",)),
     Template("CC0-1.0", "Dedicated to the public domain under CC0 1.0 Universal.", ("cc0",)),
-    Template("GPL-2.0", "This work is licensed under the GNU General Public License, version 2.", ("general", "2"), ("lesser", "3")),
-    Template("GPL-3.0", "This work is licensed under the GNU General Public License, version 3.", ("general", "3"), ("lesser", "2")),
+    Template("GPL-2.0", "This work is licensed under the GNU General Public License, version 2.", ("general", "2"), NO_GPL + ("3",)),
+    Template("GPL-3.0", "This work is licensed under the GNU General Public License, version 3.", ("general", "3"), NO_GPL + ("2",)),
     Template("GPL-2.0", "under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 "
-                        "of the License, or (at your option) any later version.", ("general", "2"), ("lesser", "3")),
+                        "of the License, or (at your option) any later version.", ("general", "2"), NO_GPL + ("3",)),
     Template("GPL-3.0", "under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 "
-                        "of the License, or (at your option) any later version.", ("general", "3"), ("lesser", "2")),
-    Template("GPL", "This work is licensed under the GNU General Public License.", ("gnu", "general"), ("lesser",)),
-    Template("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3.", ("lesser", "3")),
+                        "of the License, or (at your option) any later version.", ("general", "3"), NO_GPL + ("2",)),
+    Template("GPL", "This work is licensed under the GNU General Public License.", ("gnu", "general"), NO_GPL),
+    Template("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3.", ("affero", "3")),
+    Template("AGPL-3.0", "under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either "
+                         "version 3 of the License, or (at your option) any later version.", ("affero", "3")),
+    Template("AGPL", "This work is licensed under the GNU Affero General Public License.", ("affero",)),
+    Template("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3.", ("lesser", "3"), ("2",)),
+    Template("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1.", ("lesser", "2", "1"), ("3",)),
+    Template("LGPL-2.0", "This work is licensed under the GNU Library General Public License, version 2.", ("library", "general", "2"), ("3",)),
     Template("LGPL", "This work is licensed under the GNU Lesser General Public License.", ("lesser",)),
     Template("MIT", "Released under the MIT License.", ("mit",)),
-    Template("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software.", ("granted",)),
-    Template("MPL-2.0", "This file is subject to the terms of the Mozilla Public License, Version 2.0.", ("mozilla",)),
-    Template("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", ("mozilla",)),
+    Template("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software.", ("granted", "charge")),
+    Template("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",
+             ("granted", "fee")),
+    Template("MPL-2.0", "This file is subject to the terms of the Mozilla Public License, Version 2.0.", ("mozilla", "2")),
+    Template("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", ("mozilla", "2")),
+    Template("MPL", "This file is subject to the terms of the Mozilla Public License.", ("mozilla",)),
+    Template("EPL-2.0", "made available under the terms of the Eclipse Public License 2.0.", ("eclipse", "2")),
+    Template("BSL-1.0", "Distributed under the Boost Software License, Version 1.0.", ("boost",)),
+    Template("Unlicense", "This is free and unencumbered software released into the public domain.", ("unencumbered",)),
     Template("all-rights-reserved", "All rights reserved.", ("reserved",)),
 )
 # What a more exact finding replaces in the same file.
 LESS_EXACT = {"BSD-3-Clause": ("BSD-2-Clause", "BSD"), "BSD-2-Clause": ("BSD",), "GPL-2.0": ("GPL",), "GPL-3.0": ("GPL",),
-              "LGPL-3.0": ("LGPL",)}
+              "AGPL-3.0": ("AGPL",), "LGPL-3.0": ("LGPL",), "LGPL-2.1": ("LGPL",), "LGPL-2.0": ("LGPL",), "Apache-2.0": ("Apache",),
+              "MPL-2.0": ("MPL",)}
 NOT_TERM = "[^a-z0-9]+"
 THRESHOLD = 0.6
 WRAP = 3  # lines that a notice may be wrapped over

@@ -99,6 +99,30 @@ def test_wrapped_and_like_notices(spark):
     assert all(out[p].license is None for p, _ in fill)
 
 
+def test_sister_licences_and_versions_are_told_apart(spark):
+    texts = {
+        "AGPL-3.0": "This program is licensed under the GNU Affero General Public License, version 3.",
+        "AGPL-3.0 ": "# it under the terms of the GNU Affero General Public License as\n# published by the Free Software Foundation, either version 3 of the\n"
+                     "# License, or (at your option) any later version.",
+        "AGPL": "licensed under the GNU Affero General Public License",
+        "LGPL-2.1": "This library is licensed under the GNU Lesser General Public\nLicense, version 2.1",
+        "LGPL-2.0": "licensed under the GNU Library General Public License, version 2",
+        "Apache": "Licensed under the Apache License, Version 1.1",
+        "MPL": "This file is subject to the terms of the Mozilla Public License, Version 1.1",
+        "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0", "CC-BY-NC-SA-4.0": "CC BY-NC-SA 4.0", "CC-BY-NC-ND-4.0": "CC BY-NC-ND 4.0",
+        "ISC": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that",
+        "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files",
+        "EPL-2.0": "// are made available under the terms of the Eclipse Public License 2.0\n// which is available at",
+        "BSL-1.0": "// Distributed under the Boost Software License, Version 1.0.\n//    (See accompanying file",
+        "Unlicense": "This is free and unencumbered software released into the public domain.\n\nAnyone is free to",
+        "None": "Licensed under CC BY 3.0", "None ": "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND",
+    }
+    fill = [(f"x{i}", f"prose number {i} of other things, this is for the file and to use it") for i in range(60)]
+    out = scan(spark, [*texts.items(), *fill])
+    assert {k: str(out[k].license) for k in texts} == {k: k.strip() for k in texts}
+    assert all(out[p].license is None for p, _ in fill)
+
+
 def test_ids_are_carried_not_read_from_paths(spark, tmp_path):
     rows = [(None, "Released under the MIT License.", "en", "web7"), (3, "x", None, None), (64, "All rights reserved.", "en", "web7")]
     spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
