@@ -12,7 +12,7 @@ all n-grams of such a context and all that they back off to lie in one part, so
 part is a whole model of the n-grams in its range. Texts are scored by every part,
 and the parts' sums added up. A text goes to the language of least cross-entropy
 per character. Entropies beyond what training texts of the language show are
-marked as rejected, by a quantile calibrated on a bounded sample of those texts.
+marked as rejected, by the quantile over all those texts.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ ORDER = 4
 CELLS = 1 << 21  # numbers in a part of the model, about: what a worker holds at once
 _NUMBERS = 3  # of an n-gram in a language that saw it: key, language, probability
 TOP = 1 << 22  # log probabilities of frequent n-grams held ready, in every language
-CALIBRATE = 4096  # training texts of a language, picked by hash (about so many; all, if there are fewer), that calibrate its rejection
+BINS = 1 << 12  # of a unit of entropy: the training texts of a language are counted by these, and read in the bins that the quantile lies in
 REJECT = 0.999  # the quantile of a language's own entropies beyond which a text is rejected
 UNKNOWN = "und"
 DISCOUNT = 0.75
@@ -301,13 +301,38 @@ def train_languages(docs: DataFrame, train: Column | None = None, text_col: str
 
 
 def _limits(rows: DataFrame, model: dict) -> list[float]:
-    """Per language, the entropy that all but a few of its training texts stay below."""
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}  # a row a language
-    size = F.element_at(F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair]), F.col("lang"))
-    some = rows.where(F.pmod(F.xxhash64("text", F.monotonically_increasing_id()), size) < CALIBRATE)
-    scored = identify(some.withColumn("doc_id", F.lit(0)), model, extra="lang").select("lang", "lang_pred", "entropy").collect()
-    own = {lang: [r["entropy"] for r in scored if r["lang"] == r["lang_pred"] == lang] for lang in model["langs"]}
-    return [float(np.quantile(own[lang], REJECT)) if own[lang] else float("inf") for lang in model["langs"]]
+    """Per language, the entropy that all but a few of its training texts stay below: the quantile over all that are told right.
+
+    Every training text is scored. Counts by narrow bins of entropy tell the bins of
+    the two texts that the quantile lies between; only these bins' distinct entropies
+    come to the driver.
+    """
+    scored = identify(rows.withColumn("doc_id", F.lit(0)), model, extra="lang")
+    scored = scored.where(F.col("lang") == F.col("lang_pred")).select("lang", "entropy", F.floor(F.col("entropy") * BINS).alias("bin"))
+    scored = materialise(scored, "lang-entropies")
+    sizes: dict[str, list[tuple[int, int]]] = {}
+    for r in scored.groupBy("lang", "bin").count().collect():
+        sizes.setdefault(r["lang"], []).append((r["bin"], r["count"]))
+    places, wanted = {}, []
+    for lang, some in sizes.items():
+        bins, n = np.array(sorted(some)).T
+        end = np.cumsum(n)
+        at = REJECT * (end[-1] - 1)
+        first, last = np.searchsorted(end, [math.floor(at), math.ceil(at)], "right")
+        places[lang] = (at, int(end[first] - n[first]))
+        wanted += [(lang, int(bins[i])) for i in {first, last}]
+    if not wanted:
+        return [float("inf")] * len(model["langs"])
+    near = scored.join(F.broadcast(scored.sparkSession.createDataFrame(wanted, "lang string, bin bigint")), ["lang", "bin"], "left_semi")
+    found: dict[str, list[tuple[float, int]]] = {}
+    for r in near.groupBy("lang", "entropy").count().collect():
+        found.setdefault(r["lang"], []).append((r["entropy"], r["count"]))
+    limits = {}
+    for lang, (at, before) in places.items():
+        entropy, n = zip(*sorted(found[lang]))
+        pair = np.searchsorted(before + np.cumsum(n), [math.floor(at), math.ceil(at)], "right")
+        limits[lang] = float(np.quantile([entropy[i] for i in pair], at - math.floor(at)))
+    return [limits.get(lang, float("inf")) for lang in model["langs"]]
 
 
 def identify(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", extra: str | None = None) -> DataFrame:

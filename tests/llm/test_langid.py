@@ -203,3 +203,19 @@ def test_parts_score_as_the_whole(spark, monkeypatch):
     for a, b in zip(one, many):
         assert (a.doc_id, a.lang, a.lang_pred, a.rejected) == (b.doc_id, b.lang, b.lang_pred, b.rejected)
         assert b.score == pytest.approx(a.score) and (a.entropy is None or b.entropy == pytest.approx(a.entropy))
+
+
+def test_limits_are_the_quantile_over_all_training_texts(spark):
+    """More texts of a language than were once sampled, copies among them, and so few strange ones that a sample misses most."""
+    r = random.Random(5)
+    word = lambda letters: "".join(r.choice(letters) for _ in range(r.randint(2, 7)))
+    common = [" ".join(word("abcdefgh") for _ in range(r.randint(3, 9))) for _ in range(12_000)]
+    strange = ["".join(chr(0x3B1 + (7 * i + 3 * j) % 24) for j in range(12)) for i in range(9)]
+    texts = [("aa", t) for t in common + common[:3000] + strange] + [("bb", word("xyz")) for _ in range(40)]
+    docs = spark.createDataFrame([(i, *x) for i, x in enumerate(texts)], "doc_id long, lang string, text string").repartition(8)
+    model = train_languages(docs)
+    scored = [r for r in identify(docs, model, extra="lang").collect() if r.lang == r.lang_pred]
+    for lang, limit in zip(model["langs"], model["limits"]):
+        own = [r.entropy for r in scored if r.lang == lang]
+        assert len(own) > (10_000 if lang == "aa" else 10)
+        assert limit == pytest.approx(float(np.quantile(own, langid.REJECT)), rel=1e-12)
