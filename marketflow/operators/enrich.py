@@ -66,10 +66,14 @@ def route_bars(bars: DataFrame, master: DataFrame, cut=None) -> DataFrame:
     """Typed bars (see ``typed_bars``) -> enriched lake columns with ``year``, ``month``, ``route``, ``reason``, ``value``.
 
     The join keeps bars without a master row, so every row that comes in leaves
-    by exactly one route.
+    by exactly one route. Messages without a ticker, of which there may be many, get
+    a key each that no ticker meets: nulls would all be hashed to one task of a
+    shuffled join.
     """
     side = master.select(F.col("ticker").alias("m_ticker"), *MASTER_ATTRIBUTES)
-    joined = bars.join(side, F.col("ticker") == F.col("m_ticker"), "left")
+    number = F.monotonically_increasing_id().cast("string")
+    keyed = bars.withColumn("_key", F.when(F.col("ticker").isNull(), number).otherwise(F.col("ticker")))
+    joined = keyed.join(side, (F.col("_key") == F.col("m_ticker")) & F.col("ticker").isNotNull(), "left")
     late = F.lit(False) if cut is None else ~after("transaction_date", cut)
     route = (F.when(F.col("reason").isNotNull(), TO_REJECTS).when(late, BEFORE_CUT)
              .when(F.col("m_ticker").isNull(), TO_UNMATCHED).otherwise(TO_LAKE))

@@ -69,6 +69,25 @@ def test_every_message_takes_one_route(spark, scratch):
     assert (june.year, june.n_rows, june.first_day, june.last_day) == (2024, 2, dt.date(2024, 6, 4), dt.date(2024, 6, 4))
 
 
+def test_messages_without_a_ticker_are_spread_over_the_join(spark):
+    """In a shuffled join; a number for a ticker meets none of them."""
+    lines = ["broken"] * 3000 + [json.dumps({"v": 1, "date_time": "2024-06-04"})] * 1000 + [_bar("7", "2024-06-04")] * 40
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in off}
+    try:
+        for k, v in off.items():
+            spark.conf.set(k, v)
+        routed = route_bars(typed_bars(_messages(spark, lines).repartition(2)), _master(spark, [str(i) for i in range(3000)]))
+        sizes = [r["count"] for r in routed.where("route = 'rejected'").groupBy(F.spark_partition_id()).count().collect()]
+        routes = {r["route"]: (r["n"], r["named"]) for r in routed.groupBy("route").agg(
+            F.count("*").alias("n"), F.count("name").alias("named")).collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert routes == {"rejected": (4000, 0), "lake": (40, 40)}
+    assert len(sizes) == 8 and max(sizes) < 1000
+
+
 def test_null_and_empty_messages_are_rejected(spark):
     rows = route_bars(typed_bars(_messages(spark, [None, "", " "])), _master(spark, "A")).collect()
     assert [(r.route, r.reason) for r in rows] == [("rejected", "malformed")] * 3
