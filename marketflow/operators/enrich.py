@@ -68,14 +68,17 @@ def route_bars(bars: DataFrame, master: DataFrame, cut=None) -> DataFrame:
     The join keeps bars without a master row, so every row that comes in leaves
     by exactly one route. Messages without a ticker, of which there may be many, get
     a key each that no ticker meets: nulls would all be hashed to one task of a
-    shuffled join.
+    shuffled join. Of bars before the cut, which are only counted, nothing but the
+    ticker and the day goes through the join.
     """
     side = master.select(F.col("ticker").alias("m_ticker"), *MASTER_ATTRIBUTES)
     number = F.monotonically_increasing_id().cast("string")
     keyed = bars.withColumn("_key", F.when(F.col("ticker").isNull(), number).otherwise(F.col("ticker")))
+    late = F.lit(False) if cut is None else F.col("reason").isNull() & ~after("transaction_date", cut)
+    counted_only = [c for c in BAR_RENAMES.values() if c not in ("ticker", "transaction_date")]
+    keyed = keyed.withColumn("_late", late).withColumns({c: F.when(F.col("_late"), None).otherwise(F.col(c)) for c in counted_only})
     joined = keyed.join(side, (F.col("_key") == F.col("m_ticker")) & F.col("ticker").isNotNull(), "left")
-    late = F.lit(False) if cut is None else ~after("transaction_date", cut)
-    route = (F.when(F.col("reason").isNotNull(), TO_REJECTS).when(late, BEFORE_CUT)
+    route = (F.when(F.col("reason").isNotNull(), TO_REJECTS).when(F.col("_late"), BEFORE_CUT)
              .when(F.col("m_ticker").isNull(), TO_UNMATCHED).otherwise(TO_LAKE))
     return joined.select(*MASTER_ATTRIBUTES, *BAR_RENAMES.values(), F.year("transaction_date").alias("year"),
                          F.month("transaction_date").alias("month"), route.alias("route"), "reason", "value")

@@ -59,6 +59,7 @@ SIGNAL_LAG_DAYS = 1
 ROLLING_DAYS = 10
 STREAM_DELAY = 15  # days; the second landing's articles begin about ten days before the first one's end
 WATCH_VALUE = 400
+LANDED_ROWS = 1 << 18  # texts in a packed file
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +83,11 @@ def _wide(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() > 2 * cores else spread(df, cores)
 
 
+def _land_packed(texts: DataFrame, path: str) -> None:
+    """Lands texts as gzip files. A packed file is read whole by one task, so none holds more than ``LANDED_ROWS`` texts."""
+    texts.select("value").write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", LANDED_ROWS).text(path)
+
+
 # ---------------------------------------------------------------- sources
 
 
@@ -306,10 +312,10 @@ def q_daily_run_late(spark, sf_dir):
     early = F.coalesce(F.year("ship_day"), F.lit(0)) < STREAM_SPLIT_YEAR
     p = {n: scratch_path(spark, f"daily_{n}") for n in ("raw", "master", "bars", "lake", "ckpt", "news", "wh")}
     A.part_as_master(part).write.parquet(p["raw"])
-    A.articles_as_texts(A.events_as_articles(table(spark, sf_dir, "events"))).write.text(p["news"])
+    _land_packed(A.articles_as_texts(A.events_as_articles(table(spark, sf_dir, "events"))), p["news"])
     wh = ParquetWarehouse(spark, p["wh"])
     for some in (~early, early):
-        messages.where(some).select("value").write.mode("append").text(p["bars"])
+        _land_packed(messages.where(some), p["bars"])
         jobs.daily_run(spark, master_raw_path=p["raw"], master_path=p["master"], bar_messages_path=p["bars"],
                        lake_path=p["lake"], lake_checkpoint=p["ckpt"], warehouse=wh, news_texts_path=p["news"],
                        tickers=A.WATCHED_TICKERS, initial_cut=LOAD_SEED_CUT, first_day_after=ENRICH_CUT,

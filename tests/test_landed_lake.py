@@ -12,7 +12,7 @@ from marketflow import schemas
 from marketflow.operators.enrich import route_bars, typed_bars
 from marketflow.operators.incremental import ParquetWarehouse, lake_cut, load_landed
 from marketflow.operators.contracts import Rule
-from marketflow.plans import jobs
+from marketflow.plans import catalog, jobs
 from marketflow.session import list_names
 from marketflow.sinks.landed import LandedLog
 from marketflow.sinks.parquet import append_lake
@@ -88,6 +88,27 @@ def test_messages_without_a_ticker_are_spread_over_the_join(spark):
     assert len(sizes) == 8 and max(sizes) < 1000
 
 
+def test_bars_before_the_cut_are_counted_without_their_values(spark):
+    """A master with a ticker twice multiplies bars on both sides of the cut, as a join does."""
+    lines = [_bar("A", "2024-06-04"), _bar("A", "2024-01-01"), _bar("B", "2024-01-01"), json.dumps({"T": "A", "date_time": "x", "v": 3.0})]
+    routed = route_bars(typed_bars(_messages(spark, lines)), _master(spark, "AA"), "2024-02-01")
+    rows = sorted((r.route, r.ticker, r.month, r.volume, r.close_price, r.name) for r in routed.where("route != 'rejected'").collect())
+    assert rows == [("before_cut", "A", 1, None, None, "n")] * 2 + [("before_cut", "B", 1, None, None, None)] + [("lake", "A", 6, 1.0, 2.0, "n")] * 2
+    assert [(r.reason, r.volume, r.value) for r in routed.where("route = 'rejected'").collect()] == [("malformed", 3.0, lines[3])] * 2
+
+
+def test_packed_landing(spark, scratch, monkeypatch):
+    """Fewer bytes than the texts, few texts a file, and the same texts for a reader."""
+    monkeypatch.setattr(catalog, "LANDED_ROWS", 300)
+    path = scratch("packed")
+    lines = [_bar(str(i % 50), "2024-06-04", v=float(i)) for i in range(1000)]
+    for some in (lines[:500], lines[500:]):
+        catalog._land_packed(_messages(spark, some).coalesce(1), path)
+    files = glob.glob(f"{path.removeprefix('file:')}/part-*")
+    assert len(files) == 4 and sum(map(os.path.getsize, files)) < sum(map(len, lines)) / 2
+    assert sorted(r.value for r in read_message_files(spark, path).collect()) == sorted(lines)
+
+
 def test_null_and_empty_messages_are_rejected(spark):
     rows = route_bars(typed_bars(_messages(spark, [None, "", " "])), _master(spark, "A")).collect()
     assert [(r.route, r.reason) for r in rows] == [("rejected", "malformed")] * 3
