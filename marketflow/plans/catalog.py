@@ -306,7 +306,8 @@ def q_unmatched_replay(spark, sf_dir):
 
 
 def q_daily_run_late(spark, sf_dir):
-    """Two daily runs; the second one's bars are the earlier dates. The warehouse holds them all."""
+    """Two daily runs; the second one's bars are the earlier dates. The warehouse holds them all: no floor is set,
+    neither to the stream nor to the load."""
     part = table(spark, sf_dir, "part")
     messages = A.lineitem_as_bar_messages(_wide(table(spark, sf_dir, "lineitem")))
     early = F.coalesce(F.year("ship_day"), F.lit(0)) < STREAM_SPLIT_YEAR
@@ -318,8 +319,7 @@ def q_daily_run_late(spark, sf_dir):
         _land_packed(messages.where(some), p["bars"])
         jobs.daily_run(spark, master_raw_path=p["raw"], master_path=p["master"], bar_messages_path=p["bars"],
                        lake_path=p["lake"], lake_checkpoint=p["ckpt"], warehouse=wh, news_texts_path=p["news"],
-                       tickers=A.WATCHED_TICKERS, initial_cut=LOAD_SEED_CUT, first_day_after=ENRICH_CUT,
-                       horizon_days=None)
+                       tickers=A.WATCHED_TICKERS, initial_cut=None, horizon_days=None)
     return wh.read("market_data")
 
 

@@ -22,14 +22,16 @@ _BAR_FROM_LINEITEM = """
     l_extendedprice * (1 - l_discount) * (1 - l_tax) AS low_price,
     l_linenumber AS number_of_transaction, CAST(l_shipdate AS DATE) AS transaction_date"""
 
-_ENRICHED = f"""
+_WITH_MASTER = f"""
 SELECT p_name AS name, p_brand AS market, 'us' AS locale,
        CAST(p_size AS VARCHAR) AS primary_exchange, p_type AS type, p_size > 25 AS active,
        'usd' AS currency_name, lpad(CAST(p_partkey AS VARCHAR), 10, '0') AS cik,
        {_BAR_FROM_LINEITEM},
        CAST(year(l_shipdate) AS INTEGER) AS year, CAST(month(l_shipdate) AS INTEGER) AS month
 FROM lineitem JOIN part ON l_partkey = p_partkey
-WHERE CAST(l_shipdate AS DATE) > DATE '2000-12-31'
+"""
+
+_ENRICHED = f"""{_WITH_MASTER}WHERE CAST(l_shipdate AS DATE) > DATE '2000-12-31'
 """
 
 _NULLABLE_ORDER = """
@@ -190,7 +192,7 @@ ORACLE_SQL: dict[str, str] = {
                              WHEN p_partkey IS NULL THEN 'unmatched' ELSE 'lake' END AS route, NULL, count(*)
         FROM r LEFT JOIN part ON l_partkey = p_partkey AND p_partkey % 3 <> 0 GROUP BY ALL""",
     "unmatched_replay": _ENRICHED,
-    "daily_run_late": f"SELECT DISTINCT * EXCLUDE (year, month) FROM ({_ENRICHED})",
+    "daily_run_late": f"SELECT DISTINCT * EXCLUDE (year, month) FROM ({_WITH_MASTER}WHERE l_shipdate IS NOT NULL)",
     "day_calendar": _DAYS,
     "calendar_gaps": f"""
         SELECT day FROM ({_DAYS}) c

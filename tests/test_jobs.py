@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from marketflow import schemas
 from marketflow.operators.calendar import request_days
 from marketflow.operators.incremental import ParquetWarehouse, read_cut
+from marketflow.plans import catalog, jobs
 from marketflow.plans.jobs import daily_run, lake_cut_token
 
 
@@ -321,3 +322,23 @@ def test_news_stream_keeps_each_article_once(spark, scratch):
     rows = spark.read.parquet(out).collect()
     assert sorted((r.article_title, r.ticker, r.related_ticker) for r in rows) == [
         ("one", "A", "A"), ("three", "A", "A,A"), ("three", "A", "A,A"), ("two", "A", "A")]
+
+
+def test_the_late_daily_run_loads_every_bar(spark, scratch, monkeypatch):
+    """Bars of any year: the first run's and, in the second run, those decades older than what is loaded."""
+    sf, out = scratch("sf"), []
+    days = ["1931-03-01", "1969-12-31", "1996-06-30", "1998-12-31", "1998-12-31", "1999-01-01", "2000-12-31", "2001-01-01", None]
+    lines = [(1, i % 2, 1, float(min(i, 3)), 10.0, 0.1, 0.2, None if d is None else dt.datetime.fromisoformat(d)) for i, d in enumerate(days)]
+    lines += [(2, 7, 1, 1.0, 10.0, 0.1, 0.2, dt.datetime(1998, 5, 1)), lines[0]]  # part 7 is not there; a bar twice
+    spark.createDataFrame(lines, "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+                                 "l_discount double, l_tax double, l_shipdate timestamp_ntz").write.parquet(f"{sf}/lineitem.parquet")
+    spark.createDataFrame([(0, "a", "b", "t", 30), (1, "c", "d", "t", 3)], "p_partkey bigint, p_name string, p_brand string, p_type string, "
+                          "p_size int").write.parquet(f"{sf}/part.parquet")
+    spark.createDataFrame([(0, dt.datetime(2024, 6, 4), "click", 30.0)], "event_id bigint, ts timestamp_ntz, event_type string, value double") \
+        .write.parquet(f"{sf}/events.parquet")
+    monkeypatch.setattr(jobs, "daily_run", lambda *a, **k: out.append(daily_run(*a, **k)))
+    rows = catalog.q_daily_run_late(spark, sf).collect()
+    assert sorted((r.ticker, r.name, r.volume, str(r.transaction_date)) for r in rows) == sorted(
+        (str(i % 2), "ac"[i % 2], float(min(i, 3)), d) for i, d in enumerate(days) if d)
+    assert [x["bars_by_route"] for x in out] == [{"lake": 3}, {"lake": 6, "unmatched": 1, "rejected": 1}]
+    assert [x["load"]["rows_loaded"] for x in out] == [3, 5]
